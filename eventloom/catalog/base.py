@@ -174,7 +174,7 @@ BASE = EV + FACTS + USERS + SESS + VIEW
 
 def with_base(body: str, *extra: str) -> str:
     """`WITH` the shared relations (and extra ones) in front of a SELECT."""
-    ctes = (BASE + "".join(e.strip().rstrip(",") + ",\n" for e in extra)).strip().rstrip(",")
+    ctes = (BASE + "".join(e.strip().rstrip(",") + ",\n" for e in extra if e.strip())).strip().rstrip(",")
     return f"WITH {ctes}\n{body}"
 
 

@@ -1,4 +1,423 @@
-"""To come."""
+"""Ad-hoc analyses: query and oracle per key. Oracles join and rank naively."""
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from __future__ import annotations
+
+import dataclasses
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from eventloom.catalog import base as b
+from eventloom.catalog.base import clock, day, local, with_base
+from eventloom.functions.conditions import compile_conditions, property_column
+from eventloom.functions.timeunits import date_units, in_scope
+from eventloom.operators.explore import attribution as at
+from eventloom.operators.explore import base as eb
+from eventloom.operators.explore import funnel as fu
+from eventloom.operators.explore import path as pa
+from eventloom.operators.explore import retention as re_
+from eventloom.operators.explore.model import (
+    AGGREGATION_PROPERTY, COUNT_PROPERTY, EVENT, EVENT_CNT, SUM_VALUE, Attribute, AttributionQuery, Condition,
+    Conditions, EventQuery, FunnelQuery, Grouping, PathQuery, Query, RetentionPair, RetentionQuery, Scope, Step,
+)
+
+TZ = "Asia/Shanghai"
+QUERIES: dict[str, b.Query] = {}
+ORACLES: dict[str, str] = {}
+
+K = Attribute("k", EVENT, "int")
+KIND = Attribute("kind", EVENT)
+PLATFORM = Attribute("platform")
+COUNTRY = Attribute("geo_country")
+CITY = Attribute("geo_city")
+TITLE = Attribute("page_view_page_title")
+SCOPE = Scope.days("2024-01-03", "2024-01-20")
+MONTH = Scope.days("2024-01-01", "2024-01-31")
+NOW = dt.datetime(2024, 1, 25, 13, 30, tzinfo=dt.timezone.utc)
+
+
+def add(key: str, fn: b.Query, sql: str | None = None) -> None:
+    QUERIES[key] = b.query(fn)
+    if sql is not None:
+        ORACLES[key] = sql
+
+
+def bounds(start: str, end: str, tz: str = "UTC") -> str:
+    stop = (dt.date.fromisoformat(end) + dt.timedelta(days=1)).isoformat()
+    at_ = lambda d: f"timezone('UTC', timezone('{tz}', TIMESTAMP '{d}'))"
+    return f"event_timestamp >= {at_(start)} AND event_timestamp <= {at_(stop)}"
+
+
+def units(tz: str) -> str:
+    at_ = local(tz)
+    return f"""strftime({at_}, '%Y-%m') AS month, strftime(date_trunc('week', {at_}), '%Y-%m-%d') AS week,
+  strftime({at_}, '%Y-%m-%d') AS day, strftime({at_}, '%Y-%m-%d %H:00') AS hour"""
+
+
+def bd(names: list[str] | None, start: str, end: str, tz: str = "UTC", where: str = "TRUE",
+       user: str = "merged_user_id") -> str:
+    listed = "TRUE" if names is None else "event_name IN (" + ",".join(f"'{n}'" for n in names) + ")"
+    return f"""
+bd AS (SELECT event_id, event_name, event_timestamp, {user} AS user_pseudo_id, user_id, session_id, k, kind, platform,
+  geo_country, geo_city, event_value, page_view_page_title, page_view_page_url_path, screen_view_screen_name,
+  screen_view_screen_id, {units(tz)} FROM vw
+  WHERE {bounds(start, end, tz)} AND {listed} AND ({where})),"""
+
+
+# ------------------------------------------------- conditions, scopes, units
+
+def filtered(conditions: Conditions):
+    return lambda s, d: b.events(s, d).where(compile_conditions(conditions)).select("event_id")
+
+
+def _c(attribute, op, *values):
+    return Condition(attribute, op, values)
+
+
+add("cond_and_or", filtered(Conditions((_c(PLATFORM, "=", "Web"), _c(K, ">", 90), _c(CITY, "in", "city1", "city2")), "or")),
+    with_base("SELECT event_id FROM ev WHERE platform = 'Web' OR k > 90 OR geo_city IN ('city1','city2')"))
+add("cond_string", filtered(Conditions((
+    _c(TITLE, "not_contains", "e_1"), _c(COUNTRY, "contains", "TION_1"), _c(PLATFORM, "<>", "iOS"),
+    _c(Attribute("traffic_source_source"), "not_in", "google", "facebook"), _c(CITY, ">=", "city2"),
+    _c(Attribute("event_name"), "is_not_null")))), with_base("""
+SELECT event_id FROM ev WHERE (page_view_page_title IS NULL OR NOT contains(page_view_page_title, 'e_1'))
+  AND contains(geo_country, 'TION_1') AND (platform IS NULL OR platform <> 'iOS')
+  AND (traffic_source_source IS NULL OR traffic_source_source NOT IN ('google','facebook')) AND geo_city >= 'city2'"""))
+add("cond_number", filtered(Conditions((
+    _c(K, ">=", 10), _c(K, "not_in", 20, 30), _c(Attribute("event_value", data_type="double"), "<>", 5.0),
+    _c(K, "<", 80)))), with_base("""
+SELECT event_id FROM ev WHERE k >= 10 AND k NOT IN (20, 30) AND (event_value IS NULL OR event_value <> 5.0) AND k < 80"""))
+_FLAG = Attribute("page_view_entrances", data_type="boolean")
+add("cond_bool", lambda s, d: b.facts(s, d).where(compile_conditions(Conditions((_c(_FLAG, "true"),))))
+    .select("event_id"), with_base("SELECT event_id FROM evf WHERE page_view_entrances = 'true'"))
+add("property_project", lambda s, d: b.events(s, d).select("event_id", *[
+    property_column(a).alias(a.column_name) for a in
+    (K, KIND, Attribute("kind", EVENT, "double"), COUNTRY, Attribute("event_value", data_type="double"))][:2],
+    property_column(Attribute("kind", EVENT, "double")).alias("e_kind_number"),
+    property_column(COUNTRY).alias("geo_country")), with_base("""
+SELECT event_id, CAST(k AS BIGINT) AS e_k, kind AS e_kind, CAST(NULL AS DOUBLE) AS e_kind_number, geo_country FROM ev"""))
+add("scope_fixed", lambda s, d: b.events(s, d).where(in_scope(SCOPE, TZ)).select("event_id", "event_timestamp"),
+    with_base(f"SELECT event_id, {clock('event_timestamp')} AS event_timestamp FROM ev "
+              f"WHERE {bounds('2024-01-03', '2024-01-20', TZ)}"))
+
+
+def _relative(s, d):
+    parts = None
+    for n, unit in [(10, "DD"), (2, "WK"), (1, "MM"), (1, "YY")]:
+        part = b.events(s, d).where(in_scope(Scope.last(n, unit, NOW), "America/New_York")).groupBy().agg(
+            F.count(F.lit(1)).alias("n")).select(F.lit(f"{n} {unit}").alias("scope"), "n")
+        parts = part if parts is None else parts.unionByName(part)
+    return parts
+
+
+# 13:30 UTC is 08:30 in New York: the day starts at 05:00 UTC.
+add("scope_relative", _relative, with_base(" UNION ALL ".join(
+    f"SELECT '{label}' AS scope, count(*) AS n FROM ev WHERE event_timestamp >= TIMESTAMP '{lo} 05:00:00' "
+    "AND event_timestamp <= TIMESTAMP '2024-01-25 13:30:00'" for label, lo in
+    [("10 DD", "2024-01-16"), ("2 WK", "2024-01-15"), ("1 MM", "2024-01-01"), ("1 YY", "2024-01-01")])))
+add("scope_events", lambda s, d: b.events(s, d).where(eb.open_path_events(["_first_open"])).select("event_id", "event_name"),
+    with_base("""SELECT event_id, event_name FROM ev WHERE event_name NOT IN ('_session_start','_session_stop',
+ '_screen_view','_app_exception','_app_update','_os_update','_user_engagement','_profile_set','_page_view','_app_start',
+ '_scroll','_search','_click','_clickstream_error','_mp_share','_mp_favorite','_app_end')"""))
+add("date_units", lambda s, d: date_units(b.events(s, d), "America/New_York").select(
+    "event_id", "month", "week", "day", "hour"), with_base(f"SELECT event_id, {units('America/New_York')} FROM ev"))
+
+# ------------------------------------------------------------- event analyses
+
+NAMES = ["_first_open", "purchase"]
+_BASE_Q = Query(SCOPE, TZ, Conditions((_c(K, ">", 5), _c(PLATFORM, "<>", "iOS"))))
+add("explore_base", lambda s, d: eb.base_data(b.user_events(s, d), _BASE_Q, eb.chosen_events(NAMES)).select(
+    "event_id", "event_name", "event_timestamp", "user_pseudo_id", "user_id", "month", "week", "day", "hour"),
+    with_base(f"""SELECT event_id, event_name, {clock('event_timestamp')} AS event_timestamp, user_pseudo_id, user_id,
+  month, week, day, hour FROM bd""", bd(NAMES, "2024-01-03", "2024-01-20", TZ, "k > 5 AND platform <> 'iOS'")))
+
+_EV = EventQuery(SCOPE, TZ, steps=(Step("_first_open", Conditions((_c(K, ">", 50),))), Step("purchase", method=EVENT_CNT)),
+                 grouping=Grouping((PLATFORM, KIND)))
+add("event_analysis", lambda s, d: eb.event_analysis(b.user_events(s, d), _EV), with_base(f"""
+SELECT day AS event_date, '1__first_open' AS event_name, platform, kind AS e_kind, count(DISTINCT user_pseudo_id) AS count
+FROM bd WHERE event_name = '_first_open' AND k > 50 GROUP BY ALL
+UNION ALL SELECT day, '2_purchase', platform, kind, count(DISTINCT event_id) FROM bd WHERE event_name = 'purchase' GROUP BY ALL""",
+    bd(NAMES, "2024-01-03", "2024-01-20", TZ)))
+add("event_rows", lambda s, d: eb.event_rows(b.user_events(s, d), _EV), with_base("""
+SELECT DISTINCT day AS event_date, '1__first_open' AS event_name, platform, kind AS e_kind, user_pseudo_id AS x_id
+FROM bd WHERE event_name = '_first_open' AND k > 50
+UNION ALL SELECT DISTINCT day, '2_purchase', platform, kind, event_id FROM bd WHERE event_name = 'purchase'""",
+    bd(NAMES, "2024-01-03", "2024-01-20", TZ)))
+
+_VALUE = Attribute("event_value", data_type="double")
+_EP = EventQuery(SCOPE, unit="week", grouping=Grouping((PLATFORM,)), steps=(
+    Step("purchase", method=AGGREGATION_PROPERTY, attribute=_VALUE, aggregation="SUM"),
+    Step("purchase", method=AGGREGATION_PROPERTY, attribute=_VALUE, aggregation="MEDIAN"),
+    Step("purchase", method=AGGREGATION_PROPERTY, attribute=K, aggregation="AVG"),
+    Step("purchase", method=AGGREGATION_PROPERTY, attribute=K, aggregation="MIN"),
+    Step("purchase", method=AGGREGATION_PROPERTY, attribute=K, aggregation="MAX"),
+    Step("_first_open", method=COUNT_PROPERTY, attribute=K),
+    Step("_first_open"), Step("_first_open", method=EVENT_CNT)))
+add("event_property", lambda s, d: eb.event_property(b.user_events(s, d), _EP), with_base(" UNION ALL ".join(
+    f"SELECT week AS event_date, '{i}_{name}' AS event_name, platform, round(CAST({agg} AS DOUBLE), 8) AS amount FROM bd "
+    f"WHERE event_name = '{name}' GROUP BY ALL" for i, name, agg in [
+        (1, "purchase", "sum(event_value)"), (2, "purchase", "median(event_value)"), (3, "purchase", "avg(k)"),
+        (4, "purchase", "min(k)"), (5, "purchase", "max(k)"), (6, "_first_open", "count(DISTINCT k)"),
+        (7, "_first_open", "count(DISTINCT user_pseudo_id)"), (8, "_first_open", "count(DISTINCT event_id)")]),
+    bd(NAMES, "2024-01-03", "2024-01-20")))
+
+add("event_details", lambda s, d: eb.event_details(b.events(s, d), Query(SCOPE, TZ)).select(
+    "event_id", "event_name", "event_time_local", "event_date"), with_base(f"""
+SELECT event_id, event_name, {clock(local(TZ))} AS event_time_local, {day(local(TZ))} AS event_date FROM ev
+WHERE {bounds('2024-01-03', '2024-01-20', TZ)}"""))
+
+# -------------------------------------------------------------------- funnel
+
+_VIEWED = "_screen_view"
+STEPS = (Step("_first_open"), Step(_VIEWED, Conditions((_c(K, ">", 20),))), Step("purchase"))
+_NAMES = ["_first_open", _VIEWED, "purchase"]
+_F = FunnelQuery(SCOPE, TZ, steps=STEPS, window_seconds=86_400)
+
+
+def chain(window: int | None, tz: str, equal: str = "") -> str:
+    """The join chain: every start with every later chain. `equal` columns match on all steps."""
+    out = []
+    for i, s in enumerate(_NAMES):
+        cond = " AND k > 20" if i == 1 else ""
+        out.append(f"tb{i} AS (SELECT * FROM bd WHERE event_name = '{s}'{cond}),")
+    on = lambda i: (f"tb{i}.user_pseudo_id = tb{i-1}.user_pseudo_id AND tb{i}.event_timestamp > tb{i-1}.event_timestamp AND "
+                    + (f"epoch_us(tb{i}.event_timestamp) - epoch_us(tb0.event_timestamp) <= {window * 1000000}" if window else
+                       f"CAST({local(tz, f'tb{i}.event_timestamp')} AS DATE) = CAST({local(tz, f'tb{i-1}.event_timestamp')} AS DATE)")
+                    + "".join(f" AND tb{i}.{c} = tb{i-1}.{c}" for c in equal.split(",") if c))
+    out.append(f"""jt AS (SELECT tb0.month, tb0.week, tb0.day, tb0.hour, tb0.platform, tb0.geo_city,
+  tb0.event_timestamp AS t0, tb1.event_timestamp AS t1, tb2.event_timestamp AS t2,
+  tb0.event_id AS e0, tb1.event_id AS e1, tb2.event_id AS e2,
+  tb0.user_pseudo_id AS u0, tb1.user_pseudo_id AS u1, tb2.user_pseudo_id AS u2
+  FROM tb0 LEFT JOIN tb1 ON {on(1)} LEFT JOIN tb2 ON {on(2)}),""")
+    return "\n".join(out)
+
+
+_FB = bd(_NAMES, "2024-01-03", "2024-01-20", TZ)
+_RATE = "round({a} / CAST(nullif({b}, 0) AS DOUBLE), 4)"
+
+
+def table(prefix: str, by: str) -> str:
+    c = [f"count(DISTINCT {prefix}{i})" for i in range(3)]
+    return f"""SELECT {by}, {c[0]} AS "1__first_open", {_RATE.format(a=c[2], b=c[0])} AS total_conversion_rate,
+  {c[1]} AS "2_{_VIEWED}", {_RATE.format(a=c[1], b=c[0])} AS "2_{_VIEWED}_rate",
+  {c[2]} AS "3_purchase", {_RATE.format(a=c[2], b=c[1])} AS "3_purchase_rate" FROM jt GROUP BY {by}"""
+
+
+def chart(prefix: str, by: str = "") -> str:
+    head = f"{by}, " if by else ""
+    group = " GROUP BY " + ", ".join(c.split(" AS ")[0] for c in by.split(", ")) if by else ""
+    return " UNION ALL ".join(
+        f"SELECT * FROM (SELECT {head}'{i + 1}_{s}' AS event_name, count(DISTINCT {prefix}{i}) AS count FROM jt{group}) WHERE count > 0"
+        for i, s in enumerate(_NAMES))
+
+
+def _stamp(c: str) -> str:
+    return f"CASE WHEN {c} IS NULL THEN NULL ELSE {clock(c)} END"
+
+
+add("funnel_join", lambda s, d: fu.funnel_starts(b.user_events(s, d), _F).select(
+    "event_id", "user_pseudo_id", "depth", F.try_element_at("reached", F.lit(2)).alias("t1"),
+    F.try_element_at("reached", F.lit(3)).alias("t2")), with_base(f"""
+SELECT e0 AS event_id, u0 AS user_pseudo_id, CAST(max(CASE WHEN e2 IS NOT NULL THEN 3 WHEN e1 IS NOT NULL THEN 2 ELSE 1 END) AS BIGINT) AS depth,
+  {_stamp('min(t1)')} AS t1, {_stamp('min(t2)')} AS t2 FROM jt GROUP BY e0, u0""", _FB, chain(86400, TZ)))
+add("funnel_table", lambda s, d: fu.funnel_table(b.user_events(s, d), _F), with_base(
+    table("u", "day"), _FB, chain(86400, TZ)))
+add("funnel_table_events", lambda s, d: fu.funnel_table(b.user_events(s, d), dataclasses.replace(
+    _F, method=EVENT_CNT, unit="week", window_seconds=7200 * 12)), with_base(table("e", "week"), _FB, chain(7200 * 12, TZ)))
+add("funnel_table_same_day", lambda s, d: fu.funnel_table(b.user_events(s, d), dataclasses.replace(
+    _F, window_seconds=None, unit="month")), with_base(table("u", "month"), _FB, chain(None, TZ)))
+add("funnel_chart", lambda s, d: fu.funnel_chart(b.user_events(s, d), _F), with_base(
+    chart("u"), _FB, chain(86400, TZ)))
+add("funnel_chart_events", lambda s, d: fu.funnel_chart(b.user_events(s, d), dataclasses.replace(_F, method=EVENT_CNT)),
+    with_base(chart("e"), _FB, chain(86400, TZ)))
+add("funnel_chart_days", lambda s, d: fu.funnel_chart(b.user_events(s, d), dataclasses.replace(
+    _F, method=EVENT_CNT, window_seconds=None), by_day=True), with_base(chart("e", "day AS event_date"), _FB, chain(None, TZ)))
+add("funnel_grouped", lambda s, d: fu.funnel_table(b.user_events(s, d), dataclasses.replace(
+    _F, grouping=Grouping((PLATFORM,), "ALL"))), with_base(table("u", "day, platform"), _FB, chain(86400, TZ, equal="platform")))
+add("funnel_grouped_first", lambda s, d: fu.funnel_table(b.user_events(s, d), dataclasses.replace(
+    _F, grouping=Grouping((CITY,), "FIRST"))), with_base(table("u", "day, geo_city"), _FB, chain(86400, TZ)))
+add("funnel_grouped_first_events", lambda s, d: fu.funnel_chart(b.user_events(s, d), dataclasses.replace(
+    _F, method=EVENT_CNT, grouping=Grouping((CITY,), "FIRST")), by_day=True), with_base(
+    chart("e", "day AS event_date, geo_city"), _FB, chain(86400, TZ)))
+
+# --------------------------------------------------------------------- paths
+
+
+def edges(keys: str, anchor: str, x: str, source: str = "mid", steps: int = 5) -> str:
+    """Rows of `source` (name, event_date, ids, ts) as edges, by joining ranked rows to themselves."""
+    eq = " AND ".join(f"a.{k.strip()} = z.{k.strip()}" for k in keys.split(","))
+    return f""",
+ranked AS (SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY event_timestamp, event_id, name) AS s FROM {source}),
+anchors AS (SELECT {keys}, min(s) AS least FROM ranked WHERE name = '{anchor}' GROUP BY {keys}),
+tail AS (SELECT a.*, row_number() OVER (PARTITION BY {', '.join('a.' + k.strip() for k in keys.split(','))} ORDER BY a.s) AS step
+  FROM ranked a JOIN anchors z ON {eq} AND a.s >= z.least)
+SELECT a.event_date, a.name || '_' || a.step AS source,
+  CASE WHEN z.name IS NOT NULL THEN z.name || '_' || (a.step + 1) ELSE 'lost_' || (a.step + 1) END AS target, a.{x} AS x_id
+FROM tail a LEFT JOIN tail z ON {eq} AND z.step = a.step + 1 WHERE a.step + 1 <= {steps}"""
+
+
+def path_sql(base_cte: str, mid: str, keys: str, anchor: str, x: str = "user_pseudo_id", extra: str = "",
+             source: str = "mid", steps: int = 5) -> str:
+    body = edges(keys, anchor, x, source, steps)
+    return with_base("SELECT 1", base_cte, mid, extra).removesuffix("\nSELECT 1") + body
+
+
+def mid(name: str, source: str = "bd", where: str = "TRUE") -> str:
+    return (f"mid AS (SELECT event_id, event_timestamp, user_pseudo_id, session_id, day AS event_date, {name} AS name "
+            f"FROM {source} WHERE {where}),")
+
+
+def bursts(lag: int) -> str:
+    """Break flags on the row before a gap and their running sum."""
+    order = "PARTITION BY user_pseudo_id ORDER BY event_timestamp, event_id, name"
+    return f"""brk AS (SELECT *, CASE WHEN epoch_us(lead(event_timestamp) OVER ({order})) - epoch_us(event_timestamp) < {lag * 1000000}
+    THEN 0 ELSE 1 END AS flag FROM mid),
+grp AS (SELECT *, sum(flag) OVER ({order} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS gid FROM brk),"""
+
+
+_PN = ["_first_open", "_session_start", "purchase", "_screen_view"]
+_PSTEPS = tuple(Step(n) for n in _PN)
+_PB = bd(_PN, "2024-01-03", "2024-01-20", TZ)
+_P = PathQuery(SCOPE, TZ, steps=_PSTEPS, max_step=6)
+_SK = "user_pseudo_id, session_id"
+add("path_session", lambda s, d: pa.event_path(b.user_events(s, d), _P),
+    path_sql(_PB, mid("event_name"), _SK, "_first_open", steps=6))
+add("path_session_events", lambda s, d: pa.path_counts(pa.event_path(b.user_events(s, d), dataclasses.replace(
+    _P, method=EVENT_CNT, steps=(Step("_first_open"),), max_step=5))),
+    "SELECT event_date, source, target, count(DISTINCT x_id) AS count FROM (" + path_sql(
+        bd(None, "2024-01-03", "2024-01-20", TZ, "event_name NOT IN ('_session_start','_screen_view','_app_exception','_page_view','_click')"),
+        mid("event_name"), _SK, "_first_open", "event_id") + ") GROUP BY ALL")
+_GAP = dataclasses.replace(_P, by="gap", lag_seconds=20 * 3600, max_step=5)
+add("path_gap", lambda s, d: pa.event_path(b.user_events(s, d), _GAP),
+    path_sql(_PB, mid("event_name"), "user_pseudo_id, gid", "_first_open", extra=bursts(72000), source="grp"))
+add("path_other", lambda s, d: pa.event_path(b.user_events(s, d), dataclasses.replace(
+    _P, steps=(Step("_first_open"), Step("purchase")), include_others=True, max_step=5)), path_sql(
+    bd(None, "2024-01-03", "2024-01-20", TZ, "event_name NOT IN ('_session_start','_screen_view','_app_exception','_page_view','_click')"),
+    mid("CASE WHEN event_name IN ('_first_open','purchase') THEN event_name ELSE 'other' END"), _SK, "_first_open"))
+add("path_merge", lambda s, d: pa.event_path(b.user_events(s, d), dataclasses.replace(_P, merge_repeats=True, max_step=5)),
+    path_sql(_PB, "one AS (SELECT * FROM bd QUALIFY row_number() OVER (PARTITION BY event_name, user_pseudo_id, session_id "
+             "ORDER BY event_timestamp DESC) = 1)," + mid("event_name", "one"), _SK, "_first_open"))
+add("path_merge_runs", lambda s, d: pa.event_path(b.user_events(s, d), dataclasses.replace(
+    _P, merge_repeats=True, max_step=5, compat=False)),
+    path_sql(_PB, "one AS (SELECT * FROM bd QUALIFY coalesce(lead(event_name) OVER (PARTITION BY user_pseudo_id, session_id "
+             "ORDER BY event_timestamp, event_id), '') <> event_name)," + mid("event_name", "one"), _SK, "_first_open"))
+_SAME = (Step("_first_open", Conditions((_c(K, "<", 50),))), Step("_first_open", Conditions((_c(K, ">=", 30),))), Step("purchase"))
+add("path_same_event", lambda s, d: pa.event_path(b.user_events(s, d), dataclasses.replace(_P, steps=_SAME, max_step=5)),
+    path_sql(bd(["_first_open", "purchase"], "2024-01-03", "2024-01-20", TZ),
+             "un AS (SELECT *, '1__first_open' AS nm FROM bd WHERE event_name = '_first_open' AND k < 50 UNION ALL "
+             "SELECT *, '2__first_open' FROM bd WHERE event_name = '_first_open' AND k >= 30 UNION ALL "
+             "SELECT *, '3_purchase' FROM bd WHERE event_name = 'purchase')," + mid("nm", "un"), _SK, "1__first_open"))
+_N = PathQuery(SCOPE, TZ, node_type="screen_view_screen_id", nodes=("sid1",), max_step=4)
+_NB = bd(["_screen_view", "_page_view"], "2024-01-03", "2024-01-20", TZ)
+add("node_path_session", lambda s, d: pa.node_path(b.user_events(s, d), _N),
+    path_sql(_NB, mid("screen_view_screen_id"), _SK, "sid1", steps=4))
+_N2 = dataclasses.replace(_N, nodes=("sid1", "sid2", "sid3"), include_others=True, by="gap", lag_seconds=36 * 3600, max_step=5)
+add("node_path_gap", lambda s, d: pa.node_path(b.user_events(s, d), _N2),
+    path_sql(_NB, mid("CASE WHEN screen_view_screen_id IN ('sid1','sid2','sid3') THEN screen_view_screen_id ELSE 'other' END"),
+             "user_pseudo_id, gid", "sid1", extra=bursts(36 * 3600), source="grp"))
+
+# ----------------------------------------------------------------- retention
+
+
+def retention_sql(pairs, start: str, end: str, cols: str = "", link=None, shown: str = "{}") -> str:
+    parts = []
+    for i, (first, back) in enumerate(pairs):
+        c = "".join(f"f.{x.strip()}, " for x in cols.split(",") if x)
+        cond = "".join(f" AND f.{x.strip()} = g.{x.strip()}" for x in cols.split(",") if x)
+        if link:
+            cond += f" AND f.{link} = g.{link}"
+        parts.append(f"""SELECT {c}f.event_name || '_{i}' AS grouping, CAST(f.day AS DATE) AS sd, f.user_pseudo_id AS su,
+  dl.d AS ed, g.user_pseudo_id AS eu FROM (SELECT * FROM bd WHERE {first} AND day = '{start}') f JOIN dl ON TRUE
+  LEFT JOIN (SELECT * FROM bd WHERE {back} AND day >= '{start}') g ON dl.d = CAST(g.day AS DATE)
+    AND f.user_pseudo_id = g.user_pseudo_id{cond}""")
+    head = f"{cols}, " if cols else ""
+    return f"""SELECT {head}grouping, {day(shown.format('sd'))} AS start_event_date, {day(shown.format('ed'))} AS event_date,
+  round(count(DISTINCT eu) / CAST(nullif(count(DISTINCT su), 0) AS DOUBLE), 4) AS retention
+FROM ({' UNION ALL '.join(parts)}) q GROUP BY {head}grouping, sd, ed"""
+
+
+_DL = "dl AS (SELECT CAST(unnest(generate_series(DATE '{}', DATE '{}', INTERVAL 1 DAY)) AS DATE) AS d),"
+_RP = RetentionPair(Step("_first_open"), Step("purchase"))
+_RP2 = RetentionPair(Step("_session_start", Conditions((_c(K, ">", 10),))), Step("_screen_view"))
+_RQ = RetentionQuery(Scope.days("2024-01-03", "2024-01-16"), TZ, pairs=(_RP, _RP2))
+_RNAMES = ["_first_open", "purchase", "_session_start", "_screen_view"]
+_RSQL = [("event_name = '_first_open'", "event_name = 'purchase'"),
+         ("event_name = '_session_start' AND k > 10", "event_name = '_screen_view'")]
+_RB = bd(_RNAMES, "2024-01-03", "2024-01-16", TZ) + _DL.format("2024-01-03", "2024-01-16")
+add("explore_retention", lambda s, d: re_.retention(b.user_events(s, d), _RQ),
+    with_base(retention_sql(_RSQL, "2024-01-03", "2024-01-16"), _RB))
+_RL = dataclasses.replace(_RQ, pairs=(RetentionPair(_RP.start, _RP.back, CITY, CITY),), grouping=Grouping((PLATFORM,)))
+add("retention_linked", lambda s, d: re_.retention(b.user_events(s, d), _RL),
+    with_base(retention_sql(_RSQL[:1], "2024-01-03", "2024-01-16", "platform", "geo_city"), _RB))
+add("retention_unit", lambda s, d: re_.retention(b.user_events(s, d), dataclasses.replace(_RQ, unit="week")),
+    with_base(retention_sql(_RSQL, "2024-01-03", "2024-01-16", shown="(CAST(date_trunc('week', {}) AS DATE) - 1)"), _RB))
+
+# --------------------------------------------------------------- attribution
+
+_TARGET = Step("purchase", Conditions((_c(K, ">", 10),)))
+_TOUCH = (Step("_first_open"), Step("_screen_view", Conditions((_c(K, "<", 70),))), Step("_session_start"))
+_A = AttributionQuery(SCOPE, target=_TARGET, touches=_TOUCH, touch_names=("opened", "", "started"), window_seconds=5 * 86_400)
+_AN = ["_first_open", "_screen_view", "_session_start", "purchase"]
+
+
+def attribution_cte(window: str, start: str = "2024-01-03", end: str = "2024-01-20", back: int = 5) -> str:
+    lo = (dt.date.fromisoformat(start) - dt.timedelta(days=back)).isoformat()
+    return bd(_AN, lo, end, user="user_pseudo_id") + f"""
+tg AS (SELECT user_pseudo_id, event_id, session_id, event_timestamp, event_value AS sum_value,
+  row_number() OVER (PARTITION BY user_pseudo_id ORDER BY event_timestamp, event_id) AS rnk
+  FROM bd WHERE event_name = 'purchase' AND k > 10),
+tp1 AS (SELECT user_pseudo_id, event_id, session_id, NULL AS label, event_timestamp FROM tg
+  UNION ALL SELECT user_pseudo_id, event_id, session_id, '1__first_open', event_timestamp FROM bd WHERE event_name = '_first_open'
+  UNION ALL SELECT user_pseudo_id, event_id, session_id, '2__screen_view', event_timestamp FROM bd WHERE event_name = '_screen_view' AND k < 70
+  UNION ALL SELECT user_pseudo_id, event_id, session_id, '3__session_start', event_timestamp FROM bd WHERE event_name = '_session_start'),
+tp3 AS (SELECT *, 1 + sum(CASE WHEN label IS NULL THEN 1 ELSE 0 END) OVER (PARTITION BY user_pseudo_id
+  ORDER BY event_timestamp, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS gid FROM tp1),
+jb AS (SELECT tg.user_pseudo_id, tg.event_id AS conversion_id, tg.event_timestamp AS conversion_time, tg.sum_value, tg.rnk,
+  tp3.event_id, tp3.event_timestamp, tp3.label, tp3.session_id, tg.session_id AS conversion_session,
+  row_number() OVER (PARTITION BY tg.user_pseudo_id, tg.rnk ORDER BY tp3.event_timestamp, tp3.event_id) AS seq
+  FROM tg JOIN tp3 ON tg.user_pseudo_id = tp3.user_pseudo_id AND tg.rnk = tp3.gid AND {window}
+  WHERE tp3.label IS NOT NULL AND tg.event_timestamp >= TIMESTAMP '{start}'),
+mb AS (SELECT user_pseudo_id, rnk, count(*) AS cnt, min(seq) AS lo, max(seq) AS hi FROM jb GROUP BY ALL),
+md AS (SELECT jb.*, cnt, lo, hi FROM jb JOIN mb USING (user_pseudo_id, rnk)),"""
+
+
+_WIN = "epoch_us(tg.event_timestamp) - epoch_us(tp3.event_timestamp) <= 432000000000"
+
+
+def attribution_sql(share: str, where: str = "TRUE") -> str:
+    return f"""SELECT t.n AS trigger_count,
+  CASE s.label WHEN '1__first_open' THEN 'opened' WHEN '3__session_start' THEN 'started' ELSE s.label END AS touch_point_name,
+  (SELECT count(*) FROM tg) AS total_conversions, a.n AS triggers_with_conversion, round(s.c, 8) AS contribution,
+  round(s.c / (SELECT sum({share}) FROM md WHERE {where}), 8) AS contribution_rate
+FROM (SELECT label, CAST(sum({share}) AS DOUBLE) AS c FROM md WHERE {where} GROUP BY label) s
+JOIN (SELECT label, count(event_id) AS n FROM tp3 GROUP BY label) t ON s.label = t.label
+JOIN (SELECT label, count(*) AS n FROM jb GROUP BY label) a ON s.label = a.label"""
+
+
+_ACTE = attribution_cte(_WIN)
+add("attribution_base", lambda s, d: at.attribution_base(b.events(s, d), _A).drop("conversion_session", "session_id"),
+    with_base(f"""SELECT user_pseudo_id, conversion_id, {clock('conversion_time')} AS conversion_time, event_id,
+  {clock('event_timestamp')} AS event_timestamp, label, seq AS row_seq FROM jb""", _ACTE))
+add("attribution_last", lambda s, d: at.attribution(b.events(s, d), _A), with_base(attribution_sql("1.0", "seq = hi"), _ACTE))
+add("attribution_first", lambda s, d: at.attribution(b.events(s, d), dataclasses.replace(_A, model="FIRST")),
+    with_base(attribution_sql("1.0", "seq = lo"), _ACTE))
+add("attribution_linear", lambda s, d: at.attribution(b.events(s, d), dataclasses.replace(_A, model="LINEAR")),
+    with_base(attribution_sql("1 / CAST(cnt AS DOUBLE)"), _ACTE))
+_POS = """(CASE WHEN cnt = 1 THEN 1.0 WHEN cnt = 2 THEN 0.5 ELSE CASE WHEN seq = hi THEN 0.4 WHEN seq = lo THEN 0.4
+  ELSE CAST(0.2 AS DOUBLE) / cnt END END)"""
+add("attribution_position", lambda s, d: at.attribution(b.events(s, d), dataclasses.replace(_A, model="POSITION")),
+    with_base(attribution_sql(f"CAST({_POS} AS DOUBLE)"), _ACTE))
+add("attribution_value", lambda s, d: at.attribution(b.events(s, d), dataclasses.replace(
+    _A, model="LINEAR", method=SUM_VALUE, value=_VALUE)), with_base(attribution_sql("sum_value / CAST(cnt AS DOUBLE)"), _ACTE))
+add("attribution_value_last", lambda s, d: at.attribution(b.events(s, d), dataclasses.replace(
+    _A, method=SUM_VALUE, value=_VALUE)), with_base(attribution_sql("sum_value", "seq = hi"), _ACTE))
+add("attribution_window", lambda s, d: at.attribution(b.events(s, d), dataclasses.replace(
+    _A, window="SESSION", window_seconds=None, model="LINEAR")), with_base(
+    attribution_sql("1 / CAST(cnt AS DOUBLE)"), attribution_cte("tg.session_id = tp3.session_id", back=0)))
+add("attribution_window_day", lambda s, d: at.attribution(b.events(s, d), dataclasses.replace(
+    _A, window="CURRENT_DAY", window_seconds=None, model="LINEAR")), with_base(
+    attribution_sql("1 / CAST(cnt AS DOUBLE)"),
+    attribution_cte("CAST(tg.event_timestamp AS DATE) = CAST(tp3.event_timestamp AS DATE)", back=0)))
+add("attribution_scope", lambda s, d: at.touches(b.events(s, d), dataclasses.replace(
+    _A, scope=Scope.days("2024-01-10", "2024-01-12"))).select("conversion_id", "event_id", "label"), with_base(
+    "SELECT conversion_id, event_id, label FROM jb", attribution_cte(_WIN, "2024-01-10", "2024-01-12")))

@@ -46,8 +46,9 @@ def to_utc(wall: dt.datetime, tz: str) -> dt.datetime:
     return wall.replace(tzinfo=ZoneInfo(tz)).astimezone(UTC)
 
 
-def _literal(instant: dt.datetime) -> Column:
-    micros = round((instant - dt.datetime(1970, 1, 1, tzinfo=UTC)) / dt.timedelta(microseconds=1))
+def instant(at: dt.datetime) -> Column:
+    """A literal timestamp; folded, so it is pushed into scans."""
+    micros = round((at - dt.datetime(1970, 1, 1, tzinfo=UTC)) / dt.timedelta(microseconds=1))
     return F.timestamp_micros(F.lit(micros))
 
 
@@ -62,7 +63,7 @@ def day_range(df: DataFrame, start: dt.date, end: dt.date, tz: str = "UTC",
               ts: str = "event_timestamp") -> DataFrame:
     """Rows of the local days start..end, upper bound excluded."""
     lo, hi = day_bounds(start, end, tz)
-    return df.where((F.col(ts) >= _literal(lo)) & (F.col(ts) < _literal(hi)))
+    return df.where((F.col(ts) >= instant(lo)) & (F.col(ts) < instant(hi)))
 
 
 def floor_to_unit(wall: dt.datetime, unit: str) -> dt.datetime:
@@ -108,7 +109,7 @@ def scope_bounds(scope, tz: str) -> tuple[dt.datetime, dt.datetime]:
 
 def in_scope(scope, tz: str, ts: str = "event_timestamp") -> Column:
     lo, hi = scope_bounds(scope, tz)
-    return (F.col(ts) >= _literal(lo)) & (F.col(ts) <= _literal(hi))
+    return (F.col(ts) >= instant(lo)) & (F.col(ts) <= instant(hi))
 
 
 def scope_dates(scope, tz: str) -> list[dt.date]:
