@@ -11,7 +11,9 @@ from eventloom.adapt import raw_events
 from eventloom.catalog import base as b
 from eventloom.catalog.base import clock, with_base
 from eventloom.functions import text, url
-from eventloom.operators import agent, altsdk, clean, dedupe, fields, geo, sessions, tables, traffic, view, webtag
+from eventloom.operators import (
+    agent, altsdk, backfill, clean, dedupe, fields, geo, legacy, sessions, tables, traffic, view, webtag,
+)
 from eventloom.operators.parse import parse_events, time_shift
 
 QUERIES: dict[str, b.Query] = {}
@@ -32,13 +34,14 @@ r0 AS (SELECT event_id AS n, user_id AS u, event_type AS kind, value AS val, epo
   CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, event_id // 10 AS b FROM events),
 r1 AS (SELECT *, CASE WHEN kind = 'view' THEN CASE WHEN u % 3 = 0 THEN '_page_view' ELSE '_screen_view' END
     WHEN kind = 'click' THEN CASE WHEN k % 2 = 0 THEN '_session_start' WHEN k % 3 = 0 THEN '_profile_set' ELSE '_click' END
-    WHEN kind = 'signup' THEN '_first_open' WHEN kind = 'error' THEN '_app_exception'
+    WHEN kind = 'signup' THEN '_first_open'
+    WHEN kind = 'error' THEN CASE k % 4 WHEN 0 THEN '_app_start' WHEN 1 THEN '_app_end' ELSE '_app_exception' END
     ELSE CASE WHEN k % 5 = 1 THEN '_user_engagement' ELSE 'purchase' END END AS name,
   CASE WHEN n % 109 = 0 THEN ms + {up.TEN_YEARS} WHEN n % 113 = 0 THEN ms - {up.HOURS_100} ELSE ms END AS et,
   max(ms) OVER (PARTITION BY n // 10) + 5000 AS ingest, row_number() OVER (PARTITION BY n // 10 ORDER BY n) - 1 AS pos
   FROM r0),
-ent AS (SELECT *, b % 50 NOT IN (7, 13, 19) AS whole FROM r1),
-ok AS (SELECT * FROM ent WHERE whole AND n % 101 <> 0 AND n % 103 <> 0 AND n % 107 <> 0),
+ent AS (SELECT *, b % 50 NOT IN (7, 13, 19) AS fine FROM r1),
+ok AS (SELECT * FROM ent WHERE fine AND n % 101 <> 0 AND n % 103 <> 0 AND n % 107 <> 0),
 fr AS (SELECT *, CASE WHEN et > {up.NOW_MSEC} THEN ingest ELSE et END AS em,
     CASE WHEN et > {up.NOW_MSEC} THEN ingest - et ELSE 0 END AS diff FROM ok
   WHERE name IN ('_first_open', '_profile_set')
@@ -71,13 +74,13 @@ add("decode_payload", lambda s, d: up.sdk_uploads(s, d).select("rid", clean.deco
 SELECT 'r' || b AS rid, b % 50 IN (7, 13, 19) AS failed, CASE WHEN b % 50 IN (7, 13, 19) THEN 1 ELSE count(*) END AS entries
 FROM r1 GROUP BY b"""))
 add("explode_events", lambda s, d: clean.parse_entries(entries(s, d)).select("rid", "position", F.col("e.event_id").alias("event_id")),
-    sql("""SELECT 'r' || b AS rid, pos AS position, CASE WHEN n % 103 <> 0 THEN 'e' || n END AS event_id FROM ent WHERE whole
-UNION ALL SELECT DISTINCT 'r' || b, 0, NULL FROM ent WHERE NOT whole"""))
+    sql("""SELECT 'r' || b AS rid, pos AS position, CASE WHEN n % 103 <> 0 THEN 'e' || n END AS event_id FROM ent WHERE fine
+UNION ALL SELECT DISTINCT 'r' || b, 0, NULL FROM ent WHERE NOT fine"""))
 add("split_corrupt", lambda s, d: clean.parse_entries(entries(s, d)).groupBy(
     F.coalesce(clean.reject_reason(), F.lit("ok")).alias("reason")).agg(F.count(F.lit(1)).alias("n")), sql("""
 SELECT reason, count(*) AS n FROM (SELECT CASE WHEN n % 103 = 0 THEN 'event_id' WHEN n % 101 = 0 THEN 'app_id'
-  WHEN n % 107 = 0 THEN 'timestamp' ELSE 'ok' END AS reason FROM ent WHERE whole
-  UNION ALL SELECT 'corrupt' FROM (SELECT DISTINCT b FROM ent WHERE NOT whole)) GROUP BY reason"""))
+  WHEN n % 107 = 0 THEN 'timestamp' ELSE 'ok' END AS reason FROM ent WHERE fine
+  UNION ALL SELECT 'corrupt' FROM (SELECT DISTINCT b FROM ent WHERE NOT fine)) GROUP BY reason"""))
 add("filter_freshness", lambda s, d: clean.fresh(clean.split_corrupt(clean.parse_entries(entries(s, d)))[0], up.NOW_MSEC)
     .select("e.event_id", "e.event_type"), sql("SELECT event_id, name AS event_type FROM pe"))
 add("filter_apps", lambda s, d: clean.filter_apps(clean.split_corrupt(clean.parse_entries(entries(s, d)))[0], ["app1"])
@@ -112,7 +115,7 @@ add("custom_params", lambda s, d: parsed(s, d).select("event_id", F.explode("cus
     "event_id", "key", "v.value", "v.type"), sql("""
 SELECT event_id, key, value, type FROM pe, LATERAL (VALUES ('level', CAST(k AS VARCHAR), 'number'), ('color', 'c' || (k % 4), 'string'),
   ('size', CAST(k AS VARCHAR), 'number'), ('flag', CASE WHEN k % 2 = 1 THEN 'true' ELSE 'false' END, 'boolean'),
-  ('obj', '{"a":' || k || '}', 'object'), ('device_id', 'D' || (k % 4), 'string')) t(key, value, type)"""))
+  ('obj', '{"a":' || k || '}', 'object'), ('device_id', 'D' || (k % 4), 'string'), ('_channel', 'ch' || (k % 2), 'string')) t(key, value, type)"""))
 add("time_shift", lambda s, d: time_shift(clean.split_corrupt(clean.parse_entries(entries(s, d)))[0], up.NOW_MSEC, True).select(
     F.col("e.event_id"), "event_msec", "time_diff", "shifted"), sql(f"""
 SELECT 'e' || n AS event_id, et + d2 AS event_msec, d2 AS time_diff, moved AS shifted FROM (
@@ -422,3 +425,165 @@ add("event_user_view", lambda s, d: b.user_events(s, d).select(
 SELECT event_id, latest_user_id, merged_user_id, CASE WHEN event_name = '_first_open' THEN merged_user_id END AS new_user_indicator,
   CASE WHEN event_date = CAST(epoch_ms(first_touch_time_msec) AS DATE) THEN 'true' ELSE 'false' END AS is_first_day_event,
   first_traffic_source FROM vw"""))
+
+# ------------------------------------------------------------ first layout (v1)
+
+
+def v1(s, d):
+    return legacy.ods_events(good(s, d))
+
+
+_V = "p.value.double_value AS d, p.value.int_value AS i, p.value.string_value AS t"
+
+
+def _kv(s, d):
+    rows = v1(s, d).select("event_id", F.explode("event_params").alias("p")).where(
+        F.col("p.key").isin("size", "color", "flag", "obj", "_session_duration", "_traffic_source_source", "_entrances"))
+    return rows.select("event_id", F.col("p.key").alias("key"), F.col("p.value.int_value").alias("whole"),
+                       F.col("p.value.double_value").alias("real"), F.col("p.value.string_value").alias("text"))
+
+
+_PARAMS = """
+pm AS (SELECT event_id, event_timestamp, et, app_id, name, key, whole, text FROM pe, LATERAL (VALUES ('size', CAST(k AS BIGINT), NULL),
+  ('color', NULL, 'c' || (k % 4)), ('flag', NULL, CASE WHEN k % 2 = 1 THEN 'true' ELSE 'false' END), ('obj', NULL, '{"a":' || k || '}'),
+  ('_session_duration', CAST(k * 1000 AS BIGINT), NULL), ('_entrances', NULL, CASE WHEN k % 2 = 0 THEN 'true' ELSE 'false' END))
+  t(key, whole, text)),"""
+add("kv_params", _kv, sql("SELECT event_id, key, whole, CAST(NULL AS DOUBLE) AS real, text FROM pm", _PARAMS))
+add("event_params_long", lambda s, d: legacy.event_parameters(v1(s, d)).where(
+    F.col("event_param_key").isin("size", "color", "flag")).select(
+    "app_id", "event_date", "event_timestamp", "event_id", "event_name", "event_param_key", "event_param_int_value",
+    "event_param_string_value"), sql(f"""
+SELECT app_id, CAST(CAST(epoch_ms(et) AS DATE) AS VARCHAR) AS event_date, et AS event_timestamp, event_id, name AS event_name,
+  key AS event_param_key, whole AS event_param_int_value, text AS event_param_string_value FROM pm WHERE key IN ('size','color','flag')""",
+    _PARAMS))
+add("project_v1", lambda s, d: legacy.project_v1(v1(s, d)).select(
+    "event_id", "event_name", F.col("app_info.install_source").alias("install_source"),
+    F.col("device.vendor_id").alias("vendor_id"), "event_bundle_sequence_id", "event_server_timestamp_offset",
+    F.col("traffic_source.source").alias("source"), F.size("items").alias("n_items"), F.size("privacy_info").alias("privacy")),
+    sql("""SELECT event_id, name AS event_name, 'ch' || (k % 2) AS install_source, 'd' || u || '-' || (k % 3) AS vendor_id,
+  b AS event_bundle_sequence_id, ingest - et AS event_server_timestamp_offset, CASE WHEN k % 7 = 0 THEN 'tss' END AS source,
+  CASE WHEN kind = 'purchase' THEN CASE WHEN k % 4 = 0 THEN 4 ELSE 3 END END AS n_items, 3 AS privacy FROM pe"""))
+_ITEMS = """
+it AS (SELECT app_id, 'i' || (k % 10 + j) AS id, et, event_id, pos2, CASE pos2 WHEN 0 THEN 'red' WHEN 1 THEN 'blue' ELSE 'grey' END AS color, val
+  FROM pe, (VALUES (0, 0), (1, 1), (0, 2)) t(j, pos2) WHERE kind = 'purchase'),"""
+add("latest_items", lambda s, d: legacy.latest_items(v1(s, d)).select("app_id", "id", "event_timestamp", F.filter(
+    "properties", lambda p: p["key"] == "color")[0]["value"]["string_value"].alias("color")), sql("""
+SELECT app_id, id, et AS event_timestamp, color FROM it QUALIFY row_number() OVER (PARTITION BY app_id, id
+  ORDER BY et DESC, event_id DESC, pos2 DESC) = 1""", _ITEMS))
+_U1 = """
+ue AS (SELECT * FROM pe WHERE name IN ('_profile_set','_first_open','_first_visit','_app_end','_app_start')),
+u1 AS (SELECT app_id, user_pseudo_id, max(et) AS event_timestamp, min(ms - 86400000) AS user_first_touch_timestamp,
+  string_agg(DISTINCT CASE WHEN name = '_app_start' THEN 'd' || u || '-' || (k % 3) END, ',' ORDER BY
+    CASE WHEN name = '_app_start' THEN 'd' || u || '-' || (k % 3) END) AS device_ids FROM ue GROUP BY ALL),
+ur AS (SELECT *, row_number() OVER (PARTITION BY app_id, user_pseudo_id ORDER BY et, event_id) AS rn FROM ue
+  WHERE name IN ('_first_open','_first_visit') AND k % 8 IN (5, 6, 7)),
+ut AS (SELECT *, row_number() OVER (PARTITION BY app_id, user_pseudo_id ORDER BY et, event_id) AS rn FROM ue
+  WHERE name = '_app_end' AND k % 7 = 0),
+up1 AS (SELECT *, row_number() OVER (PARTITION BY app_id, user_pseudo_id ORDER BY et DESC, event_id DESC) AS rn FROM ue
+  WHERE name = '_profile_set'),"""
+add("user_profile_v1", lambda s, d: legacy.user_profile_v1(v1(s, d)).select(
+    "app_id", "user_pseudo_id", "event_timestamp", "user_id", "user_first_touch_timestamp", "first_referer",
+    "first_traffic_source", F.array_join("device_id_list", ",").alias("device_ids")), sql(f"""
+SELECT u1.app_id, u1.user_pseudo_id, u1.event_timestamp, up1.user_id, u1.user_first_touch_timestamp,
+  CASE ur.k % 8 WHEN 5 THEN '{up.PAGE}' WHEN 6 THEN '{up.PARTNER}' WHEN 7 THEN '{up.SOCIAL}' END AS first_referer,
+  CASE WHEN ut.n IS NOT NULL THEN 'tss' END AS first_traffic_source, device_ids
+FROM u1 LEFT JOIN ur ON ur.rn = 1 AND ur.app_id = u1.app_id AND ur.user_pseudo_id = u1.user_pseudo_id
+LEFT JOIN ut ON ut.rn = 1 AND ut.app_id = u1.app_id AND ut.user_pseudo_id = u1.user_pseudo_id
+LEFT JOIN up1 ON up1.rn = 1 AND up1.app_id = u1.app_id AND up1.user_pseudo_id = u1.user_pseudo_id""", _U1))
+add("user_props_v1", lambda s, d: v1(s, d).select("event_id", F.explode("user_properties").alias("p")).select(
+    "event_id", F.col("p.key").alias("key"), F.col("p.value.int_value").alias("whole"), F.col("p.value.string_value").alias("text"),
+    F.col("p.value.set_timestamp_micros").alias("set_micros")), sql("""
+SELECT event_id, key, whole, text, ms * 1000 AS set_micros FROM pe, LATERAL (VALUES
+  ('_user_id', NULL, CASE WHEN u % 4 <> 0 THEN 'm' || (u // 2) END), ('_user_first_touch_timestamp', ms - 86400000, NULL),
+  ('vip', NULL, CASE WHEN k % 2 = 0 THEN 'true' ELSE 'false' END), ('tier', NULL, 't' || (k % 3))) t(key, whole, text)
+WHERE whole IS NOT NULL OR text IS NOT NULL"""))
+_WT1 = """
+w0 AS (SELECT *, CASE kind WHEN 'view' THEN '_page_view' WHEN 'signup' THEN '_profile_set' WHEN 'click' THEN '_click'
+    WHEN 'purchase' THEN 'purchase' END AS nm, 'r' || b || '-' || pos || '-s' || u || '-' || CASE WHEN k % 2 = 0 THEN k ELSE 0 END AS eid
+  FROM r1 WHERE kind <> 'error'),
+w1 AS (SELECT *, nm AS event_name, eid AS event_id FROM w0
+  UNION ALL SELECT *, '_first_open', eid || '-1' FROM w0 WHERE k % 10 = 0
+  UNION ALL SELECT *, '_session_start', eid || CASE WHEN k % 10 = 0 THEN '-2' ELSE '-1' END FROM w0 WHERE k % 5 = 0),"""
+
+
+def wt1(s, d):
+    return legacy.web_tag_events_v1(up.web_tag_uploads(s, d))
+
+
+add("web_tag_v1", lambda s, d: wt1(s, d).select(
+    "event_id", "event_name", "event_timestamp", "user_pseudo_id", "user_id", "session_number"), sql("""
+SELECT event_id, event_name, ms - 100 AS event_timestamp, 'u' || u AS user_pseudo_id, CASE WHEN u % 4 <> 0 THEN 'm' || (u // 2) END AS user_id,
+  CAST(CASE WHEN k % 2 = 0 THEN k ELSE 0 END AS BIGINT) AS session_number FROM w1""", _WT1))
+add("web_tag_v1_params", lambda s, d: legacy.event_parameters(wt1(s, d)).where(
+    F.col("event_param_key").isin("theme", "x-sst-system_properties.uc", "ga_session_number")).select(
+    "event_id", "event_param_key", "event_param_int_value", "event_param_string_value"), sql("""
+SELECT event_id, key AS event_param_key, whole AS event_param_int_value, text AS event_param_string_value FROM w1, LATERAL (VALUES
+  ('theme', NULL, 'x' || (k % 4)), ('x-sst-system_properties.uc', NULL, 'NATION_' || (u % 25)),
+  ('ga_session_number', CASE WHEN k % 2 = 0 THEN CAST(k AS BIGINT) END, NULL)) t(key, whole, text)
+WHERE whole IS NOT NULL OR text IS NOT NULL""", _WT1))
+add("web_tag_v1_users", lambda s, d: legacy.web_tag_users_v1(wt1(s, d)), sql(f"""
+SELECT q.app_id, q.user_pseudo_id, q.user_id, q.event_timestamp, q.t0 AS user_first_touch_timestamp,
+  CASE WHEN r.n IS NOT NULL THEN '{up.PARTNER}' END AS first_referer, CAST(CAST(epoch_ms(q.t0) AS DATE) AS VARCHAR) AS first_visit_date
+FROM (SELECT 'app' || (b % 2) AS app_id, 'u' || u AS user_pseudo_id, max(CASE WHEN u % 4 <> 0 THEN 'm' || (u // 2) END) AS user_id,
+  max(ms - 100) AS event_timestamp, min(ms - 100) AS t0, b % 2 AS a, u FROM w1 GROUP BY ALL) q
+LEFT JOIN (SELECT b % 2 AS a, u, min(n) AS n FROM w1 WHERE k % 3 = 0 GROUP BY ALL) r ON r.a = q.a AND r.u = q.u""", _WT1))
+add("web_tag_v1_items", lambda s, d: legacy.latest_items(wt1(s, d)).select("app_id", "id", "event_timestamp"), sql("""
+SELECT 'app' || (b % 2) AS app_id, 'i' || (k % 10) AS id, max(ms - 100) AS event_timestamp FROM w1 WHERE kind = 'purchase' GROUP BY ALL""", _WT1))
+add("web_tag_v1_session_number", lambda s, d: legacy.previous_session_number(wt1(s, d), 1_705_276_800_000), sql("""
+SELECT 'app' || (b % 2) AS app_id, 'u' || u AS user_pseudo_id, CAST(max(CASE WHEN k % 2 = 0 THEN k ELSE 0 END) AS BIGINT) AS max_session_number
+FROM w1 WHERE ms - 100 >= 1705104000000 AND ms - 100 < 1705276800000 GROUP BY ALL""", _WT1))
+
+# ------------------------------------------------------------------- back-fill
+
+
+def backfilled(s, d):
+    old = v1(s, d)
+    return backfill.backfill_events(old, legacy.event_parameters(old))
+
+
+add("backfill_event", lambda s, d: backfilled(s, d).select(
+    "event_id", "event_name", "event_timestamp", "app_id", "platform", "session_id", "session_duration", "page_view_entrances",
+    "screen_view_screen_id", "traffic_source_source", F.col("custom_parameters")["color"]["value"].alias("color"),
+    F.col("custom_parameters")["size"]["type"].alias("size_type"), F.map_contains_key("custom_parameters", "_session_id").alias("leaked")),
+    sql(f"""SELECT event_id, name AS event_name, {clock('epoch_ms(et)')} AS event_timestamp, app_id, platform, session_id,
+  CAST(k * 1000 AS BIGINT) AS session_duration, k % 2 = 0 AS page_view_entrances, 'sid' || (k % 10) AS screen_view_screen_id,
+  CASE WHEN k % 7 = 0 THEN 'tss' END AS traffic_source_source, 'c' || (k % 4) AS color, 'number' AS size_type, FALSE AS leaked FROM pe"""))
+
+
+def _rest(s, d):
+    """The events a second run still has to move when the first 15 days are done."""
+    old = v1(s, d)
+    done = backfilled(s, d).where(F.col("event_timestamp") < F.lit("2024-01-15").cast("timestamp"))
+    return backfill.backfill_events(old, legacy.event_parameters(old), done, 1_704_500_000_000).select("event_id", "session_id")
+
+
+add("backfill_event_resume", _rest, sql("""
+SELECT event_id, session_id FROM pe WHERE epoch_ms(et) >= TIMESTAMP '2024-01-15' AND et >= 1704500000000"""))
+add("backfill_user", lambda s, d: backfill.backfill_users(legacy.user_profile_v1(v1(s, d)), backfilled(s, d)).select(
+    "app_id", "user_pseudo_id", "user_id", "first_touch_time_msec", F.col("user_properties")["tier"]["value"].alias("tier"),
+    F.col("user_properties")["tier"]["set_time_msec"].alias("set_msec"), "first_traffic_source", "first_app_install_source",
+    "first_referrer"), sql(f"""
+SELECT u1.app_id, u1.user_pseudo_id, up1.user_id, u1.user_first_touch_timestamp AS first_touch_time_msec, 't' || (up1.k % 3) AS tier,
+  up1.ms AS set_msec, CASE WHEN mo.user_pseudo_id IS NOT NULL THEN mo.src ELSE we.src END AS first_traffic_source,
+  CASE WHEN mo.user_pseudo_id IS NOT NULL THEN mo.inst ELSE we.inst END AS first_app_install_source,
+  CASE WHEN mo.user_pseudo_id IS NOT NULL THEN mo.ref ELSE we.ref END AS first_referrer
+FROM u1 LEFT JOIN up1 ON up1.rn = 1 AND up1.app_id = u1.app_id AND up1.user_pseudo_id = u1.user_pseudo_id
+LEFT JOIN (SELECT user_pseudo_id, max(CASE WHEN k % 7 = 0 THEN 'tss' END) AS src, max('ch' || (k % 2)) AS inst,
+  max(CASE k % 8 WHEN 5 THEN '{up.PAGE}' WHEN 6 THEN '{up.PARTNER}' WHEN 7 THEN '{up.SOCIAL}' END) AS ref
+  FROM pe WHERE name = '_first_open' AND platform = 'Web' GROUP BY ALL) we ON we.user_pseudo_id = u1.user_pseudo_id
+LEFT JOIN (SELECT p.user_pseudo_id, max('tss') AS src, max('ch' || (k % 2)) AS inst,
+  max(CASE WHEN k % 8 = 4 THEN '{up.SEARCH}' END) AS ref FROM pe p JOIN (
+    SELECT user_pseudo_id, session_id FROM pe WHERE name IN ('_screen_view','_app_end') AND platform <> 'Web'
+    QUALIFY row_number() OVER (PARTITION BY user_pseudo_id ORDER BY et, event_id) = 1) o
+  ON o.user_pseudo_id = p.user_pseudo_id AND o.session_id = p.session_id WHERE platform <> 'Web' AND k % 7 = 0
+  GROUP BY p.user_pseudo_id) mo ON mo.user_pseudo_id = u1.user_pseudo_id""", _U1))
+add("backfill_session", lambda s, d: backfill.backfill_sessions(backfilled(s, d)).select(
+    "app_id", "user_pseudo_id", "session_id", "user_id", "session_number", "event_timestamp", "session_source"), sql(f"""
+SELECT app_id, user_pseudo_id, session_id, max(user_id) AS user_id, CAST(max(1 + k % 3) AS BIGINT) AS session_number,
+  {clock('epoch_ms(max(et))')} AS event_timestamp,
+  max(CASE WHEN name = '_session_start' AND k % 7 = 0 THEN 'tss' END) AS session_source FROM pe GROUP BY ALL"""))
+add("backfill_item", lambda s, d: backfill.backfill_items(v1(s, d), legacy.latest_items(v1(s, d))).select(
+    "event_id", "item_id", "name", "price", F.col("custom_parameters")["color"]["value"].alias("color")), sql("""
+SELECT i.event_id, i.id AS item_id, 'item ' || (p.k % 10) AS name, i.val AS price, l.color FROM (SELECT DISTINCT app_id, id, et, event_id, val FROM it) i
+JOIN (SELECT * FROM it QUALIFY row_number() OVER (PARTITION BY app_id, id ORDER BY et DESC, event_id DESC, pos2 DESC) = 1) l
+  ON l.id = i.id AND l.et = i.et JOIN pe p ON p.event_id = i.event_id""", _ITEMS))

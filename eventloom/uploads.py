@@ -46,7 +46,8 @@ def numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = (
         F.when(kind == "view", F.when(web, "_page_view").otherwise("_screen_view"))
         .when(kind == "click", F.when(k % 2 == 0, "_session_start").when(k % 3 == 0, "_profile_set").otherwise("_click"))
-        .when(kind == "signup", "_first_open").when(kind == "error", "_app_exception")
+        .when(kind == "signup", "_first_open")
+        .when(kind == "error", F.when(k % 4 == 0, "_app_start").when(k % 4 == 1, "_app_end").otherwise("_app_exception"))
         .otherwise(F.when(k % 5 == 1, "_user_engagement").otherwise("purchase")))
     return raw_events(spark, sf_dir).select(
         F.col("event_id").alias("n"), u.alias("u"), k.alias("k"), kind.alias("kind"), F.col("value").alias("val"),
@@ -92,11 +93,11 @@ def event_struct() -> Column:
         _text("screen ", k % 20).alias("_screen_name"), _text("sid", k % 10).alias("_screen_id"),
         F.when(k % 7 == 0, F.lit("tss")).alias("_traffic_source_source"), _pick(u % 3, [None, "play", "appstore"])
         .alias("_app_install_channel"), _text("D", k % 4).alias("device_id"),
-        _text("c", k % 4).alias("color"), k.alias("size"), (k % 2 == 1).alias("flag"), F.struct(k.alias("a")).alias("obj"),
+        _text("ch", k % 2).alias("_channel"), _text("c", k % 4).alias("color"), k.alias("size"), (k % 2 == 1).alias("flag"), F.struct(k.alias("a")).alias("obj"),
     )
     return F.struct(
         F.when(n % 101 != 0, _text("app", u % 2)).alias("app_id"), _text("u", u).alias("unique_id"),
-        _text("d", u).alias("device_id"), F.col("name").alias("event_type"),
+        _text("d", u, "-", k % 3).alias("device_id"), F.col("name").alias("event_type"),
         F.when(n % 103 != 0, _text("e", n)).alias("event_id"), F.when(n % 107 != 0, at).alias("timestamp"),
         _pick(u % 3, ["Web", "Android", "iOS"]).alias("platform"), _text("v", u % 6).alias("os_version"),
         F.lit("maker").alias("make"), F.lit("brandy").alias("brand"), _text("model", u % 5).alias("model"),
