@@ -2,142 +2,145 @@
 
 A chain starts at one step-0 event, each later step comes strictly after the one
 before, and all steps lie within N seconds of the start (or on its local day).
-Chains are cut by their start: a start belongs to one cohort (a time chunk or a
-date label), later events are copied to the one or two cohorts whose starts can
-reach them, and everything else is a running window per (key, cohort). Work is
-linear in the events and a very active user is spread over its cohorts.
-
-Two windows answer all questions:
-- backwards, the earliest chain of every start (user counts, any grouping);
-- forwards, the latest start that reaches every event (event counts).
+Two questions answer everything:
+
+- backwards: the earliest chain of every start. Taking the earliest next step
+  again and again reaches each step as early as any chain can, so it decides how
+  far the start gets (user counts, any grouping of the start);
+- forwards: the latest start that reaches an event. If any start within the
+  window reaches it, the latest one does (event counts).
+
+Each step looks up one neighbour by time (operators.ordered), which is linear in
+the events and splits a very active user by the hour, whatever the window is.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import dataclasses
+import functools
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventloom.functions.timeunits import local
 from eventloom.operators.explore.base import base_data, chosen_events, group_columns, names_of, step_condition
 from eventloom.operators.explore.model import EVENT_CNT, FunnelQuery
+from eventloom.operators.ordered import first_after, greatest_before
 
 # Unit of a date label -> (truncation, format). Fixed values.
 LABELS = {"month": ("month", "yyyy-MM"), "week": ("week", "yyyy-MM-dd"),
           "day": ("day", "yyyy-MM-dd"), "hour": ("hour", "yyyy-MM-dd HH:00")}
-
-
-def _flags(n: int) -> list[str]:
-    return [f"_s{i}" for i in range(n)]
-
-
-def _key(q: FunnelQuery) -> str:
-    return q.join_column or "user_pseudo_id"
+SECOND = 1_000_000
 
 
 def _first_only(q: FunnelQuery) -> bool:
     return q.grouping is not None and q.grouping.apply_to == "FIRST"
 
 
-def _partition(q: FunnelQuery) -> list[str]:
-    shared = q.grouping.names if q.grouping and not _first_only(q) else []
-    return ["_key", *shared, "_cohort"]
+def _groups(q: FunnelQuery) -> list[str]:
+    return q.grouping.names if q.grouping else []
 
 
-def _cohorts(q: FunnelQuery, unit: str | None) -> tuple[Column, Column]:
-    """The cohort of a start, and the list of cohorts that can reach a later event."""
-    if unit is None and q.window_seconds is not None:
-        width = max(2 * q.window_seconds, 3600) * 1_000_000
-        own = F.floor(F.col("_t") / width)
-        least = F.floor((F.col("_t") - q.window_seconds * 1_000_000) / width)
-        return own.cast("string"), F.transform(F.sequence(least, own), lambda c: c.cast("string"))
-    cut, pattern = LABELS[unit or "day"]
-    at = local("event_timestamp", q.tz)
-    if q.window_seconds is None:
-        since = F.date_trunc("day", at)
-    else:
-        since = local(F.timestamp_micros(F.col("_t") - q.window_seconds * 1_000_000), q.tz)
-    step = F.expr(f"INTERVAL 1 {cut}")
-    lo, hi = F.date_trunc(cut, F.least(since, at)), F.date_trunc(cut, F.greatest(since, at))
-    labels = F.array_distinct(F.transform(F.sequence(lo, hi, step), lambda d: F.date_format(d, pattern)))
-    return F.date_format(F.date_trunc(cut, at), pattern), labels
+def _keys(q: FunnelQuery) -> list[str]:
+    """What the steps of one chain share: the user, groups on all steps, the day where that is the rule."""
+    shared = [] if _first_only(q) else _groups(q)
+    return ["_key", *shared, *(["_day"] if q.window_seconds is None else [])]
 
 
-def _rows(view: DataFrame, q: FunnelQuery, unit: str | None, carry_group: bool) -> DataFrame:
-    """Starts in their own cohort, later events in every cohort that can reach them.
-
-    `carry_group` gives each later event the groups of the starts of its cohort.
-    """
-    n = len(q.steps)
+def _events(view: DataFrame, q: FunnelQuery) -> DataFrame:
+    """Events of the funnel with their clock `_t` and one flag per step."""
     base = base_data(view, q, chosen_events(names_of(q.steps)))
-    groups = q.grouping.names if q.grouping else []
-    own, reach = _cohorts(q, unit)
-    rows = base.select(
-        F.col(_key(q)).alias("_key"), "event_id", "user_pseudo_id", "event_timestamp",
-        "month", "week", "day", "hour", *group_columns(q.grouping),
+    return base.select(
+        F.col(q.join_column or "user_pseudo_id").alias("_key"), "event_id", "user_pseudo_id", "event_timestamp",
+        "month", "week", "day", "hour", *group_columns(q.grouping), F.col("day").alias("_day"),
         F.unix_micros("event_timestamp").alias("_t"),
-        *[step_condition(s).alias(f) for s, f in zip(q.steps, _flags(n))],
+        *[step_condition(s).alias(f"_s{i}") for i, s in enumerate(q.steps)],
     )
-    later_flags = _flags(n)[1:]
-    starts = rows.where("_s0").select(
-        *[c for c in rows.columns if not c.startswith("_s")], own.alias("_cohort"),
-        F.lit(True).alias("_s0"), *[F.lit(False).alias(f) for f in later_flags])
-    if n == 1:
-        return starts
-    any_later = later_flags[0] if n == 2 else " OR ".join(later_flags)
-    later = rows.where(F.expr(any_later) & F.col("_key").isNotNull())
-    if groups and not _first_only(q):
-        later = later.dropna(subset=groups)
-    later = later.withColumn("_cohort", F.explode(reach)).withColumn("_s0", F.lit(False))
-    if groups and _first_only(q):
-        later = later.drop(*groups)
-        if carry_group:
-            later = later.join(starts.select("_key", "_cohort", *groups).distinct(), ["_key", "_cohort"])
-        else:
-            later = later.select("*", *[F.lit(None).cast("string").alias(g) for g in groups])
-    return starts.unionByName(later)
+
+
+def _joinable(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Later steps join by equality, so those without a key value cannot be reached."""
+    return rows.dropna(subset=keys)
 
 
 def funnel_starts(view: DataFrame, q: FunnelQuery) -> DataFrame:
     """One row per step-0 event: when its earliest chain reached each step, and how many steps that is."""
-    n = len(q.steps)
-    rows = _rows(view, q, None, carry_group=False)
-    ahead = (Window.partitionBy(*_partition(q)).orderBy(F.desc("_t"))
-             .rangeBetween(Window.unboundedPreceding, -1))
-    rows = rows.withColumn("_chain", F.when(F.col(f"_s{n - 1}"), F.array("_t")))
+    rows, keys, n = _events(view, q), _keys(q), len(q.steps)
+    labels = ["event_id", "user_pseudo_id", "month", "week", "day", "hour",
+              *[g for g in _groups(q) if g not in keys]]
     empty = F.array().cast("array<bigint>")
+    chains = _joinable(rows.where(F.col(f"_s{n - 1}")), keys).select(*keys, "_t", F.array("_t").alias("_chain"))
+    if n == 1:
+        chains = rows.where("_s0").select(*keys, "_t", F.array("_t").alias("_chain"), F.struct(*labels).alias("_row"))
     for i in range(n - 2, -1, -1):
-        follow = F.coalesce(F.last("_chain", ignorenulls=True).over(ahead), empty)
-        rows = rows.withColumn("_chain", F.when(F.col(f"_s{i}"), F.concat(F.array("_t"), follow)))
-    starts = rows.where("_s0")
+        here = rows.where(F.col(f"_s{i}"))
+        here = here if i == 0 else _joinable(here, keys)
+        # Only starts carry their labels along.
+        row = F.struct(*labels).alias("_row") if i == 0 else F.lit(True).alias("_row")
+        both = here.select(*keys, "_t", row).unionByName(chains.select(*keys, "_t", "_chain"), allowMissingColumns=True)
+        ahead = first_after(both, keys, "_t", F.col("_chain"), "_next").where(F.col("_row").isNotNull())
+        chains = ahead.select(*keys, "_t", "_row", F.concat(F.array("_t"), F.coalesce("_next", empty)).alias("_chain"))
+        if i > 0:
+            chains = chains.drop("_row")
     if q.window_seconds is not None:
-        limit = q.window_seconds * 1_000_000
-        starts = starts.withColumn("_chain", F.filter("_chain", lambda t: t - F.col("_t") <= limit))
-    return starts.select(
-        "event_id", "user_pseudo_id", "month", "week", "day", "hour",
-        *(q.grouping.names if q.grouping else []),
-        F.transform("_chain", lambda t: F.timestamp_micros(t)).alias("reached"),
-        F.size("_chain").alias("depth"),
-    )
+        chains = chains.withColumn(
+            "_chain", F.filter("_chain", lambda t: t - F.col("_t") <= q.window_seconds * SECOND))
+    return chains.select(
+        "_row.*", *[k for k in keys if k in _groups(q)],
+        F.transform("_chain", lambda t: F.timestamp_micros(t)).alias("reached"), F.size("_chain").alias("depth"))
+
+
+def _label(q: FunnelQuery, unit: str) -> Column:
+    cut, pattern = LABELS[unit]
+    return F.date_format(F.date_trunc(cut, local("event_timestamp", q.tz)), pattern)
+
+
+def _reaching_labels(q: FunnelQuery, unit: str) -> Column:
+    """Labels of the starts that could still reach an event: those of its window."""
+    cut, pattern = LABELS[unit]
+    at = local("event_timestamp", q.tz)
+    since = (F.date_trunc("day", at) if q.window_seconds is None
+             else local(F.timestamp_micros(F.col("_t") - q.window_seconds * SECOND), q.tz))
+    lo, hi = F.date_trunc(cut, F.least(since, at)), F.date_trunc(cut, F.greatest(since, at))
+    return F.array_distinct(F.transform(
+        F.sequence(lo, hi, F.expr(f"INTERVAL 1 {cut}")), lambda d: F.date_format(d, pattern)))
 
 
 def _reached_events(view: DataFrame, q: FunnelQuery, unit: str | None) -> DataFrame:
-    """(step, cohort label, groups, ids) of every event that some chain reaches."""
-    n = len(q.steps)
-    groups = q.grouping.names if q.grouping else []
-    rows = _rows(view, q, unit, carry_group=True)
-    part = list(dict.fromkeys([*_partition(q), *groups]))
-    before = Window.partitionBy(*part).orderBy("_t").rangeBetween(Window.unboundedPreceding, -1)
-    rows = rows.withColumn("_l0", F.when(F.col("_s0"), F.col("_t")))
+    """(step, label and groups of the start, ids) of every event that some chain reaches.
+
+    Counting events per label of the start needs an event once per label that
+    reaches it, so later events are copied to the labels of their window; without
+    labels nothing is copied. Groups of the start are taken from the starts the
+    user has under the label.
+    """
+    rows, keys, n = _events(view, q), _keys(q), len(q.steps)
+    own = _groups(q) if _first_only(q) else []
+    by = [*(["_label"] if unit else []), *own]
+    starts = rows.where("_s0")
+    starts = starts.withColumn("_label", _label(q, unit)) if unit else starts
+    carried = [*dict.fromkeys([*keys, *_groups(q), *by]), "_t", "event_id", "user_pseudo_id"]
+    reached = starts.select(*carried, F.col("_t").alias("_start"))
+    parts = [reached.withColumn("step", F.lit(0))]
+    cohorts = starts.select(*keys, *by).distinct()
     for i in range(1, n):
-        start = F.max(f"_l{i - 1}").over(before)
-        rows = rows.withColumn("_from", start)
-        ok = F.col(f"_s{i}")
+        here = _joinable(rows.where(F.col(f"_s{i}")), keys).drop(*own)
+        if unit:
+            here = here.withColumn("_label", F.explode(_reaching_labels(q, unit)))
+        if own:
+            here = here.join(cohorts, [*keys, *(["_label"] if unit else [])])
+        part = [*dict.fromkeys([*keys, *by])]
+        both = here.select(*carried).withColumn("_here", F.lit(True)).unionByName(
+            reached.select(*part, "_t", "_start"), allowMissingColumns=True)
+        prior = greatest_before(both, part, "_t", F.col("_start"), "_from").where(F.col("_here"))
+        ok = F.col("_from").isNotNull()
         if q.window_seconds is not None:
-            ok = ok & (F.col("_t") - F.col("_from") <= q.window_seconds * 1_000_000)
-        rows = rows.withColumn(f"_l{i}", F.when(ok, F.col("_from")))
-    steps = F.array_compact(F.array(*[F.when(F.col(f"_l{i}").isNotNull(), F.lit(i)) for i in range(n)]))
-    return rows.select(F.explode(steps).alias("step"), F.col("_cohort").alias("label"), *groups,
-                       "event_id", "user_pseudo_id")
+            ok = ok & (F.col("_t") - F.col("_from") <= q.window_seconds * SECOND)
+        reached = prior.where(ok).select(*carried, F.col("_from").alias("_start"))
+        parts.append(reached.withColumn("step", F.lit(i)))
+    found = functools.reduce(DataFrame.unionByName, parts)
+    return found.select("step", *([F.col("_label").alias("label")] if unit else []), *_groups(q),
+                        "event_id", "user_pseudo_id")
 
 
 def _counts(view: DataFrame, q: FunnelQuery, unit: str | None) -> DataFrame:
@@ -180,7 +183,7 @@ def funnel_table(view: DataFrame, q: FunnelQuery) -> DataFrame:
 
 def funnel_chart(view: DataFrame, q: FunnelQuery, by_day: bool = False) -> DataFrame:
     """(step event, count) rows, per day of the start when asked (and then per group)."""
-    plain = q if by_day or q.grouping is None else FunnelQuery(**{**q.__dict__, "grouping": None})
+    plain = q if by_day else dataclasses.replace(q, grouping=None)
     counts = _counts(view, plain, "day" if by_day else None)
     groups = plain.grouping.names if plain.grouping else []
     bars = F.array(*[F.struct(F.lit(f"{i + 1}_{s.event_name}").alias("event_name"), F.col(f"c{i}").alias("count"))

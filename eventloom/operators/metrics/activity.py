@@ -15,12 +15,13 @@ from eventloom.operators.metrics.common import daily, is_event, is_view
 
 
 def _summary(df: DataFrame, *keys: str) -> DataFrame:
+    """The event name is one of the keys, so a group's views are all of its events or none."""
+    views = F.when(is_view(), F.col("event_count")).otherwise(F.lit(0))
     return df.groupBy(*keys).agg(
         F.countDistinct("event_id").alias("event_count"),
-        F.countDistinct(F.when(is_view(), F.col("event_id"))).alias("view_count"),
         F.countDistinct("user_pseudo_id").alias("user_count"),
         F.countDistinct("session_id").alias("session_count"),
-    )
+    ).withColumn("view_count", views.cast("bigint"))
 
 
 def event_daily(view: DataFrame) -> DataFrame:
@@ -99,10 +100,10 @@ def intraday_users(view: DataFrame, tz: str = "UTC") -> DataFrame:
 
 
 def day_event_view(view: DataFrame, tz: str = "UTC") -> DataFrame:
-    return daily(view, tz).groupBy("app_id", "event_date", "platform").agg(
-        F.countDistinct("event_id").alias("event_count"),
-        F.countDistinct(F.when(is_view(), F.col("event_id"))).alias("view_count"),
-    )
+    """Distinct events first, then one count: no row is multiplied per distinct column."""
+    keys = ["app_id", "event_date", "platform"]
+    once = daily(view, tz).groupBy(*keys, "event_id").agg(F.max(F.when(is_view(), 1).otherwise(0)).alias("_view"))
+    return once.groupBy(*keys).agg(F.count("event_id").alias("event_count"), F.sum("_view").alias("view_count"))
 
 
 def event_overtime(view: DataFrame, tz: str = "UTC") -> DataFrame:

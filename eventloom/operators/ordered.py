@@ -2,8 +2,9 @@
 
 A window over a user puts the whole user into one task. Here a key is cut into
 time chunks: the window runs per (key, chunk), and what crosses a chunk border
-comes from a summary with one row per (key, chunk), which is small. Results are
-exactly those of the plain window.
+comes from a summary with one row per (key, chunk), whose size depends on the time
+range and not on the number of events. Results are exactly those of the plain
+window.
 """
 
 from __future__ import annotations
@@ -12,52 +13,66 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 CHUNK_SECONDS = 3600
+PAST = (Window.unboundedPreceding, -1)
 
 
-def chunk_of(ts: str, seconds: int = CHUNK_SECONDS) -> Column:
-    return F.floor(F.unix_seconds(F.col(ts)) / seconds)
+def _chunked(df: DataFrame, ts: str, value: Column, seconds: int) -> DataFrame:
+    at = F.col(ts)
+    second = F.floor(at / 1_000_000) if dict(df.dtypes)[ts] == "bigint" else F.unix_seconds(at)
+    return df.withColumn("_chunk", F.floor(second / seconds)).withColumn("_value", value)
+
+
+def _with_carry(rows: DataFrame, keys: list[str], inside: Column, summary: Column, fold, backwards: bool) -> DataFrame:
+    """Adds `_near` (from the row's own chunk) and `_far` (folded over the chunks beyond it)."""
+    order = F.desc("_chunk") if backwards else F.asc("_chunk")
+    beyond = Window.partitionBy(*keys).orderBy(order).rowsBetween(*PAST)
+    far = rows.groupBy(*keys, "_chunk").agg(summary.alias("_sum")).withColumn("_far", fold("_sum").over(beyond))
+    return rows.withColumn("_near", inside).join(far.drop("_sum"), [*keys, "_chunk"], "left")
+
+
+def _finish(rows: DataFrame, out: str, value: Column) -> DataFrame:
+    return rows.withColumn(out, value).drop("_chunk", "_value", "_near", "_far")
+
+
+def _last(c):
+    return F.last(c, ignorenulls=True)
 
 
 def next_value(df: DataFrame, keys: list[str], ts: str, order: list[str], value: Column, out: str,
                seconds: int = CHUNK_SECONDS) -> DataFrame:
-    """Adds `out`: the first non-null `value` strictly after each row in (ts, order)."""
-    rows = df.withColumn("_chunk", chunk_of(ts, seconds)).withColumn("_value", value)
-    position = F.struct(ts, *order)
+    """Adds `out`: the first non-null `value` after each row in the order (ts, *order)."""
+    rows = _chunked(df, ts, value, seconds)
     # Rows run backwards so that the frame only grows; "last" is then the nearest row ahead.
-    inside = (Window.partitionBy(*keys, "_chunk").orderBy(F.desc(ts), *[F.desc(c) for c in order])
-              .rowsBetween(Window.unboundedPreceding, -1))
-    heads = (
-        rows.where(F.col("_value").isNotNull()).groupBy(*keys, "_chunk")
-        .agg(F.min_by("_value", position).alias("_head"))
-    )
-    # The next chunk's head per chunk that has rows, whether or not it holds a value itself.
-    chunks = rows.select(*keys, "_chunk").distinct().join(heads, [*keys, "_chunk"], "left")
-    across = (Window.partitionBy(*keys).orderBy(F.desc("_chunk"))
-              .rowsBetween(Window.unboundedPreceding, -1))
-    ahead = chunks.withColumn("_ahead", F.last("_head", ignorenulls=True).over(across)).drop("_head")
-    return (
-        rows.withColumn("_near", F.last("_value", ignorenulls=True).over(inside))
-        .join(ahead, [*keys, "_chunk"], "left")
-        .withColumn(out, F.coalesce("_near", "_ahead"))
-        .drop("_chunk", "_value", "_near", "_ahead")
-    )
+    w = Window.partitionBy(*keys, "_chunk").orderBy(F.desc(ts), *[F.desc(c) for c in order]).rowsBetween(*PAST)
+    head = F.min_by("_value", F.when(F.col("_value").isNotNull(), F.struct(ts, *order)))
+    carried = _with_carry(rows, keys, _last("_value").over(w), head, _last, backwards=True)
+    return _finish(carried, out, F.coalesce("_near", "_far"))
+
+
+def first_after(df: DataFrame, keys: list[str], micros: str, value: Column, out: str,
+                seconds: int = CHUNK_SECONDS) -> DataFrame:
+    """Adds `out`: the first non-null `value` at a strictly later time."""
+    rows = _chunked(df, micros, value, seconds)
+    w = Window.partitionBy(*keys, "_chunk").orderBy(F.desc(micros)).rangeBetween(*PAST)
+    head = F.min_by("_value", F.when(F.col("_value").isNotNull(), F.col(micros)))
+    carried = _with_carry(rows, keys, _last("_value").over(w), head, _last, backwards=True)
+    return _finish(carried, out, F.coalesce("_near", "_far"))
+
+
+def greatest_before(df: DataFrame, keys: list[str], micros: str, value: Column, out: str,
+                    seconds: int = CHUNK_SECONDS) -> DataFrame:
+    """Adds `out`: the greatest `value` at a strictly earlier time."""
+    rows = _chunked(df, micros, value, seconds)
+    w = Window.partitionBy(*keys, "_chunk").orderBy(micros).rangeBetween(*PAST)
+    carried = _with_carry(rows, keys, F.max("_value").over(w), F.max("_value"), F.max, backwards=False)
+    return _finish(carried, out, F.greatest("_near", "_far"))
 
 
 def running_sum(df: DataFrame, keys: list[str], ts: str, order: list[str], value: Column, out: str,
                 seconds: int = CHUNK_SECONDS) -> DataFrame:
     """Adds `out`: the sum of `value` over the rows of the key up to and including each row."""
-    rows = df.withColumn("_chunk", chunk_of(ts, seconds)).withColumn("_value", value)
-    inside = (Window.partitionBy(*keys, "_chunk").orderBy(ts, *order)
-              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    across = (Window.partitionBy(*keys).orderBy("_chunk")
-              .rowsBetween(Window.unboundedPreceding, -1))
-    before = (
-        rows.groupBy(*keys, "_chunk").agg(F.sum("_value").alias("_total"))
-        .withColumn("_before", F.coalesce(F.sum("_total").over(across), F.lit(0))).drop("_total")
-    )
-    return (
-        rows.withColumn("_run", F.sum("_value").over(inside))
-        .join(before, [*keys, "_chunk"], "left")
-        .withColumn(out, F.col("_run") + F.col("_before"))
-        .drop("_chunk", "_value", "_run", "_before")
-    )
+    rows = _chunked(df, ts, value, seconds)
+    w = (Window.partitionBy(*keys, "_chunk").orderBy(ts, *order)
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    carried = _with_carry(rows, keys, F.sum("_value").over(w), F.sum("_value"), F.sum, backwards=False)
+    return _finish(carried, out, F.col("_near") + F.coalesce("_far", F.lit(0)))

@@ -79,7 +79,7 @@ class MetricTable:
         staged = scratch(self.spark, "stage")
         rows.select(*self.schema.names).write.mode("overwrite").parquet(staged)
         (self.spark.read.schema(self.schema).parquet(staged)
-         .repartition(*self.partitions, F.hash(*self.keys) % 16)
+         .hint("rebalance", *self.partitions)
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(*self.partitions).parquet(self.path))
 

@@ -16,6 +16,8 @@ RUNTIME = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Splits a skewed join side even where that costs another shuffle further up.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
 

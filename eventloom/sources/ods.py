@@ -39,11 +39,10 @@ def output_partitions(df: DataFrame) -> DataFrame:
         "files", F.ceil(F.col("rows") / ROWS_PER_FILE) + F.col("folders"))
 
 
-def write_ods(df: DataFrame, path: str, fmt: str = "parquet", spread: int = 16, ts: str = "event_timestamp") -> None:
-    """Appends by folder. Rows of a folder meet in at most `spread` tasks, so a folder has few
-    files and a folder with a large share of the rows still has several writers."""
-    rows = with_partitions(df, ts)
-    rows = rows.repartition(*PARTITIONS, F.pmod(F.xxhash64(F.col(ts)), F.lit(spread)))
+def write_ods(df: DataFrame, path: str, fmt: str = "parquet", ts: str = "event_timestamp") -> None:
+    """Appends by folder. The rebalance hint gathers the rows of a folder, so that files are few,
+    and lets the adaptive planner cut a folder with a large share of the rows into several tasks."""
+    rows = with_partitions(df, ts).hint("rebalance", *PARTITIONS)
     writer = rows.write.mode("append").partitionBy(*PARTITIONS).option("maxRecordsPerFile", 20 * ROWS_PER_FILE)
     writer.json(path) if fmt == "json" else writer.option("compression", "snappy").parquet(path)
 

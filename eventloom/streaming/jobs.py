@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -111,20 +112,22 @@ def user_state(parsed: DataFrame, target: MetricTable, checkpoint: str, availabl
     buckets it touches.
     """
     def apply(batch: DataFrame) -> None:
-        fresh = tables.partial_users(tables.user_rows(batch))
+        fresh = tables.partial_users(tables.user_rows(batch)).persist(StorageLevel.DISK_ONLY)
         touched = _bucket(fresh, tables.USER_KEYS)
         old = target.read().join(touched.select("bucket", *tables.USER_KEYS), ["bucket", *tables.USER_KEYS], "left_semi")
         merged = _bucket(tables.merge_users(old.drop("bucket").unionByName(fresh)), tables.USER_KEYS)
         target.upsert(merged)
+        fresh.unpersist()
     return _foreach(parsed, apply, checkpoint, available_now)
 
 
 def session_merge(events: DataFrame, target: MetricTable, checkpoint: str, available_now: bool = False) -> StreamingQuery:
     """Session rows under the precedence rule of the batch merge."""
     def apply(batch: DataFrame) -> None:
-        fresh = sessions.extract_sessions(batch)
+        fresh = sessions.extract_sessions(batch).persist(StorageLevel.DISK_ONLY)
         touched = _bucket(fresh, sessions.KEYS)
         old = target.read().join(touched.select("bucket", *sessions.KEYS), ["bucket", *sessions.KEYS], "left_semi")
         merged = sessions.merge_sessions(old.drop("bucket").select(*fresh.columns), fresh)
         target.upsert(_bucket(merged, sessions.KEYS))
+        fresh.unpersist()
     return _foreach(events, apply, checkpoint, available_now)
