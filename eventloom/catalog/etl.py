@@ -56,7 +56,7 @@ def sql(body: str, *extra: str) -> str:
 
 
 def entries(s, d):
-    return clean.explode_events(up.sdk_uploads(s, d))
+    return clean.parse_uploads(up.sdk_uploads(s, d))
 
 
 def good(s, d):
@@ -73,17 +73,18 @@ add("decode_payload", lambda s, d: up.sdk_uploads(s, d).select("rid", clean.deco
     "rid", F.col("p").startswith('["error').alias("failed"), F.json_array_length("p").alias("entries")), sql("""
 SELECT 'r' || b AS rid, b % 50 IN (7, 13, 19) AS failed, CASE WHEN b % 50 IN (7, 13, 19) THEN 1 ELSE count(*) END AS entries
 FROM r1 GROUP BY b"""))
-add("explode_events", lambda s, d: clean.parse_entries(entries(s, d)).select("rid", "position", F.col("e.event_id").alias("event_id")),
+add("explode_events", lambda s, d: clean.explode_events(up.sdk_uploads(s, d)).select(
+    "rid", "position", F.get_json_object("data", "$.event_id").alias("event_id")),
     sql("""SELECT 'r' || b AS rid, pos AS position, CASE WHEN n % 103 <> 0 THEN 'e' || n END AS event_id FROM ent WHERE fine
 UNION ALL SELECT DISTINCT 'r' || b, 0, NULL FROM ent WHERE NOT fine"""))
-add("split_corrupt", lambda s, d: clean.parse_entries(entries(s, d)).groupBy(
+add("split_corrupt", lambda s, d: entries(s, d).groupBy(
     F.coalesce(clean.reject_reason(), F.lit("ok")).alias("reason")).agg(F.count(F.lit(1)).alias("n")), sql("""
 SELECT reason, count(*) AS n FROM (SELECT CASE WHEN n % 103 = 0 THEN 'event_id' WHEN n % 101 = 0 THEN 'app_id'
   WHEN n % 107 = 0 THEN 'timestamp' ELSE 'ok' END AS reason FROM ent WHERE fine
   UNION ALL SELECT 'corrupt' FROM (SELECT DISTINCT b FROM ent WHERE NOT fine)) GROUP BY reason"""))
-add("filter_freshness", lambda s, d: clean.fresh(clean.split_corrupt(clean.parse_entries(entries(s, d)))[0], up.NOW_MSEC)
+add("filter_freshness", lambda s, d: clean.fresh(clean.split_corrupt(entries(s, d))[0], up.NOW_MSEC)
     .select("e.event_id", "e.event_type"), sql("SELECT event_id, name AS event_type FROM pe"))
-add("filter_apps", lambda s, d: clean.filter_apps(clean.split_corrupt(clean.parse_entries(entries(s, d)))[0], ["app1"])
+add("filter_apps", lambda s, d: clean.filter_apps(clean.split_corrupt(entries(s, d))[0], ["app1"])
     .select("e.event_id", "e.app_id"), sql("SELECT 'e' || n AS event_id, 'app' || (u % 2) AS app_id FROM ok WHERE u % 2 = 1"))
 
 # -------------------------------------------------------------------- parsing
@@ -116,7 +117,7 @@ add("custom_params", lambda s, d: parsed(s, d).select("event_id", F.explode("cus
 SELECT event_id, key, value, type FROM pe, LATERAL (VALUES ('level', CAST(k AS VARCHAR), 'number'), ('color', 'c' || (k % 4), 'string'),
   ('size', CAST(k AS VARCHAR), 'number'), ('flag', CASE WHEN k % 2 = 1 THEN 'true' ELSE 'false' END, 'boolean'),
   ('obj', '{"a":' || k || '}', 'object'), ('device_id', 'D' || (k % 4), 'string'), ('_channel', 'ch' || (k % 2), 'string')) t(key, value, type)"""))
-add("time_shift", lambda s, d: time_shift(clean.split_corrupt(clean.parse_entries(entries(s, d)))[0], up.NOW_MSEC, True).select(
+add("time_shift", lambda s, d: time_shift(clean.split_corrupt(entries(s, d))[0], up.NOW_MSEC, True).select(
     F.col("e.event_id"), "event_msec", "time_diff", "shifted"), sql(f"""
 SELECT 'e' || n AS event_id, et + d2 AS event_msec, d2 AS time_diff, moved AS shifted FROM (
   SELECT *, CASE WHEN et + d1 > {up.NOW_MSEC} THEN ingest - et ELSE d1 END AS d2, d1 <> 0 OR et > {up.NOW_MSEC} AS moved

@@ -141,7 +141,7 @@ SELECT platform, count(DISTINCT user_pseudo_id) AS users FROM ev GROUP BY platfo
 
 def _rejects(s, d):
     path = scratch(s, "rejects")
-    bad = clean.split_corrupt(clean.parse_entries(etl.entries(s, d)))[1]
+    bad = clean.split_corrupt(etl.entries(s, d))[1]
     ods.write_rejects(bad, path, "job-1")
     return s.read.schema("reason string, rid string, data string, job_name string").json(path).groupBy(
         "job_name", "reason").agg(F.count("data").alias("n"))

@@ -5,22 +5,35 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from eventloom.functions.let import let
+
 EVENT_MAP = "map<string,struct<value:string,type:string>>"
 USER_MAP = "map<string,struct<value:string,type:string,set_time_msec:bigint>>"
 
 
-def value_type(v: Column) -> Column:
-    """string, number, boolean or object for a variant value."""
-    kind = F.schema_of_variant(v)
+def _type(kind: Column) -> Column:
+    """Type tag of a variant's schema text: string, number, boolean or object."""
     return (
         F.when(kind == "STRING", "string").when(kind == "BOOLEAN", "boolean")
-        .when(kind.startswith("OBJECT") | kind.startswith("ARRAY"), "object").otherwise("number"))
+        .when(_nested(kind), "object").otherwise("number"))
+
+
+def _nested(kind: Column) -> Column:
+    return kind.startswith("OBJECT") | kind.startswith("ARRAY")
+
+
+def _text(v: Column, kind: Column) -> Column:
+    return F.when(_nested(kind), F.to_json(v)).otherwise(v.try_cast("string"))
 
 
 def value_text(v: Column) -> Column:
-    kind = F.schema_of_variant(v)
-    nested = kind.startswith("OBJECT") | kind.startswith("ARRAY")
-    return F.when(nested, F.to_json(v)).otherwise(v.try_cast("string"))
+    return let(F.schema_of_variant(v), lambda kind: _text(v, kind))
+
+
+def tagged(v: Column, *more: Column) -> Column:
+    """struct<value,type,...> of a variant; its schema is looked at once."""
+    return let(F.schema_of_variant(v), lambda kind: F.struct(
+        _text(v, kind).alias("value"), _type(kind).alias("type"), *more))
 
 
 def variant_map(json: Column) -> Column:
@@ -30,7 +43,7 @@ def variant_map(json: Column) -> Column:
 
 def typed(members: Column) -> Column:
     """map<string,variant> -> map<string,struct<value,type>>."""
-    return F.transform_values(members, lambda k, v: F.struct(value_text(v).alias("value"), value_type(v).alias("type")))
+    return F.transform_values(members, lambda k, v: tagged(v))
 
 
 def without(members: Column, names: list[str]) -> Column:

@@ -5,17 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-PAIR = "array<struct<k:string,v:string>>"
-
+from eventloom.functions.let import let
 
-def let(value: Column, body) -> Column:
-    """Evaluates `value` once and hands it to `body`, however often the body uses it."""
-    return F.element_at(F.transform(F.array(value), body), 1)
+PAIR = "array<struct<k:string,v:string>>"
 
 
 def decode(c: Column) -> Column:
     """Percent decoding; text that does not decode stays as it is."""
-    return F.coalesce(F.try_url_decode(c), c)
+    coded = c.contains("%") | c.contains("+")
+    return F.when(coded, F.coalesce(F.try_url_decode(c), c)).otherwise(c)
 
 
 def with_scheme(url: Column) -> Column:
@@ -24,11 +22,15 @@ def with_scheme(url: Column) -> Column:
     return F.when(F.substring(bare, 1, 15).contains("://"), bare).otherwise(F.concat(F.lit("https://"), bare))
 
 
+def _strict_or(full: Column, part: str, pattern: str) -> Column:
+    """A URL part by the strict parser, by pattern only where that one finds nothing."""
+    strict = F.try_parse_url(full, F.lit(part))
+    return F.coalesce(strict, F.nullif(F.regexp_extract(full, pattern, 1), F.lit("")))
+
+
 def host(url: Column) -> Column:
     """Host name; read by pattern where the URL holds characters a strict parser rejects."""
-    full = with_scheme(url)
-    loose = F.regexp_extract(full, r"^[^:]+://(?:[^/?#@]*@)?([A-Za-z0-9.\-]+)", 1)
-    return F.coalesce(F.try_parse_url(full, F.lit("HOST")), F.nullif(loose, F.lit("")))
+    return _strict_or(with_scheme(url), "HOST", r"^[^:]+://(?:[^/?#@]*@)?([A-Za-z0-9.\-]+)")
 
 
 def path(url: Column) -> Column:
@@ -39,9 +41,9 @@ def path(url: Column) -> Column:
 
 
 def query(url: Column) -> Column:
-    full = with_scheme(url)
-    loose = F.regexp_extract(full, r"\?([^#]*)", 1)
-    return F.nullif(F.coalesce(F.try_parse_url(full, F.lit("QUERY")), loose), F.lit(""))
+    # No question mark, no query: most URLs stop here.
+    bare = F.when(url.contains("?"), with_scheme(url))
+    return F.nullif(_strict_or(bare, "QUERY", r"\?([^#]*)"), F.lit(""))
 
 
 def pairs(query_text: Column) -> Column:
@@ -56,10 +58,15 @@ def pairs(query_text: Column) -> Column:
 
 def params(pair_list: Column) -> Column:
     """Query map; repeated keys join their values with commas."""
-    keys = F.array_distinct(F.transform(pair_list, lambda p: p["k"]))
-    return F.map_from_arrays(
-        keys, F.transform(keys, lambda k: F.array_join(
-            F.transform(F.filter(pair_list, lambda p: p["k"] == k), lambda p: p["v"]), ",")))
+    def build(p: Column) -> Column:
+        keys = F.transform(p, lambda x: x["k"])
+        joined = lambda k: F.array_join(F.transform(F.filter(p, lambda x: x["k"] == k), lambda x: x["v"]), ",")
+        single = F.map_from_entries(F.transform(p, lambda x: F.struct(x["k"], F.coalesce(x["v"], F.lit("")))))
+        distinct = F.array_distinct(keys)
+        # Repeated keys are rare; without them the pairs are the map.
+        return F.when(F.size(distinct) == F.size(p), single).otherwise(
+            F.map_from_arrays(distinct, F.transform(distinct, joined)))
+    return F.when(pair_list.isNotNull(), let(pair_list, build))
 
 
 def first_param(pair_list: Column, name: str | Column) -> Column:

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventloom.functions import url
+from eventloom.functions.let import let
 from eventloom.functions.props import merge, typed, variant_map, without
-from eventloom.operators.clean import gunzip_base64
+from eventloom.operators.clean import gunzip_base64, parse_elements
 from eventloom.operators.webtag import mapped_name
 
 PROPERTIES = {
@@ -41,16 +42,12 @@ def payload(data):
 
 
 def parse_alt_sdk(uploads: DataFrame, project_id: str = "project") -> DataFrame:
-    text = payload(F.col("data"))
-    elements = F.when(text.startswith("["), F.from_json(text, "array<string>")).otherwise(F.array(text))
-    rest = [c for c in uploads.columns if c != "data"]
+    elements = let(payload(F.col("data")), lambda text: F.when(
+        text.startswith("["), F.from_json(text, "array<string>")).otherwise(F.array(text)))
     property_schema = ", ".join(f"`{n}` {t}" for n, t in PROPERTIES.items())
-    rows = (
-        uploads.where(F.coalesce(F.col("data"), F.lit("")) != "")
-        .select(*rest, F.posexplode(elements).alias("position", "data"))
-        .withColumn("s", F.from_json("data", SCHEMA)).withColumn("p", F.from_json("s.properties", property_schema))
-        .where(F.coalesce(F.col("s.event"), F.lit("")) != "")
-    )
+    filled = uploads.where(F.coalesce(F.col("data"), F.lit("")) != "")
+    rows = parse_elements(filled, elements, SCHEMA, "s").where(F.coalesce(F.col("s.event"), F.lit("")) != "")
+    rows = rows.withColumn("p", F.from_json("s.properties", property_schema))
     s, p = (lambda n: F.col(f"s.{n}")), (lambda n: F.col(f"p.`{n}`"))
     event_id = F.concat_ws("-", F.col("rid"), F.col("position").cast("string"), F.coalesce(s("distinct_id"), F.lit("null")))
     extra = F.array_compact(F.array(

@@ -57,19 +57,33 @@ def decode_payload(data: Column) -> Column:
         .when(packed.startswith("error: "), failed).otherwise(packed))
 
 
+def entries_of(data: Column) -> Column:
+    """The upload's events as texts; an array that does not parse is one entry, to be rejected with its text."""
+    return F.coalesce(F.from_json(decode_payload(data), "array<string>"), F.array(data))
+
+
 def explode_events(uploads: DataFrame) -> DataFrame:
     """One row per element of the upload's JSON array, with its position."""
-    parts = F.from_json(decode_payload(F.col("data")), "array<string>")
-    # An array that does not parse is kept as one entry so that it can be rejected with its text.
-    entries = F.coalesce(parts, F.array(F.col("data")))
     rest = [c for c in uploads.columns if c != "data"]
-    return uploads.select(*rest, F.posexplode(entries).alias("position", "data"))
+    return uploads.select(*rest, F.posexplode(entries_of(F.col("data"))).alias("position", "data"))
+
+
+def parse_elements(rows: DataFrame, elements: Column, schema: str, name: str, options: dict | None = None) -> DataFrame:
+    """One row per element with its position, text and parsed struct.
+
+    The parsing is part of the generator, so filters on the struct stay above it:
+    as a plain column it would be repeated in every pushed-down condition.
+    """
+    rest = [c for c in rows.columns if c != "data"]
+    both = F.transform(elements, lambda x: F.struct(x.alias("data"), F.from_json(x, schema, options).alias(name)))
+    return rows.select(*rest, F.posexplode(both).alias("position", "_x")).select(
+        *rest, "position", "_x.data", F.col(f"_x.{name}").alias(name))
 
 
-def parse_entries(entries: DataFrame) -> DataFrame:
-    """Adds the event struct `e`; broken JSON sets its corrupt-record field."""
-    e = F.from_json("data", EVENT_SCHEMA, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
-    return entries.withColumn("e", e)
+def parse_uploads(uploads: DataFrame) -> DataFrame:
+    """One row per sent event with its struct `e`; broken JSON sets its corrupt-record field."""
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
+    return parse_elements(uploads, entries_of(F.col("data")), EVENT_SCHEMA, "e", options)
 
 
 def reject_reason() -> Column:
@@ -106,5 +120,5 @@ def drop_bots(events: DataFrame, enabled: bool = True) -> DataFrame:
 
 def clean(uploads: DataFrame, app_ids: list[str], now_msec: int | Column, hours: int = 72) -> tuple[DataFrame, DataFrame]:
     """Usable, fresh events of the given apps; and the rejects."""
-    good, bad = split_corrupt(parse_entries(explode_events(uploads)))
+    good, bad = split_corrupt(parse_uploads(uploads))
     return filter_apps(fresh(good, now_msec, hours), app_ids), bad

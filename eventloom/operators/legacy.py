@@ -6,8 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventloom.functions import url
+from eventloom.functions.let import let
 from eventloom.functions.props import value_text, variant_map, without
 from eventloom.operators.dedupe import keep_one
+from eventloom.operators.parse import uri_pairs
 from eventloom.operators.webtag import mapped_name
 
 MAX_VALUE_CHARS = 2048
@@ -33,14 +35,15 @@ USER_EVENTS = [*PROFILE_EVENTS, *FIRST_EVENTS, "_app_end", "_app_start"]
 KEYS = ["app_id", "user_pseudo_id"]
 
 
-def typed_value(v: Column) -> Column:
+def typed_value(v: Column, *more: Column) -> Column:
     """One of double, whole number or text; objects and booleans are text."""
-    kind = F.schema_of_variant(v)
-    whole, real = kind == "BIGINT", kind.startswith("DECIMAL") | (kind == "DOUBLE") | (kind == "FLOAT")
-    return F.struct(
-        F.when(real, v.try_cast("double")).alias("double_value"), F.lit(None).cast("float").alias("float_value"),
-        F.when(whole, v.try_cast("bigint")).alias("int_value"),
-        F.when(~whole & ~real, F.substring(value_text(v), 1, MAX_VALUE_CHARS)).alias("string_value"))
+    def build(kind: Column) -> Column:
+        whole, real = kind == "BIGINT", kind.startswith("DECIMAL") | (kind == "DOUBLE") | (kind == "FLOAT")
+        return F.struct(
+            F.when(real, v.try_cast("double")).alias("double_value"), F.lit(None).cast("float").alias("float_value"),
+            F.when(whole, v.try_cast("bigint")).alias("int_value"),
+            F.when(~whole & ~real, F.substring(value_text(v), 1, MAX_VALUE_CHARS)).alias("string_value"), *more)
+    return let(F.schema_of_variant(v), build)
 
 
 def kv_array(members: Column) -> Column:
@@ -53,12 +56,8 @@ def user_props(user_json: Column) -> Column:
     """User members but lifetime value, each with the time it was set."""
     members = F.from_json(user_json, "map<string,struct<value:variant,set_timestamp:bigint>>")
     kept = F.map_filter(members, lambda k, v: ~k.startswith("_user_ltv_"))
-    return F.transform(F.map_entries(kept), lambda m: F.struct(m["key"].alias("key"), F.struct(
-        typed_value(m["value"]["value"])["double_value"].alias("double_value"),
-        F.lit(None).cast("float").alias("float_value"),
-        typed_value(m["value"]["value"])["int_value"].alias("int_value"),
-        typed_value(m["value"]["value"])["string_value"].alias("string_value"),
-        (m["value"]["set_timestamp"] * 1000).alias("set_timestamp_micros")).alias("value")))
+    return F.transform(F.map_entries(kept), lambda m: F.struct(m["key"].alias("key"), typed_value(
+        m["value"]["value"], (m["value"]["set_timestamp"] * 1000).alias("set_timestamp_micros")).alias("value")))
 
 
 def user_ltv(user_json: Column) -> Column:
@@ -72,7 +71,7 @@ def ods_events(entries: DataFrame, project_id: str = "project") -> DataFrame:
     e = lambda n: F.col(f"e.{n}")
     attr = lambda n: F.get_json_object("e.attributes", f"$.{n}")
     text = lambda n: F.lit(None).cast("string").alias(n)
-    bundle = url.first_param(url.pairs(url.query(F.concat(F.lit("https://h"), F.col("uri")))), "event_bundle_sequence_id")
+    bundle = url.first_param(uri_pairs(), "event_bundle_sequence_id")
     privacy = F.array(*[F.struct(F.lit(n).alias("key"), F.struct(
         F.lit(None).cast("double").alias("double_value"), F.lit(None).cast("float").alias("float_value"),
         F.lit(None).cast("bigint").alias("int_value"), attr(f"_privacy_info_{n}").alias("string_value")).alias("value"))

@@ -54,22 +54,25 @@ def time_shift(df: DataFrame, now_msec: int | Column, enabled: bool = False) ->
     """
     now = F.lit(now_msec) if isinstance(now_msec, int) else now_msec
     at, ingest = F.col("e.timestamp"), F.col("ingest_time")
-    future = at > now
-    from_uri = url.first_param(url.pairs(url.query(F.concat(F.lit("https://h"), F.col("uri")))), "upload_timestamp")
-    given = F.col("client_timestamp").try_cast("bigint") if "client_timestamp" in df.columns else F.lit(None)
-    upload = F.coalesce(given, from_uri.try_cast("bigint"))
-    clock = ingest - upload
-    applies = upload.isNotNull() & (future | (F.lit(enabled) & (F.abs(clock) > SHIFT_THRESHOLD_MSEC)))
+    from_uri = url.first_param(uri_pairs(), "upload_timestamp").try_cast("bigint")
+    given = F.col("client_timestamp").try_cast("bigint") if "client_timestamp" in df.columns else F.lit(None).cast("bigint")
+    upload, clock = F.col("upload_msec"), F.col("ingest_time") - F.col("upload_msec")
+    applies = upload.isNotNull() & ((at > now) | (F.lit(enabled) & (F.abs(clock) > SHIFT_THRESHOLD_MSEC)))
     first = F.when(applies, clock).otherwise(F.lit(0))
     ahead = at + first > now
-    diff = F.when(ahead, ingest - at).otherwise(first)
     return (
-        df.withColumn("upload_msec", upload).withColumn("time_diff", diff.cast("bigint"))
+        df.withColumn("upload_msec", F.coalesce(given, from_uri))
+        .withColumn("time_diff", F.when(ahead, ingest - at).otherwise(first).cast("bigint"))
         .withColumn("shifted", F.coalesce(applies | ahead, F.lit(False)))
         .withColumn("event_msec", at + F.col("time_diff"))
     )
 
 
+def uri_pairs() -> Column:
+    """Query parameters of the request path."""
+    return url.pairs(F.nullif(F.substring_index(F.when(F.col("uri").contains("?"), F.col("uri")), "?", -1), F.lit("")))
+
+
 def custom_params(event_json: Column, attributes_json: Column) -> Column:
     """Typed map of everything not reserved; attributes win over the event's own members."""
     top = typed(without(variant_map(event_json), [*KNOWN_TOP_LEVEL, "unique_id"]))
@@ -87,7 +90,7 @@ def parse_events(entries: DataFrame, project_id: str = "project") -> DataFrame:
     rows = entries.select(
         "*", F.from_json("e.attributes", attribute_schema).alias("a"),
         F.from_json("e.user", USER_SCHEMA).alias("usr"),
-        url.pairs(url.query(F.concat(F.lit("https://h"), F.col("uri")))).alias("_uri"),
+        uri_pairs().alias("_uri"),
     )
     e, a = (lambda n: F.col(f"e.{n}")), (lambda n: F.col(f"a.`{n}`"))
     name = F.coalesce(e("event_type"), F.lit("unknown"))

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventloom.functions.props import USER_MAP, merge, typed, value_text, value_type, variant_map, without
+from eventloom.functions.props import USER_MAP, merge, tagged, typed, variant_map, without
 from eventloom.functions.text import max_bytes
 from eventloom.names import FIRST_TOUCH_EVENTS, PROFILE_SET, TRAFFIC_FIELDS
 from eventloom.operators.dedupe import keep_one
@@ -70,9 +70,7 @@ def extract_items(parsed: DataFrame) -> DataFrame:
 def user_properties(user_json: Column) -> Column:
     """Typed map of the user's members: {"name": {"value": ..., "set_timestamp": ...}}."""
     members = F.from_json(user_json, "map<string,struct<value:variant,set_timestamp:bigint>>")
-    return F.transform_values(members, lambda k, v: F.struct(
-        value_text(v["value"]).alias("value"), value_type(v["value"]).alias("type"),
-        v["set_timestamp"].alias("set_time_msec")))
+    return F.transform_values(members, lambda k, v: tagged(v["value"], v["set_timestamp"].alias("set_time_msec")))
 
 
 def user_rows(parsed: DataFrame) -> DataFrame:

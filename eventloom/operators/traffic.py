@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventloom.functions import url
+from eventloom.functions.let import let
 from eventloom.names import DIRECT
 
 UNASSIGNED = "Unassigned"
@@ -33,7 +34,7 @@ def utm(page_url: Column) -> Column:
     """
     bare = F.nullif(page_url, F.lit(""))
     full = F.when(bare.contains("://"), bare).otherwise(F.concat(F.lit("http://"), bare))
-    return url.let(url.pairs(url.query(full)), _utm_fields)
+    return let(url.pairs(url.query(full)), _utm_fields)
 
 
 def _utm_fields(p: Column) -> Column:
