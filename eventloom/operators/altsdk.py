@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from eventloom.functions import url
 from eventloom.functions.let import let
 from eventloom.functions.props import merge, typed, variant_map, without
-from eventloom.operators.clean import gunzip_base64, parse_elements
+from eventloom.operators.clean import gunzip_base64, parse_elements, strip
 from eventloom.operators.webtag import mapped_name
 
 PROPERTIES = {
@@ -29,7 +29,7 @@ KNOWN = ["time", "distinct_id", "anonymous_id", "event", "items", "identities",
 
 def payload(data):
     """JSON passes through; form text gives its data_list or data member, unpacked when it is packed."""
-    plain = F.trim(data)
+    plain = strip(data)
     is_json = plain.startswith("[") | plain.startswith("{")
     member = F.try_element_at(F.filter(
         F.split(plain, "&"), lambda p: p.startswith("data_list=") | p.startswith("data=")), F.lit(1))

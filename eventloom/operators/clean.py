@@ -46,9 +46,14 @@ def _gunzip_udf():
 gunzip_base64 = _gunzip_udf()
 
 
+def strip(c: Column) -> Column:
+    """Without white space at either end, line breaks included."""
+    return F.trim(c, F.lit(" \t\r\n"))
+
+
 def decode_payload(data: Column) -> Column:
     """JSON arrays pass through; anything else is unpacked; what fails becomes an error entry."""
-    plain = F.trim(data)
+    plain = strip(data)
     is_array = F.coalesce(plain.startswith("[") & plain.endswith("]"), F.lit(False))
     packed = gunzip_base64(F.when(is_array, F.lit(None)).otherwise(data))
     failed = F.to_json(F.array(F.concat(packed, F.lit(", inputData: "), data)))

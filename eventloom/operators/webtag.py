@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from eventloom.functions import url
 from eventloom.functions.props import merge, typed, variant_map, without
-from eventloom.operators.clean import parse_elements
+from eventloom.operators.clean import parse_elements, strip
 from eventloom.operators.dedupe import keep_one
 
 # Event names of other vendors -> our names. Fixed values.
@@ -40,8 +40,8 @@ def mapped_name(c: Column, names: dict[str, str] = EVENT_NAMES) -> Column:
 def parse_web_tag(uploads: DataFrame, project_id: str = "project") -> DataFrame:
     """Flat rows; flags of the payload add a first-open and a session-start event."""
     data = F.col("data")
-    elements = F.when(F.trim(data).startswith("["), F.from_json(data, "array<string>")).otherwise(F.array(data))
-    filled = uploads.where(F.coalesce(F.trim(data), F.lit("")) != "")
+    elements = F.when(strip(data).startswith("["), F.from_json(data, "array<string>")).otherwise(F.array(data))
+    filled = uploads.where(F.coalesce(strip(data), F.lit("")) != "")
     rows = parse_elements(filled, elements, SCHEMA, "g").where(F.coalesce(F.col("g.event_name"), F.lit("")) != "")
     g = lambda n: F.col(f"g.{n}")
     hints, sys, sst = g("client_hints"), F.col("g.`x-ga-system_properties`"), F.col("g.`x-sst-system_properties`")
