@@ -15,6 +15,7 @@ from eventloom.operators import (
     agent, altsdk, backfill, clean, dedupe, fields, geo, legacy, sessions, tables, traffic, view, webtag,
 )
 from eventloom.operators.parse import parse_events, time_shift
+from eventloom.plans.etl import written
 
 QUERIES: dict[str, b.Query] = {}
 ORACLES: dict[str, str] = {}
@@ -67,6 +68,11 @@ def parsed(s, d):
     return parse_events(time_shift(good(s, d), up.NOW_MSEC))
 
 
+def stored(s, d):
+    """Parsed events written once, as the batch run does before steps that read them twice."""
+    return written(parsed(s, d), "parsed")
+
+
 # ------------------------------------------------------------------- cleaning
 
 add("decode_payload", lambda s, d: up.sdk_uploads(s, d).select("rid", clean.decode_payload(F.col("data")).alias("p")).select(
@@ -150,7 +156,7 @@ add("utm_pages", lambda s, d: s.read.parquet(f"{d}/pages.parquet").select("page_
     "page_id", "t.source"), """
 SELECT page_id, nullif(regexp_extract(url, '[?&]utm_source=([^&#]*)', 1), '') AS source FROM pages""")
 add("referrer_category", lambda s, d: traffic.referrer_category(
-    parsed(s, d).withColumn("ref", F.coalesce("raw_latest_referrer", "raw_page_referrer")), "ref",
+    stored(s, d).withColumn("ref", F.coalesce("raw_latest_referrer", "raw_page_referrer")), "ref",
     traffic.category_rules(s, up.CATEGORY_RULES)).select("event_id", "ref_source", "ref_category", "ref_terms"), sql("""
 SELECT event_id, CASE k % 8 WHEN 4 THEN 'google' WHEN 5 THEN 'www.shop.example.com' WHEN 6 THEN 'blog.partner.org'
     WHEN 7 THEN 'facebook' END AS ref_source,
@@ -176,7 +182,7 @@ SELECT event_id, CASE
   WHEN traffic_source_category = 'Social' THEN 'Organic Social'
   WHEN traffic_source_category IS NULL AND traffic_source_medium = 'cpc' THEN 'Paid Other'
   ELSE 'Unassigned' END AS channel FROM ev"""))
-add("traffic_source", lambda s, d: traffic.traffic_source(parsed(s, d), up.CATEGORY_RULES).select(
+add("traffic_source", lambda s, d: traffic.traffic_source(stored(s, d), up.CATEGORY_RULES).select(
     "event_id", *[f"traffic_source_{f}" for f in (*traffic.FIELDS, "channel_group", "category")]), sql("""
 SELECT event_id,
   CASE WHEN k % 7 = 0 THEN 'tss' ELSE CASE k % 8 WHEN 1 THEN 'newsletter' WHEN 2 THEN 'Google' WHEN 3 THEN 'fbclid'
@@ -210,7 +216,7 @@ def nation_ranges(s, d):
     return wide.unionByName(narrow)
 
 
-add("geo_ip", lambda s, d: geo.geo_ip(parsed(s, d), nation_ranges(s, d)).select("event_id", "ip", *geo.GEO), sql("""
+add("geo_ip", lambda s, d: geo.geo_ip(stored(s, d), nation_ranges(s, d)).select("event_id", "ip", *geo.GEO), sql("""
 SELECT event_id, '10.' || (b % 25) || '.1.' || (b % 200) AS ip, CASE WHEN b % 200 < 100 THEN 'city' || (b % 25) END AS geo_city,
   'World' AS geo_continent, n_name AS geo_country FROM pe JOIN nation ON n_nationkey = b % 25"""))
 _UA = """CASE b % 5 WHEN 3 THEN 'Other' WHEN 0 THEN 'Chrome' WHEN 2 THEN 'Chrome' ELSE 'Safari' END AS device_ua_browser,
@@ -221,8 +227,8 @@ _UA = """CASE b % 5 WHEN 3 THEN 'Other' WHEN 0 THEN 'Chrome' WHEN 2 THEN 'Chrome
   CASE b % 5 WHEN 0 THEN 'PC' WHEN 1 THEN 'Mobile' WHEN 2 THEN 'Mobile' WHEN 3 THEN 'Bot' ELSE 'Tablet' END AS device_ua_device_category"""
 _UA_COLUMNS = ["device_ua_browser", "device_ua_browser_version", "device_ua_os", "device_ua_os_version",
                "device_ua_device", "device_ua_device_category"]
-add("parse_ua", lambda s, d: agent.parse_ua(parsed(s, d)).select("event_id", *_UA_COLUMNS), sql(f"SELECT event_id, {_UA} FROM pe"))
-add("filter_bots", lambda s, d: clean.drop_bots(agent.parse_ua(parsed(s, d))).select("event_id", "device_ua_device_category"),
+add("parse_ua", lambda s, d: agent.parse_ua(stored(s, d)).select("event_id", *_UA_COLUMNS), sql(f"SELECT event_id, {_UA} FROM pe"))
+add("filter_bots", lambda s, d: clean.drop_bots(agent.parse_ua(stored(s, d))).select("event_id", "device_ua_device_category"),
     sql(f"SELECT event_id, device_ua_device_category FROM (SELECT event_id, {_UA} FROM pe WHERE b % 5 <> 3)"))
 
 # --------------------------------------------------------------- field filters

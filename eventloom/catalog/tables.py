@@ -294,3 +294,30 @@ SELECT event_id FROM ev WHERE event_timestamp >= (SELECT max(event_timestamp) FR
 add("expire_today", lambda s, d: ups.expire_today(activity.dau(b.events(s, d)), "event_date", 10, dt.date(2024, 1, 30)), with_base(f"""
 SELECT app_id, {day('event_date')} AS event_date, platform, count(DISTINCT user_pseudo_id) AS user_count FROM ev
 WHERE event_date >= DATE '2024-01-20' GROUP BY ALL"""))
+
+
+def _two_runs(s, d):
+    return etl._half_sessions(s, d, True).unionByName(etl._half_sessions(s, d, False))
+
+
+add("expire_sessions", lambda s, d: ups.expire_sessions(_two_runs(s, d), ["user_pseudo_id", "session_id"], 12).select(
+    "user_pseudo_id", "session_id", "event_timestamp"), with_base(f"""
+SELECT user_pseudo_id, sid AS session_id, {clock('at')} AS event_timestamp FROM (
+  SELECT user_pseudo_id, sid, max(event_timestamp) AS at FROM hx GROUP BY ALL)
+WHERE at >= (SELECT max(event_timestamp) FROM hx) - INTERVAL 12 DAY""", etl._SM))
+
+
+def _recomputed(s, d):
+    """Totals of the users seen on one day, written over those of the whole table, twice."""
+    whole = b.events(s, d)
+    keys = ["app_id", "user_id", "user_pseudo_id"]
+    stale = behaviour.user_behavior(until(whole, MID))
+    batch = whole.where(F.to_date("event_timestamp") == F.lit(MID))
+    fresh = behaviour.user_behavior_of(until(whole, dt.date(2024, 1, 16)), batch)
+    return ups.upsert(ups.upsert(stale, fresh, keys), fresh, keys)
+
+
+add("user_behavior_recompute", _recomputed, with_base(f"""
+SELECT app_id, user_id, user_pseudo_id, {day('min(event_date)')} AS first_visit_date, {day('max(event_date)')} AS last_visit_date,
+  count(DISTINCT session_id) AS total_sessions, count(*) AS total_events, round(sum(coalesce(event_value, 0)), 8) AS ltv
+FROM ev WHERE event_timestamp < TIMESTAMP '2024-01-16' GROUP BY ALL"""))

@@ -93,6 +93,14 @@ def relative_start(now: dt.datetime, tz: str, last_n: int, unit: str) -> dt.date
     return to_utc(floor_to_unit(back(wall, last_n - 1, unit), unit), tz)
 
 
+def whole_periods(start: dt.date, end: dt.date, unit: str) -> tuple[dt.date, dt.date]:
+    """The range widened to whole weeks or months, so that a period is never counted in part."""
+    first = floor_to_unit(dt.datetime.combine(start, dt.time()), unit)
+    last = floor_to_unit(dt.datetime.combine(end, dt.time()), unit)
+    following = last + dt.timedelta(days=7) if unit == "WK" else (last + dt.timedelta(days=32)).replace(day=1)
+    return first.date(), (following - dt.timedelta(days=1)).date()
+
+
 def scope_bounds(scope, tz: str) -> tuple[dt.datetime, dt.datetime]:
     """UTC bounds, both inclusive, of a fixed or relative scope (see explore.model.Scope)."""
     if scope.kind == "FIXED":

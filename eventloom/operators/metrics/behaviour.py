@@ -20,6 +20,12 @@ def user_behavior(view: DataFrame) -> DataFrame:
     )
 
 
+def user_behavior_of(view: DataFrame, batch: DataFrame) -> DataFrame:
+    """Totals of the users a batch touches, over all their events: repeatable, where adding up is not."""
+    touched = batch.select("app_id", "user_pseudo_id").distinct()
+    return user_behavior(view.join(touched, ["app_id", "user_pseudo_id"], "left_semi"))
+
+
 def event_name(view: DataFrame, user: str = "user_pseudo_id", tz: str = "UTC") -> DataFrame:
     return daily(view, tz).groupBy(
         "app_id", "event_date", "platform", F.col(user).alias("user_id"), "event_name",

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
+from eventloom.operators.dedupe import keep_one
 from eventloom.session import scratch
 
 LEAST, GREATEST, ADD = "least", "greatest", "add"
@@ -136,3 +137,8 @@ def expire(df: DataFrame, column: str, days: int) -> DataFrame:
 def expire_today(df: DataFrame, column: str, days: int, today: dt.date) -> DataFrame:
     """Drops rows with a date older than `days` before today."""
     return df.where(F.col(column) >= F.lit(today - dt.timedelta(days=days)))
+
+
+def expire_sessions(sessions: DataFrame, keys: list[str], days: int) -> DataFrame:
+    """The latest row per session, then expiry against the newest of them."""
+    return expire(keep_one(sessions, keys, ["event_timestamp"]), "event_timestamp", days)

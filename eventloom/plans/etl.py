@@ -50,7 +50,8 @@ class EtlConfig:
     keep_days: int = 180
 
 
-def _stored(rows: DataFrame, name: str) -> DataFrame:
+def written(rows: DataFrame, name: str) -> DataFrame:
+    """The rows as files in the shared scratch folder."""
     path = scratch(rows.sparkSession, name)
     rows.write.mode("overwrite").parquet(path)
     return rows.sparkSession.read.parquet(path)
@@ -67,9 +68,9 @@ def run(spark: SparkSession, uploads: DataFrame, config: EtlConfig) -> None:
     now_msec = int(config.now.timestamp() * 1000)
     good, bad = clean.clean(uploads, config.app_ids, now_msec, config.freshness_hours)
     ods.write_rejects(bad, f"{config.out}/rejects", config.job)
-    parsed = _stored(parse_events(time_shift(good, now_msec, config.shift_clocks)), "parsed")
+    parsed = written(parse_events(time_shift(good, now_msec, config.shift_clocks)), "parsed")
     # The referrer lookup reads its input twice, hence only after parsing is done.
-    parsed = _stored(traffic.traffic_source(parsed, config.category_rules, config.channel_rules), "sourced")
+    parsed = written(traffic.traffic_source(parsed, config.category_rules, config.channel_rules), "sourced")
 
     events = clean.drop_bots(parse_ua(tables.extract_events(parsed, config.job, config.now)))
     if config.ranges is not None:

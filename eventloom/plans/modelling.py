@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import logging
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -12,6 +13,7 @@ from pyspark.sql import DataFrame
 from eventloom.operators.metrics import (
     acquisition, activity, behaviour, engagement, lifecycle, pages, retention,
 )
+from eventloom.operators.upsert import expire_today
 
 log = logging.getLogger(__name__)
 
@@ -77,3 +79,12 @@ def run_all(events: DataFrame, users: DataFrame, sink: Callable[[str, DataFrame,
         events.unpersist()
         users.unpersist()
     return failures
+
+
+def expire_all(stored: dict[str, DataFrame], days: int, today: dt.date) -> dict[str, DataFrame]:
+    """Metric tables without days older than `days` before today; the registry names each date column.
+
+    Tables partitioned by something else than a date (user totals) do not expire.
+    """
+    return {name: expire_today(df, METRICS[name].partition, days, today)
+            for name, df in stored.items() if METRICS[name].partition != "app_id"}

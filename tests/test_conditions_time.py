@@ -66,3 +66,9 @@ def test_scope_reaches_the_scan(spark, tmp_path):
     df = spark.read.parquet(path).where(tu.in_scope(Scope.days("2024-01-01", "2024-01-02"), "Asia/Shanghai")).select("event_timestamp")
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(event_timestamp,2023-12-31" in plan and "id" not in plan.split("ReadSchema")[1]
+
+
+def test_whole_periods():
+    day = dt.date
+    assert tu.whole_periods(day(2024, 1, 10), day(2024, 1, 16), "WK") == (day(2024, 1, 8), day(2024, 1, 21))
+    assert tu.whole_periods(day(2024, 1, 10), day(2024, 2, 16), "MM") == (day(2024, 1, 1), day(2024, 2, 29))
