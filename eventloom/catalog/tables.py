@@ -302,9 +302,9 @@ def _two_runs(s, d):
 
 add("expire_sessions", lambda s, d: ups.expire_sessions(_two_runs(s, d), ["user_pseudo_id", "session_id"], 12).select(
     "user_pseudo_id", "session_id", "event_timestamp"), with_base(f"""
-SELECT user_pseudo_id, sid AS session_id, {clock('at')} AS event_timestamp FROM (
-  SELECT user_pseudo_id, sid, max(event_timestamp) AS at FROM hx GROUP BY ALL)
-WHERE at >= (SELECT max(event_timestamp) FROM hx) - INTERVAL 12 DAY""", etl._SM))
+SELECT user_pseudo_id, sid AS session_id, {clock('newest')} AS event_timestamp FROM (
+  SELECT user_pseudo_id, sid, max(event_timestamp) AS newest FROM hx GROUP BY ALL)
+WHERE newest >= (SELECT max(event_timestamp) FROM hx) - INTERVAL 12 DAY""", etl._SM))
 
 
 def _recomputed(s, d):

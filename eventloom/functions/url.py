@@ -22,28 +22,26 @@ def with_scheme(url: Column) -> Column:
     return F.when(F.substring(bare, 1, 15).contains("://"), bare).otherwise(F.concat(F.lit("https://"), bare))
 
 
-def _strict_or(full: Column, part: str, pattern: str) -> Column:
-    """A URL part by the strict parser, by pattern only where that one finds nothing."""
-    strict = F.try_parse_url(full, F.lit(part))
-    return F.coalesce(strict, F.nullif(F.regexp_extract(full, pattern, 1), F.lit("")))
+def _part(url: Column, part: str, pattern: str) -> Column:
+    """A URL part by the strict parser; by pattern only where that one rejects the text."""
+    return let(with_scheme(url), lambda full: F.coalesce(
+        F.try_parse_url(full, F.lit(part)), F.nullif(F.regexp_extract(full, pattern, 1), F.lit(""))))
 
 
 def host(url: Column) -> Column:
-    """Host name; read by pattern where the URL holds characters a strict parser rejects."""
-    return _strict_or(with_scheme(url), "HOST", r"^[^:]+://(?:[^/?#@]*@)?([A-Za-z0-9.\-]+)")
+    """Host name."""
+    return _part(url, "HOST", r"^[^:]+://(?:[^/?#@]*@)?([A-Za-z0-9.\-]+)")
 
 
 def path(url: Column) -> Column:
-    full = with_scheme(url)
-    loose = F.regexp_extract(full, r"^[^:]+://[^/?#]*([^?#]*)", 1)
-    raw = F.coalesce(F.try_parse_url(full, F.lit("PATH")), loose)
-    return decode(F.replace(raw, F.lit("+"), F.lit("%2B")))
+    """Decoded path; empty for a URL without one."""
+    raw = F.coalesce(_part(url, "PATH", r"^[^:]+://[^/?#]*([^?#]*)"), F.when(url != "", F.lit("")))
+    return F.when(raw.contains("%"), decode(F.replace(raw, F.lit("+"), F.lit("%2B")))).otherwise(raw)
 
 
 def query(url: Column) -> Column:
-    # No question mark, no query: most URLs stop here.
-    bare = F.when(url.contains("?"), with_scheme(url))
-    return F.nullif(_strict_or(bare, "QUERY", r"\?([^#]*)"), F.lit(""))
+    """Query text; no question mark, no query: most URLs stop here."""
+    return F.nullif(_part(F.when(url.contains("?"), url), "QUERY", r"\?([^#]*)"), F.lit(""))
 
 
 def pairs(query_text: Column) -> Column:

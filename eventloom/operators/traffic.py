@@ -61,9 +61,8 @@ def category_rules(spark, rules: list[dict]) -> DataFrame:
     return F.broadcast(df) if len(last) <= BROADCAST_RULES else df
 
 
-def candidates(referrer: Column) -> Column:
-    """Forms of a referrer under which it may be listed."""
-    host, path = F.coalesce(url.host(referrer), F.lit("")), url.path(referrer)
+def candidates(referrer: Column, host: Column, path: Column) -> Column:
+    """Forms of a referrer under which it may be listed; `host` is not null."""
     has_path = F.coalesce((path != "") & (path != "/"), F.lit(False))
     bare = F.when(host.startswith("www."), F.substring(host, 5, 4096))
     # A country suffix is dropped: shop.co.uk is also looked up as shop.co.
@@ -75,28 +74,35 @@ def candidates(referrer: Column) -> Column:
     return F.array_distinct(F.array_compact(forms))
 
 
+def _terms(pair_list: Column, names: Column) -> Column:
+    """Values of the listed parameters, distinct and sorted."""
+    values = F.filter(pair_list, lambda p: F.array_contains(names, p["k"]) & p["v"].isNotNull())
+    return F.nullif(F.array_join(F.array_sort(F.array_distinct(
+        F.transform(values, lambda p: p["v"]))), ","), F.lit(""))
+
+
 def referrer_category(df: DataFrame, referrer: str, rules: DataFrame) -> DataFrame:
     """Adds ref_source, ref_category and ref_terms; the longest listed form wins.
 
     Distinct referrers are matched, not rows, and joined back; the matching cost
     does not depend on how often a referrer occurs.
     """
+    r = F.col("_r")
     known = df.where(F.coalesce(F.col(referrer), F.lit("")) != "").select(F.col(referrer).alias("_r")).distinct()
-    hits = (
-        known.select("_r", F.explode(candidates(F.col("_r"))).alias("url")).join(rules, "url")
-        .groupBy("_r").agg(F.max_by(F.struct("source", "category", "params"),
-                                    F.struct(F.length("url"), "url")).alias("hit"))
+    known = known.select("_r", url.host(r).alias("_h"), url.path(r).alias("_p"))
+    forms = candidates(r, F.coalesce("_h", F.lit("")), F.col("_p"))
+    # Grouping keeps the referrers without a hit, so the list is read once and not joined to itself.
+    facts = (
+        known.select("_r", "_h", F.explode(forms).alias("url")).join(rules, "url", "left")
+        .groupBy("_r", "_h").agg(F.max_by(
+            F.struct("source", "category", "params"),
+            F.when(F.col("category").isNotNull(), F.struct(F.length("url"), "url"))).alias("hit"))
+        .select(
+            "_r",
+            F.when(F.col("hit").isNull(), F.col("_h")).otherwise(F.col("hit.source")).alias("ref_source"),
+            F.coalesce(F.col("hit.category"), F.lit(UNASSIGNED)).alias("ref_category"),
+            _terms(url.pairs(url.query(r)), F.col("hit.params")).alias("ref_terms"))
     )
-    pair_list = url.pairs(url.query(F.col("_r")))
-    terms = F.array_sort(F.array_distinct(F.flatten(F.transform(
-        F.col("hit.params"), lambda name: F.transform(
-            F.filter(F.coalesce(pair_list, F.array().cast(url.PAIR)), lambda p: (p["k"] == name) & p["v"].isNotNull()),
-            lambda p: p["v"])))))
-    facts = known.join(hits, "_r", "left").select(
-        "_r",
-        F.when(F.col("hit").isNull(), url.host(F.col("_r"))).otherwise(F.col("hit.source")).alias("ref_source"),
-        F.coalesce(F.col("hit.category"), F.lit(UNASSIGNED)).alias("ref_category"),
-        F.nullif(F.array_join(terms, ","), F.lit("")).alias("ref_terms"))
     return df.join(facts, F.col(referrer) == F.col("_r"), "left").drop("_r")
 
 
@@ -262,7 +268,9 @@ def traffic_source(df: DataFrame, rules: list[dict], channels: list[dict] | None
         "traffic_source_clid_platform": F.col("_utm.clid_platform"), "traffic_source_clid": F.col("_utm.clid"),
         LATEST: F.col("_ref"), LATEST_HOST: F.col("_ref_host"),
     }
-    channel = channel_group(channels or DEFAULT_CHANNELS, inputs)
+    # Inputs become columns first: the rules mention each of them many times.
+    rows = rows.withColumns({f"_in_{name}": value for name, value in inputs.items()})
+    channel = channel_group(channels or DEFAULT_CHANNELS, {name: F.col(f"_in_{name}") for name in inputs})
     # Without any source a referring host still names one; otherwise the visit is direct.
     named = F.coalesce(F.col("_source"), F.when(F.col("_ref").isNotNull(), F.col("_ref_host")))
     direct = named.isNull()
