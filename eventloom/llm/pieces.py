@@ -180,7 +180,7 @@ def encode(docs: DataFrame, model: str, text: str = "text") -> DataFrame:
             yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in own), *(_lists([m[k] for m in made]) for k in range(3))],
                                              [*(f.name for f in keep), *NAMES])
 
-    schema = type(docs.schema)(keep)
+    schema = T.StructType(list(keep))
     for name in NAMES:
         schema = schema.add(name, T.ArrayType(T.IntegerType()))
     return docs.mapInArrow(run, schema)
