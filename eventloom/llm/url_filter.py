@@ -153,9 +153,14 @@ def verdicts(urls: DataFrame, rules: DataFrame | list[tuple[str, str, str]], url
     return _by_join(parsed, rules, default)
 
 
+@functools.lru_cache(maxsize=1)
+def _folder() -> str:
+    """Of the driver's index files: one for the process, as Spark knows a file that it hands out by its place."""
+    return tempfile.mkdtemp(prefix="rules-")
+
+
 def _by_index(spark: SparkSession, parsed: DataFrame, rules: DataFrame, default: str) -> DataFrame:
-    folder = tempfile.mkdtemp(prefix="rules-")
-    path = build_index(((r.host, r.path, r.verdict) for r in rules.toLocalIterator()), folder)
+    path = build_index(((r.host, r.path, r.verdict) for r in rules.toLocalIterator()), _folder())
     spark.sparkContext.addFile(path)  # fetched once by each executor, which maps its own copy
     name = os.path.basename(path)
 
