@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.llm import bin_slack, fertility, pieces, url_filter
+from eventloom.llm import bin_slack, dimension_scan, fertility, html_layout, pairwise_quality, pieces, toxicity, url_filter
 from eventloom.llm.common import table
 
 RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
@@ -45,6 +45,16 @@ FROM ruled
 """
 
 
+def op2_pairwise_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")
+    return pairwise_quality.quality_scores(docs, labels).select("doc_id", "held_out", "score", "predicted")
+
+
+def op3_counterfactual_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")
+    return toxicity.toxicity_scores(docs, labels).select("doc_id", "held_out", "score", "predicted")
+
+
 def op5_min_bin_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return bin_slack.pieces(docs, WORD_TOKENIZER, END_ID, with_ids=False).drop("ids")
@@ -55,6 +65,15 @@ def op6_fertility_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fertility.quality_rules(docs, PIECE_MODEL).drop("text")
 
 
+def op7_dimension_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return dimension_scan.neighbours(vectors, vectors.filter("vec_id % 50 = 0"))
+
+
+def op9_layout_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_layout.visible_text(table(spark, sf_dir, "pages").select("page_id", "html")).select("page_id", "text")
+
+
 def op10_piece_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = pieces.encode(docs, PIECE_MODEL).select("doc_id", "ids")
@@ -63,5 +82,6 @@ def op10_piece_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(pieces.decoded("ids", PIECE_MODEL).cast("binary"), 256).alias("decoded_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op5_min_bin_slack, op6_fertility_rules, op10_piece_spans)}
+QUERIES = {f.__name__: f for f in (op1_url_filter, op2_pairwise_quality, op3_counterfactual_toxicity, op5_min_bin_slack, op6_fertility_rules,
+                                 op7_dimension_scan, op9_layout_text, op10_piece_spans)}
 ORACLES = {"op1_url_filter": OP1_SQL}
