@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.llm import bin_slack, dimension_scan, fertility, html_layout, pairwise_quality, pieces, toxicity, url_filter
+from eventloom.llm import bin_slack, dimension_scan, fertility, html_layout, line_dedup, pairwise_quality, pieces, toxicity, url_filter
 from eventloom.llm.common import table
 
 RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
@@ -70,6 +70,11 @@ def op7_dimension_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dimension_scan.neighbours(vectors, vectors.filter("vec_id % 50 = 0"))
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.dedup_lines(docs).select("doc_id", "n_lines", "n_repeats", "n_links", "dropped")
+
+
 def op9_layout_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_layout.visible_text(table(spark, sf_dir, "pages").select("page_id", "html")).select("page_id", "text")
 
@@ -83,5 +88,5 @@ def op10_piece_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_url_filter, op2_pairwise_quality, op3_counterfactual_toxicity, op5_min_bin_slack, op6_fertility_rules,
-                                 op7_dimension_scan, op9_layout_text, op10_piece_spans)}
+                                 op7_dimension_scan, op8_line_dedup, op9_layout_text, op10_piece_spans)}
 ORACLES = {"op1_url_filter": OP1_SQL}

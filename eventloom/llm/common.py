@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,3 +43,17 @@ def with_struct(df: DataFrame, value: Column, names: list[str]) -> DataFrame:
     keep = [F.col(f"`{c}`") for c in df.columns if c.lower() not in taken]
     hold = "__made"
     return df.select(*keep, value.alias(hold)).select(*keep, *[F.col(f"{hold}.{n}").alias(n) for n in names])
+
+
+def stage_bucketed(df: DataFrame, name: str, column: str) -> DataFrame:
+    """Like ``stage``, with the rows dealt by a column: joins on it move the other side only."""
+    spark = df.sparkSession
+    path = scratch(spark, name)
+    known = f"{name}_{uuid.uuid4().hex}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (df.write.format("parquet").bucketBy(buckets, column).sortBy(column).option("path", path).option("compression", "zstd")
+     .saveAsTable(known))
+    rows = spark.table(known)
+    rows.schema  # resolved here: only the name goes, the files stay
+    spark.sql(f"DROP TABLE {known}")
+    return rows
