@@ -35,6 +35,8 @@ CAPACITY = 4096
 BUFFER_TOKENS = 1 << 22
 # Padding that is left rather than cutting another document: 0.2 % of a window.
 MAX_SLACK = 8
+# Chunks and words that a worker keeps the tokens of: about 300 MB together at most.
+MAX_CHUNKS, MAX_WORDS = 300_000, 1_200_000
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary"
 
 
@@ -154,7 +156,8 @@ class Encoder:
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends_word[[k for w, k in vocabulary.items() if w.endswith("</w>")]] = True
         self.end = np.array([end], "<u4").tobytes()
-        self.chunks, self.words = Known(self.learn), Known(self.learn_words)
+        # Lower-case words are fewer than chunks and cost most to encode.
+        self.chunks, self.words = Known(self.learn, MAX_CHUNKS), Known(self.learn_words, MAX_WORDS)
 
     def encode(self, text: bytes | None) -> bytes:
         """Of a text in UTF-8."""

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.llm import bin_slack, dimension_scan, fertility, html_layout, line_dedup, pairwise_quality, pieces, toxicity, url_filter
+from eventloom.llm import bin_slack, dimension_scan, fertility, html_layout, line_dedup, order_minhash, pairwise_quality, pieces, toxicity, url_filter
 from eventloom.llm.common import table
 
 RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
@@ -55,6 +55,11 @@ def op3_counterfactual_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_scores(docs, labels).select("doc_id", "held_out", "score", "predicted")
 
 
+def op4_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return order_minhash.near_duplicates(docs).select("doc_id", "class_id", "class_texts", "keep")
+
+
 def op5_min_bin_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return bin_slack.pieces(docs, WORD_TOKENIZER, END_ID, with_ids=False).drop("ids")
@@ -87,6 +92,6 @@ def op10_piece_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(pieces.decoded("ids", PIECE_MODEL).cast("binary"), 256).alias("decoded_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op2_pairwise_quality, op3_counterfactual_toxicity, op5_min_bin_slack, op6_fertility_rules,
+QUERIES = {f.__name__: f for f in (op1_url_filter, op2_pairwise_quality, op3_counterfactual_toxicity, op4_order_minhash, op5_min_bin_slack, op6_fertility_rules,
                                  op7_dimension_scan, op8_line_dedup, op9_layout_text, op10_piece_spans)}
 ORACLES = {"op1_url_filter": OP1_SQL}
