@@ -2,26 +2,49 @@
 
 from __future__ import annotations
 
+import functools
+import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
+from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import eventloom
 from eventloom.session import scratch
 
 # Rows that an Arrow batch holds at most. Texts may be long, and a batch is in memory whole.
 BATCH_ROWS = 1000
 
 
-def arrow_settings(spark: SparkSession) -> None:
-    """Bounds the Arrow batches of every Python step planned from here on, unless they are smaller already."""
+@functools.lru_cache(maxsize=1)
+def _archive() -> str:
+    root = Path(eventloom.__file__).parent
+    path = Path(tempfile.mkdtemp(prefix="eventloom-")) / "eventloom.zip"
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as out:
+        for file in sorted(root.rglob("*.py")):
+            out.write(file, file.relative_to(root.parent))
+    return str(path)
+
+
+@functools.lru_cache(maxsize=8)
+def _sent(application: str) -> None:
+    SparkContext.getOrCreate().addPyFile(_archive())
+
+
+def python_steps(spark: SparkSession) -> None:
+    """Makes Python steps planned from here on find this package on every executor, and bounds their Arrow batches
+    unless they are smaller already."""
+    _sent(spark.sparkContext.applicationId)
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
         spark.conf.set(key, str(BATCH_ROWS))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    arrow_settings(spark)
+    python_steps(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
