@@ -326,8 +326,7 @@ class Page:
         if name == "br":
             flow.end_line()
         elif name == "table":
-            flow.block(True)
-            self.tables.append(_Table())
+            self.tables.append(_Table())  # what is between its parts still goes to the line before it
         elif name == "tr":
             self.tables[-1].rows.append([])
         elif name in ("td", "th", "caption"):

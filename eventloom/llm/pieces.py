@@ -110,22 +110,24 @@ class Encoder:
         if self.map is None and not self.squeeze and SPACE not in text:
             return (" " + text if self.prefix and text else text), None
         raw, out, align, at = text.encode(), bytearray(), [], 0
-        marked = SPACE.encode()
+        marked, after_space = SPACE.encode(), self.squeeze
         while at < len(raw):
             n, new = (self.map.longest(raw, at) if self.map else None) or self._character(raw, at)
-            new = new.replace(marked, b" ")
-            for byte in new:
-                if byte == 32 and self.squeeze and (not out or out[-1] == 32):
-                    continue
-                out.append(byte)
-                align.append(at)
+            if after_space:
+                new = new.lstrip(b" ")
+            if new:  # a space that the text marks itself is not squeezed
+                after_space = self.squeeze and new.endswith(b" ")
+                new = new.replace(marked, b" ")
+                out += new
+                align += [at] * len(new)
             at += n
-        if self.squeeze and out[-1:] == b" ":
-            del out[-1], align[-1]
-        end = align[-1:] and len(raw)
-        if self.prefix and out:
-            out[:0], align[:0] = b" ", align[:1]
-        return out.decode(), np.array([*align, end or 0])
+        end = len(raw)
+        while self.squeeze and out[-1:] == b" ":
+            end = align.pop()
+            del out[-1]
+        if self.prefix and (out or raw and not self.squeeze):
+            out[:0], align[:0] = b" ", align[:1] or [0]
+        return out.decode(), np.array([*align, end])
 
     @staticmethod
     def _character(raw: bytes, at: int) -> tuple[int, bytes]:
