@@ -15,7 +15,7 @@ from eventloom.operators import (
     agent, altsdk, backfill, clean, dedupe, fields, geo, legacy, sessions, tables, traffic, view, webtag,
 )
 from eventloom.operators.parse import parse_events, time_shift
-from eventloom.plans.etl import written
+from eventloom.session import staged
 
 QUERIES: dict[str, b.Query] = {}
 ORACLES: dict[str, str] = {}
@@ -70,7 +70,7 @@ def parsed(s, d):
 
 def stored(s, d):
     """Parsed events written once, as the batch run does before steps that read them twice."""
-    return written(parsed(s, d), "parsed")
+    return staged(parsed(s, d), "parsed")
 
 
 # ------------------------------------------------------------------- cleaning
@@ -242,10 +242,14 @@ add("field_blacklist", lambda s, d: fields.field_filter(
     b.events(s, d).select(*_SOME), fields.FieldRule("blacklist", ("geo_country", "event_id"))),
     with_base(f"SELECT {_PLAIN}, app_version FROM ev"))
 add("field_rules", lambda s, d: fields.apply_field_rules(b.events(s, d).select(*_SOME), fields.effective_rules(
-    APPS, {"app1": fields.FieldRule("whitelist", ("geo_country",))}, fields.FieldRule("blacklist", ("geo_country",)))),
+    APPS, {"app1": fields.FieldRule("whitelist", ("geo_country",))}, fields.FieldRule("blacklist", ("geo_country",))), APPS),
     with_base(f"""SELECT {_PLAIN}, CASE WHEN app_id = 'app1' THEN geo_country END AS geo_country,
   CASE WHEN app_id = 'app0' THEN app_version END AS app_version FROM ev"""))
 
+add("field_rules_one_app", lambda s, d: fields.apply_field_rules(
+    b.events(s, d).select(*_SOME), {"app1": fields.FieldRule("whitelist", ("geo_country",))}, APPS),
+    with_base(f"SELECT {_PLAIN}, geo_country, CASE WHEN app_id = 'app0' THEN app_version END AS app_version FROM ev"))
+
 # --------------------------------------------------------------------- tables
 
 add("extract_events", lambda s, d: tables.extract_events(parsed(s, d), "job-1", AT).select(
@@ -364,6 +368,17 @@ SELECT doc_id, cut AS text, octet_length(encode(text)) > 99 AS text_truncated, o
     WHERE octet_length(encode(substring(text, 1, g))) <= 99) END AS cut FROM documents)""")
 
 
+_LIMITS = {"event_id": 4, "event_name": 9, "platform": 3, "missing": 1}
+add("max_bytes_tables", lambda s, d: tables.limited(tables.extract_events(parsed(s, d), "job-1", AT), _LIMITS)[0].select(
+    "event_id", "event_name", "platform", "event_id_truncated", "event_name_truncated", "platform_truncated"), sql("""
+SELECT event_id[:4] AS event_id, name[:9] AS event_name, platform[:3] AS platform, length(event_id) > 4 AS event_id_truncated,
+  length(name) > 9 AS event_name_truncated, length(platform) > 3 AS platform_truncated FROM pe"""))
+add("max_bytes_side_output", lambda s, d: tables.limited(tables.extract_items(parsed(s, d)), {"item_id": 2, "name": 6})[1].select(
+    "event_id", "item_id", "name"), sql("""
+SELECT event_id, 'i' || (k % 10 + j) AS item_id, 'item ' || (k % 10) AS name FROM pe, (VALUES (0), (1)) t(j)
+WHERE kind = 'purchase' AND (length('i' || (k % 10 + j)) > 2 OR length('item ' || (k % 10)) > 6)"""))
+
+
 def _dup(s, d):
     from eventloom.adapt import with_duplicates
     return with_duplicates(b.events(s, d))

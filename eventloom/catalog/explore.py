@@ -54,11 +54,11 @@ def units(tz: str) -> str:
   strftime({at_}, '%Y-%m-%d') AS day, strftime({at_}, '%Y-%m-%d %H:00') AS hour"""
 
 
-def bd(names: list[str] | None, start: str, end: str, tz: str = "UTC", where: str = "TRUE",
+def picked(names: list[str] | None, start: str, end: str, tz: str = "UTC", where: str = "TRUE",
        user: str = "merged_user_id") -> str:
     listed = "TRUE" if names is None else "event_name IN (" + ",".join(f"'{n}'" for n in names) + ")"
     return f"""
-bd AS (SELECT event_id, event_name, event_timestamp, {user} AS user_pseudo_id, user_id, session_id, k, kind, platform,
+picked AS (SELECT event_id, event_name, event_timestamp, {user} AS user_pseudo_id, user_id, session_id, k, kind, platform,
   geo_country, geo_city, event_value, page_view_page_title, page_view_page_url_path, screen_view_screen_name,
   screen_view_screen_id, {units(tz)} FROM vw
   WHERE {bounds(start, end, tz)} AND {listed} AND ({where})),"""
@@ -129,20 +129,20 @@ _BASE_Q = Query(SCOPE, TZ, Conditions((_c(K, ">", 5), _c(PLATFORM, "<>", "iOS"))
 add("explore_base", lambda s, d: eb.base_data(b.user_events(s, d), _BASE_Q, eb.chosen_events(NAMES)).select(
     "event_id", "event_name", "event_timestamp", "user_pseudo_id", "user_id", "month", "week", "day", "hour"),
     with_base(f"""SELECT event_id, event_name, {clock('event_timestamp')} AS event_timestamp, user_pseudo_id, user_id,
-  month, week, day, hour FROM bd""", bd(NAMES, "2024-01-03", "2024-01-20", TZ, "k > 5 AND platform <> 'iOS'")))
+  month, week, day, hour FROM picked""", picked(NAMES, "2024-01-03", "2024-01-20", TZ, "k > 5 AND platform <> 'iOS'")))
 
 _EV = EventQuery(SCOPE, TZ, steps=(Step("_first_open", Conditions((_c(K, ">", 50),))), Step("purchase", method=EVENT_CNT)),
                  grouping=Grouping((PLATFORM, KIND)))
 add("event_analysis", lambda s, d: eb.event_analysis(b.user_events(s, d), _EV), with_base(f"""
 SELECT day AS event_date, '1__first_open' AS event_name, platform, kind AS e_kind, count(DISTINCT user_pseudo_id) AS count
-FROM bd WHERE event_name = '_first_open' AND k > 50 GROUP BY ALL
-UNION ALL SELECT day, '2_purchase', platform, kind, count(DISTINCT event_id) FROM bd WHERE event_name = 'purchase' GROUP BY ALL""",
-    bd(NAMES, "2024-01-03", "2024-01-20", TZ)))
+FROM picked WHERE event_name = '_first_open' AND k > 50 GROUP BY ALL
+UNION ALL SELECT day, '2_purchase', platform, kind, count(DISTINCT event_id) FROM picked WHERE event_name = 'purchase' GROUP BY ALL""",
+    picked(NAMES, "2024-01-03", "2024-01-20", TZ)))
 add("event_rows", lambda s, d: eb.event_rows(b.user_events(s, d), _EV), with_base("""
 SELECT DISTINCT day AS event_date, '1__first_open' AS event_name, platform, kind AS e_kind, user_pseudo_id AS x_id
-FROM bd WHERE event_name = '_first_open' AND k > 50
-UNION ALL SELECT DISTINCT day, '2_purchase', platform, kind, event_id FROM bd WHERE event_name = 'purchase'""",
-    bd(NAMES, "2024-01-03", "2024-01-20", TZ)))
+FROM picked WHERE event_name = '_first_open' AND k > 50
+UNION ALL SELECT DISTINCT day, '2_purchase', platform, kind, event_id FROM picked WHERE event_name = 'purchase'""",
+    picked(NAMES, "2024-01-03", "2024-01-20", TZ)))
 
 _VALUE = Attribute("event_value", data_type="double")
 _EP = EventQuery(SCOPE, unit="week", grouping=Grouping((PLATFORM,)), steps=(
@@ -154,12 +154,12 @@ _EP = EventQuery(SCOPE, unit="week", grouping=Grouping((PLATFORM,)), steps=(
     Step("_first_open", method=COUNT_PROPERTY, attribute=K),
     Step("_first_open"), Step("_first_open", method=EVENT_CNT)))
 add("event_property", lambda s, d: eb.event_property(b.user_events(s, d), _EP), with_base(" UNION ALL ".join(
-    f"SELECT week AS event_date, '{i}_{name}' AS event_name, platform, round(CAST({agg} AS DOUBLE), 8) AS amount FROM bd "
+    f"SELECT week AS event_date, '{i}_{name}' AS event_name, platform, round(CAST({agg} AS DOUBLE), 8) AS amount FROM picked "
     f"WHERE event_name = '{name}' GROUP BY ALL" for i, name, agg in [
         (1, "purchase", "sum(event_value)"), (2, "purchase", "median(event_value)"), (3, "purchase", "avg(k)"),
         (4, "purchase", "min(k)"), (5, "purchase", "max(k)"), (6, "_first_open", "count(DISTINCT k)"),
         (7, "_first_open", "count(DISTINCT user_pseudo_id)"), (8, "_first_open", "count(DISTINCT event_id)")]),
-    bd(NAMES, "2024-01-03", "2024-01-20")))
+    picked(NAMES, "2024-01-03", "2024-01-20")))
 
 add("event_details", lambda s, d: eb.event_details(b.events(s, d), Query(SCOPE, TZ)).select(
     "event_id", "event_name", "event_time_local", "event_date"), with_base(f"""
@@ -174,41 +174,43 @@ _NAMES = ["_first_open", _VIEWED, "purchase"]
 _F = FunnelQuery(SCOPE, TZ, steps=STEPS, window_seconds=86_400)
 
 
-def chain(window: int | None, tz: str, equal: str = "") -> str:
-    """The join chain: every start with every later chain. `equal` columns match on all steps."""
-    out = []
-    for i, s in enumerate(_NAMES):
-        cond = " AND k > 20" if i == 1 else ""
-        out.append(f"tb{i} AS (SELECT * FROM bd WHERE event_name = '{s}'{cond}),")
-    on = lambda i: (f"tb{i}.user_pseudo_id = tb{i-1}.user_pseudo_id AND tb{i}.event_timestamp > tb{i-1}.event_timestamp AND "
-                    + (f"epoch_us(tb{i}.event_timestamp) - epoch_us(tb0.event_timestamp) <= {window * 1000000}" if window else
-                       f"CAST({local(tz, f'tb{i}.event_timestamp')} AS DATE) = CAST({local(tz, f'tb{i-1}.event_timestamp')} AS DATE)")
-                    + "".join(f" AND tb{i}.{c} = tb{i-1}.{c}" for c in equal.split(",") if c))
-    out.append(f"""jt AS (SELECT tb0.month, tb0.week, tb0.day, tb0.hour, tb0.platform, tb0.geo_city,
-  tb0.event_timestamp AS t0, tb1.event_timestamp AS t1, tb2.event_timestamp AS t2,
-  tb0.event_id AS e0, tb1.event_id AS e1, tb2.event_id AS e2,
-  tb0.user_pseudo_id AS u0, tb1.user_pseudo_id AS u1, tb2.user_pseudo_id AS u2
-  FROM tb0 LEFT JOIN tb1 ON {on(1)} LEFT JOIN tb2 ON {on(2)}),""")
+def arrivals(window: int | None, tz: str, equal: str = "") -> str:
+    """`reach`: every start with the earliest time at which it can have got to each step; `seen`: every event that
+    a start gets to. An event is got to if it comes after the earliest arrival at the step before, in the start's
+    window (or on its day), with the start's `equal` columns."""
+    days = [f"CAST({local(tz, c)} AS DATE)" for c in ("h.event_timestamp", "r.t0")]
+    inside = (f"epoch_us(h.event_timestamp) - epoch_us(r.t0) <= {window * 1_000_000}" if window else f"{days[0]} = {days[1]}")
+    inside += "".join(f" AND h.{c} = r.{c}" for c in equal.split(",") if c)
+    cases = " ".join(f"WHEN event_name = '{n}'{' AND k > 20' if i == 1 else ''} THEN {i}" for i, n in enumerate(_NAMES))
+    later = f"h.user_pseudo_id = r.user_pseudo_id AND {inside}"
+    out = [f"hits AS (SELECT *, CASE {cases} END AS step FROM picked),",
+           "reach0 AS (SELECT *, event_timestamp AS t0 FROM hits WHERE step = 0),"]
+    for i in range(1, len(_NAMES)):
+        out.append(f"""reach{i} AS (SELECT r.*, f.t AS t{i} FROM reach{i - 1} r LEFT JOIN (
+  SELECT r.event_id, min(h.event_timestamp) AS t FROM reach{i - 1} r JOIN hits h
+  ON h.step = {i} AND h.event_timestamp > r.t{i - 1} AND {later} GROUP BY r.event_id) f ON f.event_id = r.event_id),""")
+    own = "r.month, r.week, r.day, r.hour, r.platform, r.geo_city"
+    out.append(f"seen AS (SELECT 0 AS at_step, {own}, r.event_id AS e, r.user_pseudo_id AS u FROM reach0 r" + "".join(
+        f"\n  UNION ALL SELECT {i}, {own}, h.event_id, h.user_pseudo_id FROM reach{i} r JOIN hits h "
+        f"ON h.step = {i} AND h.event_timestamp > r.t{i - 1} AND {later}" for i in range(1, len(_NAMES))) + "),")
     return "\n".join(out)
 
 
-_FB = bd(_NAMES, "2024-01-03", "2024-01-20", TZ)
+_FB = picked(_NAMES, "2024-01-03", "2024-01-20", TZ)
 _RATE = "round({a} / CAST(nullif({b}, 0) AS DOUBLE), 4)"
 
 
-def table(prefix: str, by: str) -> str:
-    c = [f"count(DISTINCT {prefix}{i})" for i in range(3)]
+def table(x: str, by: str) -> str:
+    c = [f"count(DISTINCT CASE WHEN at_step = {i} THEN {x} END)" for i in range(3)]
     return f"""SELECT {by}, {c[0]} AS "1__first_open", {_RATE.format(a=c[2], b=c[0])} AS total_conversion_rate,
   {c[1]} AS "2_{_VIEWED}", {_RATE.format(a=c[1], b=c[0])} AS "2_{_VIEWED}_rate",
-  {c[2]} AS "3_purchase", {_RATE.format(a=c[2], b=c[1])} AS "3_purchase_rate" FROM jt GROUP BY {by}"""
+  {c[2]} AS "3_purchase", {_RATE.format(a=c[2], b=c[1])} AS "3_purchase_rate" FROM seen GROUP BY {by}"""
 
 
-def chart(prefix: str, by: str = "") -> str:
+def chart(x: str, by: str = "") -> str:
     head = f"{by}, " if by else ""
-    group = " GROUP BY " + ", ".join(c.split(" AS ")[0] for c in by.split(", ")) if by else ""
-    return " UNION ALL ".join(
-        f"SELECT * FROM (SELECT {head}'{i + 1}_{s}' AS event_name, count(DISTINCT {prefix}{i}) AS count FROM jt{group}) WHERE count > 0"
-        for i, s in enumerate(_NAMES))
+    names = " ".join(f"WHEN {i} THEN '{i + 1}_{n}'" for i, n in enumerate(_NAMES))
+    return f"SELECT {head}CASE at_step {names} END AS event_name, count(DISTINCT {x}) AS count FROM seen GROUP BY ALL"
 
 
 def _stamp(c: str) -> str:
@@ -218,103 +220,105 @@ def _stamp(c: str) -> str:
 add("funnel_join", lambda s, d: fu.funnel_starts(b.user_events(s, d), _F).select(
     "event_id", "user_pseudo_id", "depth", F.try_element_at("reached", F.lit(2)).alias("t1"),
     F.try_element_at("reached", F.lit(3)).alias("t2")), with_base(f"""
-SELECT e0 AS event_id, u0 AS user_pseudo_id, CAST(max(CASE WHEN e2 IS NOT NULL THEN 3 WHEN e1 IS NOT NULL THEN 2 ELSE 1 END) AS BIGINT) AS depth,
-  {_stamp('min(t1)')} AS t1, {_stamp('min(t2)')} AS t2 FROM jt GROUP BY e0, u0""", _FB, chain(86400, TZ)))
+SELECT event_id, user_pseudo_id, CAST(1 + (t1 IS NOT NULL)::INT + (t2 IS NOT NULL)::INT AS BIGINT) AS depth,
+  {_stamp('t1')} AS t1, {_stamp('t2')} AS t2 FROM reach2""", _FB, arrivals(86400, TZ)))
 add("funnel_table", lambda s, d: fu.funnel_table(b.user_events(s, d), _F), with_base(
-    table("u", "day"), _FB, chain(86400, TZ)))
+    table("u", "day"), _FB, arrivals(86400, TZ)))
 add("funnel_table_events", lambda s, d: fu.funnel_table(b.user_events(s, d), dataclasses.replace(
-    _F, method=EVENT_CNT, unit="week", window_seconds=7200 * 12)), with_base(table("e", "week"), _FB, chain(7200 * 12, TZ)))
+    _F, method=EVENT_CNT, unit="week", window_seconds=7200 * 12)), with_base(table("e", "week"), _FB, arrivals(7200 * 12, TZ)))
 add("funnel_table_same_day", lambda s, d: fu.funnel_table(b.user_events(s, d), dataclasses.replace(
-    _F, window_seconds=None, unit="month")), with_base(table("u", "month"), _FB, chain(None, TZ)))
+    _F, window_seconds=None, unit="month")), with_base(table("u", "month"), _FB, arrivals(None, TZ)))
 add("funnel_chart", lambda s, d: fu.funnel_chart(b.user_events(s, d), _F), with_base(
-    chart("u"), _FB, chain(86400, TZ)))
+    chart("u"), _FB, arrivals(86400, TZ)))
 add("funnel_chart_events", lambda s, d: fu.funnel_chart(b.user_events(s, d), dataclasses.replace(_F, method=EVENT_CNT)),
-    with_base(chart("e"), _FB, chain(86400, TZ)))
+    with_base(chart("e"), _FB, arrivals(86400, TZ)))
 add("funnel_chart_days", lambda s, d: fu.funnel_chart(b.user_events(s, d), dataclasses.replace(
-    _F, method=EVENT_CNT, window_seconds=None), by_day=True), with_base(chart("e", "day AS event_date"), _FB, chain(None, TZ)))
+    _F, method=EVENT_CNT, window_seconds=None), by_day=True), with_base(chart("e", "day AS event_date"), _FB, arrivals(None, TZ)))
 add("funnel_grouped", lambda s, d: fu.funnel_table(b.user_events(s, d), dataclasses.replace(
-    _F, grouping=Grouping((PLATFORM,), "ALL"))), with_base(table("u", "day, platform"), _FB, chain(86400, TZ, equal="platform")))
+    _F, grouping=Grouping((PLATFORM,), "ALL"))), with_base(table("u", "day, platform"), _FB, arrivals(86400, TZ, equal="platform")))
 add("funnel_grouped_first", lambda s, d: fu.funnel_table(b.user_events(s, d), dataclasses.replace(
-    _F, grouping=Grouping((CITY,), "FIRST"))), with_base(table("u", "day, geo_city"), _FB, chain(86400, TZ)))
+    _F, grouping=Grouping((CITY,), "FIRST"))), with_base(table("u", "day, geo_city"), _FB, arrivals(86400, TZ)))
 add("funnel_grouped_first_events", lambda s, d: fu.funnel_chart(b.user_events(s, d), dataclasses.replace(
     _F, method=EVENT_CNT, grouping=Grouping((CITY,), "FIRST")), by_day=True), with_base(
-    chart("e", "day AS event_date, geo_city"), _FB, chain(86400, TZ)))
+    chart("e", "day AS event_date, geo_city"), _FB, arrivals(86400, TZ)))
+
+_SEVEN = ("_first_open", "_screen_view", "_session_start", "_click", "_screen_view", "purchase", "_screen_view")
+add("funnel_seven_steps", lambda s, d: fu.funnel_starts(b.user_events(s, d), FunnelQuery(
+    SCOPE, TZ, steps=tuple(Step(n) for n in _SEVEN), window_seconds=10 * 86_400)).select("event_id", "depth"), with_base("""
+SELECT event_id, CAST(1 + """ + " + ".join(f"(t{i} IS NOT NULL)::INT" for i in range(1, 7)) + """ AS BIGINT) AS depth FROM a6""",
+    picked(sorted({*_SEVEN}), "2024-01-03", "2024-01-20", TZ), "a0 AS (SELECT event_id, user_pseudo_id, event_timestamp AS t0 FROM picked "
+    "WHERE event_name = '_first_open')," + "".join(f"""
+a{i} AS (SELECT a.*, m.t AS t{i} FROM a{i - 1} a LEFT JOIN (SELECT a.event_id, min(n.event_timestamp) AS t FROM a{i - 1} a JOIN picked n
+  ON n.user_pseudo_id = a.user_pseudo_id AND n.event_name = '{name}' AND n.event_timestamp > a.t{i - 1}
+  AND epoch_us(n.event_timestamp) - epoch_us(a.t0) <= 864000000000 GROUP BY a.event_id) m ON m.event_id = a.event_id),"""
+    for i, name in enumerate(_SEVEN) if i)))
 
 # --------------------------------------------------------------------- paths
 
 
-def edges(keys: str, anchor: str, x: str, source: str = "mid", steps: int = 5) -> str:
-    """Rows of `source` (name, event_date, ids, ts) as edges, by joining ranked rows to themselves."""
-    eq = " AND ".join(f"a.{k.strip()} = z.{k.strip()}" for k in keys.split(","))
-    return f""",
-ranked AS (SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY event_timestamp, event_id, name) AS s FROM {source}),
-anchors AS (SELECT {keys}, min(s) AS least FROM ranked WHERE name = '{anchor}' GROUP BY {keys}),
-tail AS (SELECT a.*, row_number() OVER (PARTITION BY {', '.join('a.' + k.strip() for k in keys.split(','))} ORDER BY a.s) AS step
-  FROM ranked a JOIN anchors z ON {eq} AND a.s >= z.least)
-SELECT a.event_date, a.name || '_' || a.step AS source,
-  CASE WHEN z.name IS NOT NULL THEN z.name || '_' || (a.step + 1) ELSE 'lost_' || (a.step + 1) END AS target, a.{x} AS x_id
-FROM tail a LEFT JOIN tail z ON {eq} AND z.step = a.step + 1 WHERE a.step + 1 <= {steps}"""
-
-
-def path_sql(base_cte: str, mid: str, keys: str, anchor: str, x: str = "user_pseudo_id", extra: str = "",
-             source: str = "mid", steps: int = 5) -> str:
-    body = edges(keys, anchor, x, source, steps)
-    return with_base("SELECT 1", base_cte, mid, extra).removesuffix("\nSELECT 1") + body
-
-
-def mid(name: str, source: str = "bd", where: str = "TRUE") -> str:
-    return (f"mid AS (SELECT event_id, event_timestamp, user_pseudo_id, session_id, day AS event_date, {name} AS name "
-            f"FROM {source} WHERE {where}),")
+def path_sql(rows: str, keys: str, anchor: str, x: str = "user_pseudo_id", name: str = "event_name", named: str = "picked",
+             steps: int = 5) -> str:
+    """Edges read off the list of each key's events, from its first anchor on."""
+    return with_base(f"""SELECT walk[i].event_date AS event_date, walk[i].name || '_' || i AS source,
+  CASE WHEN i < len(walk) THEN walk[i + 1].name ELSE 'lost' END || '_' || (i + 1) AS target, walk[i].{x} AS x_id
+FROM (SELECT walk, unnest(range(1, least(len(walk), {steps - 1}) + 1)) AS i FROM walks)""", rows, f"""
+lists AS (SELECT list({{'name': {name}, 'event_date': day, 'user_pseudo_id': user_pseudo_id, 'event_id': event_id}}
+  ORDER BY event_timestamp, event_id, {name}) AS items, list({name} ORDER BY event_timestamp, event_id, {name}) AS names
+  FROM {named} GROUP BY {keys}),
+walks AS (SELECT items[list_position(names, '{anchor}'):] AS walk FROM lists WHERE list_contains(names, '{anchor}')),""")
 
 
 def bursts(lag: int) -> str:
-    """Break flags on the row before a gap and their running sum."""
-    order = "PARTITION BY user_pseudo_id ORDER BY event_timestamp, event_id, name"
-    return f"""brk AS (SELECT *, CASE WHEN epoch_us(lead(event_timestamp) OVER ({order})) - epoch_us(event_timestamp) < {lag * 1000000}
-    THEN 0 ELSE 1 END AS flag FROM mid),
-grp AS (SELECT *, sum(flag) OVER ({order} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS gid FROM brk),"""
+    """`grouped`: events with the number of pauses up to and including their own. An event starts a pause if no other
+    event of the user follows within the lag."""
+    return f"""pauses AS (SELECT user_pseudo_id, event_timestamp FROM picked a WHERE NOT EXISTS (SELECT 1 FROM picked z
+  WHERE z.user_pseudo_id = a.user_pseudo_id AND z.event_timestamp > a.event_timestamp
+  AND epoch_us(z.event_timestamp) - epoch_us(a.event_timestamp) < {lag * 1_000_000})),
+grouped AS (SELECT a.*, coalesce(n, 0) AS burst FROM picked a LEFT JOIN (SELECT a.event_id, count(*) AS n FROM picked a JOIN pauses p
+  ON p.user_pseudo_id = a.user_pseudo_id AND p.event_timestamp <= a.event_timestamp GROUP BY a.event_id) c ON c.event_id = a.event_id),"""
 
 
 _PN = ["_first_open", "_session_start", "purchase", "_screen_view"]
 _PSTEPS = tuple(Step(n) for n in _PN)
-_PB = bd(_PN, "2024-01-03", "2024-01-20", TZ)
+_PB = picked(_PN, "2024-01-03", "2024-01-20", TZ)
+_PO = picked(None, "2024-01-03", "2024-01-20", TZ, "event_name NOT IN ('_session_start','_screen_view','_app_exception','_page_view','_click')")
 _P = PathQuery(SCOPE, TZ, steps=_PSTEPS, max_step=6)
 _SK = "user_pseudo_id, session_id"
-add("path_session", lambda s, d: pa.event_path(b.user_events(s, d), _P),
-    path_sql(_PB, mid("event_name"), _SK, "_first_open", steps=6))
+add("path_session", lambda s, d: pa.event_path(b.user_events(s, d), _P), path_sql(_PB, _SK, "_first_open", steps=6))
 add("path_session_events", lambda s, d: pa.path_counts(pa.event_path(b.user_events(s, d), dataclasses.replace(
     _P, method=EVENT_CNT, steps=(Step("_first_open"),), max_step=5))),
-    "SELECT event_date, source, target, count(DISTINCT x_id) AS count FROM (" + path_sql(
-        bd(None, "2024-01-03", "2024-01-20", TZ, "event_name NOT IN ('_session_start','_screen_view','_app_exception','_page_view','_click')"),
-        mid("event_name"), _SK, "_first_open", "event_id") + ") GROUP BY ALL")
+    "SELECT event_date, source, target, count(DISTINCT x_id) AS count FROM (" + path_sql(_PO, _SK, "_first_open", "event_id") + ") GROUP BY ALL")
 _GAP = dataclasses.replace(_P, by="gap", lag_seconds=20 * 3600, max_step=5)
 add("path_gap", lambda s, d: pa.event_path(b.user_events(s, d), _GAP),
-    path_sql(_PB, mid("event_name"), "user_pseudo_id, gid", "_first_open", extra=bursts(72000), source="grp"))
+    path_sql(_PB + bursts(72000), "user_pseudo_id, burst", "_first_open", named="grouped"))
 add("path_other", lambda s, d: pa.event_path(b.user_events(s, d), dataclasses.replace(
-    _P, steps=(Step("_first_open"), Step("purchase")), include_others=True, max_step=5)), path_sql(
-    bd(None, "2024-01-03", "2024-01-20", TZ, "event_name NOT IN ('_session_start','_screen_view','_app_exception','_page_view','_click')"),
-    mid("CASE WHEN event_name IN ('_first_open','purchase') THEN event_name ELSE 'other' END"), _SK, "_first_open"))
+    _P, steps=(Step("_first_open"), Step("purchase")), include_others=True, max_step=5)),
+    path_sql(_PO, _SK, "_first_open", name="CASE WHEN event_name IN ('_first_open','purchase') THEN event_name ELSE 'other' END"))
 add("path_merge", lambda s, d: pa.event_path(b.user_events(s, d), dataclasses.replace(_P, merge_repeats=True, max_step=5)),
-    path_sql(_PB, "one AS (SELECT * FROM bd QUALIFY row_number() OVER (PARTITION BY event_name, user_pseudo_id, session_id "
-             "ORDER BY event_timestamp DESC) = 1)," + mid("event_name", "one"), _SK, "_first_open"))
+    path_sql(_PB + """
+latest AS (SELECT a.* FROM picked a JOIN (SELECT event_name, user_pseudo_id, session_id, max(event_timestamp) AS t FROM picked GROUP BY ALL) m
+  ON a.event_name = m.event_name AND a.user_pseudo_id = m.user_pseudo_id AND a.session_id = m.session_id AND a.event_timestamp = m.t),""",
+             _SK, "_first_open", named="latest"))
 add("path_merge_runs", lambda s, d: pa.event_path(b.user_events(s, d), dataclasses.replace(
     _P, merge_repeats=True, max_step=5, compat=False)),
-    path_sql(_PB, "one AS (SELECT * FROM bd QUALIFY coalesce(lead(event_name) OVER (PARTITION BY user_pseudo_id, session_id "
-             "ORDER BY event_timestamp, event_id), '') <> event_name)," + mid("event_name", "one"), _SK, "_first_open"))
+    path_sql(_PB + """
+runs AS (SELECT * FROM picked QUALIFY coalesce(lead(event_name) OVER (PARTITION BY user_pseudo_id, session_id
+  ORDER BY event_timestamp, event_id), '') <> event_name),""", _SK, "_first_open", named="runs"))
 _SAME = (Step("_first_open", Conditions((_c(K, "<", 50),))), Step("_first_open", Conditions((_c(K, ">=", 30),))), Step("purchase"))
+# One scan: each event with the labels of all the steps that it matches.
 add("path_same_event", lambda s, d: pa.event_path(b.user_events(s, d), dataclasses.replace(_P, steps=_SAME, max_step=5)),
-    path_sql(bd(["_first_open", "purchase"], "2024-01-03", "2024-01-20", TZ),
-             "un AS (SELECT *, '1__first_open' AS nm FROM bd WHERE event_name = '_first_open' AND k < 50 UNION ALL "
-             "SELECT *, '2__first_open' FROM bd WHERE event_name = '_first_open' AND k >= 30 UNION ALL "
-             "SELECT *, '3_purchase' FROM bd WHERE event_name = 'purchase')," + mid("nm", "un"), _SK, "1__first_open"))
+    path_sql(picked(["_first_open", "purchase"], "2024-01-03", "2024-01-20", TZ) + """
+labelled AS (SELECT *, unnest([x FOR x IN [CASE WHEN event_name = '_first_open' AND k < 50 THEN '1__first_open' END,
+  CASE WHEN event_name = '_first_open' AND k >= 30 THEN '2__first_open' END, CASE WHEN event_name = 'purchase' THEN '3_purchase' END]
+  IF x IS NOT NULL]) AS label FROM picked),""", _SK, "1__first_open", name="label", named="labelled"))
 _N = PathQuery(SCOPE, TZ, node_type="screen_view_screen_id", nodes=("sid1",), max_step=4)
-_NB = bd(["_screen_view", "_page_view"], "2024-01-03", "2024-01-20", TZ)
+_NB = picked(["_screen_view", "_page_view"], "2024-01-03", "2024-01-20", TZ)
 add("node_path_session", lambda s, d: pa.node_path(b.user_events(s, d), _N),
-    path_sql(_NB, mid("screen_view_screen_id"), _SK, "sid1", steps=4))
+    path_sql(_NB, _SK, "sid1", name="screen_view_screen_id", steps=4))
 _N2 = dataclasses.replace(_N, nodes=("sid1", "sid2", "sid3"), include_others=True, by="gap", lag_seconds=36 * 3600, max_step=5)
-add("node_path_gap", lambda s, d: pa.node_path(b.user_events(s, d), _N2),
-    path_sql(_NB, mid("CASE WHEN screen_view_screen_id IN ('sid1','sid2','sid3') THEN screen_view_screen_id ELSE 'other' END"),
-             "user_pseudo_id, gid", "sid1", extra=bursts(36 * 3600), source="grp"))
+add("node_path_gap", lambda s, d: pa.node_path(b.user_events(s, d), _N2), path_sql(
+    _NB + bursts(36 * 3600), "user_pseudo_id, burst", "sid1", named="grouped",
+    name="CASE WHEN screen_view_screen_id IN ('sid1','sid2','sid3') THEN screen_view_screen_id ELSE 'other' END"))
 
 # ----------------------------------------------------------------- retention
 
@@ -327,8 +331,8 @@ def retention_sql(pairs, start: str, end: str, cols: str = "", link=None, shown:
         if link:
             cond += f" AND f.{link} = g.{link}"
         parts.append(f"""SELECT {c}f.event_name || '_{i}' AS grouping, CAST(f.day AS DATE) AS sd, f.user_pseudo_id AS su,
-  dl.d AS ed, g.user_pseudo_id AS eu FROM (SELECT * FROM bd WHERE {first} AND day = '{start}') f JOIN dl ON TRUE
-  LEFT JOIN (SELECT * FROM bd WHERE {back} AND day >= '{start}') g ON dl.d = CAST(g.day AS DATE)
+  dl.d AS ed, g.user_pseudo_id AS eu FROM (SELECT * FROM picked WHERE {first} AND day = '{start}') f JOIN dl ON TRUE
+  LEFT JOIN (SELECT * FROM picked WHERE {back} AND day >= '{start}') g ON dl.d = CAST(g.day AS DATE)
     AND f.user_pseudo_id = g.user_pseudo_id{cond}""")
     head = f"{cols}, " if cols else ""
     return f"""SELECT {head}grouping, {day(shown.format('sd'))} AS start_event_date, {day(shown.format('ed'))} AS event_date,
@@ -343,7 +347,7 @@ _RQ = RetentionQuery(Scope.days("2024-01-03", "2024-01-16"), TZ, pairs=(_RP, _RP
 _RNAMES = ["_first_open", "purchase", "_session_start", "_screen_view"]
 _RSQL = [("event_name = '_first_open'", "event_name = 'purchase'"),
          ("event_name = '_session_start' AND k > 10", "event_name = '_screen_view'")]
-_RB = bd(_RNAMES, "2024-01-03", "2024-01-16", TZ) + _DL.format("2024-01-03", "2024-01-16")
+_RB = picked(_RNAMES, "2024-01-03", "2024-01-16", TZ) + _DL.format("2024-01-03", "2024-01-16")
 add("explore_retention", lambda s, d: re_.retention(b.user_events(s, d), _RQ),
     with_base(retention_sql(_RSQL, "2024-01-03", "2024-01-16"), _RB))
 _RL = dataclasses.replace(_RQ, pairs=(RetentionPair(_RP.start, _RP.back, CITY, CITY),), grouping=Grouping((PLATFORM,)))
@@ -360,64 +364,59 @@ _A = AttributionQuery(SCOPE, target=_TARGET, touches=_TOUCH, touch_names=("opene
 _AN = ["_first_open", "_screen_view", "_session_start", "purchase"]
 
 
-def attribution_cte(window: str, start: str = "2024-01-03", end: str = "2024-01-20", back: int = 5) -> str:
+def credited(window: str, start: str = "2024-01-03", end: str = "2024-01-20", back: int = 5) -> str:
+    """`credit`: each touch inside the window of the conversion that follows it, with its place among that conversion's
+    touches from either end. The conversion that follows is found by an as-of lookup."""
     lo = (dt.date.fromisoformat(start) - dt.timedelta(days=back)).isoformat()
-    return bd(_AN, lo, end, user="user_pseudo_id") + f"""
-tg AS (SELECT user_pseudo_id, event_id, session_id, event_timestamp, event_value AS sum_value,
-  row_number() OVER (PARTITION BY user_pseudo_id ORDER BY event_timestamp, event_id) AS rnk
-  FROM bd WHERE event_name = 'purchase' AND k > 10),
-tp1 AS (SELECT user_pseudo_id, event_id, session_id, NULL AS label, event_timestamp FROM tg
-  UNION ALL SELECT user_pseudo_id, event_id, session_id, '1__first_open', event_timestamp FROM bd WHERE event_name = '_first_open'
-  UNION ALL SELECT user_pseudo_id, event_id, session_id, '2__screen_view', event_timestamp FROM bd WHERE event_name = '_screen_view' AND k < 70
-  UNION ALL SELECT user_pseudo_id, event_id, session_id, '3__session_start', event_timestamp FROM bd WHERE event_name = '_session_start'),
-tp3 AS (SELECT *, 1 + sum(CASE WHEN label IS NULL THEN 1 ELSE 0 END) OVER (PARTITION BY user_pseudo_id
-  ORDER BY event_timestamp, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS gid FROM tp1),
-jb AS (SELECT tg.user_pseudo_id, tg.event_id AS conversion_id, tg.event_timestamp AS conversion_time, tg.sum_value, tg.rnk,
-  tp3.event_id, tp3.event_timestamp, tp3.label, tp3.session_id, tg.session_id AS conversion_session,
-  row_number() OVER (PARTITION BY tg.user_pseudo_id, tg.rnk ORDER BY tp3.event_timestamp, tp3.event_id) AS seq
-  FROM tg JOIN tp3 ON tg.user_pseudo_id = tp3.user_pseudo_id AND tg.rnk = tp3.gid AND {window}
-  WHERE tp3.label IS NOT NULL AND tg.event_timestamp >= TIMESTAMP '{start}'),
-mb AS (SELECT user_pseudo_id, rnk, count(*) AS cnt, min(seq) AS lo, max(seq) AS hi FROM jb GROUP BY ALL),
-md AS (SELECT jb.*, cnt, lo, hi FROM jb JOIN mb USING (user_pseudo_id, rnk)),"""
-
-
-_WIN = "epoch_us(tg.event_timestamp) - epoch_us(tp3.event_timestamp) <= 432000000000"
-
-
-def attribution_sql(share: str, where: str = "TRUE") -> str:
-    return f"""SELECT t.n AS trigger_count,
-  CASE s.label WHEN '1__first_open' THEN 'opened' WHEN '3__session_start' THEN 'started' ELSE s.label END AS touch_point_name,
-  (SELECT count(*) FROM tg) AS total_conversions, a.n AS triggers_with_conversion, round(s.c, 8) AS contribution,
-  round(s.c / (SELECT sum({share}) FROM md WHERE {where}), 8) AS contribution_rate
-FROM (SELECT label, CAST(sum({share}) AS DOUBLE) AS c FROM md WHERE {where} GROUP BY label) s
-JOIN (SELECT label, count(event_id) AS n FROM tp3 GROUP BY label) t ON s.label = t.label
-JOIN (SELECT label, count(*) AS n FROM jb GROUP BY label) a ON s.label = a.label"""
-
-
-_ACTE = attribution_cte(_WIN)
+    return picked(_AN, lo, end, user="user_pseudo_id") + f"""
+sales AS (SELECT user_pseudo_id, event_id, session_id, event_timestamp, event_value FROM picked WHERE event_name = 'purchase' AND k > 10),
+touched AS (SELECT user_pseudo_id, event_id, session_id, event_timestamp, CASE event_name WHEN '_first_open' THEN '1__first_open'
+  WHEN '_screen_view' THEN '2__screen_view' ELSE '3__session_start' END AS label FROM picked
+  WHERE event_name IN ('_first_open', '_session_start') OR event_name = '_screen_view' AND k < 70),
+followed AS (SELECT touch.*, sale.event_id AS sale_id, sale.event_timestamp AS sold_at, sale.event_value AS worth
+  FROM touched touch ASOF JOIN sales sale ON touch.user_pseudo_id = sale.user_pseudo_id AND touch.event_timestamp <= sale.event_timestamp
+  WHERE {window} AND sale.event_timestamp >= TIMESTAMP '{start}'),
+credit AS (SELECT *, count(*) OVER (PARTITION BY sale_id) AS among,
+  row_number() OVER (PARTITION BY sale_id ORDER BY event_timestamp, event_id) AS place FROM followed),"""
+
+
+_WIN = "epoch_us(sale.event_timestamp) - epoch_us(touch.event_timestamp) <= 432000000000"
+
+
+def attribution_sql(share: str) -> str:
+    """Totals per label; `share` is what a touch gets of its conversion, null for those that get nothing."""
+    return f"""SELECT (SELECT count(*) FROM touched t WHERE t.label = c.label) AS trigger_count,
+  CASE c.label WHEN '1__first_open' THEN 'opened' WHEN '3__session_start' THEN 'started' ELSE c.label END AS touch_point_name,
+  (SELECT count(*) FROM sales) AS total_conversions, count(*) AS triggers_with_conversion,
+  round(CAST(sum({share}) AS DOUBLE), 8) AS contribution,
+  round(CAST(sum({share}) AS DOUBLE) / (SELECT sum({share}) FROM credit), 8) AS contribution_rate
+FROM credit c GROUP BY c.label HAVING count({share}) > 0"""
+
+
+_EVEN = "1 / CAST(among AS DOUBLE)"
+_LATEST = "CASE WHEN place = among THEN {} END"
+_POS = "CAST(CASE among WHEN 1 THEN 1.0 WHEN 2 THEN 0.5 ELSE CASE WHEN place IN (1, among) THEN 0.4 ELSE CAST(0.2 AS DOUBLE) / among END END AS DOUBLE)"
+_ACTE = credited(_WIN)
 add("attribution_base", lambda s, d: at.attribution_base(b.events(s, d), _A).drop("conversion_session", "session_id"),
-    with_base(f"""SELECT user_pseudo_id, conversion_id, {clock('conversion_time')} AS conversion_time, event_id,
-  {clock('event_timestamp')} AS event_timestamp, label, seq AS row_seq FROM jb""", _ACTE))
-add("attribution_last", lambda s, d: at.attribution(b.events(s, d), _A), with_base(attribution_sql("1.0", "seq = hi"), _ACTE))
+    with_base(f"""SELECT user_pseudo_id, sale_id AS conversion_id, {clock('sold_at')} AS conversion_time, event_id,
+  {clock('event_timestamp')} AS event_timestamp, label, place AS row_seq FROM credit""", _ACTE))
+add("attribution_last", lambda s, d: at.attribution(b.events(s, d), _A), with_base(attribution_sql(_LATEST.format("1.0")), _ACTE))
 add("attribution_first", lambda s, d: at.attribution(b.events(s, d), dataclasses.replace(_A, model="FIRST")),
-    with_base(attribution_sql("1.0", "seq = lo"), _ACTE))
+    with_base(attribution_sql("CASE WHEN place = 1 THEN 1.0 END"), _ACTE))
 add("attribution_linear", lambda s, d: at.attribution(b.events(s, d), dataclasses.replace(_A, model="LINEAR")),
-    with_base(attribution_sql("1 / CAST(cnt AS DOUBLE)"), _ACTE))
-_POS = """(CASE WHEN cnt = 1 THEN 1.0 WHEN cnt = 2 THEN 0.5 ELSE CASE WHEN seq = hi THEN 0.4 WHEN seq = lo THEN 0.4
-  ELSE CAST(0.2 AS DOUBLE) / cnt END END)"""
+    with_base(attribution_sql(_EVEN), _ACTE))
 add("attribution_position", lambda s, d: at.attribution(b.events(s, d), dataclasses.replace(_A, model="POSITION")),
-    with_base(attribution_sql(f"CAST({_POS} AS DOUBLE)"), _ACTE))
+    with_base(attribution_sql(_POS), _ACTE))
 add("attribution_value", lambda s, d: at.attribution(b.events(s, d), dataclasses.replace(
-    _A, model="LINEAR", method=SUM_VALUE, value=_VALUE)), with_base(attribution_sql("sum_value / CAST(cnt AS DOUBLE)"), _ACTE))
+    _A, model="LINEAR", method=SUM_VALUE, value=_VALUE)), with_base(attribution_sql("worth / CAST(among AS DOUBLE)"), _ACTE))
 add("attribution_value_last", lambda s, d: at.attribution(b.events(s, d), dataclasses.replace(
-    _A, method=SUM_VALUE, value=_VALUE)), with_base(attribution_sql("sum_value", "seq = hi"), _ACTE))
+    _A, method=SUM_VALUE, value=_VALUE)), with_base(attribution_sql(_LATEST.format("worth")), _ACTE))
 add("attribution_window", lambda s, d: at.attribution(b.events(s, d), dataclasses.replace(
-    _A, window="SESSION", window_seconds=None, model="LINEAR")), with_base(
-    attribution_sql("1 / CAST(cnt AS DOUBLE)"), attribution_cte("tg.session_id = tp3.session_id", back=0)))
+    _A, window="SESSION", window_seconds=None, model="LINEAR")),
+    with_base(attribution_sql(_EVEN), credited("sale.session_id = touch.session_id", back=0)))
 add("attribution_window_day", lambda s, d: at.attribution(b.events(s, d), dataclasses.replace(
     _A, window="CURRENT_DAY", window_seconds=None, model="LINEAR")), with_base(
-    attribution_sql("1 / CAST(cnt AS DOUBLE)"),
-    attribution_cte("CAST(tg.event_timestamp AS DATE) = CAST(tp3.event_timestamp AS DATE)", back=0)))
+    attribution_sql(_EVEN), credited("CAST(sale.event_timestamp AS DATE) = CAST(touch.event_timestamp AS DATE)", back=0)))
 add("attribution_scope", lambda s, d: at.touches(b.events(s, d), dataclasses.replace(
     _A, scope=Scope.days("2024-01-10", "2024-01-12"))).select("conversion_id", "event_id", "label"), with_base(
-    "SELECT conversion_id, event_id, label FROM jb", attribution_cte(_WIN, "2024-01-10", "2024-01-12")))
+    "SELECT sale_id AS conversion_id, event_id, label FROM credit", credited(_WIN, "2024-01-10", "2024-01-12")))

@@ -358,7 +358,7 @@ pc AS (SELECT app_id, category, '#' || strftime(event_timestamp, '%Y%m') AS mont
     count(*) AS n FROM pr WHERE property_value IS NOT NULL AND property_value <> '' GROUP BY ALL),
 px AS (SELECT *, row_number() OVER (PARTITION BY app_id, category, month, day_number, value_type, property_name,
     platform, event_name ORDER BY n DESC, property_value) AS rk FROM pc),"""
-add("meta_event_params", lambda s, d: metadata.event_parameters(b.events(s, d), _PRESETS, 5), with_base("""
+add("meta_event_params", lambda s, d: metadata.event_parameters(b.events(s, d), _PRESETS, 5, metadata.WIDE_LIMITS), with_base("""
 SELECT app_id, category, month, day_number, property_name, property_value, value_type, CAST(sum(n) AS BIGINT) AS count,
   string_agg(DISTINCT platform, '#|!|#' ORDER BY platform) AS platform,
   string_agg(DISTINCT event_name, '#|!|#' ORDER BY event_name) AS event_name_set

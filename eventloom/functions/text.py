@@ -24,16 +24,22 @@ def cut_bytes(c: Column, limit: int) -> Column:
     return F.when(F.octet_length(c) > limit, cut).otherwise(c)
 
 
-def max_bytes(df: DataFrame, limits: dict[str, int], flags: bool = True) -> DataFrame:
+def max_bytes(df: DataFrame, limits: dict[str, int]) -> DataFrame:
     """Truncates columns; `<column>_truncated` tells which rows were cut."""
     marks = {f"{c}_truncated": F.coalesce(F.octet_length(c) > n, F.lit(False)) for c, n in limits.items()}
-    out = df.withColumns(marks) if flags else df
-    return out.withColumns({c: cut_bytes(F.col(c), n) for c, n in limits.items()})
+    return df.withColumns(marks).withColumns({c: cut_bytes(F.col(c), n) for c, n in limits.items()})
 
 
-def any_truncated(limits: dict[str, int]) -> Column:
-    """Rows for the side output of cut records."""
+def spread_nulls(df: DataFrame, column: str, by: str = "event_id") -> Column:
+    """A text column as join key: rows without a value get keys that match nothing, many instead of one."""
+    spread = F.xxhash64(by) % 4096 if by in df.columns else F.lit(0)
+    return F.when(F.coalesce(F.col(column), F.lit("")) != "", F.col(column)).otherwise(
+        F.concat(F.lit("\x00"), spread.cast("string")))
+
+
+def too_long(limits: dict[str, int]) -> Column:
+    """Rows that would lose something to the limits."""
     hit = F.lit(False)
-    for c in limits:
-        hit = hit | F.col(f"{c}_truncated")
+    for c, n in limits.items():
+        hit = hit | F.coalesce(F.octet_length(c) > n, F.lit(False))
     return hit

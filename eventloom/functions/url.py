@@ -17,9 +17,9 @@ def decode(c: Column) -> Column:
 
 
 def with_scheme(url: Column) -> Column:
-    """Adds https:// where no scheme stands near the start; empty becomes null."""
+    """Adds https:// where the text does not start with a scheme; empty becomes null."""
     bare = F.nullif(url, F.lit(""))
-    return F.when(F.substring(bare, 1, 15).contains("://"), bare).otherwise(F.concat(F.lit("https://"), bare))
+    return F.when(bare.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*://"), bare).otherwise(F.concat(F.lit("https://"), bare))
 
 
 def _part(url: Column, part: str, pattern: str) -> Column:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from eventloom.functions.text import spread_nulls
+
 # Family and version pattern, first match wins. Fixed values.
 BROWSERS = [
     ("Edge", r"Edg(?:e|A|iOS)?/(\d+)(?:\.(\d+))?(?:\.(\d+))?"),
@@ -68,4 +70,4 @@ def parse_ua(events: DataFrame, ua: str = "ua") -> DataFrame:
         _first(u, SYSTEMS, lambda n, p: _version(u, p)).alias("device_ua_os_version"),
         device.alias("device_ua_device"), category(device).alias("device_ua_device_category"))
     kept = events.drop(*[c for c in parsed.columns if c in events.columns])
-    return kept.join(parsed, F.col(ua) == F.col("_ua"), "left").drop("_ua")
+    return kept.join(parsed, spread_nulls(kept, ua) == F.col("_ua"), "left").drop("_ua")

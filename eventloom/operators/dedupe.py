@@ -4,17 +4,26 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+def last_order(df: DataFrame, columns: list[str]) -> Column:
+    """A last key of an order: a hash over the row's plain values."""
+    plain = [f.name for f in df.schema.fields if f.name in columns and isinstance(f.dataType, T.AtomicType)
+             and not isinstance(f.dataType, T.VariantType)]
+    return F.xxhash64(*plain) if plain else F.lit(0)
 
 
 def keep_one(df: DataFrame, keys: list[str], order: list[str | Column], latest: bool = True) -> DataFrame:
     """The latest (or earliest) row per key under `order`.
 
     `max_by`/`min_by` combine before the shuffle, so a key with very many copies
-    travels as one row per map task.
+    travels as one row per map task. Equal clocks are told apart by the row's own
+    values, so a task that runs again picks the same row.
     """
     rest = [c for c in df.columns if c not in keys]
     pick = F.max_by if latest else F.min_by
-    chosen = pick(F.struct(*rest), F.struct(*order)).alias("_row")
+    chosen = pick(F.struct(*rest), F.struct(*order, last_order(df, rest))).alias("_row")
     return df.groupBy(*keys).agg(chosen).select(*[c if c in keys else f"_row.{c}" for c in df.columns])
 
 

@@ -20,6 +20,7 @@ from eventloom.functions.timeunits import day_bounds, instant, local_date, relat
 from eventloom.operators.explore.base import base_data, chosen_events, step_condition
 from eventloom.operators.explore.model import AttributionQuery, SUM_VALUE
 from eventloom.operators.ordered import next_value, running_sum
+from eventloom.session import staged
 
 CONVERSION = ["user_pseudo_id", "conversion_id", "conversion_time"]
 
@@ -54,7 +55,10 @@ def _labelled(view: DataFrame, q: AttributionQuery) -> DataFrame:
 
 def touches(view: DataFrame, q: AttributionQuery) -> DataFrame:
     """Touch points with the conversion they count for."""
-    rows = _labelled(view, q)
+    return _touches(staged(_labelled(view, q), "labelled"), q)
+
+
+def _touches(rows: DataFrame, q: AttributionQuery) -> DataFrame:
     conversion = F.when(F.col("is_target") == 1, F.struct(
         F.col("event_id").alias("conversion_id"), F.col("event_timestamp").alias("conversion_time"),
         F.col("session_id").alias("conversion_session"), "sum_value"))
@@ -103,7 +107,8 @@ def _earned(q: AttributionQuery) -> Column:
 def attribution(view: DataFrame, q: AttributionQuery) -> DataFrame:
     """Per touch point: triggers, conversions, triggers that led to one, contribution and its share."""
     at = F.struct("event_timestamp", "event_id", "label")
-    per_label = touches(view, q).groupBy(*CONVERSION, "label").agg(
+    labelled = staged(_labelled(view, q), "labelled")
+    per_label = _touches(labelled, q).groupBy(*CONVERSION, "label").agg(
         F.count(F.lit(1)).alias("n"), F.min(at).alias("first_at"), F.max(at).alias("last_at"),
         F.max("sum_value").alias("sum_value"))
     earned = per_label.withColumn("earned", _earned(q))
@@ -114,7 +119,7 @@ def attribution(view: DataFrame, q: AttributionQuery) -> DataFrame:
     shares = earned.withColumn("_share", _earned_flag(q)).groupBy("label").agg(
         F.sum("earned").alias("contribution"), F.sum("n").alias("triggers_with_conversion"), chosen
     ).where("_rows > 0").drop("_rows")
-    labelled = _labelled(view, q)
+    shares = staged(shares, "shares")  # one row per touch point, read for the total too
     triggers = labelled.groupBy("label").agg(F.count("event_id").alias("trigger_count"))
     conversions = triggers.where(F.col("label").isNull()).select("trigger_count").scalar()
     total = shares.select(F.sum("contribution")).scalar()

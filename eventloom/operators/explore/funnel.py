@@ -26,6 +26,7 @@ from eventloom.functions.timeunits import local
 from eventloom.operators.explore.base import base_data, chosen_events, group_columns, names_of, step_condition
 from eventloom.operators.explore.model import EVENT_CNT, FunnelQuery
 from eventloom.operators.ordered import first_after, greatest_before
+from eventloom.session import staged
 
 # Unit of a date label -> (truncation, format). Fixed values.
 LABELS = {"month": ("month", "yyyy-MM"), "week": ("week", "yyyy-MM-dd"),
@@ -65,7 +66,8 @@ def _joinable(rows: DataFrame, keys: list[str]) -> DataFrame:
 
 def funnel_starts(view: DataFrame, q: FunnelQuery) -> DataFrame:
     """One row per step-0 event: when its earliest chain reached each step, and how many steps that is."""
-    rows, keys, n = _events(view, q), _keys(q), len(q.steps)
+    # Each step reads the step before it several times; staged, the work grows with the steps and not with their product.
+    rows, keys, n = staged(_events(view, q), "funnel"), _keys(q), len(q.steps)
     labels = ["event_id", "user_pseudo_id", "month", "week", "day", "hour",
               *[g for g in _groups(q) if g not in keys]]
     empty = F.array().cast("array<bigint>")
@@ -81,7 +83,7 @@ def funnel_starts(view: DataFrame, q: FunnelQuery) -> DataFrame:
         ahead = first_after(both, keys, "_t", F.col("_chain"), "_next").where(F.col("_row").isNotNull())
         chains = ahead.select(*keys, "_t", "_row", F.concat(F.array("_t"), F.coalesce("_next", empty)).alias("_chain"))
         if i > 0:
-            chains = chains.drop("_row")
+            chains = staged(chains.drop("_row"), "chains")
     if q.window_seconds is not None:
         chains = chains.withColumn(
             "_chain", F.filter("_chain", lambda t: t - F.col("_t") <= q.window_seconds * SECOND))
@@ -114,7 +116,7 @@ def _reached_events(view: DataFrame, q: FunnelQuery, unit: str | None) -> DataFr
     labels nothing is copied. Groups of the start are taken from the starts the
     user has under the label.
     """
-    rows, keys, n = _events(view, q), _keys(q), len(q.steps)
+    rows, keys, n = staged(_events(view, q), "funnel"), _keys(q), len(q.steps)
     own = _groups(q) if _first_only(q) else []
     by = [*(["_label"] if unit else []), *own]
     starts = rows.where("_s0")
@@ -136,7 +138,7 @@ def _reached_events(view: DataFrame, q: FunnelQuery, unit: str | None) -> DataFr
         ok = F.col("_from").isNotNull()
         if q.window_seconds is not None:
             ok = ok & (F.col("_t") - F.col("_from") <= q.window_seconds * SECOND)
-        reached = prior.where(ok).select(*carried, F.col("_from").alias("_start"))
+        reached = staged(prior.where(ok).select(*carried, F.col("_from").alias("_start")), "reached")
         parts.append(reached.withColumn("step", F.lit(i)))
     found = functools.reduce(DataFrame.unionByName, parts)
     return found.select("step", *([F.col("_label").alias("label")] if unit else []), *_groups(q),

@@ -11,6 +11,7 @@ from eventloom.operators.explore.base import (
 )
 from eventloom.operators.explore.model import EVENT_CNT, PathQuery
 from eventloom.operators.ordered import next_value, running_sum
+from eventloom.session import staged
 
 ORDER = ["event_timestamp", "event_id", "name"]
 OTHER = "other"
@@ -76,9 +77,9 @@ def _with_bursts(rows: DataFrame, q: PathQuery) -> DataFrame:
     """
     user, rest = ["user_pseudo_id"], ["event_id", "name"]
     seconds = F.unix_micros("event_timestamp") / 1_000_000
-    ahead = next_value(rows, user, "event_timestamp", rest, F.unix_micros("event_timestamp"), "_next")
+    ahead = next_value(staged(rows, "path"), user, "event_timestamp", rest, F.unix_micros("event_timestamp"), "_next")
     wide = F.coalesce(F.col("_next") / 1_000_000 - seconds >= q.lag_seconds, F.lit(True))
-    ahead = ahead.withColumn("_break", F.when(wide, 1).otherwise(0)).drop("_next")
+    ahead = staged(ahead.withColumn("_break", F.when(wide, 1).otherwise(0)).drop("_next"), "breaks")
     summed = running_sum(ahead, user, "event_timestamp", rest, F.col("_break"), "_group")
     if not q.compat:
         summed = summed.withColumn("_group", F.col("_group") - F.col("_break"))
@@ -114,7 +115,7 @@ def _edges(rows: DataFrame, keys: list[str], anchor: str, q: PathQuery) -> DataF
 def _path(rows: DataFrame, anchor: str, q: PathQuery) -> DataFrame:
     if q.by == "session":
         return _edges(rows, ["user_pseudo_id", "session_id"], anchor, q)
-    return _edges(_with_bursts(rows, q), ["user_pseudo_id", "_group"], anchor, q)
+    return _edges(staged(_with_bursts(rows, q), "bursts"), ["user_pseudo_id", "_group"], anchor, q)
 
 
 def event_path(view: DataFrame, q: PathQuery) -> DataFrame:

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from eventloom.functions.conditions import property_column
 from eventloom.functions.timeunits import scope_dates
 from eventloom.operators.explore.base import base_data, chosen_events, group_columns, step_condition
-from eventloom.operators.explore.model import RetentionQuery
+from eventloom.operators.explore.model import RetentionPair, RetentionQuery
+from eventloom.session import staged
 
 
 def _shown(c: Column, unit: str) -> Column:
@@ -20,6 +21,10 @@ def _shown(c: Column, unit: str) -> Column:
     return F.date_trunc("month", c).cast("date") if unit == "month" else c
 
 
+def _linked(pair: RetentionPair) -> bool:
+    return pair.start_link is not None and pair.back_link is not None
+
+
 def retention(view: DataFrame, q: RetentionQuery) -> DataFrame:
     """Rate per start event and date of the range.
 
@@ -32,16 +37,21 @@ def retention(view: DataFrame, q: RetentionQuery) -> DataFrame:
     first, last = F.lit(dates[0]), F.lit(dates[-1])
     base = base_data(view, q, chosen_events(names)).withColumn("event_date", F.to_date("day"))
     groups = q.grouping.names if q.grouping else []
+    marks = []
+    for i, pair in enumerate(q.pairs):
+        marks += [step_condition(pair.start).alias(f"_s{i}"), step_condition(pair.back).alias(f"_b{i}")]
+        if _linked(pair):
+            marks += [property_column(pair.start_link).cast("string").alias(f"_ls{i}"),
+                      property_column(pair.back_link).cast("string").alias(f"_lb{i}")]
+    # Each pair reads its starters and returns; what they are chosen by is worked out once.
+    rows = staged(base.select("user_pseudo_id", "event_date", *group_columns(q.grouping), *marks), "retention")
     parts = []
     for i, pair in enumerate(q.pairs):
-        linked = pair.start_link is not None and pair.back_link is not None
-        link = lambda a: [property_column(a).cast("string").alias("_link")] if linked else []
-        cols = group_columns(q.grouping)
-        on = ["user_pseudo_id", *groups, *(["_link"] if linked else [])]
-        starts = base.where(step_condition(pair.start) & (F.col("event_date") == first)).select(
-            "user_pseudo_id", *cols, *link(pair.start_link)).distinct()
-        backs = base.where(step_condition(pair.back) & F.col("event_date").between(first, last)).select(
-            "user_pseudo_id", *cols, *link(pair.back_link), "event_date").distinct()
+        link = lambda side: [F.col(f"_l{side}{i}").alias("_link")] if _linked(pair) else []  # noqa: B023
+        on = ["user_pseudo_id", *groups, *(["_link"] if _linked(pair) else [])]
+        starts = rows.where(F.col(f"_s{i}") & (F.col("event_date") == first)).select("user_pseudo_id", *groups, *link("s")).distinct()
+        backs = rows.where(F.col(f"_b{i}") & F.col("event_date").between(first, last)).select(
+            "user_pseudo_id", *groups, *link("b"), "event_date").distinct()
         returned = starts.join(backs, on).groupBy(*groups, "event_date").agg(
             F.countDistinct("user_pseudo_id").alias("_back"))
         cohort = starts.groupBy(*groups).agg(F.countDistinct("user_pseudo_id").alias("_start"))

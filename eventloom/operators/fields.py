@@ -34,15 +34,16 @@ def effective_rules(app_ids: list[str], app_rules: dict[str, FieldRule],
     return {a: r for a, r in chosen.items() if r is not None}
 
 
-def apply_field_rules(df: DataFrame, rules: dict[str, FieldRule]) -> DataFrame:
+def apply_field_rules(df: DataFrame, rules: dict[str, FieldRule], app_ids: list[str]) -> DataFrame:
     """Per-app rules in one projection: a column is nulled for the apps that drop it.
 
-    A column every app of the data drops cannot be told from the rules alone, so
-    the column stays and is null; one common rule removes columns outright.
+    `app_ids` are the apps of the data; one without a rule keeps all columns. A rule
+    that all of them share removes columns outright, otherwise a dropped column
+    stays and is null.
     """
     if not rules:
         return df
-    if len(set(rules.values())) == 1:
+    if len(set(rules.values())) == 1 and set(app_ids) <= set(rules):
         return field_filter(df, next(iter(rules.values())))
     out = []
     for c in df.columns:

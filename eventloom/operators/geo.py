@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from eventloom.functions.text import spread_nulls
+
 GEO = ["geo_city", "geo_continent", "geo_country"]
 PREFIX = 65_536  # one bucket per /16 network
 
@@ -41,6 +43,6 @@ def geo_ip(events: DataFrame, ranges: DataFrame, ip: str = "ip") -> DataFrame:
         .groupBy("_ip").agg(F.min_by(F.struct("city", "continent", "country"),
                                      F.struct(F.col("last") - F.col("first"), F.col("first"))).alias("g"))
     )
-    out = events.join(found, F.col(ip) == F.col("_ip"), "left").drop("_ip")
+    out = events.join(found, spread_nulls(events, ip) == F.col("_ip"), "left").drop("_ip")
     old = lambda c: F.col(c) if c in events.columns else F.lit(None).cast("string")
     return out.withColumns({c: F.coalesce(F.col(f"g.{c.removeprefix('geo_')}"), old(c)) for c in GEO}).drop("g")

@@ -12,7 +12,6 @@ from eventloom.operators.dedupe import keep_one
 from eventloom.operators.parse import uri_pairs
 from eventloom.operators.webtag import mapped_name
 
-MAX_VALUE_CHARS = 2048
 VALUE = "struct<double_value:double,float_value:float,int_value:bigint,string_value:string>"
 KEY_VALUES = f"array<struct<key:string,value:{VALUE}>>"
 
@@ -36,13 +35,13 @@ KEYS = ["app_id", "user_pseudo_id"]
 
 
 def typed_value(v: Column, *more: Column) -> Column:
-    """One of double, whole number or text; objects and booleans are text."""
+    """One of double, whole number or text, whole; objects and booleans are text."""
     def build(kind: Column) -> Column:
         whole, real = kind == "BIGINT", kind.startswith("DECIMAL") | (kind == "DOUBLE") | (kind == "FLOAT")
         return F.struct(
             F.when(real, v.try_cast("double")).alias("double_value"), F.lit(None).cast("float").alias("float_value"),
             F.when(whole, v.try_cast("bigint")).alias("int_value"),
-            F.when(~whole & ~real, F.substring(value_text(v), 1, MAX_VALUE_CHARS)).alias("string_value"), *more)
+            F.when(~whole & ~real, value_text(v)).alias("string_value"), *more)
     return let(F.schema_of_variant(v), build)
 
 

@@ -6,10 +6,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 SEPARATOR = "#|!|#"
-# Properties that keep 50 values whatever the limit. Fixed values.
-WIDE_PROPERTIES = ["page_view_page_title", "page_view_page_url", "screen_view_screen_name", "screen_view_screen_id"]
-WIDE_LIMIT = 50
-MAX_VALUE_CHARS = 100
+# Properties of which more values are usually shown, for `limits`. Fixed values.
+WIDE_LIMITS = {"page_view_page_title": 50, "page_view_page_url": 50, "screen_view_screen_name": 50, "screen_view_screen_id": 50}
 
 
 def _day(df: DataFrame) -> DataFrame:
@@ -21,8 +19,11 @@ def _joined(name: str):
     return F.array_join(F.array_sort(F.collect_set(name)), SEPARATOR)
 
 
-def event_parameters(events: DataFrame, presets: dict[str, tuple[str, str]], limit: int = 20) -> DataFrame:
-    """Top values per day, platform, event and property.
+def event_parameters(events: DataFrame, presets: dict[str, tuple[str, str]], limit: int = 20,
+                     limits: dict[str, int] | None = None) -> DataFrame:
+    """The `limit` most frequent values per day, platform, event and property; `limits` names properties with another limit.
+
+    Values are counted whole, however long.
 
     `presets` maps a column to its (category, value type); custom parameters come
     from the map column. One scan unpivots all of them; counting combines on the
@@ -31,7 +32,7 @@ def event_parameters(events: DataFrame, presets: dict[str, tuple[str, str]], lim
     """
     entry = lambda cat, name, value, kind, event: F.struct(
         F.lit(cat).alias("category"), name.alias("property_name"),
-        F.substring(value.cast("string"), 1, MAX_VALUE_CHARS).alias("property_value"),
+        value.cast("string").alias("property_value"),
         kind.alias("value_type"), event.alias("event_name"))
     fixed = F.array(*[entry(cat, F.lit(c), F.col(c), F.lit(kind), F.lit("")) for c, (cat, kind) in presets.items()])
     custom = F.transform(
@@ -50,9 +51,12 @@ def event_parameters(events: DataFrame, presets: dict[str, tuple[str, str]], lim
     rank = F.row_number().over(
         Window.partitionBy("app_id", "category", "month", "day_number", "value_type", "property_name",
                            "platform", "event_name").orderBy(F.desc("n"), "property_value"))
-    widest = max(limit, WIDE_LIMIT)
-    top = counts.withColumn("_rank", rank).where(F.col("_rank") <= widest)
-    top = top.where((F.col("_rank") <= limit) | F.col("property_name").isin(WIDE_PROPERTIES))
+    limits = limits or {}
+    top = counts.withColumn("_rank", rank).where(F.col("_rank") <= max([limit, *limits.values()]))
+    allowed = F.lit(limit)
+    for name, n in limits.items():
+        allowed = F.when(F.col("property_name") == name, n).otherwise(allowed)
+    top = top.where(F.col("_rank") <= allowed)
     return top.groupBy("app_id", "category", "month", "day_number", "property_name", "property_value",
                        "value_type").agg(
         F.sum("n").alias("count"), _joined("platform").alias("platform"),
@@ -82,14 +86,14 @@ def user_attributes(users: DataFrame, limit: int = 20) -> DataFrame:
 def user_attribute_rows(users: DataFrame, columns: list[str]) -> DataFrame:
     """Unpivots outer user columns and the property map (when present) to one row per attribute."""
     outer = [F.struct(F.lit("user_outer").alias("category"), F.lit(c).alias("property_name"),
-                      F.substring(F.col(c).cast("string"), 1, MAX_VALUE_CHARS).alias("property_value"),
+                      F.col(c).cast("string").alias("property_value"),
                       F.lit("string").alias("value_type")) for c in columns]
     entries = F.array(*outer)
     if "user_properties" in users.columns:
         entries = F.concat(entries, F.coalesce(F.transform(
             F.map_entries("user_properties"),
             lambda e: F.struct(F.lit("user").alias("category"), e["key"].alias("property_name"),
-                               F.substring(e["value"]["value"], 1, MAX_VALUE_CHARS).alias("property_value"),
+                               e["value"]["value"].alias("property_value"),
                                e["value"]["type"].alias("value_type"))), F.array_repeat(outer[0], 0)))
     return users.select(F.explode(entries).alias("p")).select("p.*")
 

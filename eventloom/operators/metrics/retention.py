@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from eventloom.functions.timeunits import local_date, msec_date
 
+# Reported by default.
 MAX_DAYS = 42
 MAX_WEEKS = 12
 
@@ -41,13 +42,13 @@ def _drop_late(base: DataFrame, diff: str) -> DataFrame:
     return base.withColumn("_least", seen).where(F.col("_least") <= 0).drop("_least")
 
 
-def retention_daily(view: DataFrame, users: DataFrame | None = None) -> DataFrame:
+def retention_daily(view: DataFrame, users: DataFrame | None = None, days: int = MAX_DAYS) -> DataFrame:
     active = view.select("app_id", "user_pseudo_id", "platform",
                          F.to_date("event_timestamp").alias("event_date")).distinct()
     base = (
         active.join(_first_touch(view, users), "user_pseudo_id")
         .withColumn("day_number", F.datediff("event_date", "first_date"))
-        .where(F.col("day_number").between(0, MAX_DAYS))
+        .where(F.col("day_number").between(0, days))
     )
     keys = ["app_id", "platform", "cohort_date"]
     counts = (
@@ -62,21 +63,21 @@ def _week(c: Column) -> Column:
     return F.date_trunc("week", c).cast("date")
 
 
-def retention_weekly(view: DataFrame, users: DataFrame | None = None) -> DataFrame:
+def retention_weekly(view: DataFrame, users: DataFrame | None = None, weeks: int = MAX_WEEKS) -> DataFrame:
     active = view.select("app_id", "user_pseudo_id", "platform",
                          _week(F.col("event_timestamp")).alias("_active")).distinct()
     first = _first_touch(view, users).select("user_pseudo_id", _week(F.col("first_date")).alias("cohort_date"))
     counts = (
         active.join(first, "user_pseudo_id")
         .withColumn("week_number", F.floor(F.datediff("_active", "cohort_date") / 7).cast("int"))
-        .where(F.col("week_number").between(0, MAX_WEEKS))
+        .where(F.col("week_number").between(0, weeks))
         .groupBy("app_id", "platform", "cohort_date", "week_number")
         .agg(F.countDistinct("user_pseudo_id").alias("retained_users"))
     )
     return _with_cohort(counts, ["app_id", "platform", "cohort_date"], "week_number")
 
 
-def retention_base(view: DataFrame, tz: str = "UTC") -> DataFrame:
+def retention_base(view: DataFrame, tz: str = "UTC", days: int = MAX_DAYS) -> DataFrame:
     """Distinct user, platform, first day and day offset; `view` carries first_touch_time_msec."""
     first = F.timestamp_seconds(F.floor(F.col("first_touch_time_msec") / 1000))
     first_date = local_date(first, tz)
@@ -84,7 +85,7 @@ def retention_base(view: DataFrame, tz: str = "UTC") -> DataFrame:
         view.where(F.col("first_touch_time_msec").isNotNull() & (F.col("event_timestamp") >= first))
         .select("app_id", "user_pseudo_id", "platform", first_date.alias("first_date"),
                 F.datediff(local_date("event_timestamp", tz), first_date).alias("day_diff"))
-        .where(F.col("day_diff") <= MAX_DAYS)
+        .where(F.col("day_diff") <= days)
         .distinct()
     )
 

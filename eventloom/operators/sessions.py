@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from eventloom.operators.dedupe import last_order
 from eventloom.names import DIRECT, SESSION_EVENTS, TRAFFIC_FIELDS
 
 KEYS = ["app_id", "user_pseudo_id", "session_id"]
@@ -48,7 +49,8 @@ def best_in_batch(batch: DataFrame) -> DataFrame:
     rest = [c for c in batch.columns if c not in KEYS]
     return (
         batch.groupBy(*KEYS)
-        .agg(F.min_by(F.struct(*rest), F.struct(rank, F.col("created_time"), F.col("event_timestamp"))).alias("s"))
+        .agg(F.min_by(F.struct(*rest), F.struct(
+            rank, F.col("created_time"), F.col("event_timestamp"), last_order(batch, rest))).alias("s"))
         .select(*KEYS, "s.*")
     )
 

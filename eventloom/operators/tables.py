@@ -8,14 +8,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventloom.functions.props import USER_MAP, merge, tagged, typed, variant_map, without
-from eventloom.functions.text import max_bytes
+from eventloom.functions.text import max_bytes, too_long
 from eventloom.names import FIRST_TOUCH_EVENTS, PROFILE_SET, TRAFFIC_FIELDS
 from eventloom.operators.dedupe import keep_one
 
 PARSE_ONLY = ["user_json", "items_json", "raw_page_url", "raw_page_referrer", "raw_latest_referrer"]
 USER_KEYS = ["app_id", "user_pseudo_id"]
 
-# Byte limits of the stored columns. Fixed values.
+# Byte limits for stores that cannot hold more, for `limits`; nothing is cut by default. Fixed values.
 EVENT_LIMITS = {
     "event_value_currency": 32, "event_id": 255, "event_name": 255, "device_mobile_brand_name": 255,
     "device_mobile_model_name": 255, "device_manufacturer": 255, "device_carrier": 255, "device_network_type": 255,
@@ -34,11 +34,20 @@ def add_process_info(df: DataFrame, job: str, at: dt.datetime) -> DataFrame:
         "created_time", F.lit(at).cast("timestamp"))
 
 
+def limited(rows: DataFrame, limits: dict[str, int] | None) -> tuple[DataFrame, DataFrame | None]:
+    """A table for a store with limits, and the rows that do not fit, whole, for the side output.
+
+    Every limited column gets `<column>_truncated`. Without limits the table is as it is and nothing is left out.
+    """
+    limits = {c: n for c, n in (limits or {}).items() if c in rows.columns}
+    if not limits:
+        return rows, None
+    return max_bytes(rows, limits), rows.where(too_long(limits))
+
+
 def extract_events(parsed: DataFrame, job: str, at: dt.datetime) -> DataFrame:
-    """The event table: parse helpers dropped, long text cut, process info added."""
-    rows = parsed.drop(*PARSE_ONLY)
-    limits = {c: n for c, n in EVENT_LIMITS.items() if c in rows.columns}
-    return add_process_info(max_bytes(rows, limits, flags=False), job, at)
+    """The event table: parse helpers dropped, process info added, text whole."""
+    return add_process_info(parsed.drop(*PARSE_ONLY), job, at)
 
 
 ITEM_SCHEMA = (

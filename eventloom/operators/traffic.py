@@ -11,13 +11,12 @@ from pyspark.sql import functions as F
 
 from eventloom.functions import url
 from eventloom.functions.let import let
+from eventloom.functions.text import spread_nulls
 from eventloom.names import DIRECT
 
 UNASSIGNED = "Unassigned"
 INTERNAL = "Internal"
 EMPTY = "__empty__"
-# Rule lists come from configuration files; up to this many entries they are broadcast.
-BROADCAST_RULES = 100_000
 
 # Parameter -> traffic source field. Fixed values.
 UTM = {"source": "utm_source", "medium": "utm_medium", "campaign": "utm_campaign", "content": "utm_content",
@@ -56,16 +55,15 @@ def _utm_fields(p: Column) -> Column:
 def category_rules(spark, rules: list[dict]) -> DataFrame:
     """Rules {url, source, category, params} as a relation; a repeated URL keeps its last entry."""
     last = {r["url"]: (r["url"], r["source"], r["category"], list(r.get("params", []))) for r in rules}
-    df = spark.createDataFrame(list(last.values()) or [("", None, None, [])],
-                               "url string, source string, category string, params array<string>")
-    return F.broadcast(df) if len(last) <= BROADCAST_RULES else df
+    return spark.createDataFrame(list(last.values()) or [("", None, None, [])],
+                                 "url string, source string, category string, params array<string>")
 
 
 def candidates(referrer: Column, host: Column, path: Column) -> Column:
     """Forms of a referrer under which it may be listed; `host` is not null."""
     has_path = F.coalesce((path != "") & (path != "/"), F.lit(False))
-    bare = F.when(host.startswith("www."), F.substring(host, 5, 4096))
-    # A country suffix is dropped: shop.co.uk is also looked up as shop.co.
+    bare = F.when(host.startswith("www."), F.substring(host, F.lit(5), F.length(host)))
+    # A country suffix is dropped: shop.co.uk is also looked up as shop.co. The pattern is a fixed value.
     short = lambda h: F.nullif(F.regexp_extract(h, r"^(.*\.[a-z]{2,3})\.[a-z]{2}$", 1), F.lit(""))
     rest = F.when(referrer.contains("://"), F.try_element_at(F.split(referrer, "://"), F.lit(2))).otherwise(referrer)
     forms = F.array(
@@ -103,7 +101,7 @@ def referrer_category(df: DataFrame, referrer: str, rules: DataFrame) -> DataFra
             F.coalesce(F.col("hit.category"), F.lit(UNASSIGNED)).alias("ref_category"),
             _terms(url.pairs(url.query(r)), F.col("hit.params")).alias("ref_terms"))
     )
-    return df.join(facts, F.col(referrer) == F.col("_r"), "left").drop("_r")
+    return df.join(facts, spread_nulls(df, referrer) == F.col("_r"), "left").drop("_r")
 
 
 # -------------------------------------------------------------- channel group
@@ -221,7 +219,6 @@ def traffic_source(df: DataFrame, rules: list[dict], channels: list[dict] | None
     relation = category_rules(spark, rules)
     by_source = list({r["source"]: r["category"] for r in rules}.items())
     sources = spark.createDataFrame(by_source or [(None, None)], "_listed_source string, _listed string")
-    sources = F.broadcast(sources) if len(by_source) <= BROADCAST_RULES else sources
     page, ref, latest = F.col("raw_page_url"), F.col("raw_page_referrer"), F.col("raw_latest_referrer")
     latest_host = F.col("page_view_latest_referrer_host")
     set_by_client = F.coalesce(F.col("traffic_source_source"), F.lit("")) != ""

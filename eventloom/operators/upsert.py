@@ -6,22 +6,17 @@ import datetime as dt
 import functools
 import operator
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from eventloom.operators.dedupe import keep_one
-from eventloom.session import scratch
+from eventloom.session import scratch, staged
 
 LEAST, GREATEST, ADD = "least", "greatest", "add"
 
 
-def same_keys(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
-    """Key equality in which two nulls are equal."""
-    return functools.reduce(operator.and_, [left[k].eqNullSafe(right[k]) for k in keys])
-
-
 def upsert(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
     """Target rows without a new version, and all source rows."""
     t, s = target.alias("t"), source.select(*keys).distinct().alias("s")
@@ -59,8 +54,9 @@ class MetricTable:
     """A parquet table in a folder, partitioned by date columns, changed by whole partitions.
 
     A change reads only the partitions the source touches, stages the new content
-    in the shared scratch folder and then replaces those partitions. A job that
-    dies half-way can be run again: the result only depends on its inputs.
+    in the shared scratch folder and then replaces those partitions. An upsert or
+    refresh that dies half-way can be run again with the same rows. A sum cannot:
+    `accumulate` adds its rows each time it is called.
     """
 
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType, keys: list[str], partitions: list[str]):
@@ -87,16 +83,26 @@ class MetricTable:
     def append(self, rows: DataFrame) -> None:
         rows.select(*self.schema.names).write.mode("append").partitionBy(*self.partitions).parquet(self.path)
 
+    def _source(self, rows: DataFrame) -> DataFrame:
+        """The new rows, computed once although a change reads them three times. A key must not occur twice."""
+        rows = staged(rows.select(*self.schema.names), "source")
+        twice = rows.groupBy(*self.keys).count().where("count > 1").select(*self.keys).first()
+        if twice is not None:
+            raise ValueError(f"several new rows for the key {twice.asDict()}")
+        return rows
+
     def _touched(self, source: DataFrame) -> DataFrame:
         # Dynamic partition pruning turns the semi join into a filter on the folders read.
         return self.read().join(source.select(*self.partitions).distinct(), self.partitions, "left_semi")
 
     def upsert(self, source: DataFrame) -> None:
         """Replaces matching rows and adds new ones. The partition columns belong to the key."""
-        self._replace(upsert(self._touched(source), source.select(*self.schema.names), self.keys))
+        source = self._source(source)
+        self._replace(upsert(self._touched(source), source, self.keys))
 
     def accumulate(self, source: DataFrame, combine: dict[str, str]) -> None:
-        self._replace(accumulate(self._touched(source), source.select(*self.schema.names), self.keys, combine))
+        source = self._source(source)
+        self._replace(accumulate(self._touched(source), source, self.keys, combine))
 
     def refresh_days(self, rows: DataFrame) -> None:
         """Replaces the days that occur in `rows`; one pass for all of them."""

@@ -12,7 +12,7 @@ from eventloom.operators import clean, fields, sessions, tables, traffic
 from eventloom.operators.agent import parse_ua
 from eventloom.operators.geo import geo_ip
 from eventloom.operators.parse import parse_events, time_shift
-from eventloom.session import prepare, scratch
+from eventloom.session import prepare, staged
 from eventloom.sources import ods
 from eventloom.sources.state import StateTable
 
@@ -27,12 +27,12 @@ class Chain:
     post: Step | None = None
     rules: dict[str, fields.FieldRule] = field(default_factory=dict)
 
-    def run(self, events: DataFrame) -> DataFrame:
+    def run(self, events: DataFrame, app_ids: list[str]) -> DataFrame:
         for _, step in self.steps:
             events = events.transform(step)
         if self.post is not None:
             events = events.transform(self.post)
-        return fields.apply_field_rules(events, self.rules)
+        return fields.apply_field_rules(events, self.rules, app_ids)
 
 
 @dataclass
@@ -48,13 +48,8 @@ class EtlConfig:
     ranges: DataFrame | None = None
     chain: Chain = field(default_factory=Chain)
     keep_days: int = 180
-
-
-def written(rows: DataFrame, name: str) -> DataFrame:
-    """The rows as files in the shared scratch folder."""
-    path = scratch(rows.sparkSession, name)
-    rows.write.mode("overwrite").parquet(path)
-    return rows.sparkSession.read.parquet(path)
+    # Table (event, item, user) -> byte limits per column; rows that exceed them also go whole to `<out>/truncated/<table>`.
+    limits: dict[str, dict[str, int]] = field(default_factory=dict)
 
 
 def run(spark: SparkSession, uploads: DataFrame, config: EtlConfig) -> None:
@@ -68,16 +63,22 @@ def run(spark: SparkSession, uploads: DataFrame, config: EtlConfig) -> None:
     now_msec = int(config.now.timestamp() * 1000)
     good, bad = clean.clean(uploads, config.app_ids, now_msec, config.freshness_hours)
     ods.write_rejects(bad, f"{config.out}/rejects", config.job)
-    parsed = written(parse_events(time_shift(good, now_msec, config.shift_clocks)), "parsed")
+    parsed = staged(parse_events(time_shift(good, now_msec, config.shift_clocks)), "parsed")
     # The referrer lookup reads its input twice, hence only after parsing is done.
-    parsed = written(traffic.traffic_source(parsed, config.category_rules, config.channel_rules), "sourced")
+    parsed = staged(traffic.traffic_source(parsed, config.category_rules, config.channel_rules), "sourced")
 
     events = clean.drop_bots(parse_ua(tables.extract_events(parsed, config.job, config.now)))
     if config.ranges is not None:
         events = geo_ip(events, config.ranges)
+    def store(rows: DataFrame, table: str) -> None:
+        kept, left = tables.limited(rows, config.limits.get(table))
+        ods.write_ods(kept, f"{config.out}/{table}")
+        if left is not None:
+            ods.write_ods(left, f"{config.out}/truncated/{table}")
+
     # The address and the agent text served the enrichment and are not stored.
-    ods.write_ods(config.chain.run(events).drop("ua", "ip"), f"{config.out}/event")
-    ods.write_ods(tables.extract_items(parsed), f"{config.out}/item")
+    store(config.chain.run(events, config.app_ids).drop("ua", "ip"), "event")
+    store(tables.extract_items(parsed), "item")
     ods.write_ods(sessions.extract_sessions(
         tables.add_process_info(parsed, config.job, config.now)), f"{config.out}/session")
 
@@ -85,5 +86,5 @@ def run(spark: SparkSession, uploads: DataFrame, config: EtlConfig) -> None:
     state = StateTable(spark, f"{config.out}/state/users", partials.schema, config.keep_days)
     history = state.read(config.now.date())
     users = tables.merge_user_state(partials, history)
-    ods.write_ods(tables.add_process_info(users, config.job, config.now), f"{config.out}/user")
+    store(tables.add_process_info(users, config.job, config.now), "user")
     state.append(partials, config.now.date())

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings: UTC clocks, last value wins when two maps share a key,
 # dynamic partition overwrite so that a refresh touches only its own days.
@@ -46,13 +46,24 @@ def scratch(spark: SparkSession, name: str) -> str:
     """A fresh folder under the cluster's shared checkpoint folder.
 
     The folder is read from ``spark.checkpoint.dir``. Only where nothing is
-    configured (tests on one machine) is a temporary folder made and set.
+    configured and everything runs on one machine (tests) is a temporary folder
+    made and set; executors of a cluster would each write to their own disk.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         base = getattr(scratch, "fallback", None)
         if base is None:
             base = tempfile.mkdtemp(prefix="eventloom-")
             scratch.fallback = base
             spark.sparkContext.setCheckpointDir(os.path.join(base, "checkpoints"))
     return f"{base.rstrip('/')}/eventloom/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def staged(rows: DataFrame, name: str) -> DataFrame:
+    """The rows written once under the shared scratch folder and read back: what reads them again, or loses an
+    executor, does not compute them again."""
+    path = scratch(rows.sparkSession, name)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)

@@ -14,7 +14,6 @@ RAW_SCHEMA = (
     "client_timestamp string, server_ingest_time string, hour string"
 )
 PARTITIONS = ["year", "month", "day", "hour_of_day"]
-EXPLODE_PARTITIONS = 200
 
 
 def read_raw(spark: SparkSession, paths: str | list[str], start: dt.datetime | None = None,

@@ -113,5 +113,5 @@ def test_field_rules(spark):
     assert fields.field_filter(df, white).columns == ["event_id", "event_name", "app_id", "user_pseudo_id", "platform", "x"]
     assert fields.field_filter(df, black).columns == ["event_id", "event_name", "app_id", "user_pseudo_id", "platform", "y"]
     assert fields.field_filter(df, fields.FieldRule("whitelist")).columns == df.columns[:5]
-    got = {r["app_id"]: (r["x"], r["y"]) for r in fields.apply_field_rules(df, {"a": white, "b": black}).collect()}
+    got = {r["app_id"]: (r["x"], r["y"]) for r in fields.apply_field_rules(df, {"a": white, "b": black}, ["a", "b"]).collect()}
     assert got == {"a": (1, None), "b": (None, 2), "c": (1, 2)}
