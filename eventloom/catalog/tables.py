@@ -217,6 +217,69 @@ SELECT app_id, user_id, user_pseudo_id, {day('min(event_date)')} AS first_visit_
 FROM ev GROUP BY ALL"""))
 
 
+def _rerun_upsert(s, d):
+    """The second batch dies while it replaces partitions and is run again; the first, run again later, does nothing."""
+    whole = b.events(s, d)
+    first, late = activity.dau(until(whole, MID)), activity.dau(since(whole, dt.date(2024, 1, 10)))
+    t = _table(s, first, ["app_id", "event_date", "platform"], ["event_date"])
+    t.upsert(first, "b1")
+    _dies(t, lambda: t.upsert(late, "b2"))
+    t.upsert(late, "b2")
+    t.upsert(first, "b1")
+    return t.read()
+
+
+def _dies(t, change):
+    """Runs a change up to the point where it has emptied the partitions that it was about to replace."""
+    real = t._overwrite
+    t._overwrite = lambda rows: real(rows.limit(0).unionByName(rows.limit(1)))
+    mark, t.spark = t.spark, _NoDone(t.spark)
+    try:
+        change()
+    except ConnectionError:
+        pass
+    finally:
+        t._overwrite, t.spark = real, mark
+
+
+class _NoDone:
+    """A session whose driver is lost before it can record a batch as done."""
+
+    def __init__(self, spark):
+        self.spark = spark
+
+    def __getattr__(self, name):
+        return getattr(self.spark, name)
+
+    def range(self, n):
+        raise ConnectionError("driver lost")
+
+
+add("upsert_rerun", _rerun_upsert, with_base(f"""
+SELECT app_id, {day('event_date')} AS event_date, platform, count(DISTINCT user_pseudo_id) AS user_count FROM ev GROUP BY ALL"""))
+
+
+def _rerun_accumulate(s, d):
+    """Every batch is run twice, the second dies once in between; sums count each event once."""
+    def totals(rows):
+        return rows.groupBy(F.pmod(F.xxhash64("user_pseudo_id"), F.lit(16)).alias("bucket"), "user_pseudo_id").agg(
+            F.count("*").alias("events"), F.max("event_timestamp").alias("last_seen"))
+
+    whole = b.events(s, d)
+    first, later = totals(until(whole, MID)), totals(since(whole, MID))
+    t, how = _table(s, first, ["bucket", "user_pseudo_id"], ["bucket"]), {"events": ups.ADD, "last_seen": ups.GREATEST}
+    t.accumulate(first, how, "b1")
+    t.accumulate(first, how, "b1")
+    _dies(t, lambda: t.accumulate(later, how, "b2"))
+    t.accumulate(later, how, "b2")
+    t.accumulate(later, how, "b2")
+    return t.read().drop("bucket")
+
+
+add("accumulate_rerun", _rerun_accumulate, with_base(f"""
+SELECT user_pseudo_id, count(*) AS events, {clock('max(event_timestamp)')} AS last_seen FROM ev GROUP BY user_pseudo_id"""))
+
+
 def _dedup(s, d):
     """Corrected copies of every tenth event replace the stored ones."""
     whole = with_duplicates(b.events(s, d)).select("event_id", "event_timestamp", "event_value", "created_time").withColumn(
@@ -245,7 +308,8 @@ def _refresh(s, d):
 add("refresh_days", _refresh, with_base(f"""
 SELECT app_id, {day('event_date')} AS event_date, platform,
   count(DISTINCT CASE WHEN event_name <> 'purchase' OR event_date BETWEEN DATE '2024-01-21' AND DATE '2024-01-25' THEN event_id END) AS event_count,
-  count(DISTINCT CASE WHEN event_name IN ('_page_view','_screen_view') THEN event_id END) AS view_count FROM ev GROUP BY app_id, ev.event_date, platform"""))
+  count(DISTINCT CASE WHEN event_name IN ('_page_view','_screen_view') THEN event_id END) AS view_count FROM ev GROUP BY app_id, ev.event_date, platform
+HAVING event_count > 0"""))
 
 
 def _create(s, d):

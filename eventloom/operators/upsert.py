@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import functools
 import operator
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from eventloom.operators.dedupe import keep_one
-from eventloom.session import scratch, staged
+from eventloom.session import exists, staged
 
 LEAST, GREATEST, ADD = "least", "greatest", "add"
 
@@ -54,9 +55,14 @@ class MetricTable:
     """A parquet table in a folder, partitioned by date columns, changed by whole partitions.
 
     A change reads only the partitions the source touches, stages the new content
-    in the shared scratch folder and then replaces those partitions. An upsert or
-    refresh that dies half-way can be run again with the same rows. A sum cannot:
-    `accumulate` adds its rows each time it is called.
+    in the shared scratch folder and then replaces those partitions.
+
+    With a `batch` id a change happens once. Its content is staged under the table
+    and recorded as complete before the first partition is touched, and as done
+    after the last. Run again, a batch that is done does nothing, one that died
+    while it replaced partitions replaces them from what it had staged, and one that
+    died earlier starts anew. Without an id, `accumulate` adds each time it is called
+    and a job that dies while it replaces partitions may leave some of them empty.
     """
 
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType, keys: list[str], partitions: list[str]):
@@ -71,12 +77,21 @@ class MetricTable:
                 raise
             return self.spark.createDataFrame([], self.schema)
 
-    def _replace(self, rows: DataFrame) -> None:
-        """Overwrites exactly the partitions that occur in `rows`."""
-        staged = scratch(self.spark, "stage")
-        rows.select(*self.schema.names).write.mode("overwrite").parquet(staged)
-        (self.spark.read.schema(self.schema).parquet(staged)
-         .hint("rebalance", *self.partitions)
+    def _replace(self, rows: Callable[[], DataFrame], batch: str | None) -> None:
+        """Overwrites exactly the partitions that occur in the rows."""
+        if batch is None:
+            self._overwrite(staged(rows().select(*self.schema.names), "stage"))
+            return
+        content, done = f"{self.path}/_batches/{batch}/content", f"{self.path}/_batches/{batch}/done"
+        if exists(self.spark, done):
+            return
+        if not exists(self.spark, f"{content}/_SUCCESS"):
+            rows().select(*self.schema.names).write.mode("overwrite").parquet(content)
+        self._overwrite(self.spark.read.schema(self.schema).parquet(content))
+        self.spark.range(1).write.mode("overwrite").parquet(done)
+
+    def _overwrite(self, rows: DataFrame) -> None:
+        (rows.hint("rebalance", *self.partitions)
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(*self.partitions).parquet(self.path))
 
@@ -95,18 +110,24 @@ class MetricTable:
         # Dynamic partition pruning turns the semi join into a filter on the folders read.
         return self.read().join(source.select(*self.partitions).distinct(), self.partitions, "left_semi")
 
-    def upsert(self, source: DataFrame) -> None:
+    def upsert(self, source: DataFrame, batch: str | None = None) -> None:
         """Replaces matching rows and adds new ones. The partition columns belong to the key."""
-        source = self._source(source)
-        self._replace(upsert(self._touched(source), source, self.keys))
+        def rows() -> DataFrame:
+            new = self._source(source)
+            return upsert(self._touched(new), new, self.keys)
 
-    def accumulate(self, source: DataFrame, combine: dict[str, str]) -> None:
-        source = self._source(source)
-        self._replace(accumulate(self._touched(source), source, self.keys, combine))
+        self._replace(rows, batch)
 
-    def refresh_days(self, rows: DataFrame) -> None:
+    def accumulate(self, source: DataFrame, combine: dict[str, str], batch: str | None = None) -> None:
+        def rows() -> DataFrame:
+            new = self._source(source)
+            return accumulate(self._touched(new), new, self.keys, combine)
+
+        self._replace(rows, batch)
+
+    def refresh_days(self, rows: DataFrame, batch: str | None = None) -> None:
         """Replaces the days that occur in `rows`; one pass for all of them."""
-        self._replace(rows)
+        self._replace(lambda: rows, batch)
 
 
 def merge_into(source: DataFrame, table: str, keys: list[str]) -> None:

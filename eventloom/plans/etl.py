@@ -83,7 +83,7 @@ def run(spark: SparkSession, uploads: DataFrame, config: EtlConfig) -> None:
         tables.add_process_info(parsed, config.job, config.now)), f"{config.out}/session")
 
     partials = tables.partial_users(tables.user_rows(parsed))
-    state = StateTable(spark, f"{config.out}/state/users", partials.schema, config.keep_days)
+    state = StateTable(spark, f"{config.out}/state/users", partials.schema, config.keep_days, "event_timestamp")
     history = state.read(config.now.date())
     users = tables.merge_user_state(partials, history)
     store(tables.add_process_info(users, config.job, config.now), "user")

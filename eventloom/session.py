@@ -61,6 +61,13 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/eventloom/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is such a file or folder in whatever store the path names."""
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+
+
 def staged(rows: DataFrame, name: str) -> DataFrame:
     """The rows written once under the shared scratch folder and read back: what reads them again, or loses an
     executor, does not compute them again."""

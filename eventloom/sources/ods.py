@@ -43,7 +43,7 @@ def write_ods(df: DataFrame, path: str, fmt: str = "parquet", ts: str = "event_t
     """Appends by folder. The rebalance hint gathers the rows of a folder, so that files are few,
     and lets the adaptive planner cut a folder with a large share of the rows into several tasks."""
     rows = with_partitions(df, ts).hint("rebalance", *PARTITIONS)
-    writer = rows.write.mode("append").partitionBy(*PARTITIONS).option("maxRecordsPerFile", 20 * ROWS_PER_FILE)
+    writer = rows.write.mode("append").partitionBy(*PARTITIONS).option("maxRecordsPerFile", ROWS_PER_FILE)
     writer.json(path) if fmt == "json" else writer.option("compression", "snappy").parquet(path)
 
 

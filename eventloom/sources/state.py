@@ -16,13 +16,17 @@ from eventloom.operators.upsert import is_missing
 class StateTable:
     """Increments by update date under a numbered version.
 
+    Rows whose own time (`time`, a timestamp column) is older than the kept days are
+    dropped too: compaction stamps what it keeps with its own day, so the update date
+    alone would let old rows live for ever.
+
     Compaction writes the merged rows as the next version and then records it as
     committed; until then readers stay on the old one. Nothing is overwritten, so
     a lost executor or driver leaves the table readable.
     """
 
-    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, keep_days: int):
-        self.spark, self.path, self.schema, self.keep_days = spark, path, schema, keep_days
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, keep_days: int, time: str | None = None):
+        self.spark, self.path, self.schema, self.keep_days, self.time = spark, path, schema, keep_days, time
 
     def _log(self, version: int) -> str:
         return f"{self.path}/log_v{version}"
@@ -45,7 +49,8 @@ class StateTable:
 
     def read(self, today: dt.date) -> DataFrame:
         """Increments of the kept days; the folders of older days are not opened."""
-        since = (today - dt.timedelta(days=self.keep_days)).strftime("%Y%m%d")
+        first = today - dt.timedelta(days=self.keep_days)
+        since = first.strftime("%Y%m%d")
         full = T.StructType(self.schema.fields + [T.StructField("update_date", T.StringType())])
         try:
             rows = self.spark.read.schema(full).parquet(self._log(self.version()))
@@ -53,7 +58,8 @@ class StateTable:
             if not is_missing(e):
                 raise
             return self.spark.createDataFrame([], self.schema)
-        return rows.where(F.col("update_date") >= since).drop("update_date")
+        kept = rows.where(F.col("update_date") >= since).drop("update_date")
+        return kept if self.time is None else kept.where(F.col(self.time) >= F.lit(first).cast("timestamp"))
 
     def compact(self, merge: Callable[[DataFrame], DataFrame], today: dt.date) -> None:
         following = self.version() + 1

@@ -61,6 +61,38 @@ def test_state_keeps_days_and_survives_compaction(spark):
     assert names() == ["a", "b"] and s.version() == 1
 
 
+def test_state_forgets_rows_by_their_own_time(spark):
+    at = lambda n: dt.datetime(2024, 1, n, tzinfo=dt.timezone.utc)
+    rows = lambda u, n: spark.createDataFrame([("app", u, at(n))], "app_id string, u string, seen timestamp")
+    s = state.StateTable(spark, scratch(spark, "s"), rows("x", 1).schema, keep_days=10, time="seen")
+    s.append(rows("old", 3).unionByName(rows("new", 12)), at(12).date())
+    s.compact(lambda df: df, at(12).date())
+    assert [r["u"] for r in s.read(at(20).date()).collect()] == ["new"]
+
+
+def test_a_key_may_not_occur_twice_in_a_change(spark):
+    rows = spark.createDataFrame([("a", 1), ("a", 2)], "k string, v int")
+    with pytest.raises(ValueError, match="several new rows"):
+        ups.MetricTable(spark, scratch(spark, "t"), rows.schema, ["k"], ["k"]).upsert(rows)
+
+
+def test_equal_clocks_pick_the_same_row(spark):
+    from eventloom.operators.dedupe import dedupe_items
+
+    rows = [("u", "e", "i", 1, 5, f"v{k}") for k in range(50)]
+    df = spark.createDataFrame(rows, "user_pseudo_id string, event_id string, item_id string, event_timestamp int, created_time int, v string")
+    picked = {dedupe_items(df.repartition(n, "v").sortWithinPartitions(F.rand(n))).first()["v"] for n in (1, 3, 7)}
+    assert len(picked) == 1
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster(monkeypatch):
+    from types import SimpleNamespace
+
+    far = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: default), sparkContext=SimpleNamespace(master="spark://host:7077"))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch(far, "x")
+
+
 @pytest.fixture(scope="module")
 def lake(spark):
     """Two batches through the whole run: the first half of the uploads, then the second."""
