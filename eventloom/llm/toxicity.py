@@ -1,7 +1,7 @@
 """A toxicity classifier that does not take the mention of a group for toxicity.
 
-A logistic model over the words that a text contains. Words that tell toxic from other labelled documents
-are chosen by their likelihood ratio. In training every identity term of a labelled text is also swapped for
+A logistic model over the words that a text contains and over their beginnings, which hold for all forms of a
+word. Those that tell toxic from other labelled documents are chosen by their likelihood ratio. In training every identity term of a labelled text is also swapped for
 the other terms of its family, and the squared change of the score is penalised: terms of a family, with the
 neutral words among them, end up with nearly the same weight, however often some of them stand beside abuse.
 
@@ -27,7 +27,9 @@ MAX_WORDS = 1_000
 # Chance gives a word of no meaning a higher likelihood ratio once in some ten thousand.
 MIN_RATIO = 15.0
 MAX_WORD_CHARS = 64
-RIDGE = 1e-4
+RIDGE = 1e-5
+# Letters of a word's beginning.
+STEMS = (4, 5)
 SWAP_PENALTY = 10.0
 THRESHOLD = 0.7
 # Families of terms that may stand for each other in a sentence; the first of each is neutral.
@@ -48,18 +50,29 @@ FAMILIES = [
 _WORD = re.compile(r"[^\W_]+")
 
 
-def words_of(text: str | None) -> set[str]:
-    return {w for w in set(_WORD.findall((text or "").lower())) if len(w) <= MAX_WORD_CHARS}
+def marks_of(text: str | None, terms: frozenset[str]) -> set[str]:
+    """The words of a whole text and, with a star, the beginnings of those that are not identity terms: what a term
+    says is in its own weight alone, so that swapping it changes nothing else."""
+    words = set(_WORD.findall((text or "").lower()))
+    marks = {w for w in words if len(w) <= MAX_WORD_CHARS}
+    for n in STEMS:
+        marks.update({w[:n] + "*" for w in words - terms if len(w) > n})
+    return marks
+
+
+def terms_of(families: list[list[str]]) -> frozenset[str]:
+    return frozenset(t for f in families for t in f)
 
 
 @dataclass(frozen=True)
 class Model:
     weights: dict[str, float]
     bias: float
+    terms: frozenset[str] = frozenset()
 
     def probability(self, text: str | None) -> float:
         known = self.weights
-        margin = self.bias + sum(sorted(known[w] for w in known.keys() & set(_WORD.findall((text or "").lower()))))
+        margin = self.bias + sum(sorted(known[w] for w in known.keys() & marks_of(text, self.terms)))
         return float(1 / (1 + np.exp(-min(max(margin, -50.0), 50.0))))
 
 
@@ -77,7 +90,7 @@ def swaps(texts: list[set[str]], families: list[list[str]]) -> dict[tuple[str, s
 
 def fit(texts: list[set[str]], toxic: np.ndarray, families: list[list[str]] = FAMILIES, ridge: float = RIDGE,
         swap_penalty: float = SWAP_PENALTY, rounds: int = 600) -> Model:
-    """Texts as sets of chosen words. With labels of one kind only the model is that kind's share."""
+    """Texts as sets of chosen words and beginnings. With labels of one kind only the model is that kind's share."""
     n = len(texts)
     if n == 0 or len(np.unique(toxic)) < 2:
         return Model({}, 0.0 if n == 0 else 50.0 if toxic[0] == 1 else -50.0)
@@ -102,7 +115,7 @@ def fit(texts: list[set[str]], toxic: np.ndarray, families: list[list[str]] = FA
         first, second = 0.9 * first + 0.1 * whole, 0.99 * second + 0.01 * whole ** 2
         move = first / (1 - 0.9 ** step) / (np.sqrt(second / (1 - 0.99 ** step)) + 1e-9) * 0.1 * (1 - step / (rounds + 1))
         w, bias = w - move[:-1], bias - move[-1]
-    return Model(dict(zip(names, w.tolist(), strict=True)), float(bias))
+    return Model(dict(zip(names, w.tolist(), strict=True)), float(bias), terms_of(families))
 
 
 def _ratio(in_toxic, toxic, in_other, other):
@@ -117,9 +130,11 @@ def _ratio(in_toxic, toxic, in_other, other):
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", families: list[list[str]] = FAMILIES,
           max_labelled: int = MAX_LABELLED, max_words: int = MAX_WORDS) -> Model:
+    identity = terms_of(families)
+
     @F.pandas_udf("array<string>")
     def found(texts: pd.Series) -> pd.Series:
-        return pd.Series([sorted(words_of(t)) for t in texts])
+        return pd.Series([sorted(marks_of(t, identity)) for t in texts])
 
     sample = (labelled_sample(docs, labels, label, max_labelled).select("doc_id", "label", found("text").alias("words"))
               .groupBy("doc_id").agg(F.min("label").alias("label"), F.min("words").alias("words")).persist())
@@ -130,7 +145,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", families: li
             F.sum(F.col("label").cast("double")).alias("t"), F.sum(1.0 - F.col("label")).alias("o"))
         chosen = (per_word.withColumn("ratio", _ratio(F.col("t"), toxic, F.col("o"), other)).filter(F.col("ratio") >= MIN_RATIO)
                   .orderBy(F.desc("ratio"), "word").limit(max_words).select("word"))
-        terms = docs.sparkSession.createDataFrame([(t,) for t in sorted({t for f in families for t in f})], "word string")
+        terms = docs.sparkSession.createDataFrame([(t,) for t in sorted(identity)], "word string")
         kept = (sample.select("doc_id", F.explode("words").alias("word")).join(F.broadcast(chosen.union(terms).distinct()), "word")
                 .groupBy("doc_id").agg(F.collect_set("word").alias("kept")))
         rows = sample.select("doc_id", "label").join(kept, "doc_id", "left").orderBy("doc_id").collect()
