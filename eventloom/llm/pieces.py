@@ -28,6 +28,8 @@ from eventloom.llm.words import Known
 SPACE = "▁"
 _REPLACEMENT = "�"
 NAMES = ["ids", "begins", "ends"]
+# Segments that a worker keeps the pieces of: some 60 MB.
+MAX_SEGMENTS = 200_000
 
 
 class CharacterMap:
@@ -82,7 +84,7 @@ class Encoder:
         self.falls_back = model.trainer_spec.byte_fallback
         self.cuts = None if any(SPACE in p.piece.lstrip(SPACE) or "\n" in p.piece for p in model.pieces) \
             else re.compile(r" *[^ \n]+| +|\n")
-        self.known = Known(self.learn)
+        self.known = Known(self.learn, MAX_SEGMENTS)
 
     def learn(self, segments: list[str]) -> list[bytes]:
         """For each segment its ids, each with the bytes of its piece."""
