@@ -11,6 +11,8 @@ import sys
 import time
 
 from eventloom import catalog
+from eventloom.catalog.etl import old_events
+from eventloom.operators.backfill import backfill_events
 from eventloom.session import local_session
 
 HEADLINES = [
@@ -36,11 +38,18 @@ def main(keys: list[str]) -> None:
     events = spark.read.parquet(f"{sf_dir}/events.parquet").count()
     run(spark, queries["dau"], sf_dir)  # starts the executor threads
     seconds = {key: round(run(spark, queries[key], sf_dir), 3) for key in keys or HEADLINES}
+    # The published back-fill starts from stored events of the first layout. Making them from the driver's table
+    # (uploads, compression, parsing) is the fixture; it is timed apart.
+    start = time.perf_counter()
+    old = old_events(spark, sf_dir)
+    fixture = time.perf_counter() - start
+    moved = run(spark, lambda s, d: backfill_events(old), sf_dir)
     print(json.dumps({
         "metric": "headline_queries_total", "value": round(sum(seconds.values()), 3), "unit": "sec",
         "queries": seconds, "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"), "events": events,
-        # The published back-fill rate to compare with is about 17,500 events per second.
-        "backfill_events_per_sec": round(events / seconds["backfill_event"]) if "backfill_event" in seconds else None,
+        # The published rate to compare with is about 17,500 events per second.
+        "backfill": {"fixture_sec": round(fixture, 3), "sec": round(moved, 3), "events_per_sec": round(events / moved)},
+        "backfill_events_per_sec": round(events / moved),
     }))
 
 

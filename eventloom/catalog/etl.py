@@ -558,9 +558,13 @@ FROM w1 WHERE ms - 100 >= 1705104000000 AND ms - 100 < 1705276800000 GROUP BY AL
 # ------------------------------------------------------------------- back-fill
 
 
+def old_events(s, d):
+    """The first table layout as it is stored; back-fill starts from it."""
+    return staged(v1(s, d), "v1")
+
+
 def backfilled(s, d):
-    old = v1(s, d)
-    return backfill.backfill_events(old, legacy.event_parameters(old))
+    return backfill.backfill_events(old_events(s, d))
 
 
 add("backfill_event", lambda s, d: backfilled(s, d).select(
@@ -574,11 +578,19 @@ add("backfill_event", lambda s, d: backfilled(s, d).select(
 
 def _rest(s, d):
     """The events a second run still has to move when the first 15 days are done."""
-    old = v1(s, d)
-    done = backfilled(s, d).where(F.col("event_timestamp") < F.lit("2024-01-15").cast("timestamp"))
-    return backfill.backfill_events(old, legacy.event_parameters(old), done, 1_704_500_000_000).select("event_id", "session_id")
+    old = old_events(s, d)
+    done = backfill.backfill_events(old).where(F.col("event_timestamp") < F.lit("2024-01-15").cast("timestamp"))
+    return backfill.backfill_events(old, None, done, 1_704_500_000_000).select("event_id", "session_id")
+
+
+def _apart(s, d):
+    """From the table of parameters that stands beside the events."""
+    old = old_events(s, d)
+    return backfill.backfill_events(old, legacy.event_parameters(old)).select(
+        "event_id", "session_id", F.col("custom_parameters")["size"]["value"].alias("size"))
 
 
+add("backfill_event_apart", _apart, sql("SELECT event_id, session_id, CAST(k AS VARCHAR) AS size FROM pe"))
 add("backfill_event_resume", _rest, sql("""
 SELECT event_id, session_id FROM pe WHERE epoch_ms(et) >= TIMESTAMP '2024-01-15' AND et >= 1704500000000"""))
 add("backfill_user", lambda s, d: backfill.backfill_users(legacy.user_profile_v1(v1(s, d)), backfilled(s, d)).select(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from eventloom.catalog import base as b
+from eventloom.catalog import metrics
 from eventloom.catalog.base import clock, day, local, with_base
 from eventloom.functions import url
 from eventloom.functions.props import merge, typed, variant_map
@@ -124,7 +125,7 @@ def _chain(s, d):
                ("tag", lambda df: df.withColumn("app_version", F.concat("app_version", F.lit("+"), "geo_country")))],
         post=lambda df: df.where("platform <> 'iOS'"), rules={"app0": FieldRule("blacklist", ("geo_country",)),
                                                               "app1": FieldRule("blacklist", ("geo_country",))})
-    return chain.run(b.events(s, d).select(*_KEEP))
+    return chain.run(b.events(s, d).select(*_KEEP), ["app0", "app1"])
 
 
 add("enrich_chain", _chain, with_base(f"""
@@ -144,7 +145,12 @@ def _run_all(s, d):
     return out.withColumn("failed", F.lit(",".join(failures)))
 
 
-_N = {"dau": "DISTINCT (app_id, event_date, platform)", "user_behavior": "DISTINCT (app_id, user_pseudo_id)",
-      "event_daily_summary": "DISTINCT (app_id, event_date, event_name, platform, geo_country)"}
-add("run_all_metrics", lambda s, d: _run_all(s, d).where(F.col("metric").isin(list(_N))), with_base(" UNION ALL ".join(
-    f"SELECT '{m}' AS metric, count({what}) AS n, 'broken' AS failed FROM ev" for m, what in _N.items())))
+# Table -> the key whose oracle says what is in it; the content of each is compared under that key.
+_SAME = {"event_daily_summary": "event_daily", "event_hourly_summary": "event_hourly", "new_return_user": "new_return",
+         "device": "device_usage", "geo_user": "geo_new_user", "page_screen_view": "page_view", "exit": "exit_page",
+         "user_acquisition": "acquisition"}
+_OWN = {"event_name": with_base("SELECT DISTINCT app_id, event_date, platform, user_pseudo_id, event_name FROM ev"),
+        "crash_rate": with_base("SELECT DISTINCT app_id, event_date, platform, app_version, user_pseudo_id, event_name = '_app_exception' FROM ev")}
+add("run_all_metrics", _run_all, " UNION ALL ".join(
+    f"SELECT '{name}' AS metric, count(*) AS n, 'broken' AS failed FROM ({_OWN.get(name) or metrics.ORACLES[_SAME.get(name, name)]})"
+    for name in METRICS))

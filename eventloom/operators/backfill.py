@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventloom.functions.props import EVENT_MAP
@@ -39,27 +39,36 @@ PARAMETERS = {
 MOBILE_SESSION_EVENTS = ["_screen_view", "_app_end"]
 
 
-def backfill_events(old: DataFrame, params: DataFrame, done: DataFrame | None = None,
-                    since_msec: int | None = None) -> DataFrame:
-    """Wide events from nested events and long parameters.
+def _entry(key: Column, v: Column) -> Column:
+    text = F.coalesce(v["string_value"], v["double_value"].cast("string"), v["int_value"].cast("string"))
+    kind = F.when(v["string_value"].isNotNull(), "string").otherwise("number")
+    return F.struct(key.alias("key"), F.struct(text.alias("value"), kind.alias("type")).alias("value"))
+
 
-    Known parameters become columns, the others a typed map. Events already in
-    `done` are left out, so the job can stop and be run again, and `since_msec`
-    cuts the work into time windows. The parameters of an event meet in one
-    aggregation by event id; their number is bounded by the event.
+def backfill_events(old: DataFrame, params: DataFrame | None = None, done: DataFrame | None = None,
+                    since_msec: int | None = None) -> DataFrame:
+    """Wide events from nested events.
+
+    Known parameters become columns, the others a typed map. An event holds its
+    parameters, so they are read where they are and nothing is shuffled; only where
+    they are stored apart (`params`, one row per event and parameter) do they meet
+    in an aggregation by event id. Events already in `done` are left out, with their
+    parameters, so the job can stop and be run again, and `since_msec` cuts the work
+    into time windows.
     """
-    if since_msec is not None:
-        old, params = (d.where(F.col("event_timestamp") >= since_msec) for d in (old, params))
-    if done is not None:
-        old = old.join(done.select("event_id"), "event_id", "left_anti")
-    key = F.col("event_param_key")
-    text = F.coalesce("event_param_string_value", F.col("event_param_double_value").cast("string"),
-                      F.col("event_param_int_value").cast("string"))
-    kind = F.when(F.col("event_param_string_value").isNotNull(), "string").otherwise("number")
-    pairs = params.select("event_id", F.struct(key.alias("key"), F.struct(text.alias("value"), kind.alias("type")).alias("value"))
-                          .alias("p")).groupBy("event_id").agg(
-        F.map_from_entries(F.array_sort(F.collect_set("p"))).alias("_params"))
-    rows = old.join(pairs, "event_id", "left")
+    def left(rows: DataFrame) -> DataFrame:
+        rows = rows if since_msec is None else rows.where(F.col("event_timestamp") >= since_msec)
+        return rows if done is None else rows.join(done.select("event_id"), "event_id", "left_anti")
+
+    rows = left(old)
+    if params is None:
+        rows = rows.withColumn("_params", F.map_from_entries(F.array_sort(F.array_distinct(
+            F.transform("event_params", lambda p: _entry(p["key"], p["value"]))))))
+    else:
+        value = F.struct(*[F.col(f"event_param_{t}_value").alias(f"{t}_value") for t in ("string", "double", "int")])
+        pairs = left(params).select("event_id", _entry(F.col("event_param_key"), value).alias("p")).groupBy("event_id").agg(
+            F.map_from_entries(F.array_sort(F.collect_set("p"))).alias("_params"))
+        rows = rows.join(pairs, "event_id", "left")
     known = list(PARAMETERS)
     col = lambda c: F.col("_params")[c]["value"]
     empty_null = lambda c: F.nullif(c, F.lit(""))
