@@ -187,7 +187,7 @@ def _by_join(parsed: DataFrame, rules: DataFrame, default: str) -> DataFrame:
     best = (distinct.select("host", "path", F.explode(fits("host", "path")).alias("c")).select("host", "path", "c.rule", "c.own")
             .join(rules, "rule").groupBy("host", "path")
             .agg(F.max(F.struct(F.length("rule").alias("n"), "own", "rule", "blocked")).alias("b")))
-    old = [c for c in parsed.columns if c not in ("rule", "verdict")]
+    old = [c for c in parsed.columns if c.lower() not in ("rule", "verdict")]
     verdict = F.when(F.col("b.blocked") == 1, BLOCK).when(F.col("b.blocked") == 0, ALLOW).otherwise(default)
     return (parsed.select(*old).join(best, ["host", "path"], "left")
             .select(*old, F.col("b.rule").alias("rule"), verdict.alias("verdict")))
