@@ -131,20 +131,46 @@ def lines_of(docs: DataFrame, min_chars: int) -> DataFrame:
             .filter(F.length("line") >= min_chars))
 
 
+def parities(line: Column) -> Column:
+    """128 bits: which of so many classes of character pairs occur an odd number of times.
+
+    One edit takes away or brings at most four pairs, so lines within ``t`` edits differ in at most ``4 t`` bits.
+    """
+    codes = F.transform(F.split(line, ""), F.ascii)
+    pairs = F.zip_with(codes, F.slice(codes, F.lit(2), F.size(codes)), lambda x, y: F.pmod(x.cast("long") * 73 + y, F.lit(128)).cast("int"))
+
+    def half(all_: Column, k: int) -> Column:
+        def flip(bits: Column, pair: Column) -> Column:
+            own = F.call_function("shiftleft", F.lit(1).cast("long"), pair % 64)
+            return F.when(F.floor(pair / 64) == k, bits.bitwiseXOR(own)).otherwise(bits)
+
+        return F.aggregate(all_, F.lit(0).cast("long"), flip)
+
+    return let(F.filter(pairs, lambda p: p.isNotNull()), lambda all_: F.struct(half(all_, 0).alias("p0"), half(all_, 1).alias("p1")))
+
+
 def links(lines: DataFrame, edits: int) -> DataFrame:
-    """(a, b, first_a, first_b): pairs of different lines within ``edits``, out of (id, line, first)."""
+    """(a, b, first_a, first_b): pairs of different lines within ``edits``, out of (id, line, first).
+
+    Lines of one key become a pair only if their lengths and parities allow it, which the join itself tests.
+    """
     listed = lines.select("id", F.inline(keys(F.col("line"), F.length("line"), edits)))
     together = Window.partitionBy("key")
     met = (listed.withColumns({"low": F.min("id").over(together), "high": F.max("id").over(together), "owned": F.max("own").over(together)})
            .filter(F.col("owned") & (F.col("low") < F.col("high"))).select("key", "id", "own"))
     met = stage(met, "met")
-    one, two = met.filter("own").select("key", F.col("id").alias("x")), met.select("key", F.col("id").alias("y"))
-    pairs = one.join(two, "key").filter("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    signed = met.select("id").distinct().join(lines, "id").select("id", F.length("line").alias("size"), parities(F.col("line")).alias("p"))
+    met = stage(met.join(signed.select("id", "size", "p.*"), "id"), "signed")
+    one, two = (met.select("key", "own", *[F.col(c).alias(f"{c}_{x}") for c in ("id", "size", "p0", "p1")]) for x in "xy")
+    differ = sum((F.bit_count(F.col(f"{p}_x").bitwiseXOR(F.col(f"{p}_y"))) for p in ("p0", "p1")), F.lit(0))
+    near = (F.col("id_x") != F.col("id_y")) & (F.abs(F.col("size_x") - F.col("size_y")) <= edits) & (differ <= 4 * edits)
+    one = one.filter("own")
+    pairs = one.join(two, (one["key"] == two["key"]) & near).select(
+        F.least("id_x", "id_y").alias("a"), F.greatest("id_x", "id_y").alias("b")).distinct()
     first, second = (lines.select(F.col("id").alias(x), F.col("line").alias(f"line_{x}"), F.col("first").alias(f"first_{x}")) for x in "ab")
-    near = F.abs(F.length("line_a") - F.length("line_b")) <= edits
     shorter = F.length("line_a") <= F.length("line_b")
     apart = distance(F.when(shorter, F.col("line_a")).otherwise(F.col("line_b")), F.when(shorter, F.col("line_b")).otherwise(F.col("line_a")), edits)
-    return pairs.join(first, "a").join(second, "b").filter(near).filter(apart <= edits).select("a", "b", "first_a", "first_b")
+    return pairs.join(first, "a").join(second, "b").filter(apart <= edits).select("a", "b", "first_a", "first_b")
 
 
 def repeated_lines(docs: DataFrame, edits: int = MAX_EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
