@@ -1,7 +1,7 @@
 """A toxicity classifier that does not take the mention of a group for toxicity.
 
-A logistic model over the words that a text contains and over their beginnings, which hold for all forms of a
-word. Those that tell toxic from other labelled documents are chosen by their likelihood ratio. In training every identity term of a labelled text is also swapped for
+A logistic model over the words that a text contains, over their beginnings, which hold for all forms of a word,
+and over the beginnings that several of its words share and that make up a percent of the text or more. Those that tell toxic from other labelled documents are chosen by their likelihood ratio. In training every identity term of a labelled text is also swapped for
 the other terms of its family, and the squared change of the score is penalised: terms of a family, with the
 neutral words among them, end up with nearly the same weight, however often some of them stand beside abuse.
 
@@ -12,6 +12,7 @@ of chosen words; documents come to the driver as lists of chosen words only.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -28,8 +29,8 @@ MAX_WORDS = 1_000
 MIN_RATIO = 15.0
 MAX_WORD_CHARS = 64
 RIDGE = 1e-5
-# Letters of a word's beginning.
-STEMS = (4, 5)
+# Letters of a word's beginning; words of a text for each that has a frequent beginning.
+STEMS, ONE_IN = (4, 5), {"**": 100, "*+": 200}
 SWAP_PENALTY = 10.0
 THRESHOLD = 0.7
 # Families of terms that may stand for each other in a sentence; the first of each is neutral.
@@ -52,11 +53,22 @@ _WORD = re.compile(r"[^\W_]+")
 
 def marks_of(text: str | None, terms: frozenset[str]) -> set[str]:
     """The words of a whole text and, with a star, the beginnings of those that are not identity terms: what a term
-    says is in its own weight alone, so that swapping it changes nothing else."""
-    words = set(_WORD.findall((text or "").lower()))
-    marks = {w for w in words if len(w) <= MAX_WORD_CHARS}
-    for n in STEMS:
-        marks.update({w[:n] + "*" for w in words - terms if len(w) > n})
+    says is in its own weight alone, so that swapping it changes nothing else. Two signs mark frequent beginnings."""
+    counts = Counter(_WORD.findall((text or "").lower()))
+    total = counts.total()
+    marks = {w for w in counts if len(w) <= MAX_WORD_CHARS}
+    forms: dict[str, int] = {}
+    times: dict[str, int] = {}
+    for w in counts.keys() - terms:
+        for n in STEMS:
+            if len(w) > n:
+                stem = w[:n]
+                forms[stem] = forms.get(stem, 0) + 1
+                times[stem] = times.get(stem, 0) + counts[w]
+    for stem, n in forms.items():
+        marks.add(stem + "*")
+        if n > 1:
+            marks.update(stem + sign for sign, words in ONE_IN.items() if times[stem] * words >= total)
     return marks
 
 

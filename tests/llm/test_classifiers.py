@@ -66,8 +66,8 @@ def test_edges(spark, score):
     none = spark.createDataFrame([], f"doc_id long, {label} int")
     rows = score(docs, none).collect()
     assert len(rows) == 6 and {r.score for r in rows} == {0.5} and rows[0].held_out is False
-    one_kind = spark.createDataFrame([(2, 1), (None, 0), (3, None), (4, 0), (4, 1)], f"doc_id long, {label} int")
-    assert {r.predicted for r in score(docs, one_kind).collect()} == {1}
+    one_kind = spark.createDataFrame([(1, 1), (2, 0), (None, 0), (3, None), (4, 0), (4, 1)], f"doc_id long, {label} int")
+    assert {r.predicted for r in score(docs, one_kind).collect()} == {1}  # ids 2, 3 and 4 are held out
     assert score(docs.limit(0), one_kind).count() == 0
     assert [c.lower() for c in score(docs, none).columns].count("score") == 1
 
