@@ -64,4 +64,4 @@ def test_odd_rows(spark):
             now = stage(step(spark, now, SF), name)
         assert (now.count() == 0) == start.isEmpty()
     left = corpus_pipeline.near_duplicates(spark, docs, SF).collect()
-    assert collections.Counter(r.doc_id for r in left) == {1: 1, 2: 1, 3: 1, 5: 1}
+    assert collections.Counter(r.doc_id for r in left) == {1: 1, 2: 1, 3: 1}  # 5 differs from 3 in case and by one word
