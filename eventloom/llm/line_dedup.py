@@ -188,6 +188,8 @@ def repeated_lines(docs: DataFrame, edits: int = MAX_EDITS, min_chars: int = MIN
     linked = both.groupBy("id").agg(F.min("other").alias("earliest"), F.count("*").alias("degree"))
     said = (known.select("id", "n", "first").join(linked, "id", "left").filter("n > 1 or degree is not null")
             .select("id", F.least("first", F.coalesce("earliest", "first")).alias("earliest"), F.coalesce("degree", F.lit(0)).alias("degree")))
+    # Read back without its buckets: a line that very many documents hold can then be split by the adaptive join.
+    said = stage(said, "said")
     repeated = F.col("earliest") < F.struct("doc", "at")
     return (own.select("doc", "mark", "at", "id").join(said, "id").groupBy("doc", "mark")
             .agg(F.array_sort(F.collect_set(F.when(repeated, F.col("at")))).alias("repeats"), F.sum("degree").alias("n_links")))
