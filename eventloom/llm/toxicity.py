@@ -157,13 +157,11 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", families: li
             F.sum(F.col("label").cast("double")).alias("t"), F.sum(1.0 - F.col("label")).alias("o"))
         chosen = (per_word.withColumn("ratio", _ratio(F.col("t"), toxic, F.col("o"), other)).filter(F.col("ratio") >= MIN_RATIO)
                   .orderBy(F.desc("ratio"), "word").limit(max_words).select("word"))
-        terms = docs.sparkSession.createDataFrame([(t,) for t in sorted(identity)], "word string")
-        kept = (sample.select("doc_id", F.explode("words").alias("word")).join(F.broadcast(chosen.union(terms).distinct()), "word")
-                .groupBy("doc_id").agg(F.collect_set("word").alias("kept")))
-        rows = sample.select("doc_id", "label").join(kept, "doc_id", "left").orderBy("doc_id").collect()
+        known = sorted({r["word"] for r in chosen.collect()} | identity)
+        rows = sample.select("doc_id", "label", F.array_intersect("words", F.lit(known)).alias("kept")).orderBy("doc_id").collect()
     finally:
         sample.unpersist()
-    return fit([set(r["kept"] or ()) for r in rows], np.array([r["label"] for r in rows], float), families)
+    return fit([set(r["kept"]) for r in rows], np.array([r["label"] for r in rows], float), families)
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame, label: str = "toxic", families: list[list[str]] = FAMILIES,
