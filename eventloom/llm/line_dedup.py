@@ -22,6 +22,8 @@ MAX_EDITS = 2
 MIN_CHARS = 30
 # A document with more of its text in repeats is a copy as a whole; that is for document-level steps to judge.
 MAX_REPEATED = 0.5
+# With no such bound: how much of the longer of two texts lines of one earlier document must cover for a near copy.
+COPIED = 0.8
 _LAST = (1 << 63) - 1
 
 
@@ -173,46 +175,134 @@ def links(lines: DataFrame, edits: int) -> DataFrame:
     return pairs.join(first, "a").join(second, "b").filter(apart <= edits).select("a", "b", "first_a", "first_b")
 
 
-def repeated_lines(docs: DataFrame, edits: int = MAX_EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
-    """One row per document (doc, mark): ``repeats`` (numbers of the lines, from 0, that equal or come within ``edits``
-    of a line earlier in the order of doc_id and line) and ``n_links`` (other lines within ``edits``, over all its lines).
+def line_links(known: DataFrame, edits: int) -> DataFrame:
+    """(id, other, first): both directions of the links of lines, with the first place of the other."""
+    found = stage(links(known, edits), "links")
+    return found.select(F.col("a").alias("id"), F.col("b").alias("other"), F.col("first_b").alias("first")).union(
+        found.select(F.col("b").alias("id"), F.col("a").alias("other"), F.col("first_a").alias("first")))
 
-    Only documents with a repeat or a link have a row. A null doc_id comes after all others.
-    """
+
+def _places(docs: DataFrame, edits: int, min_chars: int) -> tuple[DataFrame, DataFrame]:
+    """Every line that has an equal or near one, (doc, mark, at, chars, id, earliest, degree), and the links of lines."""
     own = lines_of(docs, min_chars).withColumn("id", F.xxhash64("line"))
     known = stage_bucketed(own.groupBy("id").agg(F.min(F.struct("doc", "at")).alias("first"), F.count("*").alias("n"),
                                                  F.min("line").alias("line")), "lines", "id")
-    found = stage(links(known, edits), "links")
-    both = found.select(F.col("a").alias("id"), F.col("first_b").alias("other")).union(
-        found.select(F.col("b").alias("id"), F.col("first_a").alias("other")))
-    linked = both.groupBy("id").agg(F.min("other").alias("earliest"), F.count("*").alias("degree"))
+    both = line_links(known, edits)
+    linked = both.groupBy("id").agg(F.min("first").alias("earliest"), F.count("*").alias("degree"))
     said = (known.select("id", "n", "first").join(linked, "id", "left").filter("n > 1 or degree is not null")
             .select("id", F.least("first", F.coalesce("earliest", "first")).alias("earliest"), F.coalesce("degree", F.lit(0)).alias("degree")))
     # Read back without its buckets: a line that very many documents hold can then be split by the adaptive join.
     said = stage(said, "said")
+    return own.select("doc", "mark", "at", "id", F.length("line").alias("chars")).join(said, "id"), both
+
+
+def _by_document(places: DataFrame) -> DataFrame:
+    """(doc, mark, repeats, n_links, covered): ``covered`` is the characters of lines that another, earlier document has."""
     repeated = F.col("earliest") < F.struct("doc", "at")
-    return (own.select("doc", "mark", "at", "id").join(said, "id").groupBy("doc", "mark")
-            .agg(F.array_sort(F.collect_set(F.when(repeated, F.col("at")))).alias("repeats"), F.sum("degree").alias("n_links")))
+    elsewhere = F.when(F.col("earliest.doc") < F.col("doc"), F.col("chars")).otherwise(0)
+    # Repeated rows of one id and text raise the sum, which only chooses the documents that are looked at.
+    return (places.groupBy("doc", "mark")
+            .agg(F.array_sort(F.collect_set(F.when(repeated, F.col("at")))).alias("repeats"), F.sum("degree").alias("n_links"),
+                 F.sum(elsewhere).alias("covered")))
+
 
+def repeated_lines(docs: DataFrame, edits: int = MAX_EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
+    """One row per document (doc, mark): ``repeats`` (numbers of the lines, from 0, that equal or come within ``edits``
+    of a line earlier in the order of doc_id and line) and ``n_links`` (other lines within ``edits``, over all its lines).
+
+    Only documents with a repeat or a link have a row. A null doc_id comes after all others.
+    """
+    return _by_document(_places(docs, edits, min_chars)[0]).drop("covered")
 
-def dedup_lines(docs: DataFrame, edits: int = MAX_EDITS, min_chars: int = MIN_CHARS, max_repeated: float = MAX_REPEATED) -> DataFrame:
+
+def _covering(pairs: DataFrame, lines: DataFrame, near: DataFrame) -> DataFrame:
+    """(mark): the texts of the pairs (mark, other) of which lines of the other cover ``COPIED`` of the longer."""
+    wanted = pairs.join(lines.select("mark", "id", "n", "chars", "size"), "mark").join(near, "id")
+    there = lines.select(F.col("mark").alias("other"), F.col("id").alias("near"), F.col("n").alias("there"), F.col("size").alias("other_size"))
+    met = wanted.join(there, ["other", "near"]).groupBy("mark", "other", "id").agg(
+        F.first("n").alias("n"), F.first("chars").alias("chars"), F.first("size").alias("size"), F.first("other_size").alias("other_size"),
+        F.sum("there").alias("there"))
+    # A line counts as often as both have it: one that repeats its own lines is no copy of a text that has them once.
+    return (met.groupBy("mark", "other").agg(F.sum(F.col("chars") * F.least("n", "there")).alias("shared"), F.first("size").alias("size"),
+                                             F.first("other_size").alias("other_size"))
+            .filter(F.col("shared") >= COPIED * F.greatest("size", "other_size")).select("mark").distinct())
+
+
+def near_copies(docs: DataFrame, places: DataFrame, found: DataFrame, both: DataFrame) -> DataFrame:
+    """(doc, mark) of the documents that are near copies of one earlier document.
+
+    Equal texts are told by their mark. Of different ones, a text is first compared with the document that has
+    most of its lines first, so large groups of copies give one pair each. For those left of which all earlier
+    documents together cover enough, every earlier text that could do so alone shares one of their rarest lines,
+    taken until what is left over is less than what must be shared.
+    """
+    size = F.length(F.translate("text", "\n", "")).cast("long")
+    sizes = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("doc"), F.xxhash64("text").alias("mark"), size.alias("size"))
+    firsts = stage(sizes.groupBy("mark").agg(F.min("doc").alias("first"), F.first("size").alias("size")), "firsts")
+    found = found.select("doc", "mark", "covered").join(firsts, "mark")
+    equal = found.filter("doc > first").select("doc", "mark")
+    able = stage(found.filter("doc = first").filter(F.col("covered") >= COPIED * F.col("size")), "able")
+
+    lines = stage(places.join(firsts, "mark").filter("doc = first").groupBy("mark", "id")
+                  .agg(F.size(F.collect_set("at")).alias("n"), F.first("doc").alias("doc"), F.first("chars").alias("chars"),
+                       F.first("size").alias("size"), F.first("earliest.doc").alias("earliest")), "text_lines")
+    own = lines.join(able.select("mark"), "mark", "left_semi")
+    alike = stage(both.select("id", F.col("other").alias("near")).distinct().union(own.select("id", F.col("id").alias("near")).distinct()), "alike")
+    texts = firsts.select(F.col("mark").alias("other"), F.col("first").alias("before"), F.col("size").alias("other_size"))
+
+    most = (own.filter("earliest < doc").groupBy("mark", "earliest").agg(F.sum(F.col("chars") * F.col("n")).alias("shared"))
+            .groupBy("mark").agg(F.max(F.struct("shared", "earliest")).alias("best")).select("mark", F.col("best.earliest").alias("before")))
+    nearest = stage(most.join(texts, "before").select("mark", "other"), "nearest")
+    copies = stage(_covering(nearest, lines, alike), "copies")
+
+    left = own.join(copies, "mark", "left_anti")
+    held = lines.groupBy("id").agg(F.count("*").alias("in_texts"))
+    common = alike.join(held.withColumnRenamed("id", "near"), "near").groupBy("id").agg(F.sum("in_texts").alias("in_texts"))
+    whole = F.col("chars") * F.col("n")
+    rarest = Window.partitionBy("mark").orderBy("in_texts", "id")
+    before = F.col("size") - F.sum(whole).over(Window.partitionBy("mark")) + F.sum(whole).over(rarest) - whole
+    chosen = (left.join(common, "id").withColumn("passed", before).filter(F.col("passed") <= (1 - COPIED) * F.col("size") + 1e-6)
+              .join(alike, "id").select("mark", "doc", "size", "near"))
+    others = lines.select(F.col("mark").alias("other"), F.col("doc").alias("other_doc"), F.col("size").alias("other_size"), F.col("id").alias("near"))
+    may = (F.col("other_doc") < F.col("doc")) & (F.col("size") >= COPIED * F.col("other_size"))
+    pairs = stage(chosen.join(others, "near").filter(may).select("mark", "other").distinct().join(nearest, ["mark", "other"], "left_anti"), "doc_pairs")
+    copies = copies.union(_covering(pairs, lines, alike))
+    return equal.union(able.join(copies, "mark", "left_semi").select("doc", "mark")).distinct()
+
+
+def dedup_lines(docs: DataFrame, edits: int = MAX_EDITS, min_chars: int = MIN_CHARS, max_repeated: float | None = MAX_REPEATED) -> DataFrame:
     """Each row of ``docs`` with n_lines, n_repeats, n_links, dropped (line numbers) and ``kept_text``.
 
     A line of at least ``min_chars`` characters is a repeat if an equal line, or one within ``edits`` single-character
     edits, comes earlier by doc_id and line number. Repeats are dropped, unless they make up more than
-    ``max_repeated`` of the document's characters: then it is a copy as a whole and stays as it is. Rows with one
-    id and one text count as one document; a null id comes last; null and empty texts have no repeats (a null
-    text stays null). Columns named like the new ones are replaced.
+    ``max_repeated`` of the document's characters: then it is a copy as a whole and stays as it is. Without a
+    ``max_repeated`` (None) they are dropped whatever their share, except from a near copy of one earlier
+    document: its lines cover ``COPIED`` of the longer of the two texts, each line counted as often as both have
+    it. Rows with one id and one text count as one document; a null id comes last; null and empty texts have no
+    repeats (a null text stays null). Columns named like the new ones are replaced.
     """
     names = ["n_lines", "n_repeats", "n_links", "dropped", "kept_text"]
     keep = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in names]
-    found = repeated_lines(docs.select("doc_id", "text"), edits, min_chars).withColumnsRenamed({"doc": "__doc", "mark": "__mark"})
+    texts = docs.select("doc_id", "text")
+    if max_repeated is None:
+        places, both = _places(texts, edits, min_chars)
+        places = stage(places, "places")
+        found = stage(_by_document(places), "by_document")
+        copies = near_copies(texts, places, found, both).withColumn("copy", F.lit(True))
+        found = found.join(copies, ["doc", "mark"], "left")
+    else:
+        found = repeated_lines(texts, edits, min_chars)
+    found = found.withColumnsRenamed({"doc": "__doc", "mark": "__mark", "copy": "__copy", "covered": "__covered"})
     keyed = docs.select(*keep, F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("__doc"), F.xxhash64("text").alias("__mark"))
     lines = F.split(F.col("text"), "\n")
     none = F.array().cast("array<int>")
     repeats = F.coalesce("repeats", none)
-    size = F.aggregate(repeats, F.lit(0).cast("long"), lambda s, k: s + F.length(F.get(lines, k)))
-    dropped = F.when(size <= max_repeated * F.length("text"), repeats).otherwise(none)
+    if max_repeated is None:
+        drops = F.col("__copy").isNull()
+    else:
+        size = F.aggregate(repeats, F.lit(0).cast("long"), lambda s, k: s + F.length(F.get(lines, k)))
+        drops = size <= max_repeated * F.length("text")
+    dropped = F.when(drops, repeats).otherwise(none)
     kept = F.array_join(F.filter(lines, lambda x, k: ~F.array_contains(F.col("dropped"), k)), "\n")
     return keyed.join(found, ["__doc", "__mark"], "left").withColumn("dropped", dropped).select(
         *keep, F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).alias("n_lines"), F.size(repeats).alias("n_repeats"),

@@ -189,3 +189,25 @@ def test_lines_are_joined_without_python(spark):
     docs = spark.createDataFrame(line_documents(), "doc_id long, text string")
     plan = line_dedup.dedup_lines(docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_only_near_copies_of_one_document_are_spared(spark):
+    rnd = random.Random(21)
+
+    def lines(n):
+        return ["".join(rnd.choice("abcdefgh ") for _ in range(rnd.randint(40, 70))) for _ in range(n)]
+
+    a, b, c, hot = lines(10), lines(10), lines(12), lines(1)
+    mixed = [*a[:5], *b[:5]]
+    texts = {1: a, 2: b, 3: c, 4: [*a[2:8], *lines(1)],  # a short text of its own beside a long shared passage
+             5: [*a[:4], *b[:4], *lines(1)],  # from two documents
+             6: [*c[:11], *lines(1)], 7: c,  # a near copy and a copy
+             8: hot * 9, 9: [*hot * 9, *lines(1)],  # repeats its own line; a near copy of such a text
+             10: [*c, *lines(12)], 11: c[:3],  # twice as long as what it holds; a part of one document
+             12: mixed, 13: [x + "!" for x in mixed]}  # the second is a near copy of the first, but its lines are first elsewhere
+    rows = [(k, "\n".join(x)) for k, x in texts.items()] + [(None, "\n".join(a)), (7, "\n".join(c))]
+    got = {r.doc_id: r for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), max_repeated=None).collect()}
+    assert {k: r.dropped for k, r in got.items()} == {
+        1: [], 2: [], 3: [], 4: [*range(6)], 5: [*range(8)], 6: [], 7: [], 8: [*range(1, 9)], 9: [], 10: [*range(12)], 11: [0, 1, 2],
+        12: [*range(10)], 13: [], None: []}
+    assert got[4].kept_text == texts[4][-1] and got[6].n_repeats == 11
