@@ -77,7 +77,7 @@ def op7_dimension_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return line_dedup.dedup_lines(docs, max_repeated=None).select("doc_id", "n_lines", "n_repeats", "n_links", "dropped")
+    return line_dedup.dedup_lines(docs, min_chars=1, max_repeated=None).select("doc_id", "n_lines", "n_repeats", "n_links", "dropped")
 
 
 def op9_layout_text(spark: SparkSession, sf_dir: str) -> DataFrame:

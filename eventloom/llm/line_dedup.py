@@ -18,8 +18,10 @@ from eventloom.functions.let import let
 from eventloom.llm.common import stage, stage_bucketed
 
 MAX_EDITS = 2
-# Shorter lines (headings, list marks, single words) are not repeats in meaning and stay.
+# Lines of so many characters are compared within the edits.
 MIN_CHARS = 30
+# Shorter ones with one edit, and those shorter than this as they are: two edits make another word of a heading.
+SHORT_CHARS = 15
 # A document with more of its text in repeats is a copy as a whole; that is for document-level steps to judge.
 MAX_REPEATED = 0.5
 # With no such bound: how much of the longer of two texts lines of one earlier document must cover for a near copy.
@@ -127,10 +129,10 @@ def _band(a: Column, b: Column, m: Column, n: Column, edits: int) -> Column:
 
 
 def lines_of(docs: DataFrame, min_chars: int) -> DataFrame:
-    """(doc, mark, at, line): every line that can be a repeat. Documents without an id come last."""
+    """(doc, mark, at, line): every line that can be a repeat; a blank one cannot. Documents without an id come last."""
     return (docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("doc"), F.xxhash64("text").alias("mark"),
                         F.posexplode(F.split(F.col("text"), "\n")).alias("at", "line"))
-            .filter(F.length("line") >= min_chars))
+            .filter((F.length("line") >= min_chars) & F.col("line").rlike("\\S")))
 
 
 def parities(line: Column) -> Column:
@@ -151,8 +153,9 @@ def parities(line: Column) -> Column:
     return let(F.filter(pairs, lambda p: p.isNotNull()), lambda all_: F.struct(half(all_, 0).alias("p0"), half(all_, 1).alias("p1")))
 
 
-def links(lines: DataFrame, edits: int) -> DataFrame:
-    """(a, b, first_a, first_b): pairs of different lines within ``edits``, out of (id, line, first).
+def links(lines: DataFrame, edits: int, below: int | None = None) -> DataFrame:
+    """(a, b, first_a, first_b): pairs of different lines within ``edits``, out of (id, line, first); with ``below`` only
+    those whose shorter line is shorter than that.
 
     Lines of one key become a pair only if their lengths and parities allow it, which the join itself tests.
     """
@@ -166,6 +169,8 @@ def links(lines: DataFrame, edits: int) -> DataFrame:
     one, two = (met.select("key", "own", *[F.col(c).alias(f"{c}_{x}") for c in ("id", "size", "p0", "p1")]) for x in "xy")
     differ = sum((F.bit_count(F.col(f"{p}_x").bitwiseXOR(F.col(f"{p}_y"))) for p in ("p0", "p1")), F.lit(0))
     near = (F.col("id_x") != F.col("id_y")) & (F.abs(F.col("size_x") - F.col("size_y")) <= edits) & (differ <= 4 * edits)
+    if below is not None:
+        near = near & (F.least("size_x", "size_y") < below)
     one = one.filter("own")
     pairs = one.join(two, (one["key"] == two["key"]) & near).select(
         F.least("id_x", "id_y").alias("a"), F.greatest("id_x", "id_y").alias("b")).distinct()
@@ -175,9 +180,16 @@ def links(lines: DataFrame, edits: int) -> DataFrame:
     return pairs.join(first, "a").join(second, "b").filter(apart <= edits).select("a", "b", "first_a", "first_b")
 
 
-def line_links(known: DataFrame, edits: int) -> DataFrame:
-    """(id, other, first): both directions of the links of lines, with the first place of the other."""
-    found = stage(links(known, edits), "links")
+def line_links(known: DataFrame, edits: int, min_chars: int) -> DataFrame:
+    """(id, other, first): both directions of the links of lines, with the first place of the other.
+
+    The shorter line of a pair says how many edits may lie between them.
+    """
+    size = F.length("line")
+    found = stage(links(known.filter(size >= MIN_CHARS), edits), "links")
+    if min_chars < MIN_CHARS:
+        short = known.filter(size.between(SHORT_CHARS, MIN_CHARS))
+        found = found.union(stage(links(short, min(1, edits), MIN_CHARS), "short_links"))
     return found.select(F.col("a").alias("id"), F.col("b").alias("other"), F.col("first_b").alias("first")).union(
         found.select(F.col("b").alias("id"), F.col("a").alias("other"), F.col("first_a").alias("first")))
 
@@ -187,7 +199,7 @@ def _places(docs: DataFrame, edits: int, min_chars: int) -> tuple[DataFrame, Dat
     own = lines_of(docs, min_chars).withColumn("id", F.xxhash64("line"))
     known = stage_bucketed(own.groupBy("id").agg(F.min(F.struct("doc", "at")).alias("first"), F.count("*").alias("n"),
                                                  F.min("line").alias("line")), "lines", "id")
-    both = line_links(known, edits)
+    both = line_links(known, edits, min_chars)
     linked = both.groupBy("id").agg(F.min("first").alias("earliest"), F.count("*").alias("degree"))
     said = (known.select("id", "n", "first").join(linked, "id", "left").filter("n > 1 or degree is not null")
             .select("id", F.least("first", F.coalesce("earliest", "first")).alias("earliest"), F.coalesce("degree", F.lit(0)).alias("degree")))
@@ -208,7 +220,7 @@ def _by_document(places: DataFrame) -> DataFrame:
 
 def repeated_lines(docs: DataFrame, edits: int = MAX_EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
     """One row per document (doc, mark): ``repeats`` (numbers of the lines, from 0, that equal or come within ``edits``
-    of a line earlier in the order of doc_id and line) and ``n_links`` (other lines within ``edits``, over all its lines).
+    (fewer for short lines) of a line earlier in the order of doc_id and line) and ``n_links`` (other lines within ``edits``, over all its lines).
 
     Only documents with a repeat or a link have a row. A null doc_id comes after all others.
     """
@@ -270,11 +282,14 @@ def near_copies(docs: DataFrame, places: DataFrame, found: DataFrame, both: Data
     return equal.union(able.join(copies, "mark", "left_semi").select("doc", "mark")).distinct()
 
 
-def dedup_lines(docs: DataFrame, edits: int = MAX_EDITS, min_chars: int = MIN_CHARS, max_repeated: float | None = MAX_REPEATED) -> DataFrame:
+def dedup_lines(docs: DataFrame, edits: int = MAX_EDITS, min_chars: int = MIN_CHARS, max_repeated: float | None = MAX_REPEATED,
+                min_dropped: int = 1) -> DataFrame:
     """Each row of ``docs`` with n_lines, n_repeats, n_links, dropped (line numbers) and ``kept_text``.
 
-    A line of at least ``min_chars`` characters is a repeat if an equal line, or one within ``edits`` single-character
-    edits, comes earlier by doc_id and line number. Repeats are dropped, unless they make up more than
+    A line of at least ``min_chars`` characters that is not blank is a repeat if an equal line, or one within ``edits``
+    single-character edits, comes earlier by doc_id and line number. Where the shorter of two lines has less than
+    ``MIN_CHARS`` characters there may be one edit, with less than ``SHORT_CHARS`` none. Repeats below ``min_dropped``
+    characters are counted but stay. Other repeats are dropped, unless they make up more than
     ``max_repeated`` of the document's characters: then it is a copy as a whole and stays as it is. Without a
     ``max_repeated`` (None) they are dropped whatever their share, except from a near copy of one earlier
     document: its lines cover ``COPIED`` of the longer of the two texts, each line counted as often as both have
@@ -302,7 +317,8 @@ def dedup_lines(docs: DataFrame, edits: int = MAX_EDITS, min_chars: int = MIN_CH
     else:
         size = F.aggregate(repeats, F.lit(0).cast("long"), lambda s, k: s + F.length(F.get(lines, k)))
         drops = size <= max_repeated * F.length("text")
-    dropped = F.when(drops, repeats).otherwise(none)
+    long_enough = F.filter(repeats, lambda k: F.length(F.get(lines, k)) >= min_dropped)
+    dropped = F.when(drops, long_enough).otherwise(none)
     kept = F.array_join(F.filter(lines, lambda x, k: ~F.array_contains(F.col("dropped"), k)), "\n")
     return keyed.join(found, ["__doc", "__mark"], "left").withColumn("dropped", dropped).select(
         *keep, F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).alias("n_lines"), F.size(repeats).alias("n_repeats"),

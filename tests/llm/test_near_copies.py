@@ -211,3 +211,56 @@ def test_only_near_copies_of_one_document_are_spared(spark):
         1: [], 2: [], 3: [], 4: [*range(6)], 5: [*range(8)], 6: [], 7: [], 8: [*range(1, 9)], 9: [], 10: [*range(12)], 11: [0, 1, 2],
         12: [*range(10)], 13: [], None: []}
     assert got[4].kept_text == texts[4][-1] and got[6].n_repeats == 11
+
+
+def test_short_lines_are_compared_with_fewer_edits(spark):
+    rnd = random.Random(22)
+
+    def own():
+        return "".join(rnd.choice("abcdefgh ") for _ in range(rnd.randint(60, 90)))
+
+    seen = ["All rights reserved.", "Les.", "x", "Terms and conditions of use ok", own()]  # 20, 4, 1 and 30 characters
+    again = ["All rights reserved!", "All right reserved!!", "Les.", "Lee.", "x", "Terms and conditions of use OK", "Terms and conditions of use",
+             "Terms and conditions of use o", " ", "", " ", ""]
+    docs = spark.createDataFrame([(1, "\n".join(seen)), (2, "\n".join([*again, *[own() for _ in range(4)]]))], "doc_id long, text string")
+    rows = {r.doc_id: r for r in line_dedup.dedup_lines(docs, min_chars=1, max_repeated=None).collect()}
+    limit = [0 if n < 15 else 1 if n < 30 else 2 for n in range(100)]
+    places = [(d, k, x) for d, t in enumerate((seen, again)) for k, x in enumerate(t) if x.strip()]
+    repeats = [k for d, k, x in places if d == 1 and any((e, j) < (d, k) and lev(x, y) <= limit[min(len(x), len(y))] for e, j, y in places)]
+    assert rows[2].dropped == repeats == [0, 2, 4, 5, 7] and rows[1].dropped == []
+    assert rows[2].n_repeats == 5 and rows[1].n_links == 3
+    kept = line_dedup.dedup_lines(docs, min_chars=1, max_repeated=None, min_dropped=10).filter("doc_id = 2").first()
+    assert kept.n_repeats == 5 and kept.dropped == [0, 5, 7]
+
+
+def test_lines_of_every_length_equal_brute_force(spark):
+    """What the registered query does, against all pairs of lines and of documents."""
+    rows, late = line_documents(), (1 << 63) - 1
+    got = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), min_chars=1, max_repeated=None).collect()
+    docs = {(late if k is None else k, t) for k, t in rows if t}
+    lines = {x for _, t in docs for x in t.split("\n") if x.strip()}
+    most = {x: 0 if len(x) < 15 else 1 if len(x) < 30 else 2 for x in lines}
+
+    def close(x, y):
+        return x == y or abs(len(x) - len(y)) <= (m := min(most[x], most[y])) and m and lev(x, y) <= m
+
+    beside = {x: {y for y in lines if close(x, y)} for x in lines}
+    first = {x: min((d, k) for d, t in docs for k, y in enumerate(t.split("\n")) if y == x) for x in lines}
+
+    def size(t):
+        return len(t.replace("\n", ""))
+
+    def covers(t, u):
+        one, two = (collections.Counter(x for x in z.split("\n") if x in lines) for z in (t, u))
+        shared = sum(len(x) * min(n, sum(two[y] for y in beside[x])) for x, n in one.items())
+        return shared >= 0.8 * max(size(t), size(u))
+
+    spared = 0
+    for r in got:
+        doc = late if r.doc_id is None else r.doc_id
+        split = (r.text or "").split("\n")
+        repeats = [k for k, x in enumerate(split) if x in lines and min(first[y] for y in beside[x]) < (doc, k)]
+        copy = bool(r.text) and any(d < doc and covers(r.text, t) for d, t in docs)
+        spared += bool(copy and repeats)
+        assert r.n_repeats == len(repeats) and r.dropped == ([] if copy else repeats)
+    assert spared > 2
