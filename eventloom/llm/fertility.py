@@ -43,9 +43,10 @@ class Band:
 # Entropy grows with the length of a text up to about so many bits.
 FULL_BITS = 7.0
 # By the first word of the Unicode names of a text's letters. Vocabularies trained on mostly Latin text cut
-# other scripts finer and know fewer of their characters.
+# other scripts finer and know fewer of their characters. The entropy floor of Latin is about the 0.002 quantile of
+# clean text; low quantiles in German, English, French and Spanish lie close. There was no clean text in other scripts.
 BANDS = {
-    "LATIN": Band(1.2, 8.0, 0.10, 0.72),
+    "LATIN": Band(1.2, 8.0, 0.10, 0.82),
     "CYRILLIC": Band(1.0, 8.0, 0.20, 0.65),
     "GREEK": Band(0.6, 8.0, 0.40, 0.60),
     "CJK": Band(0.3, 4.0, 0.90, 0.50),

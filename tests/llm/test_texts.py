@@ -7,6 +7,7 @@ import re
 import zlib
 
 import numpy as np
+import pandas as pd
 import pytest
 import sentencepiece
 from tokenizers import Tokenizer
@@ -157,3 +158,15 @@ def test_compiled_maps_are_read_as_the_library_reads_them(tmp_path, rule):
         assert (begins <= ends).all() and (not len(ends) or ends[-1] <= len(text.encode()))
     ids, begins, ends = own.encode("x ① ﬁn")
     assert "x ① ﬁn".encode()[begins[-1]:ends[-1]].decode().endswith("n")
+
+
+def test_bands_reject_low_quality_that_passes_the_counts():
+    words, sf = fertility.vocabulary(catalog.PIECE_MODEL), "/root/testdata/sf0.1"
+    labelled = pd.read_parquet(f"{sf}/documents.parquet", columns=["doc_id", "text"]).merge(pd.read_parquet(f"{sf}/labels.parquet"), on="doc_id")
+    rejected, passed = collections.Counter(), collections.Counter()
+    for text, quality in zip(labelled["text"], labelled["quality"], strict=True):
+        row = dict(zip(fertility.FIELDS, fertility.judge(text, words, fertility.BANDS, 50, 50), strict=True))
+        if not row["base_failed"]:
+            passed[quality] += 1
+            rejected[quality] += not row["kept"]
+    assert rejected[0] > 0.2 * passed[0] > 20 and rejected[1] < 0.005 * passed[1]
