@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.llm import bin_slack, dimension_scan, fertility, html_layout, line_dedup, order_minhash, pairwise_quality, pieces, toxicity, url_filter
+from eventloom.llm import (bin_slack, chat, dimension_scan, fertility, html_layout, line_dedup, order_minhash, pairwise_quality, pieces, spelling, toxicity,
+                           url_filter, whitening)
 from eventloom.llm.common import table
 
 RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
@@ -92,6 +93,87 @@ def op10_piece_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(pieces.decoded("ids", PIECE_MODEL).cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op11_jacobi_davidson(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return spelling.group_variants(spelling.word_counts(docs, spelling.one_letter_lost(), keep=("doc_id",)))
+
+
+def _crc_byte(crc: str) -> str:
+    """Eight steps of the reflected CRC-32 polynomial."""
+    for _ in range(8):
+        crc = f"list_transform([{crc}], lambda v: xor(v >> 1, 3988292384 * (v & 1)))[1]"
+    return crc
+
+
+# Words one edit apart: one is the other without a letter, or both are the same without the letter at one place.
+OP12_SQL = f"""
+WITH RECURSIVE found AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') || ':' AS own,
+         translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents),
+long AS (SELECT own, run, count(*) AS n FROM found WHERE length(run) >= 7 GROUP BY ALL),
+coded AS (
+  SELECT run, n, flatten(list_transform(string_split(own || run, ''), lambda c: CASE WHEN unicode(c) < 128 THEN [unicode(c)::BIGINT]
+         ELSE [192 + (unicode(c) >> 6), 128 + (unicode(c) & 63)]::BIGINT[] END)) AS bytes FROM long),
+hashed AS (
+  SELECT run, n, xor(list_reduce(list_prepend(4294967295::BIGINT, bytes), lambda crc, byte: {_crc_byte("xor(crc, byte)")}), 4294967295) AS h FROM coded),
+words AS (
+  SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, sum(n)::BIGINT AS n
+  FROM hashed GROUP BY ALL HAVING length(word) >= 7 AND sum(n) >= 2),
+lost AS (
+  SELECT word, k, substr(word, 1, k) || substr(word, k + 2) AS rest FROM (SELECT word, unnest(range(length(word))) AS k FROM words)),
+near AS (
+  SELECT lost.word, rest AS near FROM lost JOIN words w ON w.word = lost.rest
+  UNION SELECT rest, lost.word FROM lost JOIN words w ON w.word = lost.rest
+  UNION SELECT a.word, b.word FROM lost a JOIN lost b ON a.k = b.k AND a.rest = b.rest AND a.word <> b.word),
+ranked AS (
+  SELECT near.word, near, b.n AS near_n, a.n, row_number() OVER (PARTITION BY near.word ORDER BY b.n DESC, near) AS place, count(*) OVER (PARTITION BY near.word) AS n_near
+  FROM near JOIN words a ON a.word = near.word JOIN words b ON b.word = near.near),
+best AS (SELECT *, near_n >= 10 * n AS fits FROM ranked WHERE place = 1),
+chain AS (
+  SELECT word, word AS root, 0 AS depth FROM words
+  UNION ALL SELECT chain.word, best.near, depth + 1 FROM chain JOIN best ON best.word = chain.root AND best.fits),
+ends AS (SELECT word, arg_max(root, depth) AS root FROM chain GROUP BY word)
+SELECT w.word, CASE WHEN fits THEN near END AS form, root, w.n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN fits THEN near_n END AS form_n
+FROM words w JOIN ends ON ends.word = w.word LEFT JOIN best ON best.word = w.word
+"""
+
+
+def op13_relational_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    marks = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+                                  F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"))
+    made = chat.format_conversations(turns.unionByName(marks))
+    read = made.select("conv_id", "formatted", chat.read_turns(F.col("formatted")).alias("turns"),
+                       F.array_join(chat.read_learnt(F.col("formatted"), F.col("loss_spans")), "").alias("loss"))
+    lines = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return read.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(lines.cast("binary"), 256).alias("turns_sha256"),
+                       F.length("loss").cast("long").alias("loss_chars"), F.sha2(F.col("loss").cast("binary"), 256).alias("loss_sha256"),
+                       F.length("formatted").cast("long").alias("formatted_chars"))
+
+
+# A block costs its three marks and its role, a further turn in it one mark; an escaped control string is one character longer.
+OP13_SQL = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+sized AS (
+  SELECT *, length(regexp_replace(text, '([<\[])(\\*)(\||s>|/s>|INST\]|/INST\]|<SYS>>|</SYS>>)', '\1\2~\3', 'g')) AS chars,
+         length(regexp_replace(role, '([<\[])(\\*)(\||s>|/s>|INST\]|/INST\]|<SYS>>|</SYS>>)', '\1\2~\3', 'g')) AS role_chars,
+         role IS DISTINCT FROM lag(role) OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS opens FROM turns)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(chars + CASE WHEN opens THEN length('<|im_start|><|im_mid|><|im_end|>') + role_chars ELSE length('<|im_next|>') END)::BIGINT AS formatted_chars
+FROM sized GROUP BY conv_id
+"""
+
+
 QUERIES = {f.__name__: f for f in (op1_url_filter, op2_pairwise_quality, op3_counterfactual_toxicity, op4_order_minhash, op5_min_bin_slack, op6_fertility_rules,
-                                 op7_dimension_scan, op8_line_dedup, op9_layout_text, op10_piece_spans)}
-ORACLES = {"op1_url_filter": OP1_SQL}
+                                 op7_dimension_scan, op8_line_dedup, op9_layout_text, op10_piece_spans, op11_jacobi_davidson, op12_spelling_variants,
+                                 op13_relational_chat)}
+ORACLES = {"op1_url_filter": OP1_SQL, "op12_spelling_variants": OP12_SQL, "op13_relational_chat": OP13_SQL}
