@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -11,8 +13,7 @@ from eventloom.catalog import base as b
 from eventloom.catalog import etl
 from eventloom.catalog.base import clock, with_base
 from eventloom.operators import sessions, tables
-from eventloom.operators.upsert import MetricTable
-from eventloom.session import scratch
+from eventloom.session import scratch, staged
 from eventloom.sources.raw import PARTITIONS, RAW_SCHEMA
 from eventloom.streaming import jobs
 
@@ -33,6 +34,17 @@ def _stream(s, rows, files: int = 4):
     return jobs.file_stream(s, path, rows.schema, files_per_batch=2)
 
 
+def _in_order(s, rows, column: str, cuts: list[str]):
+    """The rows as a file stream of one batch per period between the cuts (dates), in their order."""
+    path, at = scratch(s, "periods"), F.col(column)
+    for low, high in zip([None, *cuts], [*cuts, None], strict=True):
+        held = F.lit(True)
+        for cut, test in ((low, at.__ge__), (high, at.__lt__)):
+            held = held if cut is None else held & test(F.lit(cut).cast("timestamp"))
+        rows.where(held).coalesce(1).write.mode("append").parquet(path)
+    return jobs.file_stream(s, path, rows.schema, files_per_batch=1)
+
+
 def _finish(s, df, mode: str = "append"):
     """Runs a stateful stream over everything there is and reads what it emitted."""
     out, check = scratch(s, "out"), scratch(s, "check")
@@ -76,6 +88,20 @@ add("stream_late", _late, with_base("""
 SELECT event_id, event_name FROM ev WHERE event_name = '_first_open' OR (k <= 72 AND event_timestamp <= TIMESTAMP '2024-01-20')"""))
 
 
+def _late_dedupe(s, d):
+    """The days in order, then all first opens of the month once more: late for every watermark on event time."""
+    rows = with_duplicates(b.events(s, d)).select("event_id", "event_name", "event_timestamp", "event_time_msec").withColumn("again", F.lit(0))
+    ingest = F.greatest(F.col("event_time_msec"), F.col("again") * F.unix_millis(F.lit("2024-01-31").cast("timestamp")))
+    first = rows.where("event_name = '_first_open'").withColumns({"again": F.lit(1), "event_id": F.concat("event_id", F.lit("-again"))})
+    both = rows.unionByName(first).withColumn("ingest_time_msec", ingest)
+    stream = _in_order(s, both.withColumn("ingested", F.timestamp_millis("ingest_time_msec")), "ingested", ["2024-01-10", "2024-01-20", "2024-01-31"])
+    return _finish(s, jobs.late_dedupe(stream, F.lit("2024-02-20").cast("timestamp"))).select("event_id", "event_name")
+
+
+add("stream_late_dedupe", _late_dedupe, with_base("""
+SELECT event_id, event_name FROM ev UNION ALL SELECT event_id || '-again', event_name FROM ev WHERE event_name = '_first_open'"""))
+
+
 def _small(s, d):
     return b.events(s, d).select("event_id", "event_name", "event_timestamp", "app_id", "platform", "user_pseudo_id")
 
@@ -103,24 +129,40 @@ FROM (SELECT *, sum(CASE WHEN event_timestamp - before < INTERVAL 6 HOUR THEN 0
 GROUP BY app_id, user_pseudo_id, g"""))
 
 
-def _table(s, schema: T.StructType, keys):
-    stored = T.StructType(schema.fields + [T.StructField("bucket", T.IntegerType())])
-    return MetricTable(s, scratch(s, "state"), stored, ["bucket", *keys], ["bucket"])
-
-
-def _users(s, d):
+def _parsed_stream(s, d):
     path = scratch(s, "parsed")
     rows = etl.parsed(s, d)
     rows.repartitionByRange(4, "event_timestamp").write.parquet(path)
-    stream = jobs.file_stream(s, path, rows.schema, files_per_batch=2)
-    target = _table(s, tables.partial_users(tables.user_rows(rows)).schema, tables.USER_KEYS)
+    return rows, jobs.file_stream(s, path, rows.schema, files_per_batch=2)
+
+
+def _users(s, d):
+    rows, stream = _parsed_stream(s, d)
+    target = jobs.user_log(s, scratch(s, "state"), tables.partial_users(tables.user_rows(rows)).schema)
     jobs.user_state(stream, target, scratch(s, "check"), True).awaitTermination()
-    return etl._user_columns(tables.finish_users(target.read().drop("bucket")))
+    target.compact()
+    return etl._user_columns(tables.finish_users(target.read()))
 
 
 add("stream_user_state", _users, etl.sql("SELECT * FROM uo", etl._USERS))
 
 
+def _users_ttl(s, d):
+    rows = staged(etl.parsed(s, d), "parsed")
+    stream = _in_order(s, rows, "event_timestamp", ["2024-01-08", "2024-01-15", "2024-01-22"])
+    made = jobs.users_with_ttl(stream.withWatermark("event_timestamp", jobs.LATE), dt.timedelta(hours=36))
+    return etl._user_columns(jobs.current_users(_finish(s, made)))
+
+
+# Events after a user's last pause of more than 36 hours.
+_RECENT = """
+pauses AS (SELECT *, em - lag(em) OVER (PARTITION BY app_id, user_pseudo_id ORDER BY em) > 129600000 AS anew FROM pe),
+runs AS (SELECT *, count(*) FILTER (anew) OVER (PARTITION BY app_id, user_pseudo_id ORDER BY em RANGE BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)
+  - CASE WHEN anew THEN 1 ELSE 0 END AS later FROM pauses),
+recent AS (SELECT * FROM runs WHERE later = 0),"""
+add("stream_user_ttl", _users_ttl, etl.sql("SELECT * FROM uo", _RECENT, etl._USERS.replace("FROM pe", "FROM recent")))
+
+
 def _sessions(s, d):
     """Two batches: the first half of the month, then the second; sessions are weeks."""
     week = F.concat(F.col("user_pseudo_id"), F.lit("-"), F.date_format(F.date_trunc("week", "event_timestamp"), "yyyyMMdd"))
@@ -129,7 +171,7 @@ def _sessions(s, d):
     path = scratch(s, "halves")
     rows.where(cut).coalesce(1).write.parquet(f"{path}/half=1")
     rows.where(~cut).coalesce(1).write.parquet(f"{path}/half=2")
-    target = _table(s, sessions.extract_sessions(rows).schema, sessions.KEYS)
+    target = jobs.session_log(s, scratch(s, "state"), sessions.extract_sessions(rows).schema)
     stream = jobs.file_stream(s, f"{path}/half=*", rows.schema, files_per_batch=1)
     jobs.session_merge(stream, target, scratch(s, "check"), True).awaitTermination()
     return target.read().select("user_pseudo_id", "session_id", "event_timestamp", "session_source", "session_medium")

@@ -71,3 +71,15 @@ def merge_sessions(target: DataFrame, batch: DataFrame) -> DataFrame:
     )
     kept = F.when(take_new, F.col("n")).otherwise(F.col("o")).alias("row")
     return old.join(new, KEYS, "full_outer").select(*KEYS, kept).select(*KEYS, "row.*")
+
+
+def fold_batches(rows: DataFrame) -> DataFrame:
+    """What `merge_sessions` leaves after all batches in order, from their rows (one per session and `batch`) at once.
+
+    The first real source stays for good; without one the last Direct row stands, without that the last row.
+    """
+    source = F.col("session_source")
+    rank = F.when(source.isNull(), 2).when(source == DIRECT, 1).otherwise(0)
+    place = F.when(rank == 0, F.col("batch")).otherwise(-F.col("batch"))
+    rest = [c for c in rows.columns if c not in KEYS]
+    return rows.groupBy(*KEYS).agg(F.min_by(F.struct(*rest), F.struct(rank, place)).alias("s")).select(*KEYS, "s.*")

@@ -115,6 +115,11 @@ def partial_users(rows: DataFrame, third_party: bool = False) -> DataFrame:
     from the latest row that has any). `merge_users` combines such rows in any
     order and grouping, so batches, history and streams give the same users.
     """
+    return partial_rows(rows, third_party).transform(merge_users)
+
+
+def partial_rows(rows: DataFrame, third_party: bool = False) -> DataFrame:
+    """What `merge_users` takes, one row per event."""
     is_first = F.lit(True) if third_party else F.col("event_name").isin(FIRST_TOUCH_EVENTS)
     has_props = F.col("user_properties").isNotNull()
     is_latest = has_props if third_party else has_props & (F.col("event_name") == PROFILE_SET)
@@ -125,7 +130,7 @@ def partial_users(rows: DataFrame, third_party: bool = False) -> DataFrame:
         F.when(is_latest, F.struct(_at().alias("at"), F.col("event_name").alias("name"),
                                    F.col("user_properties").alias("props"))).alias("latest"),
         _at().alias("info_at"),
-    ).transform(merge_users)
+    )
 
 
 def merge_users(partials: DataFrame) -> DataFrame:
@@ -140,14 +145,14 @@ def merge_users(partials: DataFrame) -> DataFrame:
     )
 
 
-def finish_users(partials: DataFrame) -> DataFrame:
-    """The stored user columns."""
+def finish_users(partials: DataFrame, *more: str) -> DataFrame:
+    """The stored user columns, and others to keep."""
     names = F.create_map(F.lit("latest_event_name"), F.col("latest.name"),
                          F.lit("first_event_name"), F.col("first.name"))
     return partials.select(
         *USER_KEYS, "event_timestamp", "user_id", F.col("latest.props").alias("user_properties"),
         F.to_json("latest.props").alias("user_properties_json_str"), "first.row.*",
-        merge(F.col("process_info"), names).alias("process_info"))
+        merge(F.col("process_info"), names).alias("process_info"), *more)
 
 
 def extract_users(parsed: DataFrame, third_party: bool = False) -> DataFrame:

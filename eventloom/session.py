@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import functools
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings: UTC clocks, last value wins when two maps share a key,
@@ -61,6 +65,21 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/eventloom/{name}-{uuid.uuid4().hex[:12]}"
 
 
+@functools.lru_cache(maxsize=8)
+def _sent(application: str) -> None:
+    root = Path(__file__).parent
+    path = Path(tempfile.mkdtemp(prefix="eventloom-")) / "eventloom_core.zip"
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as out:
+        for file in sorted(root.rglob("*.py")):
+            out.write(file, file.relative_to(root.parent))
+    SparkContext.getOrCreate().addPyFile(str(path))
+
+
+def send_package(spark: SparkSession) -> None:
+    """Lets Python state processors find this package on every executor, installed there or not."""
+    _sent(spark.sparkContext.applicationId)
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether there is such a file or folder in whatever store the path names."""
     jvm = spark.sparkContext._jvm
@@ -68,6 +87,14 @@ def exists(spark: SparkSession, path: str) -> bool:
     return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
 
 
+def finished(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the subfolders that a write has completed; the list is as long as there are such writes."""
+    jvm = spark.sparkContext._jvm
+    pattern = jvm.org.apache.hadoop.fs.Path(f"{folder}/*/_SUCCESS")
+    found = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(pattern)
+    return sorted(f.getPath().getParent().getName() for f in found or [])
+
+
 def staged(rows: DataFrame, name: str) -> DataFrame:
     """The rows written once under the shared scratch folder and read back: what reads them again, or loses an
     executor, does not compute them again."""
