@@ -22,8 +22,8 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -35,8 +35,8 @@ CAPACITY = 4096
 BUFFER_TOKENS = 1 << 22
 # Padding that is left rather than cutting another document: 0.2 % of a window.
 MAX_SLACK = 8
-# Chunks and words that a worker keeps the tokens of: about 300 MB together at most.
-MAX_CHUNKS, MAX_WORDS = 300_000, 1_200_000
+# Chunks and words that a worker keeps the tokens of: about 400 MB together at most.
+MAX_CHUNKS, MAX_WORDS = 600_000, 1_200_000
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary"
 
 
@@ -139,13 +139,15 @@ def pack(lengths: list[int], capacity: int = CAPACITY, max_slack: int = MAX_SLAC
 
 # A chunk of letters with no other form than their lower case, then of signs that start no contraction.
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+_SIGNS = bytes(c for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'")
 
 
 class Encoder:
     """Token ids of whole texts as little-endian bytes.
 
     The vocabulary never joins what white space parts, so a text's ids are those of its chunks between ASCII
-    white space, one after the other. A chunk that is a plain word with signs behind it has the ids of the
+    white space, one after the other. A batch of texts is split and its different chunks are found in Arrow; only those are looked
+    up, and their ids dealt out by place. A chunk that is a plain word with signs behind it has the ids of the
     lower-case word and of the signs, which many chunks share.
     """
 
@@ -157,28 +159,63 @@ class Encoder:
         self.ends_word[[k for w, k in vocabulary.items() if w.endswith("</w>")]] = True
         self.end = np.array([end], "<u4").tobytes()
         # Lower-case words are fewer than chunks and cost most to encode.
-        self.chunks, self.words = Known(self.learn, MAX_CHUNKS), Known(self.learn_words, MAX_WORDS)
+        self.chunks, self.words, self.signs = Known(self.learn, MAX_CHUNKS), Known(self.learn_words, MAX_WORDS), Known(self.learn_signs, MAX_CHUNKS)
 
     def encode(self, text: bytes | None) -> bytes:
         """Of a text in UTF-8."""
-        return b"".join(self.chunks.of((text or b"").split())) + self.end
+        return self.encode_all(pa.array([text], pa.binary()))[0]
+
+    def encode_all(self, texts: pa.Array) -> list[bytes]:
+        """Of texts in UTF-8, an array of binary values."""
+        validity, offsets, data = texts.buffers()
+        seen = pc.fill_null(pa.StringArray.from_buffers(len(texts), offsets, data, validity, texts.null_count, texts.offset), "")
+        split = pc.ascii_split_whitespace(seen)
+        coded = split.flatten().dictionary_encode()
+        known = self.chunks.of(coded.dictionary.cast(pa.binary()).to_pylist())
+        sizes = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        flat, starts = np.frombuffer(b"".join(known), "<u4"), np.cumsum(sizes) - sizes
+        at = coded.indices.to_numpy()
+        each = sizes[at]
+        until = np.concatenate([[0], np.cumsum(each)])
+        ids = flat[np.repeat(starts[at] - until[:-1], each) + np.arange(until[-1])]
+        ends = until[np.concatenate([[0], np.cumsum(split.value_lengths().to_numpy())])]
+        return [ids[a:b].tobytes() + self.end for a, b in itertools.pairwise(ends.tolist())]
 
     def one(self, text: str) -> bytes:
         return np.array(self.model.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def learn(self, chunks: list[bytes]) -> list[bytes]:
-        plain = [_PLAIN.fullmatch(c.decode()) for c in chunks]
-        words = iter(self.words.of([x for m in plain if m for x in (m[1].lower(), m[2])]))
-        return [next(words) + next(words) if m else self.one(c.decode()) for c, m in zip(chunks, plain, strict=True)]
+        """White space leaves empty chunks at the ends of a text, which have no ids."""
+        words, signs = [], []
+        for c in chunks:
+            word = c.rstrip(_SIGNS)
+            if word.isalpha():  # ASCII letters only
+                words.append(word.lower().decode())
+                signs.append(c[len(word):].decode())
+            else:
+                plain = _PLAIN.fullmatch(c.decode())
+                words.append(plain[1].lower() if plain else None)
+                signs.append(plain[2] if plain else None)
+        heads = iter(self.words.of([w for w in words if w is not None]))
+        tails = iter(self.signs.of([x for x in signs if x is not None]))
+        return [self.one(c.decode()) if w is None else next(heads) + next(tails) for c, w in zip(chunks, words, strict=True)]
+
+    def learn_signs(self, signs: list[str]) -> list[bytes]:
+        return [self.one(x) for x in signs]
 
     def learn_words(self, words: list[str]) -> list[bytes]:
-        """Encodes many words as one text; each of them ends with the first token that ends a word."""
-        raw = self.one(" ".join(words))
-        ends = 4 * np.flatnonzero(self.ends_word[np.frombuffer(raw, "<u4")]) + 4
-        cuts = [0, *ends.tolist()]
-        if "" in words or len(ends) != len(words):
-            return [self.one(w) for w in words]
-        return [raw[a:b] for a, b in itertools.pairwise(cuts)]
+        """Encodes some hundred words as one text; each of them ends with the first token that ends a word."""
+        out: list[bytes] = []
+        parts = [words[k:k + 200] for k in range(0, len(words), 200)]
+        for part, made in zip(parts, self.model.encode_batch_fast([" ".join(part) for part in parts], add_special_tokens=False), strict=True):
+            ids = np.array(made.ids, "<u4")
+            ends = np.flatnonzero(self.ends_word[ids]) + 1
+            if len(ends) != len(part):
+                out += [self.one(w) for w in part]
+            else:
+                raw, cuts = ids.tobytes(), [0, *(4 * ends).tolist()]
+                out += [raw[a:b] for a, b in itertools.pairwise(cuts)]
+        return out
 
 
 @functools.lru_cache(maxsize=2)
@@ -202,7 +239,7 @@ class Packer:
         next_id = TaskContext.get().partitionId() << 40
         docs, ids, held = [], [], 0
         for batch in batches:
-            for doc, own in zip(batch.column(0).to_pylist(), map(words.encode, batch.column(1).to_pylist()), strict=True):
+            for doc, own in zip(batch.column(0).to_pylist(), words.encode_all(batch.column(1)), strict=True):
                 docs.append(doc)
                 ids.append(own)
                 held += len(own) // 4
@@ -222,10 +259,9 @@ class Packer:
                 rows.append((docs[doc], start, n, zlib.crc32(own), len(ids[doc]) // 4, next_id, at, own if self.with_ids else None))
                 at += n
             next_id += 1
-        frame = pd.DataFrame(rows, columns=[c.split()[0] for c in PIECES.split(", ")])
-        types = {"doc_id": pa.int64(), "ids": pa.binary()}
-        arrays = [pa.array(frame[c].astype(object).where(frame[c].notna(), None) if c in types else frame[c], types.get(c, pa.int64())) for c in frame]
-        made = pa.RecordBatch.from_arrays(arrays, list(frame))
+        names = [c.split()[0] for c in PIECES.split(", ")]
+        made = pa.RecordBatch.from_arrays([pa.array(values, pa.binary() if name == "ids" else pa.int64())
+                                           for name, values in zip(names, zip(*rows, strict=True), strict=True)], names)
         return [made.slice(k, 10_000) for k in range(0, made.num_rows, 10_000)], next_id
 
 
