@@ -51,12 +51,16 @@ def selections(edits: int) -> list[tuple[int, int, int]]:
 
 def keys(line: Column, length: Column, edits: int) -> Column:
     """Array of (key, own): the substrings under which a line is listed; ``own`` for its own segments."""
-    rows = []
-    for less, i, shift in selections(edits):
-        start, size = segment(length - less, i, edits + 1)
-        rows.append(F.struct(F.xxhash64(length - less, F.lit(i), F.substring(line, start + shift, size)).alias("key"),
-                             F.lit(less == 0 and shift == 0).alias("own")))
-    return F.array(*rows)
+    def listed(text: Column) -> Column:
+        rows = []
+        for less, i, shift in selections(edits):
+            start, size = segment(length - less, i, edits + 1)
+            rows.append(F.struct(F.xxhash64(length - less, F.lit(i), F.substring(text, start + shift, size)).alias("key"),
+                                 F.lit(less == 0 and shift == 0).alias("own")))
+        return F.array(*rows)
+
+    # The characters of a line without others than ASCII are its bytes: cut there, and hashed alike, they are found without counting.
+    return F.when(F.octet_length(line) == length, listed(line.cast("binary"))).otherwise(listed(line))
 
 
 def _equal_front(a: Column, b: Column) -> Column:
@@ -248,7 +252,7 @@ def near_copies(docs: DataFrame, places: DataFrame, found: DataFrame, both: Data
     documents together cover enough, every earlier text that could do so alone shares one of their rarest lines,
     taken until what is left over is less than what must be shared.
     """
-    size = F.length(F.translate("text", "\n", "")).cast("long")
+    size = F.length(F.replace("text", F.lit("\n"), F.lit(""))).cast("long")
     sizes = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("doc"), F.xxhash64("text").alias("mark"), size.alias("size"))
     firsts = stage(sizes.groupBy("mark").agg(F.min("doc").alias("first"), F.first("size").alias("size")), "firsts")
     found = found.select("doc", "mark", "covered").join(firsts, "mark")
