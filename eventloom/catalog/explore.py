@@ -323,31 +323,32 @@ add("node_path_gap", lambda s, d: pa.node_path(b.user_events(s, d), _N2), path_s
 # ----------------------------------------------------------------- retention
 
 
-def retention_sql(pairs, start: str, end: str, cols: str = "", link=None, shown: str = "{}") -> str:
-    parts = []
-    for i, (first, back) in enumerate(pairs):
-        c = "".join(f"f.{x.strip()}, " for x in cols.split(",") if x)
-        cond = "".join(f" AND f.{x.strip()} = g.{x.strip()}" for x in cols.split(",") if x)
-        if link:
-            cond += f" AND f.{link} = g.{link}"
-        parts.append(f"""SELECT {c}f.event_name || '_{i}' AS grouping, CAST(f.day AS DATE) AS sd, f.user_pseudo_id AS su,
-  dl.d AS ed, g.user_pseudo_id AS eu FROM (SELECT * FROM picked WHERE {first} AND day = '{start}') f JOIN dl ON TRUE
-  LEFT JOIN (SELECT * FROM picked WHERE {back} AND day >= '{start}') g ON dl.d = CAST(g.day AS DATE)
-    AND f.user_pseudo_id = g.user_pseudo_id{cond}""")
-    head = f"{cols}, " if cols else ""
-    return f"""SELECT {head}grouping, {day(shown.format('sd'))} AS start_event_date, {day(shown.format('ed'))} AS event_date,
-  round(count(DISTINCT eu) / CAST(nullif(count(DISTINCT su), 0) AS DOUBLE), 4) AS retention
-FROM ({' UNION ALL '.join(parts)}) q GROUP BY {head}grouping, sd, ed"""
-
-
-_DL = "dl AS (SELECT CAST(unnest(generate_series(DATE '{}', DATE '{}', INTERVAL 1 DAY)) AS DATE) AS d),"
+def retention_sql(pairs, start: str, end: str, group: str = "", link: str = "", shown: str = "{}") -> str:
+    """Who started on the first day is a list of people, who came back on a day another one; the rate is the size of
+    what both have in common over the size of the first. With a link, the two are lists of (person, linked value)."""
+    who = f"{{'person': user_pseudo_id, 'link': {link}}}" if link else "{'person': user_pseudo_id}"
+    known = f"FILTER ({link} IS NOT NULL)" if link else ""
+    own = f"{group}, " if group else ""
+    alike = f" AND began.{group} IS NOT DISTINCT FROM came.{group}" if group else ""
+    rates = [f"""SELECT * FROM (
+  WITH began AS (SELECT {own}list(DISTINCT {who}) {known} AS people, count(DISTINCT user_pseudo_id) AS size
+         FROM picked WHERE {opens} AND CAST(day AS DATE) = DATE '{start}' GROUP BY ALL),
+       came AS (SELECT {own}CAST(day AS DATE) AS on_day, list(DISTINCT {who}) AS people FROM picked WHERE {returns} GROUP BY ALL)
+  SELECT {f"began.{group}, " if group else ""}'{label}_{i}' AS grouping, {day(shown.format(f"DATE '{start}'"))} AS start_event_date,
+    {day(shown.format("calendar.on_day"))} AS event_date,
+    round(len(list_distinct([p.person FOR p IN list_intersect(coalesce(began.people, []), coalesce(came.people, []))])) / CAST(size AS DOUBLE), 4) AS retention
+  FROM began CROSS JOIN (SELECT CAST(unnest(generate_series(DATE '{start}', DATE '{end}', INTERVAL 1 DAY)) AS DATE) AS on_day) calendar
+  LEFT JOIN came ON came.on_day = calendar.on_day{alike})""" for i, (label, opens, returns) in enumerate(pairs)]
+    return "\nUNION ALL\n".join(rates)
+
+
 _RP = RetentionPair(Step("_first_open"), Step("purchase"))
 _RP2 = RetentionPair(Step("_session_start", Conditions((_c(K, ">", 10),))), Step("_screen_view"))
 _RQ = RetentionQuery(Scope.days("2024-01-03", "2024-01-16"), TZ, pairs=(_RP, _RP2))
 _RNAMES = ["_first_open", "purchase", "_session_start", "_screen_view"]
-_RSQL = [("event_name = '_first_open'", "event_name = 'purchase'"),
-         ("event_name = '_session_start' AND k > 10", "event_name = '_screen_view'")]
-_RB = picked(_RNAMES, "2024-01-03", "2024-01-16", TZ) + _DL.format("2024-01-03", "2024-01-16")
+_RSQL = [("_first_open", "event_name = '_first_open'", "event_name = 'purchase'"),
+         ("_session_start", "event_name = '_session_start' AND k > 10", "event_name = '_screen_view'")]
+_RB = picked(_RNAMES, "2024-01-03", "2024-01-16", TZ)
 add("explore_retention", lambda s, d: re_.retention(b.user_events(s, d), _RQ),
     with_base(retention_sql(_RSQL, "2024-01-03", "2024-01-16"), _RB))
 _RL = dataclasses.replace(_RQ, pairs=(RetentionPair(_RP.start, _RP.back, CITY, CITY),), grouping=Grouping((PLATFORM,)))

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventloom.functions.conditions import compile_conditions, property_column
 from eventloom.functions.timeunits import date_units, in_scope, local
 from eventloom.names import BUILTIN_EVENTS, VIEW_EVENTS
+from eventloom.operators.median import exact_medians
 from eventloom.operators.explore.model import EventQuery, Grouping, Query, Step
 
 
@@ -79,7 +82,7 @@ def event_analysis(view: DataFrame, q: EventQuery) -> DataFrame:
     return event_rows(view, q).groupBy("event_date", "event_name", *names).agg(F.count("x_id").alias("count"))
 
 
-AGGREGATES = {"min": F.min, "max": F.max, "sum": F.sum, "avg": F.avg, "median": F.median}
+AGGREGATES = {"min": F.min, "max": F.max, "sum": F.sum, "avg": F.avg}
 
 
 def event_property(view: DataFrame, q: EventQuery) -> DataFrame:
@@ -87,7 +90,7 @@ def event_property(view: DataFrame, q: EventQuery) -> DataFrame:
 
     The property of every step lands in one numeric or text column per method, so
     all steps are measured in one aggregation over one scan. Distinct counting
-    and order statistics are planned only when a step asks for them.
+    is planned only when a step asks for it; medians are selected by counted ranks.
     """
     rows = _branches(base_data(view, q, chosen_events(names_of(q.steps))), q)
     groups = group_columns(q.grouping)
@@ -108,6 +111,8 @@ def event_property(view: DataFrame, q: EventQuery) -> DataFrame:
         kind = s.aggregation.lower() if s.method == "AGGREGATION_PROPERTY" else "distinct"
         wanted.setdefault(kind, []).append(f"{i + 1}_{s.event_name}")
     # One aggregate per method that occurs; the label decides which one a row shows.
+    keys = ["event_date", "event_name", *(q.grouping.names if q.grouping else [])]
+    middle = wanted.pop("median", [])
     aggs, shown = [], F.lit(None).cast("double")
     for kind, labels in wanted.items():
         mine = F.col("event_name").isin(labels)
@@ -115,6 +120,8 @@ def event_property(view: DataFrame, q: EventQuery) -> DataFrame:
                else AGGREGATES[kind](F.when(mine, F.col("_number"))))
         aggs.append(agg.cast("double").alias(f"_{kind}"))
         shown = F.when(mine, F.col(f"_{kind}")).otherwise(shown)
-    names = q.grouping.names if q.grouping else []
-    return rows.groupBy("event_date", "event_name", *names).agg(*aggs).select(
-        "event_date", "event_name", *names, shown.alias("amount"))
+    is_middle = F.col("event_name").isin(middle)
+    parts = [rows.where(~is_middle).groupBy(*keys).agg(*aggs).select(*keys, shown.alias("amount"))] if aggs else []
+    if middle:
+        parts.append(exact_medians(rows.where(is_middle), keys, "_number", "amount"))
+    return functools.reduce(DataFrame.unionByName, parts)

@@ -15,13 +15,18 @@ from eventloom.operators.metrics.common import daily, is_event, is_view
 
 
 def _summary(df: DataFrame, *keys: str) -> DataFrame:
-    """The event name is one of the keys, so a group's views are all of its events or none."""
+    """Exact counts of events, users and sessions, with no row multiplied per count.
+
+    Events are one distinct count; users and sessions are counted over their distinct pairs, which are few after the
+    partial step. The event name is one of the keys, so a group's views are all of its events or none.
+    """
+    events = df.groupBy(*keys).agg(F.countDistinct("event_id").alias("event_count"))
+    people = df.select(*keys, "user_pseudo_id", "session_id").distinct().groupBy(*keys).agg(
+        F.countDistinct("user_pseudo_id").alias("user_count"), F.countDistinct("session_id").alias("session_count"))
+    counts = ["event_count", "user_count", "session_count"]
+    halves = [half.select(*keys, *[F.col(c) if c in half.columns else F.lit(0).cast("long").alias(c) for c in counts]) for half in (events, people)]
     views = F.when(is_view(), F.col("event_count")).otherwise(F.lit(0))
-    return df.groupBy(*keys).agg(
-        F.countDistinct("event_id").alias("event_count"),
-        F.countDistinct("user_pseudo_id").alias("user_count"),
-        F.countDistinct("session_id").alias("session_count"),
-    ).withColumn("view_count", views.cast("bigint"))
+    return halves[0].unionByName(halves[1]).groupBy(*keys).agg(*[F.sum(c).alias(c) for c in counts]).withColumn("view_count", views.cast("bigint"))
 
 
 def event_daily(view: DataFrame) -> DataFrame:
