@@ -50,14 +50,13 @@ def selections(edits: int) -> list[tuple[int, int, int]]:
 
 
 def keys(line: Column, length: Column, edits: int) -> Column:
-    """Array of (key, own): the substrings under which a line is listed; ``own`` for its own segments."""
+    """The hashes of the substrings under which a line is listed, one for each of ``selections``."""
     def listed(text: Column) -> Column:
-        rows = []
+        out = []
         for less, i, shift in selections(edits):
             start, size = segment(length - less, i, edits + 1)
-            rows.append(F.struct(F.xxhash64(length - less, F.lit(i), F.substring(text, start + shift, size)).alias("key"),
-                                 F.lit(less == 0 and shift == 0).alias("own")))
-        return F.array(*rows)
+            out.append(F.xxhash64(length - less, F.lit(i), F.substring(text, start + shift, size)))
+        return F.array(*out)
 
     # The characters of a line without others than ASCII are its bytes: cut there, and hashed alike, they are found without counting.
     return F.when(F.octet_length(line) == length, listed(line.cast("binary"))).otherwise(listed(line))
@@ -163,7 +162,9 @@ def links(lines: DataFrame, edits: int, below: int | None = None) -> DataFrame:
 
     Lines of one key become a pair only if their lengths and parities allow it, which the join itself tests.
     """
-    listed = lines.select("id", F.inline(keys(F.col("line"), F.length("line"), edits)))
+    own = [k for k, (less, _, shift) in enumerate(selections(edits)) if less == 0 and shift == 0]
+    listed = lines.select("id", F.posexplode(keys(F.col("line"), F.length("line"), edits)).alias("at", "key")).select(
+        "key", "id", F.col("at").isin(own).alias("own"))
     together = Window.partitionBy("key")
     met = (listed.withColumns({"low": F.min("id").over(together), "high": F.max("id").over(together), "owned": F.max("own").over(together)})
            .filter(F.col("owned") & (F.col("low") < F.col("high"))).select("key", "id", "own"))
