@@ -228,6 +228,33 @@ _UA = """CASE b % 5 WHEN 3 THEN 'Other' WHEN 0 THEN 'Chrome' WHEN 2 THEN 'Chrome
 _UA_COLUMNS = ["device_ua_browser", "device_ua_browser_version", "device_ua_os", "device_ua_os_version",
                "device_ua_device", "device_ua_device_category"]
 add("parse_ua", lambda s, d: agent.parse_ua(stored(s, d)).select("event_id", *_UA_COLUMNS), sql(f"SELECT event_id, {_UA} FROM pe"))
+
+
+def _agent_rules(s):
+    """200 apps that name themselves, before the general families."""
+    apps = s.range(200).select(F.lit("browser").alias("kind"), F.lit(1).alias("priority"), F.concat(F.lit("app"), "id").alias("token"),
+                               F.concat(F.lit("App"), "id", F.lit("/")).alias("pattern"), F.concat(F.lit("App "), "id").alias("name"),
+                               F.concat(F.lit("App"), "id", F.lit(r"/([\d.]+)")).alias("version"))
+    general = [("browser", 20, "chrome", None, "Chrome", r"Chrome/(\d+(?:\.\d+){0,2})"), ("browser", 30, "safari", "Version/", "Safari", r"Version/([\d.]+)"),
+               ("browser", 25, "mozilla", "Gecko/20", "Firefox", None), ("os", 10, "windows", None, "Windows", r"Windows NT ([\d.]+)"),
+               ("os", 20, "os", "(?:iPhone|iPad).* OS ", "iOS", r" OS ([\d_]+)"), ("os", 10, "android", None, "Android", r"Android ([\d.]+)"),
+               ("os", 30, "linux", None, "Linux", None), ("device", 10, "googlebot", None, "Spider", None), ("device", 20, "iphone", None, "iPhone", None),
+               ("device", 20, "ipad", None, "iPad", None), ("device", 30, "android", "Mobile", "Generic Smartphone", None), ("device", 30, "windows", None, "PC", None)]
+    return apps.unionByName(s.createDataFrame(general, agent.RULES))
+
+
+def _ua_rules(s, d):
+    rows = stored(s, d)
+    n = F.regexp_extract("event_id", r"(\d+)", 1).cast("long")
+    named = rows.withColumn("ua", F.when(n % 2 == 0, F.concat("ua", F.lit(" App"), n % 200, F.lit("/"), n % 7, F.lit("."), n % 3)).otherwise(F.col("ua")))
+    return agent.parse_ua(named, rules=_agent_rules(s)).select("event_id", *_UA_COLUMNS)
+
+
+add("parse_ua_rules", _ua_rules, sql(f"""
+SELECT event_id, CASE WHEN n % 2 = 0 THEN 'App ' || (n % 200) ELSE device_ua_browser END AS device_ua_browser,
+  CASE WHEN n % 2 = 0 THEN (n % 7) || '.' || (n % 3) ELSE device_ua_browser_version END AS device_ua_browser_version,
+  device_ua_os, device_ua_os_version, device_ua_device, device_ua_device_category
+FROM (SELECT event_id, CAST(regexp_extract(event_id, '([0-9]+)', 1) AS BIGINT) AS n, {_UA} FROM pe)"""))
 add("filter_bots", lambda s, d: clean.drop_bots(agent.parse_ua(stored(s, d))).select("event_id", "device_ua_device_category"),
     sql(f"SELECT event_id, device_ua_device_category FROM (SELECT event_id, {_UA} FROM pe WHERE b % 5 <> 3)"))
 

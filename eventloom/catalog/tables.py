@@ -328,9 +328,12 @@ WHERE event_date >= DATE '2024-01-20' GROUP BY ALL"""))
 def _sync(s, d):
     name, path = f"synced_{uuid.uuid4().hex[:12]}", scratch(s, "sync")
     ups.create_metric_table(s, name, "event_id string, event_name string, app_id string, event_date date", ["app_id", "event_date"], path)
-    b.events(s, d).select("event_id", "event_name", "app_id", F.to_date("event_timestamp").alias("event_date")).repartition(
-        "app_id", "event_date").write.partitionBy("app_id", "event_date").mode("append").parquet(path)
-    return ups.sync_partitions(s, name)
+    rows = b.events(s, d).select("event_id", "event_name", "app_id", F.to_date("event_timestamp").alias("event_date"))
+    ups.append_rows(rows.where("event_date < '2024-01-10'"), name)
+    # The rest is written by a job that knows nothing of the catalog.
+    later = rows.where("event_date >= '2024-01-10'")
+    later.repartition("app_id", "event_date").write.partitionBy("app_id", "event_date").mode("append").parquet(path)
+    return ups.sync_partitions(s, name, later)
 
 
 add("partition_sync", _sync, with_base("""

@@ -149,9 +149,34 @@ def create_metric_table(spark: SparkSession, name: str, columns: str, partitions
               f"PARTITIONED BY ({', '.join(partitions)}) LOCATION '{location}'")
 
 
-def sync_partitions(spark: SparkSession, name: str) -> DataFrame:
-    """Registers folders that appeared under the table since the last call; returns the partitions."""
-    spark.sql(f"MSCK REPAIR TABLE {name}")
+def add_partitions(spark: SparkSession, name: str, rows: DataFrame, batch: int = 500) -> None:
+    """Registers the partitions that a batch has written under a table's folder, told by its own rows.
+
+    Nothing is listed, so the cost follows the batch and not the age of the table. The partitions of a batch are few (apps
+    times days or hours) and go to the catalog in statements of `batch` each; those it knows already stay as they are.
+    Rows with a null in a partition column are left to the writer's default folder.
+    """
+    columns = spark.catalog.listColumns(name)
+    parts = [c.name for c in columns if c.isPartition]
+    named = [F.col(c).cast("string").alias(c) for c in parts]
+    found = rows.select(*named).dropna().distinct().orderBy(*parts).collect()
+    for k in range(0, len(found), batch):
+        specs = " ".join("PARTITION (" + ", ".join(f"`{c}` = {_quoted(r[c])}" for c in parts) + ")" for r in found[k:k + batch])
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {specs}")
+
+
+def _quoted(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def append_rows(rows: DataFrame, name: str) -> None:
+    """Appends to a catalog table; Spark registers the partitions that the write itself made."""
+    rows.select(*rows.sparkSession.table(name).columns).write.mode("append").insertInto(name)
+
+
+def sync_partitions(spark: SparkSession, name: str, batch: DataFrame) -> DataFrame:
+    """Registers the partitions of a batch of files and returns all partitions of the table."""
+    add_partitions(spark, name, batch)
     return spark.sql(f"SHOW PARTITIONS {name}")
 
 
