@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventloom.llm.common import with_struct
+from eventloom.llm.visibility import Styles
 
 _TOKEN = re.compile(
     r"<!--(?:-?>|.*?(?:--!?>|\Z))"  # comment
@@ -28,11 +29,6 @@ _TOKEN = re.compile(
     r"""|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')?+)*+)(?:>|\Z)""", re.S)
 _ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
 _BLANK = re.compile(r"[ \t\n\r\f]+")
-_RULE = re.compile(r"([^{}]+)\{([^{}]*)\}")
-_SELECTOR = re.compile(r"([a-zA-Z][\w-]*)?((?:[.#][\w-]+)*)")
-_COMMENT = re.compile(r"/\*.*?\*/", re.S)
-_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*([a-z-]+)", re.I)
-_VISIBILITY = re.compile(r"(?:^|;)\s*visibility\s*:\s*([a-z-]+)", re.I)
 
 
 def _set(names: str) -> frozenset[str]:
@@ -172,10 +168,10 @@ class _Element:
     """An open element: whether it is shown (and its text seen), the number of its last list item, whether
     it hides all but its summary, and whether it has indented the flow."""
 
-    __slots__ = ("folded", "indented", "item", "name", "seen", "shown")
+    __slots__ = ("folded", "indented", "item", "marks", "name", "seen", "shown")
 
-    def __init__(self, name: str, shown: bool, seen: bool):
-        self.name, self.shown, self.seen = name, shown, seen
+    def __init__(self, name: str, shown: bool, seen: bool, marks: frozenset[str] = frozenset()):
+        self.name, self.shown, self.seen, self.marks = name, shown, seen, marks
         self.item, self.folded, self.indented = 0, False, False
 
 
@@ -188,7 +184,7 @@ class Page:
         self.flows: list[_Flow] = [_Flow()]
         self.tables: list[_Table] = []
         self.spans: list[tuple[int, int]] = []
-        self.rules: list[tuple[str, frozenset[str], str]] = []
+        self.styles = Styles()
 
     # The builder.
 
@@ -223,17 +219,10 @@ class Page:
 
     def raw(self, name: str, text: str) -> None:
         if name == "style":
-            self.sheet(text)
+            self.styles.add(text)
         elif self.stack[-1].shown:
             self.text(unescape(text) if name in ("textarea", "title") else text)
 
-    def sheet(self, text: str) -> None:
-        for selectors, body in _RULE.findall(_COMMENT.sub("", text)):
-            if _DISPLAY.search(body) or _VISIBILITY.search(body):
-                for selector in selectors.split(","):
-                    if (m := _SELECTOR.fullmatch(selector.strip())) and m[0]:
-                        self.rules.append(((m[1] or "").lower(), frozenset(re.findall(r"[.#][\w-]+", m[2])), body))
-
     def in_scope(self, names: frozenset[str] | tuple[str, ...], stops: frozenset[str] = SCOPE) -> bool:
         if not any(self.open.get(n) for n in names):
             return False
@@ -315,9 +304,12 @@ class Page:
             for key, *values in _ATTRIBUTE.findall(attributes):
                 given.setdefault(key.lower(), "".join(values))
         shown, seen = above.shown, above.seen
+        marks = frozenset(("." + c for c in given.get("class", "").split()))
+        if given.get("id"):
+            marks |= {"#" + given["id"]}
         if shown:
-            shown, seen = self.visible(name, given, above)
-        element = _Element(name, shown, seen)
+            shown, seen = self.visible(name, given, above, marks)
+        element = _Element(name, shown, seen, marks)
         self.stack.append(element)
         self.open[name] = self.open.get(name, 0) + 1
         if not shown:
@@ -359,23 +351,19 @@ class Page:
         flow.indents.append(" " * len(marker))
         element.indented = True
 
-    def visible(self, name: str, given: dict[str, str], above: _Element) -> tuple[bool, bool]:
+    def visible(self, name: str, given: dict[str, str], above: _Element, marks: frozenset[str]) -> tuple[bool, bool]:
         """Whether an element of a shown one is shown, and whether its text is seen."""
         seen = above.seen
-        if name in UNSEEN or "hidden" in given and given["hidden"] != "until-found":
-            return False, seen
-        if name == "dialog" and "open" not in given or name == "input" and given.get("type", "").lower() == "hidden":
+        if name in UNSEEN or name == "input" and given.get("type", "").lower() == "hidden":
             return False, seen
         if above.folded and name != "summary":
             return False, seen
-        styles = [body for tag, marks, body in self.rules
-                  if tag in ("", name) and marks <= {*("." + c for c in given.get("class", "").split()), "#" + given.get("id", "")}]
-        for style in (*styles, given.get("style", "")):
-            if (m := _DISPLAY.search(style)) and m[1].lower() == "none":
-                return False, seen
-            if m := _VISIBILITY.search(style):
-                seen = m[1].lower() not in ("hidden", "collapse")
-        return True, seen
+        display, visibility = self.styles.of(name, marks, self.stack, given.get("style", ""))
+        if display is None and ("hidden" in given and given["hidden"] != "until-found" or name == "dialog" and "open" not in given):
+            display = "none"
+        if visibility is not None:
+            seen = visibility not in ("hidden", "collapse")
+        return display != "none", seen
 
     def text(self, text: str) -> None:
         top = self.stack[-1]
