@@ -29,7 +29,7 @@ CASES = [
     ("<style>.a{display:none!important}</style><div class=a style='display:block'>no</div><p>yes", "yes"),
     ("<style>#x{display:block} .a{display:none}</style><div class=a id=x>heavier</div>", "heavier"),
     ("<style>div p{display:none} body .k i{display:none}</style><div><b><p>no</p></b></div><p>yes <b class=k><i>no</i></b></p>", "yes"),
-    ("<style>ul > li{display:none} .m li{display:list-item}</style><ul><li>no</ul><ul class=m><li>yes</ul>", "yes"),
+    ("<style>ul > li{display:none} .m li{display:list-item}</style><ul><li>no</ul><ul class=m><li>yes</ul>", "- yes"),
     ("<style>[hidden]{display:none} .on{display:block} a:hover{display:none}</style><div hidden class=on>shown again</div><a>link</a>", "shown again\nlink"),
     ("<style>@font-face{font-family:x;src:url(a)} @keyframes k{from{visibility:hidden}} @supports (display:grid){.g{display:none}} @import 'x';.z{display:none</style><p class=g>no<p class=z>no<p>yes", "yes"),
     ("<style>.h, p#x {display:none}/*.y{display:none}*/</style><i class='a h'>no</i><p id=x>no</p><p id=y class=y>yes</p>", "yes"),
