@@ -19,7 +19,7 @@ from __future__ import annotations
 import dataclasses
 import functools
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventloom.functions.timeunits import local
@@ -92,9 +92,66 @@ def funnel_starts(view: DataFrame, q: FunnelQuery) -> DataFrame:
         F.transform("_chain", lambda t: F.timestamp_micros(t)).alias("reached"), F.size("_chain").alias("depth"))
 
 
-def _label(q: FunnelQuery, unit: str) -> Column:
+def _label(q: FunnelQuery, unit: str, at: Column | None = None) -> Column:
     cut, pattern = LABELS[unit]
-    return F.date_format(F.date_trunc(cut, local("event_timestamp", q.tz)), pattern)
+    return F.date_format(F.date_trunc(cut, local("event_timestamp" if at is None else at, q.tz)), pattern)
+
+
+def _reached(view: DataFrame, q: FunnelQuery) -> tuple[DataFrame, list[DataFrame]]:
+    """The starts, and for each later step its events that some chain reaches, with the latest start `_start` that does.
+
+    Groups of the start are taken from the starts the user has: an event is looked at once for each of them.
+    """
+    rows, keys, n = staged(_events(view, q), "funnel"), _keys(q), len(q.steps)
+    own = _groups(q) if _first_only(q) else []
+    carried = [*dict.fromkeys([*keys, *_groups(q)]), "_t", "event_id", "user_pseudo_id"]
+    starts = rows.where("_s0")
+    reached, parts = starts.select(*carried, F.col("_t").alias("_start")), []
+    cohorts = starts.select(*keys, *own).distinct()
+    for i in range(1, n):
+        here = _joinable(rows.where(F.col(f"_s{i}")), keys).drop(*own)
+        if own:
+            here = here.join(cohorts, keys)
+        both = here.select(*carried).withColumn("_here", F.lit(True)).unionByName(
+            reached.select(*keys, *own, "_t", "_start"), allowMissingColumns=True)
+        prior = greatest_before(both, [*keys, *own], "_t", F.col("_start"), "_from").where(F.col("_here"))
+        ok = F.col("_from").isNotNull()
+        if q.window_seconds is not None:
+            ok = ok & (F.col("_t") - F.col("_from") <= q.window_seconds * SECOND)
+        reached = staged(prior.where(ok).select(*carried, F.col("_from").alias("_start")), "reached")
+        parts.append(reached)
+    return starts, parts
+
+
+def _events_by_label(view: DataFrame, q: FunnelQuery, unit: str) -> DataFrame:
+    """Wide counts c0..cn-1 of events per label of the start and groups.
+
+    Starts reach a step in the order of their time, so those that reach an event are all from the first one in its
+    window to the latest that does: one run of the labels that the key has starts under. An event is added at the run's
+    first label and taken off after its last, and summed along the labels; it is never copied to the labels between.
+    """
+    starts, parts = _reached(view, q)
+    keys = [*_keys(q), *(_groups(q) if _first_only(q) else [])]
+    back = q.window_seconds * SECOND if q.window_seconds is not None else 2 * 86_400 * SECOND  # the keys hold the day
+    label = lambda micros: _label(q, unit, F.timestamp_micros(micros))
+    marks = [starts.groupBy(*keys, label("_t").alias("label")).agg(F.countDistinct("event_id").alias("c0"))]
+    for i, reached in enumerate(parts, 1):
+        both = starts.select(*keys, F.col("_t").alias("_at"), F.col("_t").alias("_first")).unionByName(
+            reached.select(*keys, (F.col("_t") - back - 1).alias("_at"), "event_id", "_start"), allowMissingColumns=True)
+        runs = first_after(both, keys, "_at", F.col("_first"), "_from").where(F.col("_start").isNotNull())
+        counted = runs.groupBy(*keys, label("_from").alias("_low"), label("_start").alias("_high")).agg(F.countDistinct("event_id").alias("_n"))
+        ends = F.array(F.struct(F.col("_low").alias("label"), F.col("_n").alias(f"open{i}"), F.lit(0).cast("long").alias(f"shut{i}")),
+                       F.struct(F.col("_high").alias("label"), F.lit(0).cast("long").alias(f"open{i}"), F.col("_n").alias(f"shut{i}")))
+        marks.append(counted.select(*keys, F.explode(ends).alias("e")).select(*keys, "e.*"))
+    steps = range(1, len(parts) + 1)
+    sums = ["c0", *[f"{kind}{i}" for i in steps for kind in ("open", "shut")]]
+    all_ = functools.reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), marks)
+    cells = all_.groupBy(*keys, "label").agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in sums])
+    # One row per key and label with starts: as many as the time range has labels.
+    upto = Window.partitionBy(*keys).orderBy("label").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    covered = [(F.sum(f"open{i}").over(upto) - F.sum(f"shut{i}").over(upto) + F.col(f"shut{i}")).alias(f"c{i}") for i in steps]
+    return cells.select(*keys, "label", "c0", *covered).groupBy("label", *_groups(q)).agg(
+        *[F.sum(f"c{i}").alias(f"c{i}") for i in range(len(parts) + 1)])
 
 
 def _reaching_labels(q: FunnelQuery, unit: str) -> Column:
@@ -111,9 +168,9 @@ def _reaching_labels(q: FunnelQuery, unit: str) -> Column:
 def _reached_events(view: DataFrame, q: FunnelQuery, unit: str | None) -> DataFrame:
     """(step, label and groups of the start, ids) of every event that some chain reaches.
 
-    Counting events per label of the start needs an event once per label that
-    reaches it, so later events are copied to the labels of their window; without
-    labels nothing is copied. Groups of the start are taken from the starts the
+    Counting the users of later events per label of the start (where chains are held together by
+    something else than the user) needs an event once per label that reaches it, so later events
+    are copied to the labels of their window; without labels nothing is copied. Groups of the start are taken from the starts the
     user has under the label.
     """
     rows, keys, n = staged(_events(view, q), "funnel"), _keys(q), len(q.steps)
@@ -158,6 +215,8 @@ def _counts(view: DataFrame, q: FunnelQuery, unit: str | None) -> DataFrame:
         users = starts.where(F.col("user_pseudo_id").isNotNull()).groupBy(*by, "user_pseudo_id").agg(
             F.max("depth").alias("depth"))
         return users.groupBy(*by).agg(*[F.count_if(F.col("depth") > i).alias(f"c{i}") for i in range(n)])
+    if q.method == EVENT_CNT and unit:
+        return _events_by_label(view, q, unit)
     x = "event_id" if q.method == EVENT_CNT else "user_pseudo_id"
     hits = _reached_events(view, q, unit).select(*by, "step", x).distinct()
     return hits.where(F.col(x).isNotNull()).groupBy(*by).agg(

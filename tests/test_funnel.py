@@ -70,3 +70,37 @@ def test_steps_at_the_same_moment_do_not_follow(spark):
     assert [r["depth"] for r in funnel.funnel_starts(frame(spark, rows), q).collect()] == [1]
     rows[1]["event_timestamp"] = at + dt.timedelta(seconds=60)
     assert [r["depth"] for r in funnel.funnel_starts(frame(spark, rows), q).collect()] == [2]
+
+
+def test_hourly_event_counts_over_a_long_window(spark):
+    """Every (start, event) pair by hand; the plan holds no list of labels for an event."""
+    from compare import DATA
+    from eventloom.catalog import base as b
+
+    names, window = ["_first_open", "_screen_view", "purchase"], 30 * 86_400
+    q = FunnelQuery(Scope.days("2024-01-03", "2024-01-28"), "Asia/Shanghai", steps=tuple(Step(n) for n in names), window_seconds=window,
+                    method=EVENT_CNT, unit="hour")
+    view = b.user_events(spark, DATA.format("0.001"))
+    zone = ZoneInfo("Asia/Shanghai")
+    users = defaultdict(list)
+    for r in view.select("merged_user_id", "event_id", "event_name", "event_timestamp").collect():
+        at = r.event_timestamp.replace(tzinfo=dt.timezone.utc) if r.event_timestamp.tzinfo is None else r.event_timestamp
+        if "2024-01-03" <= at.astimezone(zone).strftime("%Y-%m-%d") <= "2024-01-28":
+            users[r.merged_user_id].append((at, r.event_id, r.event_name))
+    seen = defaultdict(lambda: [set(), set(), set()])
+    for rows in users.values():
+        rows.sort()
+        for start, start_id, name in rows:
+            if name != names[0]:
+                continue
+            cell, arrived = seen[start.astimezone(zone).strftime("%Y-%m-%d %H:00")], start
+            cell[0].add(start_id)
+            for i in (1, 2):
+                hits = [(t, e) for t, e, n in rows if n == names[i] and t > arrived and (t - start).total_seconds() <= window]
+                if not hits:
+                    break
+                cell[i] |= {e for _, e in hits}
+                arrived = min(hits)[0]
+    found = {r["hour"]: [r["1__first_open"], r["2__screen_view"], r["3_purchase"]] for r in funnel.funnel_table(view, q).collect()}
+    assert found == {label: [len(x) for x in cell] for label, cell in seen.items()} and len(found) > 50
+    assert "sequence(" not in funnel.funnel_table(view, q)._jdf.queryExecution().optimizedPlan().toString()
