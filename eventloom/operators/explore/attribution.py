@@ -19,7 +19,7 @@ from eventloom.functions.conditions import property_column
 from eventloom.functions.timeunits import day_bounds, instant, local_date, relative_start
 from eventloom.operators.explore.base import base_data, chosen_events, step_condition
 from eventloom.operators.explore.model import AttributionQuery, SUM_VALUE
-from eventloom.operators.ordered import next_value, running_sum
+from eventloom.operators.ordered import crowded, next_value, running_sum
 from eventloom.session import staged
 
 CONVERSION = ["user_pseudo_id", "conversion_id", "conversion_time"]
@@ -63,7 +63,8 @@ def _touches(rows: DataFrame, q: AttributionQuery) -> DataFrame:
         F.col("event_id").alias("conversion_id"), F.col("event_timestamp").alias("conversion_time"),
         F.col("session_id").alias("conversion_session"), "sum_value"))
     # A touch at the very event of a conversion sorts before it and counts for it.
-    ahead = next_value(rows, ["user_pseudo_id"], "event_timestamp", ["event_id", "is_target"], conversion, "_c")
+    borders = crowded(rows, ["user_pseudo_id"], "event_timestamp")
+    ahead = next_value(rows, ["user_pseudo_id"], "event_timestamp", ["event_id", "is_target"], conversion, "_c", borders=borders)
     joined = ahead.where((F.col("is_target") == 0) & F.col("_c").isNotNull()).select(
         "user_pseudo_id", "session_id", "event_id", "event_timestamp", "label", "_c.*")
     if q.window == "SESSION":

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from eventloom.functions.timeunits import local
 from eventloom.operators.explore.base import base_data, chosen_events, group_columns, names_of, step_condition
 from eventloom.operators.explore.model import EVENT_CNT, FunnelQuery
-from eventloom.operators.ordered import first_after, greatest_before
+from eventloom.operators.ordered import Borders, crowded, first_after, greatest_before
 from eventloom.session import staged
 
 # Unit of a date label -> (truncation, format). Fixed values.
@@ -68,6 +68,7 @@ def funnel_starts(view: DataFrame, q: FunnelQuery) -> DataFrame:
     """One row per step-0 event: when its earliest chain reached each step, and how many steps that is."""
     # Each step reads the step before it several times; staged, the work grows with the steps and not with their product.
     rows, keys, n = staged(_events(view, q), "funnel"), _keys(q), len(q.steps)
+    borders = crowded(rows, ["_key"], "_t")
     labels = ["event_id", "user_pseudo_id", "month", "week", "day", "hour",
               *[g for g in _groups(q) if g not in keys]]
     empty = F.array().cast("array<bigint>")
@@ -80,7 +81,7 @@ def funnel_starts(view: DataFrame, q: FunnelQuery) -> DataFrame:
         # Only starts carry their labels along.
         row = F.struct(*labels).alias("_row") if i == 0 else F.lit(True).alias("_row")
         both = here.select(*keys, "_t", row).unionByName(chains.select(*keys, "_t", "_chain"), allowMissingColumns=True)
-        ahead = first_after(both, keys, "_t", F.col("_chain"), "_next").where(F.col("_row").isNotNull())
+        ahead = first_after(both, keys, "_t", F.col("_chain"), "_next", borders=borders).where(F.col("_row").isNotNull())
         chains = ahead.select(*keys, "_t", "_row", F.concat(F.array("_t"), F.coalesce("_next", empty)).alias("_chain"))
         if i > 0:
             chains = staged(chains.drop("_row"), "chains")
@@ -97,12 +98,13 @@ def _label(q: FunnelQuery, unit: str, at: Column | None = None) -> Column:
     return F.date_format(F.date_trunc(cut, local("event_timestamp" if at is None else at, q.tz)), pattern)
 
 
-def _reached(view: DataFrame, q: FunnelQuery) -> tuple[DataFrame, list[DataFrame]]:
+def _reached(view: DataFrame, q: FunnelQuery) -> tuple[DataFrame, list[DataFrame], Borders | None]:
     """The starts, and for each later step its events that some chain reaches, with the latest start `_start` that does.
 
     Groups of the start are taken from the starts the user has: an event is looked at once for each of them.
     """
     rows, keys, n = staged(_events(view, q), "funnel"), _keys(q), len(q.steps)
+    borders = crowded(rows, ["_key"], "_t")
     own = _groups(q) if _first_only(q) else []
     carried = [*dict.fromkeys([*keys, *_groups(q)]), "_t", "event_id", "user_pseudo_id"]
     starts = rows.where("_s0")
@@ -114,13 +116,13 @@ def _reached(view: DataFrame, q: FunnelQuery) -> tuple[DataFrame, list[DataFrame
             here = here.join(cohorts, keys)
         both = here.select(*carried).withColumn("_here", F.lit(True)).unionByName(
             reached.select(*keys, *own, "_t", "_start"), allowMissingColumns=True)
-        prior = greatest_before(both, [*keys, *own], "_t", F.col("_start"), "_from").where(F.col("_here"))
+        prior = greatest_before(both, [*keys, *own], "_t", F.col("_start"), "_from", borders=borders).where(F.col("_here"))
         ok = F.col("_from").isNotNull()
         if q.window_seconds is not None:
             ok = ok & (F.col("_t") - F.col("_from") <= q.window_seconds * SECOND)
         reached = staged(prior.where(ok).select(*carried, F.col("_from").alias("_start")), "reached")
         parts.append(reached)
-    return starts, parts
+    return starts, parts, borders
 
 
 def _events_by_label(view: DataFrame, q: FunnelQuery, unit: str) -> DataFrame:
@@ -130,7 +132,7 @@ def _events_by_label(view: DataFrame, q: FunnelQuery, unit: str) -> DataFrame:
     window to the latest that does: one run of the labels that the key has starts under. An event is added at the run's
     first label and taken off after its last, and summed along the labels; it is never copied to the labels between.
     """
-    starts, parts = _reached(view, q)
+    starts, parts, borders = _reached(view, q)
     keys = [*_keys(q), *(_groups(q) if _first_only(q) else [])]
     back = q.window_seconds * SECOND if q.window_seconds is not None else 2 * 86_400 * SECOND  # the keys hold the day
     label = lambda micros: _label(q, unit, F.timestamp_micros(micros))
@@ -138,7 +140,7 @@ def _events_by_label(view: DataFrame, q: FunnelQuery, unit: str) -> DataFrame:
     for i, reached in enumerate(parts, 1):
         both = starts.select(*keys, F.col("_t").alias("_at"), F.col("_t").alias("_first")).unionByName(
             reached.select(*keys, (F.col("_t") - back - 1).alias("_at"), "event_id", "_start"), allowMissingColumns=True)
-        runs = first_after(both, keys, "_at", F.col("_first"), "_from").where(F.col("_start").isNotNull())
+        runs = first_after(both, keys, "_at", F.col("_first"), "_from", borders=borders).where(F.col("_start").isNotNull())
         counted = runs.groupBy(*keys, label("_from").alias("_low"), label("_start").alias("_high")).agg(F.countDistinct("event_id").alias("_n"))
         ends = F.array(F.struct(F.col("_low").alias("label"), F.col("_n").alias(f"open{i}"), F.lit(0).cast("long").alias(f"shut{i}")),
                        F.struct(F.col("_high").alias("label"), F.lit(0).cast("long").alias(f"open{i}"), F.col("_n").alias(f"shut{i}")))
@@ -174,6 +176,7 @@ def _reached_events(view: DataFrame, q: FunnelQuery, unit: str | None) -> DataFr
     user has under the label.
     """
     rows, keys, n = staged(_events(view, q), "funnel"), _keys(q), len(q.steps)
+    borders = crowded(rows, ["_key"], "_t")
     own = _groups(q) if _first_only(q) else []
     by = [*(["_label"] if unit else []), *own]
     starts = rows.where("_s0")
@@ -191,7 +194,7 @@ def _reached_events(view: DataFrame, q: FunnelQuery, unit: str | None) -> DataFr
         part = [*dict.fromkeys([*keys, *by])]
         both = here.select(*carried).withColumn("_here", F.lit(True)).unionByName(
             reached.select(*part, "_t", "_start"), allowMissingColumns=True)
-        prior = greatest_before(both, part, "_t", F.col("_start"), "_from").where(F.col("_here"))
+        prior = greatest_before(both, part, "_t", F.col("_start"), "_from", borders=borders).where(F.col("_here"))
         ok = F.col("_from").isNotNull()
         if q.window_seconds is not None:
             ok = ok & (F.col("_t") - F.col("_from") <= q.window_seconds * SECOND)

@@ -10,7 +10,7 @@ from eventloom.operators.explore.base import (
     base_data, chosen_events, names_of, open_path_events, step_condition, view_events,
 )
 from eventloom.operators.explore.model import EVENT_CNT, PathQuery
-from eventloom.operators.ordered import next_value, running_sum
+from eventloom.operators.ordered import crowded, next_value, running_sum
 from eventloom.session import staged
 
 ORDER = ["event_timestamp", "event_id", "name"]
@@ -77,10 +77,12 @@ def _with_bursts(rows: DataFrame, q: PathQuery) -> DataFrame:
     """
     user, rest = ["user_pseudo_id"], ["event_id", "name"]
     seconds = F.unix_micros("event_timestamp") / 1_000_000
-    ahead = next_value(staged(rows, "path"), user, "event_timestamp", rest, F.unix_micros("event_timestamp"), "_next")
+    rows = staged(rows, "path")
+    borders = crowded(rows, user, "event_timestamp")
+    ahead = next_value(rows, user, "event_timestamp", rest, F.unix_micros("event_timestamp"), "_next", borders=borders)
     wide = F.coalesce(F.col("_next") / 1_000_000 - seconds >= q.lag_seconds, F.lit(True))
     ahead = staged(ahead.withColumn("_break", F.when(wide, 1).otherwise(0)).drop("_next"), "breaks")
-    summed = running_sum(ahead, user, "event_timestamp", rest, F.col("_break"), "_group")
+    summed = running_sum(ahead, user, "event_timestamp", rest, F.col("_break"), "_group", borders=borders)
     if not q.compat:
         summed = summed.withColumn("_group", F.col("_group") - F.col("_break"))
     return summed.drop("_break")
