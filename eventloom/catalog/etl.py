@@ -15,7 +15,7 @@ from eventloom.operators import (
     agent, altsdk, backfill, clean, dedupe, fields, geo, legacy, sessions, tables, traffic, view, webtag,
 )
 from eventloom.operators.parse import parse_events, time_shift
-from eventloom.session import staged
+from eventloom.session import scratch, staged
 
 QUERIES: dict[str, b.Query] = {}
 ORACLES: dict[str, str] = {}
@@ -610,6 +610,18 @@ def _rest(s, d):
     return backfill.backfill_events(old, None, done, 1_704_500_000_000).select("event_id", "session_id")
 
 
+def _windows(s, d):
+    """A run that ends after two windows of five days, and one that moves the others."""
+    old, path = old_events(s, d), scratch(s, "windows")
+    span = (dt.date(2023, 12, 31), dt.date(2024, 2, 1), 5)
+    backfill.backfill_windows(old, path, *span, stop_after=2)
+    moved = backfill.backfill_windows(old, path, *span)
+    return backfill.backfilled(s, path).select("event_id", "session_id", F.lit(len(moved)).alias("windows_left"))
+
+
+add("backfill_windows", _windows, sql("SELECT event_id, session_id, 5 AS windows_left FROM pe"))
+
+
 def _apart(s, d):
     """From the table of parameters that stands beside the events."""
     old = old_events(s, d)

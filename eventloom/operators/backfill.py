@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import datetime as dt
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventloom.functions.props import EVENT_MAP
 from eventloom.names import FIRST_OPEN, SESSION_START, TRAFFIC_FIELDS
 from eventloom.operators.dedupe import keep_one
 from eventloom.operators.sessions import SOURCE_FIELDS
+from eventloom.session import finished
 
 # Parameter -> (column, type). Fixed values.
 PARAMETERS = {
@@ -92,6 +95,46 @@ def backfill_events(old: DataFrame, params: DataFrame | None = None, done: DataF
     )
 
 
+def windows(first: dt.date, last: dt.date, days: int) -> list[tuple[dt.date, dt.date]]:
+    """Periods of so many days from the newest to the oldest, the end exclusive; the oldest may be shorter."""
+    out, end = [], last + dt.timedelta(days=1)
+    while end > first:
+        out.append((max(first, end - dt.timedelta(days=days)), end))
+        end = out[-1][0]
+    return out
+
+
+def backfill_windows(old: DataFrame, path: str, first: dt.date, last: dt.date, days: int, params: DataFrame | None = None,
+                     stop_after: int | None = None) -> list[str]:
+    """Moves the events of the days `first` to `last` window by window into folders under `path`; returns the windows moved.
+
+    A window is a folder, and complete when its write is: run again, the job goes on with the first window that is not
+    complete, without reading what has been moved or the ids of it. A window that was cut short is written anew.
+    The bounds are on the stored clock, so a window scans its own days only. `stop_after` ends a run after so many windows.
+    """
+    spark, moved = old.sparkSession, []
+    done = set(finished(spark, path))
+    for low, high in windows(first, last, days):
+        name = f"window={low:%Y%m%d}-{high:%Y%m%d}"
+        if name in done:
+            continue
+        if stop_after is not None and len(moved) >= stop_after:
+            break
+        since, until = (int(dt.datetime(d.year, d.month, d.day, tzinfo=dt.timezone.utc).timestamp() * 1000) for d in (low, high))
+        inside = old.where((F.col("event_timestamp") >= since) & (F.col("event_timestamp") < until))
+        own = params
+        if params is not None:
+            own = params.where((F.col("event_timestamp") >= since) & (F.col("event_timestamp") < until))
+        backfill_events(inside, own).write.mode("overwrite").parquet(f"{path}/{name}")
+        moved.append(name)
+    return moved
+
+
+def backfilled(spark: SparkSession, path: str) -> DataFrame:
+    """The events of all complete windows. Raises if there are none yet."""
+    return spark.read.parquet(*[f"{path}/{name}" for name in finished(spark, path)])
+
+
 def _property_map(entries: str, with_time: bool):
     def value(e):
         v = e["value"]
