@@ -110,21 +110,21 @@ def backfill_windows(old: DataFrame, path: str, first: dt.date, last: dt.date, d
 
     A window is a folder, and complete when its write is: run again, the job goes on with the first window that is not
     complete, without reading what has been moved or the ids of it. A window that was cut short is written anew.
-    The bounds are on the stored clock, so a window scans its own days only. `stop_after` ends a run after so many windows.
+    The bounds are on the stored clock, so a window scans its own days only; events of wrong clocks, before the first or after
+    the last day, go with the oldest and the newest window. `stop_after` ends a run after so many windows.
     """
     spark, moved = old.sparkSession, []
-    done = set(finished(spark, path))
-    for low, high in windows(first, last, days):
+    done, all_ = set(finished(spark, path)), windows(first, last, days)
+    at = F.col("event_timestamp")
+    for low, high in all_:
         name = f"window={low:%Y%m%d}-{high:%Y%m%d}"
         if name in done:
             continue
         if stop_after is not None and len(moved) >= stop_after:
             break
         since, until = (int(dt.datetime(d.year, d.month, d.day, tzinfo=dt.timezone.utc).timestamp() * 1000) for d in (low, high))
-        inside = old.where((F.col("event_timestamp") >= since) & (F.col("event_timestamp") < until))
-        own = params
-        if params is not None:
-            own = params.where((F.col("event_timestamp") >= since) & (F.col("event_timestamp") < until))
+        held = (F.lit(low == all_[-1][0]) | (at >= since)) & (F.lit(high == all_[0][1]) | (at < until))
+        inside, own = old.where(held), params if params is None else params.where(held)
         backfill_events(inside, own).write.mode("overwrite").parquet(f"{path}/{name}")
         moved.append(name)
     return moved
