@@ -7,11 +7,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+def _hashable(name: str, kind: T.DataType) -> Column | None:
+    """A column as a hash function takes it: maps as their entries; None for what holds a map further inside, or a variant."""
+    text = kind.simpleString()
+    if "variant" in text:
+        return None
+    if isinstance(kind, T.MapType):
+        return F.map_entries(F.col(f"`{name}`")) if "map<" not in text[1:] else F.to_json(F.col(f"`{name}`"))
+    return F.col(f"`{name}`") if "map<" not in text else F.to_json(F.col(f"`{name}`"))
+
+
 def last_order(df: DataFrame, columns: list[str]) -> Column:
-    """A last key of an order: a hash over the row's plain values."""
-    plain = [f.name for f in df.schema.fields if f.name in columns and isinstance(f.dataType, T.AtomicType)
-             and not isinstance(f.dataType, T.VariantType)]
-    return F.xxhash64(*plain) if plain else F.lit(0)
+    """A last key of an order: a hash over all of the row's values, maps and arrays among them."""
+    parts = [_hashable(f.name, f.dataType) for f in df.schema.fields if f.name in columns]
+    parts = [c for c in parts if c is not None]
+    return F.xxhash64(*parts) if parts else F.lit(0)
 
 
 def keep_one(df: DataFrame, keys: list[str], order: list[str | Column], latest: bool = True) -> DataFrame:

@@ -65,7 +65,8 @@ def _merged(rows: DataFrame, q: PathQuery, by: list[str]) -> DataFrame:
         return keep_one(rows.select(*dict.fromkeys(keys + cols)), keys, ["event_timestamp", "event_id"])
     # Keep the last row of each run: the next row of the owner has another name or does not exist.
     label = F.concat_ws("\x1f", *[F.coalesce(F.col(c), F.lit("\x1e")) for c in by])
-    ahead = next_value(rows, owner, "event_timestamp", ["event_id"], label, "_next")
+    rows = staged(rows, "runs")
+    ahead = staged(next_value(rows, owner, "event_timestamp", ["event_id"], label, "_next", borders=crowded(rows, owner, "event_timestamp")), "runs")
     return ahead.where(F.col("_next").isNull() | (F.col("_next") != label)).drop("_next")
 
 

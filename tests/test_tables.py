@@ -136,3 +136,12 @@ def test_saved_batch_files_round_trip_as_json(spark):
     ods.write_ods(rows, path, "json")
     assert spark.read.schema("event_id string, partition_app string, partition_year string, partition_month string, partition_day string"
                              ).json(path).where("partition_app = 'a' AND partition_month = '03'").count() == 1
+
+
+def test_rows_that_differ_in_a_map_only_are_ordered(spark):
+    from eventloom.operators.dedupe import keep_one
+
+    rows = [("k", 1, {"a": str(v)}, [{"x": v}]) for v in range(8)]
+    schema = "k string, t long, m map<string,string>, a array<map<string,int>>"
+    picked = {str(keep_one(spark.createDataFrame(rows[n:] + rows[:n], schema).repartition(n + 1), ["k"], ["t"]).collect()) for n in range(4)}
+    assert len(picked) == 1
