@@ -427,8 +427,9 @@ def visible_text(pages: DataFrame, html: str = "html", text: str = "text") -> Da
     Lines end in a line feed; blocks that have margins are parted by one blank line; list items begin with
     ``- `` or their number; cells of a table row stand in columns, two spaces apart at least. A null page has
     a null text, an empty page and one that shows nothing an empty one. Broken markup is repaired as browsers
-    do it, except that formatting is not carried on into the next block. Rows are read one by one, so ties
-    and repeated rows change nothing.
+    do it, except that formatting is not carried on into the next block. Style sheets hide what they hide on a
+    screen (see ``visibility``). Rows are read one by one, so ties and repeated rows change nothing; a page of any
+    length is rendered whole, an empty table gives no rows.
     """
 
     @F.pandas_udf("string")

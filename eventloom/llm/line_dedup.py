@@ -299,7 +299,8 @@ def dedup_lines(docs: DataFrame, edits: int = MAX_EDITS, min_chars: int = MIN_CH
     ``max_repeated`` (None) they are dropped whatever their share, except from a near copy of one earlier
     document: its lines cover ``COPIED`` of the longer of the two texts, each line counted as often as both have
     it. Rows with one id and one text count as one document; a null id comes last; null and empty texts have no
-    repeats (a null text stays null). Columns named like the new ones are replaced.
+    repeats (a null text stays null). Columns named like the new ones are replaced. Texts and lines of any length
+    are compared whole; an empty table gives no rows.
     """
     names = ["n_lines", "n_repeats", "n_links", "dropped", "kept_text"]
     keep = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in names]

@@ -143,7 +143,8 @@ def quality_scores(docs: DataFrame, labels: DataFrame, label: str = "quality", m
     ``docs`` has doc_id and text, ``labels`` doc_id and 0/1 labels. Nothing but the text makes a score. A null
     or empty text is scored like any other, as a text without words; a null id is never held out and has no
     label. Several rows of one id count once in training and are scored one by one. Columns named like the
-    new ones are replaced. Without labels every score is 0.5, with labels of one kind 0 or 1.
+    new ones are replaced. Without labels every score is 0.5, with labels of one kind 0 or 1. Texts of any length
+    are read whole; equal scores are judged alike; an empty table of documents gives no rows.
     """
     ranking = train(docs, labels, label, max_labelled)
 

@@ -171,7 +171,8 @@ def encode(docs: DataFrame, model: str, text: str = "text") -> DataFrame:
     the whole text, without begin or end ids. ``begins`` and ``ends`` give each piece's bytes in the source:
     a piece of a replaced character has the span of what was replaced, a fallback byte its own byte, a prefix
     that the model adds no bytes. A null text counts as empty and gives empty arrays. Rows are encoded one by
-    one, so ties and repeated rows change nothing; columns named like the new ones are replaced.
+    one, so ties and repeated rows change nothing; columns named like the new ones are replaced. A text of any
+    length is encoded whole; an empty table gives no rows.
     """
     keep = [f for f in docs.schema.fields if f.name.lower() not in NAMES]
     place = next(k for k, f in enumerate(docs.schema.fields) if f.name == text)

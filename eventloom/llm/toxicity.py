@@ -171,7 +171,8 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, label: str = "toxic", fa
     ``docs`` has doc_id and text, ``labels`` doc_id and 0/1 labels; only the text makes a score, and all of it.
     A null or empty text has the score of a text without words. A null id is never held out and has no label;
     several rows of one id count once in training and are scored one by one. Columns named like the new ones
-    are replaced. Without labels every score is 0.5, with labels of one kind 0 or 1.
+    are replaced. Without labels every score is 0.5, with labels of one kind 0 or 1. Texts of any length are
+    read whole; an empty table of documents gives no rows.
     """
     model = train(docs, labels, label, families, max_labelled)
 
