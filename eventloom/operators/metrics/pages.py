@@ -46,13 +46,24 @@ def page_view_tz(view: DataFrame, tz: str = "UTC") -> DataFrame:
 
 
 def page_view_detail(view: DataFrame, tz: str = "UTC") -> DataFrame:
-    rows = _stack_all(view, tz, "merged_user_id", "session_id", "user_engagement_time_msec")
-    return rows.groupBy(*KEYS, F.col("merged_user_id").alias("user_id")).agg(
-        (F.sum("user_engagement_time_msec").cast("double") / 1000).alias("user_engagement_time_seconds"),
-        F.countDistinct("event_id").alias("event_count"),
-        _own_view().alias("view_count"),
-        F.countDistinct("session_id").alias("session_count"),
-    )
+    """Events, own views and sessions per dimension and user, each exact.
+
+    An event is one row per dimension, counted once by its id; sessions are counted over the distinct visits
+    (user, session, dimensions), which are few before they are stacked. No row is multiplied per distinct count.
+    """
+    user = F.col("merged_user_id").alias("user_id")
+    own = F.when(F.col("aggregation_type").startswith("Page"), F.lit(PAGE)).otherwise(F.lit(SCREEN))
+    stacked = _stack_all(view, tz, "merged_user_id", "user_engagement_time_msec")
+    once = stacked.groupBy(*KEYS, user, "event_id").agg(
+        F.sum("user_engagement_time_msec").alias("_msec"), F.max(F.when(F.col("event_name") == own, 1).otherwise(0)).alias("_own"))
+    events = once.groupBy(*KEYS, "user_id").agg(
+        F.sum("_msec").alias("_msec"), F.count("event_id").alias("event_count"),
+        F.sum(F.when(F.col("event_id").isNotNull(), F.col("_own")).otherwise(0)).alias("view_count"))
+    visits = daily(view, tz).select("app_id", "event_date", "platform", user, "session_id", *[c for _, c, _ in DIMENSIONS]).distinct()
+    sessions = stack(visits, _dims(False), keep_nulls=True).groupBy(*KEYS, "user_id").agg(F.countDistinct("session_id").alias("session_count"))
+    both = events.unionByName(sessions, allowMissingColumns=True).groupBy(*KEYS, "user_id")
+    return both.agg((F.sum("_msec").cast("double") / 1000).alias("user_engagement_time_seconds"),
+                    *[F.sum(c).alias(c) for c in ("event_count", "view_count", "session_count")])
 
 
 def entrance(view: DataFrame, tz: str = "UTC") -> DataFrame:

@@ -36,6 +36,11 @@ def test_distinct_counts_copy_no_event(spark):
         assert plan.count("Expand") == 1 and "event_id" not in plan[len(above):].splitlines()[0], plan
 
 
+def test_page_details_copy_no_row_per_count(spark):
+    plan = catalog.queries()["page_view_detail"](spark, DATA.format("0.001"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "Expand" not in plan
+
+
 def test_distinct_counts_of_repeated_and_null_ids(spark):
     from eventloom.operators.metrics.activity import _summary
 
