@@ -139,7 +139,25 @@ def pack(lengths: list[int], capacity: int = CAPACITY, max_slack: int = MAX_SLAC
 
 # A chunk of letters with no other form than their lower case, then of signs that start no contraction.
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
-_SIGNS = bytes(c for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'")
+_SIGNS = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'")
+_LETTERS = "".join(chr(c) for c in range(0x180) if _PLAIN.fullmatch(chr(c)) and _PLAIN.fullmatch(chr(c))[1])
+
+
+class _Filled(Known):
+    """Looks only the missing values up again."""
+
+    def of(self, words: list) -> list[bytes]:
+        found = list(map(self.values.get, words))
+        holes = [k for k, value in enumerate(found) if value is None]
+        if holes:
+            if len(self.values) > self.max_words:
+                self.values = {}
+            new = list(dict.fromkeys([words[k] for k in holes]))
+            learnt = dict(zip(new, self.learn(new), strict=True))
+            self.values.update(learnt)
+            for k in holes:
+                found[k] = learnt[words[k]]
+        return found
 
 
 class Encoder:
@@ -159,7 +177,7 @@ class Encoder:
         self.ends_word[[k for w, k in vocabulary.items() if w.endswith("</w>")]] = True
         self.end = np.array([end], "<u4").tobytes()
         # Lower-case words are fewer than chunks and cost most to encode.
-        self.chunks, self.words, self.signs = Known(self.learn, MAX_CHUNKS), Known(self.learn_words, MAX_WORDS), Known(self.learn_signs, MAX_CHUNKS)
+        self.chunks, self.words, self.signs = _Filled(self.learn, MAX_CHUNKS), _Filled(self.learn_words, MAX_WORDS), _Filled(self.learn_signs, MAX_CHUNKS)
 
     def encode(self, text: bytes | None) -> bytes:
         """Of a text in UTF-8."""
@@ -171,34 +189,38 @@ class Encoder:
         seen = pc.fill_null(pa.StringArray.from_buffers(len(texts), offsets, data, validity, texts.null_count, texts.offset), "")
         split = pc.ascii_split_whitespace(seen)
         coded = split.flatten().dictionary_encode()
-        known = self.chunks.of(coded.dictionary.cast(pa.binary()).to_pylist())
+        known, first, second = self.parts(coded.dictionary)
         sizes = np.fromiter(map(len, known), np.int64, len(known)) // 4
         flat, starts = np.frombuffer(b"".join(known), "<u4"), np.cumsum(sizes) - sizes
         at = coded.indices.to_numpy()
-        each = sizes[at]
+        parts = np.empty(2 * len(at), np.int64)
+        parts[0::2], parts[1::2] = first[at], second[at]
+        each = sizes[parts]
         until = np.concatenate([[0], np.cumsum(each)])
-        ids = flat[np.repeat(starts[at] - until[:-1], each) + np.arange(until[-1])]
-        ends = until[np.concatenate([[0], np.cumsum(split.value_lengths().to_numpy())])]
+        ids = flat[np.repeat(starts[parts] - until[:-1], each) + np.arange(until[-1])]
+        ends = until[2 * np.concatenate([[0], np.cumsum(split.value_lengths().to_numpy())])]
         return [ids[a:b].tobytes() + self.end for a, b in itertools.pairwise(ends.tolist())]
 
+    def parts(self, chunks: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+        """The ids of the words, the signs and the other chunks among some different ones, and for each chunk which two of them it is."""
+        heads = pc.utf8_rtrim(chunks, characters=_SIGNS)
+        plain = pc.match_substring_regex(heads, "^[A-Za-zÀ-ÖØ-öø-ÿ]+$")
+        words = pc.utf8_lower(heads.filter(plain)).dictionary_encode()
+        signs = pc.utf8_ltrim(chunks.filter(plain), characters=_LETTERS).dictionary_encode()
+        others = chunks.filter(pc.invert(plain)).cast(pa.binary()).to_pylist()
+        known = [*self.words.of(words.dictionary.to_pylist()), *self.signs.of(signs.dictionary.to_pylist()), *self.chunks.of(others), b""]
+        is_plain, n_words, n_signs = plain.to_numpy(zero_copy_only=False), len(words.dictionary), len(signs.dictionary)
+        first, second = np.empty(len(chunks), np.int64), np.full(len(chunks), len(known) - 1, np.int64)
+        first[is_plain], second[is_plain] = words.indices.to_numpy(), n_words + signs.indices.to_numpy()
+        first[~is_plain] = n_words + n_signs + np.arange(len(others))
+        return known, first, second
+
     def one(self, text: str) -> bytes:
         return np.array(self.model.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def learn(self, chunks: list[bytes]) -> list[bytes]:
         """White space leaves empty chunks at the ends of a text, which have no ids."""
-        words, signs = [], []
-        for c in chunks:
-            word = c.rstrip(_SIGNS)
-            if word.isalpha():  # ASCII letters only
-                words.append(word.lower().decode())
-                signs.append(c[len(word):].decode())
-            else:
-                plain = _PLAIN.fullmatch(c.decode())
-                words.append(plain[1].lower() if plain else None)
-                signs.append(plain[2] if plain else None)
-        heads = iter(self.words.of([w for w in words if w is not None]))
-        tails = iter(self.signs.of([x for x in signs if x is not None]))
-        return [self.one(c.decode()) if w is None else next(heads) + next(tails) for c, w in zip(chunks, words, strict=True)]
+        return [self.one(c.decode()) for c in chunks]
 
     def learn_signs(self, signs: list[str]) -> list[bytes]:
         return [self.one(x) for x in signs]
