@@ -141,7 +141,8 @@ def _events_by_label(view: DataFrame, q: FunnelQuery, unit: str) -> DataFrame:
         both = starts.select(*keys, F.col("_t").alias("_at"), F.col("_t").alias("_first")).unionByName(
             reached.select(*keys, (F.col("_t") - back - 1).alias("_at"), "event_id", "_start"), allowMissingColumns=True)
         runs = first_after(both, keys, "_at", F.col("_first"), "_from", borders=borders).where(F.col("_start").isNotNull())
-        counted = runs.groupBy(*keys, label("_from").alias("_low"), label("_start").alias("_high")).agg(F.countDistinct("event_id").alias("_n"))
+        counted = staged(runs.groupBy(*keys, label("_from").alias("_low"), label("_start").alias("_high")).agg(
+            F.countDistinct("event_id").alias("_n")), "runs")
         ends = F.array(F.struct(F.col("_low").alias("label"), F.col("_n").alias(f"open{i}"), F.lit(0).cast("long").alias(f"shut{i}")),
                        F.struct(F.col("_high").alias("label"), F.lit(0).cast("long").alias(f"open{i}"), F.col("_n").alias(f"shut{i}")))
         marks.append(counted.select(*keys, F.explode(ends).alias("e")).select(*keys, "e.*"))
