@@ -3,6 +3,7 @@ import datetime as dt
 import gzip
 import json
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -115,3 +116,14 @@ def test_field_rules(spark):
     assert fields.field_filter(df, fields.FieldRule("whitelist")).columns == df.columns[:5]
     got = {r["app_id"]: (r["x"], r["y"]) for r in fields.apply_field_rules(df, {"a": white, "b": black}, ["a", "b"]).collect()}
     assert got == {"a": (1, None), "b": (None, 2), "c": (1, 2)}
+
+
+def test_uploads_reach_python_in_bounded_batches(spark):
+    def size(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda _: len(texts))
+
+    seen = F.pandas_udf(size, "long")
+    many = spark.range(0, 3_000, 1, 1).select(seen(F.concat(F.lit("x"), "id")).alias("n"))
+    assert many.agg(F.max("n")).first()[0] <= 200
+    long = spark.range(0, 60, 1, 1).select(seen(F.concat(F.repeat(F.lit("x"), 1_000_000), "id")).alias("n"))
+    assert long.agg(F.max("n")).first()[0] <= 6
