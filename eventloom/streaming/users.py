@@ -22,7 +22,10 @@ class UserPicture(StatefulProcessor):
         self.user = handle.getValueState("user", PICTURE)
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        now = dict(zip(FIELDS, self.user.get(), strict=True)) if self.user.exists() else None
+        # Each call to the store is a round trip: the picture is asked for once, and says itself which timer it has.
+        stored = self.user.get()
+        now = None if stored is None else dict(zip(FIELDS, stored, strict=True))
+        timer = None if now is None else self._end(now)
         # The order of rows in a batch is not given; only what lies behind a gap needs it.
         for r in sorted(rows, key=lambda r: (r.at, r.event_id or "")):
             if now is None or r.at - now["seen"] > self.keep:
@@ -33,9 +36,10 @@ class UserPicture(StatefulProcessor):
         if now is not None:
             now["version"] += 1
             self.user.update(tuple(now[f] for f in FIELDS))
-            for timer in list(self.handle.listTimers()):
-                self.handle.deleteTimer(timer)
-            self.handle.registerTimer((now["seen"] + self.keep) // 1000 + 1)
+            if timer != self._end(now):
+                if timer is not None:
+                    self.handle.deleteTimer(timer)
+                self.handle.registerTimer(self._end(now))
             yield Row(app_id=key[0], user_pseudo_id=key[1], **now)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
@@ -45,6 +49,10 @@ class UserPicture(StatefulProcessor):
     def close(self) -> None:
         pass
 
+    def _end(self, now: dict) -> int:
+        """The millisecond at which a picture's timer fires."""
+        return (now["seen"] + self.keep) // 1000 + 1
+
     @staticmethod
     def _tell(now: dict, r: Row) -> None:
         at = (r.at, r.event_id or "")

@@ -3,11 +3,13 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from eventloom.operators import sessions, tables
 from eventloom.sources.partials import PartialLog
 from eventloom.streaming import jobs
+from eventloom.streaming.users import UserPicture
 
 EVENT = "event_id string, event_name string, event_timestamp timestamp, event_time_msec long, ingest_time_msec long"
 DAY = 86_400_000
@@ -118,3 +120,39 @@ def test_folding_batches_is_merging_them_in_order(spark, tmp_path, sources):
         if k == 1:
             log.compact()
     assert log.read().drop("batch").collect() == stored.collect()
+
+
+def test_a_user_costs_few_calls_to_the_state_store():
+    """One read, one write and a timer only where it moves."""
+    class Store:
+        def __init__(self):
+            self.calls, self.value, self.timers = [], None, set()
+
+        def __getattr__(self, name):
+            def call(*args):
+                self.calls.append(name)
+                if name == "getValueState":
+                    return self
+                if name == "update":
+                    self.value = args[0]
+                if name == "exists":
+                    return self.value is not None
+                if name == "registerTimer":
+                    self.timers.add(args[0])
+                if name == "deleteTimer":
+                    self.timers.remove(args[0])
+                return iter(sorted(self.timers)) if name == "listTimers" else self.value
+            return call
+
+    def row(at):
+        return Row(at=at, user_id=None, info=None, event_id=f"e{at}", first=None, latest=None)
+
+    store, picture = Store(), UserPicture(dt.timedelta(seconds=1))
+    picture.init(store)
+    told = []
+    for ats, calls in (([5_000_000, 5_500_000], 3), ([5_200_000], 2), ([5_900_000], 4)):
+        store.calls.clear()
+        out = list(picture.handleInputRows(("a", "u"), iter([row(at) for at in ats]), None))
+        told.append((out[0]["seen"], out[0]["version"], sorted(store.timers)))
+        assert len(store.calls) == calls, store.calls
+    assert told == [(5_500_000, 1, [6501]), (5_500_000, 2, [6501]), (5_900_000, 3, [6901])]
