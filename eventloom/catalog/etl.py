@@ -68,9 +68,13 @@ def parsed(s, d):
     return parse_events(time_shift(good(s, d), up.NOW_MSEC))
 
 
-def stored(s, d):
-    """Parsed events written once, as the batch run does before steps that read them twice."""
-    return staged(parsed(s, d), "parsed")
+def stored(s, d, *columns):
+    """Parsed events written once, as the batch run does before steps that read them twice; of the named columns, if any are.
+
+    What is written cannot be pruned by what reads it, and writing all columns takes most of the time of a query that needs few.
+    """
+    rows = parsed(s, d)
+    return staged(rows.select(*columns) if columns else rows, "parsed")
 
 
 # ------------------------------------------------------------------- cleaning
@@ -182,8 +186,10 @@ SELECT event_id, CASE
   WHEN traffic_source_category = 'Social' THEN 'Organic Social'
   WHEN traffic_source_category IS NULL AND traffic_source_medium = 'cpc' THEN 'Paid Other'
   ELSE 'Unassigned' END AS channel FROM ev"""))
-add("traffic_source", lambda s, d: traffic.traffic_source(stored(s, d), up.CATEGORY_RULES).select(
-    "event_id", *[f"traffic_source_{f}" for f in (*traffic.FIELDS, "channel_group", "category")]), sql("""
+_SOURCE = [f"traffic_source_{f}" for f in (*traffic.FIELDS, "channel_group", "category")]
+add("traffic_source", lambda s, d: traffic.traffic_source(stored(
+    s, d, "event_id", "raw_page_url", "raw_page_referrer", "raw_latest_referrer", "page_view_latest_referrer_host", *_SOURCE),
+    up.CATEGORY_RULES).select("event_id", *_SOURCE), sql("""
 SELECT event_id,
   CASE WHEN k % 7 = 0 THEN 'tss' ELSE CASE k % 8 WHEN 1 THEN 'newsletter' WHEN 2 THEN 'Google' WHEN 3 THEN 'fbclid'
     WHEN 4 THEN 'google' WHEN 6 THEN 'blog.partner.org' WHEN 7 THEN 'facebook' ELSE 'Direct' END END AS traffic_source_source,
