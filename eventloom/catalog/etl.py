@@ -330,7 +330,7 @@ add("extract_users", lambda s, d: _user_columns(tables.extract_users(parsed(s, d
 
 def _user_state(s, d):
     """The second half of the table merged into the history of the first half."""
-    rows = tables.user_rows(parsed(s, d))
+    rows = staged(tables.user_rows(parsed(s, d)), "user_rows")  # read three times below, parsed once
     cut = F.col("event_timestamp") < F.lit("2024-01-15").cast("timestamp")
     return _user_columns(tables.merge_user_state(
         tables.partial_users(rows.where(~cut)), tables.partial_users(rows.where(cut))))

@@ -26,6 +26,11 @@ def plan(df) -> str:
     return df._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_user_state_parses_once(spark, folder):
+    found = etl.QUERIES["user_state"](spark, folder)
+    assert "ArrowEvalPython" not in plan(found) and found.count() == 5
+
+
 def test_traffic_source_stores_what_it_reads(spark, folder, monkeypatch):
     stored = []
     monkeypatch.setattr(etl, "staged", lambda rows, name: stored.append(rows.columns) or staged(rows, name))
