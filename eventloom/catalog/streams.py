@@ -12,6 +12,7 @@ from eventloom.adapt import with_duplicates
 from eventloom.catalog import base as b
 from eventloom.catalog import etl
 from eventloom.catalog.base import clock, with_base
+from eventloom.names import TRAFFIC_FIELDS
 from eventloom.operators import sessions, tables
 from eventloom.session import scratch, staged
 from eventloom.sources.raw import PARTITIONS, RAW_SCHEMA
@@ -129,11 +130,22 @@ FROM (SELECT *, sum(CASE WHEN event_timestamp - before < INTERVAL 6 HOUR THEN 0
 GROUP BY app_id, user_pseudo_id, g"""))
 
 
+# What `user_rows` reads of a parsed event.
+_USER_INPUT = [*tables.USER_KEYS, "event_timestamp", "event_id", "event_name", "user_id", "user_json", "user_first_touch_time_msec",
+               "page_view_page_referrer", "page_view_latest_referrer", *[f"traffic_source_{f}" for f in TRAFFIC_FIELDS],
+               "app_install_source", "process_info"]
+
+
 def _parsed_stream(s, d):
-    path = scratch(s, "parsed")
-    rows = etl.parsed(s, d)
-    rows.repartitionByRange(4, "event_timestamp").write.parquet(path)
-    return rows, jobs.file_stream(s, path, rows.schema, files_per_batch=2)
+    """Parsed events as a file stream of two batches, the older half first.
+
+    They are parsed once before they are dealt, because dealing by ranges reads its input twice, and as many tasks write them as
+    a shuffle has.
+    """
+    path, files = scratch(s, "parsed"), max(4, int(s.conf.get("spark.sql.shuffle.partitions")))
+    rows = etl.stored(s, d, *_USER_INPUT)
+    rows.repartitionByRange(files, "event_timestamp").write.parquet(path)
+    return rows, jobs.file_stream(s, path, rows.schema, files_per_batch=(files + 1) // 2)
 
 
 def _users(s, d):

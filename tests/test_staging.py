@@ -37,3 +37,17 @@ def test_traffic_source_stores_what_it_reads(spark, folder, monkeypatch):
     found = etl.QUERIES["traffic_source"](spark, folder)
     assert len(stored) == 1 and "custom_parameters" not in stored[0] and set(found.columns) <= set(stored[0])
     assert found.count() == etl.stored(spark, folder).count() > 60
+
+
+def test_the_stream_of_users_is_dealt_to_as_many_tasks_as_a_shuffle_has(spark, folder, monkeypatch):
+    paths, before = [], spark.conf.get("spark.sql.shuffle.partitions")
+    of_files = streams.jobs.file_stream
+    monkeypatch.setattr(streams.jobs, "file_stream", lambda s, path, *a, **k: paths.append(path) or of_files(s, path, *a, **k))
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    try:
+        rows, _ = streams._parsed_stream(spark, folder)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert "ArrowEvalPython" not in plan(rows)
+    dealt = spark.read.parquet(paths[0])
+    assert len(dealt.inputFiles()) == 8 and dealt.count() == rows.count()
