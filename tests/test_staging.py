@@ -26,6 +26,20 @@ def plan(df) -> str:
     return df._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_metrics_read_stored_facts(spark, folder, monkeypatch):
+    """The facts of sessions and users are no plan that every metric runs again."""
+    seen = []
+
+    def stop(s, events, users, *rest):
+        seen.extend([plan(events), plan(users)])
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(functions, "refresh_all", stop)
+    with pytest.raises(KeyboardInterrupt):
+        functions._run_all(spark, folder)
+    assert len(seen) == 2 and not any("Join" in p or "Aggregate" in p for p in seen), seen
+
+
 def test_user_state_parses_once(spark, folder):
     found = etl.QUERIES["user_state"](spark, folder)
     assert "ArrowEvalPython" not in plan(found) and found.count() == 5
