@@ -147,6 +147,34 @@ def test_classes_equal_brute_force(spark):
     assert order_minhash.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_links_at_the_bound_are_found_however_the_edits_lie(spark, monkeypatch):
+    """Every fifth word replaced leaves no run of five words; a line that many texts share is a frequent run."""
+    monkeypatch.setattr(order_minhash, "FREQUENT", 20)
+    rnd, texts = random.Random(31), []
+    word = lambda: "".join(rnd.choice("abcdefghij") for _ in range(6))
+    line = [word() for _ in range(8)]
+    for k, n in enumerate([5, 6, 9, 10, 14, 15, 20, 40, 100, 150, 400, 900] + [30] * 40):
+        base = (line if n == 30 else []) + [word() for _ in range(n)]
+        texts += [base, [word() if at % 5 == k % 5 else w for at, w in enumerate(base)]]
+    rows = [(k, " ".join(t)) for k, t in enumerate(texts)]
+    got = {r.doc_id: r.class_id for r in order_minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    links = [(a, b) for k, (a, x) in enumerate(rows) for b, y in rows[k + 1:] if order_minhash.similar(x, y)]
+    assert len(links) > 25
+    assert got == union_find(list(got), links)
+
+
+def test_signatures_and_spare_runs_let_links_pass():
+    rnd = random.Random(32)
+    for _ in range(400):
+        a = [rnd.choice("abcdefghijklmnopqrstuvwxyz") * rnd.choice([1, 2, 9]) for _ in range(rnd.randint(1, 300))]
+        b = list(a)
+        for _ in range(order_minhash.most_edits(len(a), 0.8)):
+            b[rnd.randrange(len(b))] = "zzz"
+        (x, y) = (order_minhash.sketch(" ".join(t)) for t in (a, b))
+        assert len(set(x[3]) & set(y[3])) > max(x[5], y[5])
+        assert sum(((p ^ q) & (1 << 64) - 1).bit_count() for p, q in zip(x[4], y[4])) <= order_minhash.most_bits(0.8)
+
+
 def line_documents():
     rnd, letters = random.Random(3), "abcdefgh "
     lines = ["".join(rnd.choice(letters) for _ in range(rnd.randint(25, 70))) for _ in range(60)]
