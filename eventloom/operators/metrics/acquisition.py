@@ -7,16 +7,40 @@ from pyspark.sql import functions as F
 
 from eventloom.names import FIRST_OPEN
 from eventloom.operators.metrics.common import daily, engaged, engagement_sum, is_event, is_view, ratio, stack
+from eventloom.session import staged
 
 
-def _totals(df: DataFrame, *keys: str) -> DataFrame:
-    hit = F.col("session_indicator") == 1
-    return df.groupBy(*keys).agg(
+# Rows that a task stacks at most, if no user has more of one day: each becomes up to 13.
+ROWS_PER_TASK = 50_000
+SUMS = ["new_user_count", "session_count", "engaged_session_count", "event_count", "total_engagement_time_msec"]
+
+
+def _dealt(rows: DataFrame, user: str) -> DataFrame:
+    """The rows written once and dealt by user and day to as many tasks as their number asks for.
+
+    What is grouped by user and day after them is then in one task only, and no task holds more groups where the table is larger.
+    """
+    rows = staged(rows, "acquisition")
+    parts = max(rows.sparkSession.sparkContext.defaultParallelism, -(-rows.count() // ROWS_PER_TASK))
+    return rows.repartition(parts, "app_id", "event_date", "platform", user)
+
+
+def _totals(sessions: DataFrame, user: str, columns: list[str], dims: list, users: DataFrame | None = None) -> DataFrame:
+    """Totals per day, dimension, platform and user, from sessions that hold the dimensions' `columns` or get them from `users`.
+
+    Sessions are summed per user and day first; those sums are stacked.
+    """
+    hit, keys = F.col("session_indicator") == 1, ["app_id", "event_date", "platform", user]
+    whole = sessions.groupBy(*keys, *columns).agg(
         F.sum("new_user_indicator").alias("new_user_count"),
         F.count("session_id").alias("session_count"),
         F.sum("session_indicator").alias("engaged_session_count"),
         F.sum("event_count").alias("event_count"),
         F.sum(F.when(hit, F.col("_msec")).otherwise(0)).alias("total_engagement_time_msec"),
+    )
+    rows = stack(_dealt(whole if users is None else whole.join(users, user, "left"), user), dims, keep_nulls=True)
+    return rows.groupBy("app_id", "event_date", "aggregation_type", "aggregation_dim", "platform", user).agg(
+        *[F.sum(c).alias(c) for c in SUMS],
     ).withColumn(
         # Engaged sessions over events, as the metric's name has always meant here.
         "engagement_rate", F.coalesce(ratio(F.col("engaged_session_count"), F.col("event_count")), F.lit(0.0)),
@@ -75,8 +99,7 @@ def acquisition(view: DataFrame, users: DataFrame) -> DataFrame:
         ("User First Traffic Channel Group", F.col("first_traffic_channel_group"), known),
         ("App First Install Source", F.col("first_app_install_source"), known),
     ]
-    rows = stack(sessions.join(first, "user_pseudo_id", "left"), dims, keep_nulls=True)
-    return _totals(rows, "app_id", "event_date", "aggregation_type", "aggregation_dim", "platform", "user_pseudo_id")
+    return _totals(sessions, "user_pseudo_id", source, dims, first)
 
 
 # The 13 dimensions by label. Fixed values.
@@ -126,8 +149,8 @@ def acquisition_tz(view: DataFrame, tz: str = "UTC") -> DataFrame:
                      ("_msec", F.sum), ("new_user_indicator", F.max)]:
         whole = whole.withColumn(name, fn(name).over(w))
     hit = (engaged("_views", "_duration") == 1) | (F.coalesce(F.col("_msec"), F.lit(0)) > 10_000_000)
-    rows = stack(whole.withColumn("session_indicator", F.when(hit, 1).otherwise(0)), _dims_13(), keep_nulls=True)
-    out = _totals(rows, "app_id", "event_date", "aggregation_type", "aggregation_dim", "platform", "merged_user_id")
+    out = _totals(whole.withColumn("session_indicator", F.when(hit, 1).otherwise(0)), "merged_user_id",
+                  FIRST_COLUMNS + SESSION_COLUMNS, _dims_13())
     return out.select(
         "app_id", "event_date", "aggregation_type", "aggregation_dim", "platform",
         F.col("merged_user_id").alias("user_id"), "new_user_count", "session_count",
@@ -143,8 +166,8 @@ def acquisition_tz(view: DataFrame, tz: str = "UTC") -> DataFrame:
 def traffic_users(view: DataFrame, tz: str = "UTC") -> DataFrame:
     """Distinct users per source; the first-touch dimensions only on a first open."""
     rows = stack(
-        daily(view, tz).select("app_id", "event_date", "platform", "event_name", "merged_user_id",
-                               *FIRST_COLUMNS, *SESSION_COLUMNS).distinct(),
+        _dealt(daily(view, tz).select("app_id", "event_date", "platform", "event_name", "merged_user_id",
+                                      *FIRST_COLUMNS, *SESSION_COLUMNS).distinct(), "merged_user_id"),
         _dims_13(is_event(FIRST_OPEN)), keep_nulls=True)
     return rows.select("app_id", "event_date", "platform", "aggregation_type", "aggregation_dim",
                        F.col("merged_user_id").alias("user_id")).distinct()
