@@ -2,11 +2,13 @@
 
 import collections
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from eventloom.llm import line_dedup, order_minhash
+from eventloom.llm.common import stage
 from eventloom.llm.components import components
 
 
@@ -292,3 +294,26 @@ def test_lines_of_every_length_equal_brute_force(spark):
         spared += bool(copy and repeats)
         assert r.n_repeats == len(repeats) and r.dropped == ([] if copy else repeats)
     assert spared > 2
+
+
+def test_a_stage_leaves_no_shuffle_files(spark):
+    def files():
+        found = spark._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()
+        return {found.apply(k).getName() for k in range(found.size())}
+
+    before = files()
+    rows = stage(spark.range(100_000).selectExpr("id % 1000 AS k").groupBy("k").count(), "counted")
+    end = time.monotonic() + 30  # the executors are told, and not waited for
+    while (left := {f for f in files() - before if f.startswith("shuffle_") and f.endswith(".data")}) and time.monotonic() < end:
+        time.sleep(0.2)
+    assert not left and rows.count() == 1000
+
+
+def test_texts_of_other_nodes_stay_out_of_the_shuffle(spark):
+    docs = spark.createDataFrame([(f"text {k % 5000}",) for k in range(6000)], "text string")
+    nodes = docs.select(order_minhash._node().alias("node"), "text").filter("text LIKE '%7'").select("node").distinct()
+    texts = order_minhash._texts_of(docs, nodes, "texts")
+    assert sorted(r.text for r in texts.collect()) == sorted(f"text {k}" for k in range(7, 5000, 10))
+    passed = docs.filter(order_minhash._perhaps(nodes)(order_minhash._node())).distinct().count()
+    assert 500 <= passed < 800
+    assert order_minhash._texts_of(docs, nodes.limit(0), "texts").count() == 0
