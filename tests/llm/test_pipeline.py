@@ -65,3 +65,15 @@ def test_odd_rows(spark):
         assert (now.count() == 0) == start.isEmpty()
     left = corpus_pipeline.near_duplicates(spark, docs, SF).collect()
     assert collections.Counter(r.doc_id for r in left) == {1: 1, 2: 1, 3: 1}  # 5 differs from 3 in case and by one word
+
+
+def test_kept_texts_are_shuffled_once(spark):
+    docs = spark.createDataFrame([(k, f"text {k // 2}", "en", "s", 6) for k in range(40)] * 2, TABLE)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        left = corpus_pipeline.near_duplicates(spark, docs, SF)
+        assert "hashpartitioning(doc_id" not in left._jdf.queryExecution().executedPlan().toString()
+        assert sorted(r.doc_id for r in left.collect()) == list(range(0, 40, 2))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
