@@ -14,7 +14,7 @@ from eventloom.catalog import etl
 from eventloom.catalog.base import clock, with_base
 from eventloom.names import TRAFFIC_FIELDS
 from eventloom.operators import sessions, tables
-from eventloom.session import scratch, staged
+from eventloom.session import scratch
 from eventloom.sources.raw import PARTITIONS, RAW_SCHEMA
 from eventloom.streaming import jobs
 
@@ -35,17 +35,35 @@ def _stream(s, rows, files: int = 4):
     return jobs.file_stream(s, path, rows.schema, files_per_batch=2)
 
 
-def _in_order(s, rows, column: str, cuts: list[str]):
-    """The rows as a file stream of one batch per period between the cuts (dates), in their order."""
-    path, at = scratch(s, "periods"), F.col(column)
+def _periods(rows, column: str, cuts: list[str]):
+    """The rows of each period between the cuts (dates), in their order."""
+    at = F.col(column)
     for low, high in zip([None, *cuts], [*cuts, None], strict=True):
         held = F.lit(True)
         for cut, test in ((low, at.__ge__), (high, at.__lt__)):
             held = held if cut is None else held & test(F.lit(cut).cast("timestamp"))
-        rows.where(held).coalesce(1).write.mode("append").parquet(path)
+        yield rows.where(held)
+
+
+def _in_order(s, rows, column: str, cuts: list[str]):
+    """The rows as a file stream of one batch per period."""
+    path = scratch(s, "periods")
+    for period in _periods(rows, column, cuts):
+        period.coalesce(1).write.mode("append").parquet(path)
     return jobs.file_stream(s, path, rows.schema, files_per_batch=1)
 
 
+def _in_runs(s, rows, column: str, cuts: list[str], job):
+    """What a job puts out for the periods, each of which is one batch: a run takes all files that have come, however
+    many tasks wrote them, and the next one goes on from its checkpoint."""
+    path, out, check = scratch(s, "periods"), scratch(s, "out"), scratch(s, "check")
+    for period in _periods(rows, column, cuts):
+        period.write.mode("append").parquet(path)
+        made = job(jobs.file_stream(s, path, rows.schema))
+        jobs._start(made.writeStream.format("parquet").outputMode("append").option("path", out), check, True).awaitTermination()
+    return s.read.schema(made.schema).parquet(out)
+
+
 def _finish(s, df, mode: str = "append"):
     """Runs a stateful stream over everything there is and reads what it emitted."""
     out, check = scratch(s, "out"), scratch(s, "check")
@@ -160,10 +178,10 @@ add("stream_user_state", _users, etl.sql("SELECT * FROM uo", etl._USERS))
 
 
 def _users_ttl(s, d):
-    rows = staged(etl.parsed(s, d), "parsed")
-    stream = _in_order(s, rows, "event_timestamp", ["2024-01-08", "2024-01-15", "2024-01-22"])
-    made = jobs.users_with_ttl(stream.withWatermark("event_timestamp", jobs.LATE), dt.timedelta(hours=36))
-    return etl._user_columns(jobs.current_users(_finish(s, made)))
+    rows = etl.stored(s, d, *_USER_INPUT)
+    made = _in_runs(s, rows, "event_timestamp", ["2024-01-08", "2024-01-15", "2024-01-22"],
+                    lambda stream: jobs.users_with_ttl(stream.withWatermark("event_timestamp", jobs.LATE), dt.timedelta(hours=36)))
+    return etl._user_columns(jobs.current_users(made))
 
 
 # Events after a user's last pause of more than 36 hours.

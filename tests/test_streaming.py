@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 
+from eventloom.catalog import streams
 from eventloom.operators import sessions, tables
 from eventloom.sources.partials import PartialLog
 from eventloom.streaming import jobs
@@ -156,3 +157,12 @@ def test_a_user_costs_few_calls_to_the_state_store():
         told.append((out[0]["seen"], out[0]["version"], sorted(store.timers)))
         assert len(store.calls) == calls, store.calls
     assert told == [(5_500_000, 1, [6501]), (5_500_000, 2, [6501]), (5_900_000, 3, [6901])]
+
+
+def test_a_period_is_one_batch_however_many_tasks_wrote_it(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(streams, "scratch", lambda s, name: f"{tmp_path}/{name}")
+    days = spark.range(40).selectExpr("id", "timestamp'2024-01-01' + make_dt_interval(cast(id AS int)) AS at").repartition(4)
+    seen = streams._in_runs(spark, days, "at", ["2024-01-11", "2024-01-31"], lambda stream: stream)
+    assert sorted(r.id for r in seen.collect()) == list(range(40))
+    assert len(list((tmp_path / "periods").glob("*.parquet"))) > 3
+    assert sorted(p.name for p in (tmp_path / "check" / "commits").glob("[0-9]*")) == ["0", "1", "2"]
