@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import datetime as dt
 import logging
+import threading
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,6 +28,8 @@ REACH = {"session_analysis": SESSION, "engagement_kpi": SESSION, "entrance": SES
 # Partition columns that are the first day of a longer period.
 PERIODS = {"week_start": "week", "time_period_week": "week", "month_start": "month"}
 BUCKETS = 64
+# Metrics built at a time: while one writes its last files or lists folders, the tasks of others use the cores.
+AT_ONCE = 4
 
 
 def _first_day(day: dt.date, period: str) -> dt.date:
@@ -38,11 +43,16 @@ class Changes:
         self.events, self.users = events.withColumn("_day", F.to_date("event_timestamp")), users
         self.new = staged(self.events.where(F.col("created_time") > F.lit(since)).select("app_id", "user_pseudo_id", "session_id", "_day"), "changes")
         self._known: dict[str, set[dt.date]] = {}
+        self._lock = threading.Lock()
 
     def _of(self, *keys: str) -> DataFrame:
         return self.events.join(self.new.select(*keys).distinct(), list(keys), "left_semi")
 
     def days(self, reach: str) -> set[dt.date]:
+        with self._lock:
+            return self._days(reach)
+
+    def _days(self, reach: str) -> set[dt.date]:
         if reach not in self._known:
             keys = {SESSION: ["session_id"], USER: ["user_pseudo_id"], COHORT: ["user_pseudo_id"]}.get(reach)
             days = {r["_day"] for r in (self._of(*keys) if keys else self.new).select("_day").distinct().collect()}
@@ -96,16 +106,22 @@ def refresh_all(spark: SparkSession, events: DataFrame, users: DataFrame, root:
     replaced by key. A change of a table happens once for its `until`, also if the run is repeated; a table
     that failed starts from its own last run next time.
     """
+    metrics = metrics or METRICS
     seen = events.where(F.col("created_time") <= F.lit(until))
-    stamp, changes, failures = until.strftime("%Y%m%d%H%M%S%f"), {}, {}
-    for name, metric in (metrics or METRICS).items():
+    stamp, changes, lock = until.strftime("%Y%m%d%H%M%S%f"), {}, threading.Lock()
+
+    def since_then(since: dt.datetime | None) -> Changes | None:
+        with lock:
+            if since is not None and since not in changes:
+                changes[since] = Changes(seen, users, since)
+            return changes.get(since)
+
+    def bring(name: str, metric: Metric) -> str | None:
         try:
             since = last_run(spark, root, name)
             if since is not None and since >= until:
-                continue
-            if since is not None and since not in changes:
-                changes[since] = Changes(seen, users, since)
-            rows = _build(name, metric, seen, users, changes.get(since))
+                return None
+            rows = _build(name, metric, seen, users, since_then(since))
             table = metric_table(spark, root, name, metric, rows.schema)
             if REACH.get(name) == TOTALS:
                 table.upsert(rows, stamp)
@@ -114,5 +130,9 @@ def refresh_all(spark: SparkSession, events: DataFrame, users: DataFrame, root:
             spark.range(1).write.mode("overwrite").parquet(f"{root}/_runs/{name}/{stamp}")
         except Exception as e:  # noqa: BLE001 - one bad metric must not stop the rest
             log.error("metric %s failed: %s", name, str(e).splitlines()[0])
-            failures[name] = str(e)
-    return failures
+            return str(e)
+        return None
+
+    with ThreadPoolExecutor(AT_ONCE) as pool:
+        told = [pool.submit(inheritable_thread_target(bring), *item) for item in metrics.items()]
+    return {name: t.result() for name, t in zip(metrics, told, strict=True) if t.result() is not None}

@@ -1,6 +1,7 @@
 """Metric tables over several runs: only what is touched changes, a repeated run changes nothing, a failed table catches up."""
 
 import datetime as dt
+import threading
 
 from pyspark.sql import functions as F
 
@@ -43,3 +44,18 @@ def test_runs(spark, tmp_path):
     assert refresh_all(spark, facts, users, str(fresh), END, {**chosen, "mau": METRICS["mau"]}) == {}
     for name in [*chosen, "mau"]:
         assert content(spark, root, name) == content(spark, fresh, name) != [], name
+
+
+def test_metrics_are_built_side_by_side_and_failures_keep_their_order(spark, tmp_path):
+    meet = threading.Barrier(2, timeout=60)
+
+    def met(events, users):
+        meet.wait()
+        return events.groupBy("app_id").count()
+
+    rows = spark.createDataFrame([("a", dt.datetime(2024, 1, 1)), ("b", dt.datetime(2024, 1, 2))], "app_id string, created_time timestamp")
+    metrics = {"z": Metric(lambda e, u: e.select("nothing"), (), ""), "one": Metric(met, ("app_id",), "app_id"),
+               "two": Metric(met, ("app_id",), "app_id"), "y": Metric(lambda e, u: e.select("nothing"), (), "")}
+    failed = refresh_all(spark, rows, rows, str(tmp_path), dt.datetime(2024, 2, 1), metrics)
+    assert list(failed) == ["z", "y"]
+    assert all(spark.read.parquet(f"{tmp_path}/{name}").count() == 2 for name in ("one", "two"))
