@@ -134,5 +134,5 @@ def refresh_all(spark: SparkSession, events: DataFrame, users: DataFrame, root:
         return None
 
     with ThreadPoolExecutor(AT_ONCE) as pool:
-        told = [pool.submit(inheritable_thread_target(bring), *item) for item in metrics.items()]
+        told = [pool.submit(inheritable_thread_target(spark)(bring), *item) for item in metrics.items()]
     return {name: t.result() for name, t in zip(metrics, told, strict=True) if t.result() is not None}
